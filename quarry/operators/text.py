@@ -72,7 +72,7 @@ def typed(df: DataFrame, spec: Mapping[str, tuple]) -> DataFrame:
     cols = {}
     for out, (col, typ, *fmt) in spec.items():
         if typ == "date":
-            cols[out] = F.try_to_date(F.col(col), F.lit(fmt[0] if fmt else "yyyy-MM-dd"))
+            cols[out] = F.try_to_date(F.col(col), fmt[0] if fmt else "yyyy-MM-dd")
         else:
             cols[out] = F.col(col).try_cast(typ)
     return df.withColumns(cols)
