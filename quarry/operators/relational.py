@@ -158,22 +158,28 @@ def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def box_summary(df: DataFrame, by, col: str) -> DataFrame:
-    """Exact five-number summary + mean per category."""
-    return df.groupBy(*_cols(by)).agg(
-        F.min(col).alias("min"),
-        F.percentile(col, 0.25).alias("q1"),
-        F.median(col).alias("median"),
-        F.percentile(col, 0.75).alias("q3"),
-        F.max(col).alias("max"),
-        F.avg(col).alias("mean"),
-        F.count(col).alias("n"),
-    )
+    """Exact five-number summary + mean per category.
+
+    Quartiles come from ``hist_quantiles`` (exact, skew-safe); the mean is
+    sum / count.
+    """
+    q = hist_quantiles(df, col, by, {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0})
+    m = df.groupBy(*_cols(by)).agg((F.sum(col) / F.count(col)).alias("mean"))
+    return q.join(m, _cols(by))
 
 
-def histogram(df: DataFrame, by, col: str, lo: float, hi: float, bins: int) -> DataFrame:
-    """Equal-width histogram per category (``width_bucket``)."""
-    b = F.expr(f"width_bucket({col}, {lo}, {hi}, {bins})")
-    return df.groupBy(*_cols(by), b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+def histogram(df: DataFrame, by, col: str, lo, hi, bins: int) -> DataFrame:
+    """Equal-width histogram per category.
+
+    ``lo``/``hi`` are numbers or scalar columns (e.g. ``df.agg(min).scalar()``);
+    values outside [lo, hi] land in the edge bins 0 and bins-1.
+    """
+    lo = F.lit(lo) if isinstance(lo, (int, float)) else lo
+    hi = F.lit(hi) if isinstance(hi, (int, float)) else hi
+    width = hi - lo
+    raw = F.floor((F.col(col) - lo) / width * bins)
+    b = F.when(width <= 0, F.lit(0)).otherwise(F.least(F.greatest(raw, F.lit(0)), F.lit(bins - 1))).cast("int")
+    return df.filter(F.col(col).isNotNull()).groupBy(*_cols(by), b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def discrete_summary(df: DataFrame, value: str, by=None) -> DataFrame:
@@ -207,5 +213,35 @@ def discrete_summary(df: DataFrame, value: str, by=None) -> DataFrame:
     return out
 
 
+def hist_quantiles(df: DataFrame, value: str, by, qs: dict[str, float]) -> DataFrame:
+    """Exact quantiles (linear interpolation, as ``percentile``) per group,
+    computed from a ``(group, value, count)`` histogram.
+
+    A plain exact percentile buffers every value of a group in one task; here
+    the rows are first reduced to distinct values with a map-side partial
+    aggregate, so a category holding a third of the table costs one row per
+    distinct value.  Position of quantile q (0-based) is (n - 1) * q.
+    """
+    keys = _cols(by)
+    hist = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    hist = hist.withColumn("__cum", F.sum("__n").over(w)).withColumn("__tot", F.sum("__n").over(Window.partitionBy(*keys)))
+    aggs = [F.sum("__n").alias("n")]
+    for name, q in qs.items():
+        h = (F.col("__tot") - 1).cast("double") * q
+        lo, hi = F.floor(h), F.ceil(h)
+        cover = lambda p: (F.col("__cum") - F.col("__n") <= p) & (p < F.col("__cum"))
+        aggs += [
+            F.max(F.when(cover(lo), F.col(value))).alias(f"__{name}_lo"),
+            F.max(F.when(cover(hi), F.col(value))).alias(f"__{name}_hi"),
+            F.max(h - lo).alias(f"__{name}_f"),
+        ]
+    out = hist.groupBy(*keys).agg(*aggs)
+    for name in qs:
+        lo, hi, fr = F.col(f"__{name}_lo"), F.col(f"__{name}_hi"), F.col(f"__{name}_f")
+        out = out.withColumn(name, lo + fr * (hi - lo)).drop(f"__{name}_lo", f"__{name}_hi", f"__{name}_f")
+    return out
+
+
 def and_all(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds)
