@@ -28,9 +28,13 @@ LAG_COLS = [f"{c}_lag_{n}" for c in SENSOR_COLS for n in range(1, N_LAGS + 1)]
 
 
 def daily_sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_sensor_means(load(spark, sf_dir, "events"))
+
+
+def daily_sensor_means(events: DataFrame) -> DataFrame:
     """Daily mean per machine and sensor; exact decimal sums, so the
     mean does not depend on summation order."""
-    ev = load(spark, sf_dir, "events").filter(F.col("event_type").isin(SENSOR_TYPES))
+    ev = events.filter(F.col("event_type").isin(SENSOR_TYPES))
     aggs = []
     for t, name in zip(SENSOR_TYPES, SENSOR_COLS):
         hit = F.col("event_type") == t
