@@ -5,9 +5,14 @@ operator: rule-based defaults built from Spark SQL string, regex and
 higher-order functions (JVM-side, no Python per row), and ``map_model`` for
 plugging any Python model in through Arrow batches.
 
-Word-level scoring never explodes a document into rows: the token array is
-scored in place with ``transform``/``filter``/``aggregate`` against a small
-literal map, so a 20,000-word document costs one row, no shuffle, no join.
+Word-level scoring has two plans.  With row keys (the default for tables),
+words are exploded, joined to the fixed lexicon by a broadcast hash join
+(the lexicon is a constant, so its size is known) and counted back per row
+by a hash aggregate: all words of one row sit in one input partition, so the
+map-side partial aggregate emits about one row per text before any shuffle,
+and the whole pipeline stays in generated code.  Without keys, the token
+array is scored in place with higher-order functions (row-local, slower per
+word, no aggregation).
 """
 
 from __future__ import annotations
@@ -85,26 +90,60 @@ def lexicon_score(text, lexicon: Mapping[str, int]) -> Column:
     return F.aggregate(scores, F.lit(0), lambda acc, x: acc + x)
 
 
-def sentiment(df: DataFrame, text: str, lexicon: Mapping[str, int], out: str = "sentiment") -> DataFrame:
+def _categorise(pos: Column, neg: Column, n: Column) -> Column:
+    return (
+        F.when(n == 0, "unknown")
+        .when((pos > 0) & (neg > 0), "mixed")
+        .when(pos > 0, "positive")
+        .when(neg > 0, "negative")
+        .otherwise("neutral")
+    )
+
+
+def _lexicon_df(spark, pairs, value_type: str) -> DataFrame:
+    return spark.createDataFrame(list(pairs), f"__word string, __val {value_type}")
+
+
+def word_hits(df: DataFrame, text: str, keys: list[str], lexicon: DataFrame, aggs: list[Column]) -> DataFrame:
+    """Explode words, broadcast-join the (fixed) lexicon, aggregate per key.
+
+    ``lexicon`` has columns ``__word, __val``; ``aggs`` may use ``__w``
+    (the word, '' for texts without words) and ``__val`` (NULL when the word
+    is not in the lexicon).  Rows without words are kept (explode_outer).
+    """
+    words = df.select(*keys, F.explode_outer(tokens(text)).alias("__w"))
+    joined = words.join(F.broadcast(lexicon), words["__w"] == lexicon["__word"], "left")
+    return joined.groupBy(*keys).agg(*aggs)
+
+
+def sentiment(df: DataFrame, text: str, lexicon: Mapping[str, int], out: str = "sentiment", keys: list[str] | None = None) -> DataFrame:
     """T5: positive / negative / mixed / neutral / unknown per row.
 
     positive or negative when only that polarity occurs, mixed when both,
     neutral when the text has words but none in the lexicon, unknown when
-    it has no words at all.
+    it has no words at all.  With ``keys`` (unique per row) the
+    explode/broadcast-join plan returns ``keys + [out]`` only (no join back
+    to the texts); without, ``out`` is added to ``df``.
     """
+    if keys:
+        lex = _lexicon_df(df.sparkSession, lexicon.items(), "int")
+        hits = word_hits(
+            df,
+            text,
+            keys,
+            lex,
+            [
+                F.count(F.when(F.col("__val") > 0, 1)).alias("__pos"),
+                F.count(F.when(F.col("__val") < 0, 1)).alias("__neg"),
+                F.count(F.col("__w")).alias("__n"),
+            ],
+        )
+        return hits.select(*keys, _categorise(F.col("__pos"), F.col("__neg"), F.col("__n")).alias(out))
     m = _lit_map(lexicon)
     sc = F.transform(tokens(text), lambda w: F.coalesce(F.element_at(m, w), F.lit(0)))
     pos = F.size(F.filter(sc, lambda x: x > 0))
     neg = F.size(F.filter(sc, lambda x: x < 0))
-    n = F.size(sc)
-    cat = (
-        F.when(n == 0, "unknown")
-        .when((pos > 0) & (neg > 0), "mixed")
-        .when(pos > 0, "positive")
-        .when(neg > 0, "negative")
-        .otherwise("neutral")
-    )
-    return df.withColumn(out, cat)
+    return df.withColumn(out, _categorise(pos, neg, F.size(sc)))
 
 
 # Sentiment category -> score (everything else counts 0).
@@ -121,16 +160,27 @@ def stopword_hits(text, words: list[str]) -> Column:
     return F.size(F.filter(tokens(text), lambda w: F.array_contains(s, w)))
 
 
-def detect_language(df: DataFrame, text: str, stopwords: Mapping[str, list[str]], out: str = "detected_lang") -> DataFrame:
-    """Language with the most stop-word hits ('' when none).
+def detect_language(
+    df: DataFrame, text: str, stopwords: Mapping[str, list[str]], out: str = "detected_lang", keys: list[str] | None = None
+) -> DataFrame:
+    """Language with the most stop-word hits ('' when none), adding
+    ``<lang>_hits`` columns.  Ties go to the language listed first.
 
-    Ties go to the language listed first in ``stopwords``.
+    With ``keys`` (unique per row) the explode/broadcast-join plan returns
+    ``keys`` + hit columns + ``out`` only; without, columns are added to ``df``.
     """
     langs = list(stopwords)
-    hits = {f"{lang}_hits": stopword_hits(text, words) for lang, words in stopwords.items()}
-    df = df.withColumns(hits)
+    if keys:
+        lex = _lexicon_df(df.sparkSession, [(w, lang) for lang, ws in stopwords.items() for w in ws], "string")
+        df = word_hits(
+            df, text, keys, lex, [F.count(F.when(F.col("__val") == lang, 1)).cast("int").alias(f"{lang}_hits") for lang in langs]
+        )
+    else:
+        df = df.withColumns({f"{lang}_hits": stopword_hits(text, words) for lang, words in stopwords.items()})
     # max over (hits, -position) picks the most hits, earliest language on ties
-    best = F.greatest(*[F.struct(F.col(f"{lang}_hits").alias("h"), F.lit(-i).alias("o"), F.lit(lang).alias("l")) for i, lang in enumerate(langs)])
+    best = F.greatest(
+        *[F.struct(F.col(f"{lang}_hits").alias("h"), F.lit(-i).alias("o"), F.lit(lang).alias("l")) for i, lang in enumerate(langs)]
+    )
     return df.withColumn(out, F.when(best["h"] > 0, best["l"]).otherwise(F.lit("")))
 
 

@@ -25,6 +25,7 @@ from quarry.plans.capacity import EXOG, H, daily_series
 from quarry.plans.maintenance import LAG_COLS, bq9_training_dataset
 from quarry.plans.registry import query
 from quarry.session import scratch_path
+from quarry.sources.sinks import materialize
 from quarry.sources.tables import load
 
 LABEL = "failure_in_1_day"
@@ -49,7 +50,10 @@ def failure_model_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     Returns the run log ``(run, kind, key, value)`` plus feature importances
     and the v2-over-v1 F1 improvement as rows.
     """
+    # Written once to the shared checkpoint folder: the model fits scan their
+    # input many times, and a written table also cuts the lineage.
     ds = bq9_training_dataset(spark, sf_dir).withColumn("date", F.col("date").cast("string"))
+    ds = materialize(ds, scratch_path(spark, "failure-dataset"))
     parts = split_by_date(ds, "date", RANGES)
     runs = []
     models = {}
@@ -81,7 +85,7 @@ def doc_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     predicting `labels.quality`, split 80/20 by a hash of doc_id."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     lab = load(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("quality"))
-    d = docs.join(lab, "doc_id")
+    d = materialize(docs.join(lab, "doc_id"), scratch_path(spark, "quality-dataset"))
     is_test = F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0
     m = train_text_logreg(d.filter(~is_test), "text", "quality")
     pred = score(d.filter(is_test), m)
