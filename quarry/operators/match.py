@@ -34,17 +34,20 @@ def normalize(text) -> Column:
     return F.regexp_replace(F.lower(c), "[^a-z0-9]", "")
 
 
-def char_grams(norm: Column, n: int = 3) -> Column:
-    """Array of character n-grams of '^' + s + '$'."""
-    s = F.concat(F.lit("^"), norm, F.lit("$"))
+def char_grams(padded: Column, n: int = 3) -> Column:
+    """Array of character n-grams of an already padded string column
+    ('^' + normalised + '$'); pass a column reference, not an expression
+    (it would be re-evaluated per position inside the lambda)."""
     return F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length(s) - n + 1, F.lit(1))), lambda i: F.substring(s, i, n)
+        F.sequence(F.lit(1), F.greatest(F.length(padded) - n + 1, F.lit(1))), lambda i: F.substring(padded, i, n)
     )
 
 
 def _gram_tf(df: DataFrame, id_col: str, text: str, n: int) -> DataFrame:
+    padded = F.concat(F.lit("^"), normalize(text), F.lit("$"))
     return (
-        df.select(F.col(id_col).alias("id"), F.explode(char_grams(normalize(text), n)).alias("gram"))
+        df.select(F.col(id_col).alias("id"), padded.alias("__s"))
+        .select("id", F.explode(char_grams(F.col("__s"), n)).alias("gram"))
         .groupBy("id", "gram")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
@@ -219,3 +222,68 @@ def dense_topk(
 def blocks_for(n_rows: int, rows_per_block: int = 20000) -> int:
     """Block count so one block holds about ``rows_per_block`` rows."""
     return max(1, math.ceil(n_rows / rows_per_block))
+
+
+def normalized_text_hash(text) -> Column:
+    """md5 of lower-cased text with blank runs collapsed."""
+    c = F.col(text) if isinstance(text, str) else text
+    return F.md5(F.trim(F.regexp_replace(F.lower(c), r"[ \t\n\r\f]+", " ")))
+
+
+def exact_duplicates(df: DataFrame, id_col: str, text: str) -> DataFrame:
+    """E11 (exact part): rows whose normalised text occurs more than once,
+    with the group's representative (smallest id) and size.
+
+    One hash aggregate per text hash (map-side partial), no pairs: a text
+    copied a million times is one group row, not 10^12 pairs.
+    """
+    h = df.select(F.col(id_col), normalized_text_hash(text).alias("text_hash"))
+    groups = h.groupBy("text_hash").agg(F.min(id_col).alias("rep_id"), F.count(F.lit(1)).alias("n_copies"))
+    groups = groups.filter(F.col("n_copies") > 1)
+    return h.join(groups, "text_hash")
+
+
+def word_shingles(tok: Column, n: int) -> Column:
+    """Array of word n-grams of a token-array column, joined by ' '.
+
+    Pass a column *reference* (tokens computed once beforehand): an
+    expression used inside the lambda would be re-evaluated per position.
+    """
+    return F.when(
+        F.size(tok) >= n,
+        F.transform(F.sequence(F.lit(1), F.size(tok) - (n - 1)), lambda i: F.array_join(F.slice(tok, i, n), " ")),
+    ).otherwise(F.array().cast("array<string>"))
+
+
+def _shingle_rows(df: DataFrame, id_col: str, text: str, n: int, alias: str) -> DataFrame:
+    from quarry.operators.text import tokens
+
+    t = df.select(F.col(id_col).alias(alias), tokens(text).alias("__tok"))
+    return t.select(alias, F.explode(word_shingles(F.col("__tok"), n)).alias("sh"))
+
+
+def containment_search(queries: DataFrame, q_id: str, q_text: str, corpus: DataFrame, c_id: str, c_text: str, n: int = 8, k: int = 1) -> DataFrame:
+    """E4 for passages: corpus rows sharing the most word n-grams with each
+    query, ``(q_id, rank, c_id, shared, q_shingles)``.
+
+    The corpus side is exploded into shingles and streamed through the join
+    with the query shingles; only matching shingles survive, so nothing
+    proportional to the corpus is shuffled beyond the join itself.  n-grams
+    this long are rarely common, which keeps the join fan-out small.
+    """
+    qs = _shingle_rows(queries, q_id, q_text, n, "qid").distinct()
+    qn = qs.groupBy("qid").agg(F.count(F.lit(1)).alias("q_shingles"))
+    cs = _shingle_rows(corpus, c_id, c_text, n, "cid")
+    hits = cs.join(qs, "sh").select("qid", "cid", "sh").distinct()
+    cnt = hits.groupBy("qid", "cid").agg(F.count(F.lit(1)).alias("shared"))
+    top = first_n(cnt, "qid", [F.col("shared").desc(), F.col("cid")], k, rank_col="rank")
+    return top.join(qn, "qid").select(F.col("qid").alias(q_id), "rank", F.col("cid").alias(c_id), "shared", "q_shingles")
+
+
+def rag_prompts(results: DataFrame, questions: DataFrame, q_id: str, q_text: str, corpus: DataFrame, c_id: str, c_text: str, template: str) -> DataFrame:
+    """Retrieved context + question -> prompt (``template`` has two %s:
+    context, question), ready for ``map_model``."""
+    r = results.join(questions.select(q_id, F.col(q_text).alias("__q")), q_id).join(
+        corpus.select(c_id, F.col(c_text).alias("__c")), c_id
+    )
+    return r.withColumn("prompt", F.format_string(template, F.col("__c"), F.col("__q"))).drop("__q", "__c")
