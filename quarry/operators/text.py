@@ -282,3 +282,15 @@ def map_model(
     prompts = df.select(prompt_col).distinct()
     scored = prompts.mapInPandas(run, schema=f"{prompt_col} string, {out_col} string, {out_col}_error string")
     return df.join(scored, on=prompt_col, how="left")
+
+
+def explode_segments(df: DataFrame, arr: str, fields: list[str] | None = None, keep_empty: bool = True) -> DataFrame:
+    """One row per element of an array of structs (e.g. transcript
+    segments: speaker, text, start, end), other columns repeated.
+
+    ``keep_empty`` keeps rows whose array is empty or NULL (``inline_outer``).
+    """
+    others = [c for c in df.columns if c != arr]
+    gen = F.inline_outer(F.col(arr)) if keep_empty else F.inline(F.col(arr))
+    out = df.select(*others, gen)
+    return out.select(*others, *fields) if fields else out

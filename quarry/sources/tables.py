@@ -68,10 +68,9 @@ def read_files(spark: SparkSession, path: str, glob: str = "*", as_text: bool =
     """One row per file with its content (``text`` or raw ``content``)."""
     if as_text:
         return (
-            spark.read.option("wholetext", "true")
-            .option("pathGlobFilter", glob)
+            spark.read.option("pathGlobFilter", glob)
             .option("recursiveFileLookup", "true")
-            .text(path)
+            .text(path, wholetext=True)
             .select(F.input_file_name().alias("path"), F.col("value").alias("text"))
         )
     return (
