@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quarry.operators.match import containment_search, exact_duplicates, rag_prompts
 from quarry.plans.registry import query
 from quarry.plans.text import SQL_TOKENS
-from quarry.sources.tables import load
+from quarry.sources.tables import load, spread
 
 SHINGLE = 8  # fixed value: words per shingle
 # Fixed value: the prompt template (context, then question).
@@ -56,7 +56,7 @@ WHERE top.rank = 1
 def rag_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every benchmark question, the document sharing the most
     8-word shingles, and the prompt built from it (T1's input)."""
-    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(load(spark, sf_dir, "documents").select("doc_id", "text"))
     bench = load(spark, sf_dir, "benchmark").select("item_id", "text")
     top = containment_search(bench, "item_id", "text", docs, "doc_id", "text", n=SHINGLE, k=1)
     p = rag_prompts(top, bench, "item_id", "text", docs, "doc_id", "text", TEMPLATE)

@@ -17,7 +17,7 @@ from quarry.operators.text import (
 )
 from quarry.plans.common import sql_r
 from quarry.plans.registry import query
-from quarry.sources.tables import load
+from quarry.sources.tables import load, spread
 
 # Extraction patterns (e-mail, IPv4, 16-digit card number,
 # quoted 40-hex secret token).
@@ -70,7 +70,7 @@ def _sql_entities() -> str:
 
 @query("doc_entities", _sql_entities())
 def doc_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = load(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    docs = spread(load(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
     cols = {name: F.array_join(extract_all("text", pat, grp), ",") for name, (pat, grp) in PATTERNS.items()}
     cols["n_email_mentions"] = F.size(F.regexp_extract_all("text", F.lit(PATTERNS["emails"][0]), 0))
     return docs.withColumns(cols).drop("text")
@@ -100,7 +100,7 @@ def _sql_language() -> str:
 
 @query("doc_language", _sql_language())
 def doc_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = load(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    docs = spread(load(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
     # doc_id + lang as the row key: the result needs no join back to docs
     return detect_language(docs, "text", STOPWORDS, keys=["doc_id", "lang"])
 
@@ -186,7 +186,7 @@ def _sql_pages() -> str:
 
 @query("page_structure", _sql_pages())
 def page_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = parse_pages(load(spark, sf_dir, "pages"))
+    pages = parse_pages(spread(load(spark, sf_dir, "pages")))
     return pages.select(
         "page_id",
         "url",

@@ -85,3 +85,18 @@ def read_files(spark: SparkSession, path: str, glob: str = "*", as_text: bool =
 def from_local(spark: SparkSession, pdf, schema: T.StructType | str) -> DataFrame:
     """Local pandas frame -> DataFrame through Arrow, schema always given."""
     return spark.createDataFrame(pdf, schema=schema)
+
+
+def spread(df: DataFrame, slots: int | None = None) -> DataFrame:
+    """Round-robin repartition for CPU-heavy per-row work (regex, tokenising)
+    when the scan yields fewer splits than there are task slots.
+
+    A large table read from many files/row groups already has more splits
+    than slots and is returned unchanged (no shuffle added); a table stored
+    as one row group would otherwise run on a single core.  Planning only
+    (no job) to count the splits.
+    """
+    slots = slots or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots)
