@@ -89,6 +89,8 @@ def asof_join(
             .select(*keys, "__b", F.lit(1).alias("__bs"), F.col("__last.__f").alias("__lf"))
         )
         # ... carried to every spine bucket from strictly earlier buckets.
+        # Catalyst prunes this branch to a distinct over the spine's (key,
+        # ts) columns only: the wide spine rows are shuffled once.
         need = local.select(*keys, "__b").distinct().withColumn("__bs", F.lit(0))
         bu = need.unionByName(summ, allowMissingColumns=True)
         wb = Window.partitionBy(*keys).orderBy("__b", "__bs").rowsBetween(Window.unboundedPreceding, 0)
