@@ -18,6 +18,7 @@ from quarry.operators.relational import (
     latest_per_key,
     nth_value_cols,
     sample_by_rate,
+    surrogate_key,
 )
 from quarry.plans.common import SQL_HOLIDAY, sql_r
 from quarry.plans.registry import query
@@ -235,3 +236,20 @@ def retail_price_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     lo = p.agg(F.min("p_retailprice")).scalar()
     hi = p.agg(F.max("p_retailprice")).scalar()
     return histogram(p, "p_type", "p_retailprice", lo, hi, 10)
+
+
+# ---------------------------------------------------------------------------
+# A global ROW_NUMBER() over (order date, order key) as a surrogate key,
+# without funnelling the table through one window partition.
+# ---------------------------------------------------------------------------
+ROWNUM_SQL = """
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate,
+       ROW_NUMBER() OVER (ORDER BY o_orderdate, o_orderkey) AS order_seq
+FROM orders
+"""
+
+
+@query("order_sequence_key", ROWNUM_SQL)
+def order_sequence_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = load(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("o_orderdate"))
+    return surrogate_key(o, ["o_orderdate", "o_orderkey"], name="order_seq")
