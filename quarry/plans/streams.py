@@ -69,7 +69,8 @@ def stream_entity_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
         return df.select("doc_id", "lang", "text").withColumns(cols).drop("text")
 
     out, ckpt = fresh_paths(spark, "stream-entities")
-    incremental_map(src, transform, out, ckpt).awaitTermination()
+    # the table arrives as few files: spread the regex work over the cores
+    incremental_map(src, transform, out, ckpt, spread_to=spark.sparkContext.defaultParallelism).awaitTermination()
     return spark.read.parquet(out)
 
 

@@ -57,12 +57,23 @@ def _trigger(w, trigger: str | None):
     return w.trigger(availableNow=True) if trigger in (None, "availableNow") else w.trigger(processingTime=trigger)
 
 
-def incremental_map(src: DataFrame, transform: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str, trigger: str | None = None):
+def incremental_map(
+    src: DataFrame,
+    transform: Callable[[DataFrame], DataFrame],
+    sink: str,
+    checkpoint: str,
+    trigger: str | None = None,
+    spread_to: int | None = None,
+):
     """ST1: keep ``sink`` in step with ``src`` through a stateless transform.
 
     ``trigger``: None/"availableNow" processes what is there and stops;
     "20 minutes" keeps a lag target like a self-refreshing table.
+    ``spread_to``: round-robin the batch over that many tasks before a
+    CPU-heavy transform (when a trigger brings fewer files than cores).
     """
+    if spread_to:
+        src = src.repartition(spread_to)
     w = transform(src).writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
     return _trigger(w.outputMode("append"), trigger).start()
 
