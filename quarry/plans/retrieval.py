@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators.match import containment_search, exact_duplicates, rag_prompts
+from quarry.operators.match import containment_search, exact_duplicates, near_duplicate_clusters, rag_prompts
 from quarry.plans.registry import query
 from quarry.plans.text import SQL_TOKENS
 from quarry.sources.tables import load, spread
@@ -64,3 +64,13 @@ def rag_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
         "item_id", "rank", "doc_id", "shared", "q_shingles",
         F.length("prompt").alias("prompt_chars"), F.md5("prompt").alias("prompt_md5"),
     )
+
+
+@query("near_duplicate_documents")
+def near_duplicate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate clusters of documents (MinHash bands + connected
+    components).  Probabilistic by construction, so no SQL oracle; tests
+    check it against brute-force Jaccard on a fixture and that every exact
+    duplicate group lies inside one cluster."""
+    docs = spread(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return near_duplicate_clusters(docs, "doc_id", "text")

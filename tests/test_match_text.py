@@ -109,3 +109,41 @@ def test_map_model_errors_and_retries(spark):
     out = {(r.p, r.out, r.out_error is not None) for r in map_model(df, "p", "out", model).collect()}
     assert out == {("a", "A", False), ("boom", None, True)}
     assert calls["n"] == 0
+
+
+def test_near_duplicate_clusters_vs_brute_force(spark):
+    import random
+
+    from quarry.operators.match import near_duplicate_clusters
+
+    rnd = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    vocab = ["".join(rnd.choice(letters) for _ in range(6)) for _ in range(400)]
+    bases = [[rnd.choice(vocab) for _ in range(120)] for _ in range(6)]
+    docs, truth = [], {}
+    for b, words in enumerate(bases):
+        for c in range(3):  # 3 near copies: 2 words changed each
+            w = list(words)
+            for _ in range(2 if c else 0):
+                w[rnd.randrange(len(w))] = rnd.choice(vocab)
+            doc_id = b * 10 + c
+            docs.append((doc_id, " ".join(w)))
+            truth[doc_id] = b
+    docs.append((99, "short text"))
+    docs.append((98, "short  TEXT"))  # exact copy after normalisation, below one shingle
+    df = spark.createDataFrame(docs, "id long, t string")
+    got = {r.id: r.cluster_id for r in near_duplicate_clusters(df, "id", "t").collect()}
+
+    def shingles(text):
+        toks = text.lower().split()
+        return {" ".join(toks[i : i + 5]) for i in range(len(toks) - 4)}
+
+    sets = {i: shingles(t) for i, t in docs[:-2]}
+    for a in sets:
+        for b in sets:
+            j = len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+            if a < b and j >= 0.8:
+                assert got[a] == got[b], (a, b, j)  # near copies share a cluster
+            if a < b and j < 0.2:
+                assert got.get(a) is None or got.get(a) != got.get(b), (a, b, j)
+    assert got[98] == got[99]
