@@ -34,32 +34,31 @@ def monitor_baseline(df: DataFrame, key: str, ts: str, y: str, pred_name: str) -
     return df.select(key, ts, F.col(y).alias(pred_name), F.col(y))
 
 
-def weighted_prf(df: DataFrame, y: str, yhat: str) -> DataFrame:
-    """M4: support-weighted precision, recall and F1 (0 where undefined).
+def weighted_prf(df: DataFrame, y: str, yhat: str, by=None) -> DataFrame:
+    """M4 (and M21 with ``by`` = a day column): support-weighted precision,
+    recall and F1, a class's score being 0 where undefined.
 
-    Confusion counts come from one ``groupBy(y, yhat)``; the per-class
-    arithmetic runs on a table of (#classes)^2 rows.
+    Confusion counts come from one ``groupBy(by, y, yhat)`` (map-side
+    partial); the per-class arithmetic runs on a table of
+    groups x classes^2 rows.
     """
-    conf = df.groupBy(F.col(y).alias("y"), F.col(yhat).alias("p")).agg(F.count(F.lit(1)).alias("n"))
-    tp = conf.filter(F.col("y") == F.col("p")).select(F.col("y").alias("c"), F.col("n").alias("tp"))
-    support = conf.groupBy(F.col("y").alias("c")).agg(F.sum("n").alias("support"))
-    predicted = conf.groupBy(F.col("p").alias("c")).agg(F.sum("n").alias("predicted"))
+    keys = _cols(by) if by else []
+    conf = df.groupBy(*keys, F.col(y).alias("y"), F.col(yhat).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    tp = conf.filter(F.col("y") == F.col("p")).select(*keys, F.col("y").alias("c"), F.col("n").alias("tp"))
+    support = conf.groupBy(*keys, F.col("y").alias("c")).agg(F.sum("n").alias("support"))
+    predicted = conf.groupBy(*keys, F.col("p").alias("c")).agg(F.sum("n").alias("predicted"))
     per = (
-        support.join(predicted, "c", "full")
-        .join(tp, "c", "left")
+        support.join(predicted, [*keys, "c"], "full")
+        .join(tp, [*keys, "c"], "left")
         .fillna(0, subset=["tp", "support", "predicted"])
     )
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(F.lit(0.0))
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
     per = per.withColumn("precision", prec).withColumn("recall", rec)
-    per = per.withColumn(
-        "f1",
-        F.when(F.col("precision") + F.col("recall") > 0, 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))).otherwise(
-            F.lit(0.0)
-        ),
-    )
+    pr = F.col("precision") + F.col("recall")
+    per = per.withColumn("f1", F.when(pr > 0, 2 * F.col("precision") * F.col("recall") / pr).otherwise(F.lit(0.0)))
     tot = F.sum("support")
-    return per.agg(
+    return per.groupBy(*keys).agg(
         (F.sum(F.col("precision") * F.col("support")) / tot).alias("precision"),
         (F.sum(F.col("recall") * F.col("support")) / tot).alias("recall"),
         (F.sum(F.col("f1") * F.col("support")) / tot).alias("f1"),

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from quarry.functions.scalar import money, safe_div
 from quarry.operators.asof import asof_join
 from quarry.operators.features import make_spine, shift_label
+from quarry.operators.monitor import weighted_prf
+from quarry.functions.scalar import round_half_up
 from quarry.operators.timeseries import compute_lag
 from quarry.plans.registry import query
 from quarry.sources.tables import load
@@ -187,3 +189,52 @@ def asof_customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asof_join(
         spine, feats, "customer_key", "ship_date", "order_date", time_bucket="year", keep_feature_ts="last_order_date"
     )
+
+
+# ---------------------------------------------------------------------------
+# M4 + M21: per-day classification quality of a naive failure predictor
+# ("a machine that failed today fails tomorrow") on the training spine.
+# ---------------------------------------------------------------------------
+def _r9(x: str) -> str:
+    return f"CAST(ROUND(CAST({x} AS DECIMAL(38,10)), 9) AS DOUBLE)"
+
+
+DAILY_PRF_SQL = f"""
+WITH d AS ({BQ9_SQL}),
+f AS (SELECT machine_id, date, 1 AS failed_today FROM ({SQL_FAILURES})),
+p AS (SELECT d.date, d.failure_in_1_day AS y, COALESCE(f.failed_today, 0) AS p
+      FROM d LEFT JOIN f ON d.machine_id = f.machine_id AND d.date = f.date),
+conf AS (SELECT date, y, p, COUNT(*) AS n FROM p GROUP BY date, y, p),
+cls AS (SELECT DISTINCT date, y AS c FROM conf UNION SELECT DISTINCT date, p FROM conf),
+per AS (
+    SELECT cls.date, cls.c,
+           COALESCE((SELECT SUM(n) FROM conf WHERE conf.date = cls.date AND conf.y = cls.c AND conf.p = cls.c), 0) AS tp,
+           COALESCE((SELECT SUM(n) FROM conf WHERE conf.date = cls.date AND conf.y = cls.c), 0) AS support,
+           COALESCE((SELECT SUM(n) FROM conf WHERE conf.date = cls.date AND conf.p = cls.c), 0) AS predicted
+    FROM cls
+), m AS (
+    SELECT date, support,
+           CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS pr,
+           CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS rc
+    FROM per
+)
+SELECT date AS day,
+       {_r9('SUM(pr * support) / SUM(support)')} AS precision,
+       {_r9('SUM(rc * support) / SUM(support)')} AS recall,
+       {_r9('SUM(CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0.0 END * support) / SUM(support)')} AS f1,
+       CAST(SUM(support) AS BIGINT) AS n
+FROM m GROUP BY date
+"""
+
+
+@query("failure_daily_quality", DAILY_PRF_SQL)
+def failure_daily_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = bq9_training_dataset(spark, sf_dir).select("machine_id", "date", "failure_in_1_day")
+    f = failures(spark, sf_dir).select("machine_id", "date", F.col("failure").alias("failed_today"))
+    p = d.join(f, ["machine_id", "date"], "left").fillna(0, subset=["failed_today"])
+    m = weighted_prf(p, "failure_in_1_day", "failed_today", by="date")
+    return m.select(
+        F.col("date").alias("day"),
+        *[round_half_up(c, 9).alias(c) for c in ("precision", "recall", "f1")],
+        F.col("n").cast("bigint").alias("n"),
+    )
