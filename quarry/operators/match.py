@@ -162,13 +162,23 @@ def dense_topk(
     c_blocks: int = 4,
     exclude_self: bool = False,
     digits: int = 6,
+    max_broadcast_queries: int = 0,
 ) -> DataFrame:
-    """Exact top-k cosine neighbours, blocked (see module doc).
-
-    Each query row is replicated to ``c_blocks`` groups and each corpus row
-    to ``q_blocks`` groups (a fixed fan-out); choose the block counts so
-    |queries|/q_blocks x |corpus|/c_blocks fits one task.
+    """Exact top-k cosine neighbours.
+
+    * Broadcast plan, when ``queries`` has at most ``max_broadcast_queries``
+      rows (counted first: the size bound is checked, 64-dim float vectors
+      at 100k queries are ~50 MB): the query matrix is broadcast and every
+      corpus partition is scanned in place by ``mapInPandas``, keeping a
+      running top-k per query; only queries x k rows per partition are
+      shuffled for the final merge.  The corpus is never shuffled.
+    * Blocked plan otherwise (see module doc): each query row is replicated
+      to ``c_blocks`` groups and each corpus row to ``q_blocks`` groups (a
+      fixed fan-out); choose the block counts so |queries|/q_blocks x
+      |corpus|/c_blocks fits one task.
     """
+    if max_broadcast_queries and queries.count() <= max_broadcast_queries:
+        return _dense_topk_broadcast(queries, q_id, q_vec, corpus, c_id, c_vec, k, exclude_self, digits)
     qb = queries.select(
         F.col(q_id).cast("long").alias("qid"),
         F.col(q_vec).cast("array<double>").alias("v"),
@@ -219,6 +229,54 @@ def dense_topk(
     )
 
 
+def _dense_topk_broadcast(queries, q_id, q_vec, corpus, c_id, c_vec, k, exclude_self, digits, q_chunk: int = 2048):
+    spark = queries.sparkSession
+    qp = queries.select(F.col(q_id).cast("long").alias("qid"), F.col(q_vec).cast("array<double>").alias("v")).toPandas()
+    qids = qp["qid"].to_numpy()
+    qm = np.stack(qp["v"].to_numpy()).astype(np.float64) if len(qp) else np.zeros((0, 1))
+    qn = np.linalg.norm(qm, axis=1)
+    qm = qm / np.where(qn == 0, np.nan, qn)[:, None]
+    bq = spark.sparkContext.broadcast((qids, qm))
+
+    def scan(batches):
+        qids_, qm_ = bq.value
+        nq = len(qids_)
+        best_s = np.full((nq, k), -np.inf)
+        best_c = np.full((nq, k), np.iinfo(np.int64).max, dtype=np.int64)
+        for pdf in batches:
+            if pdf.empty or nq == 0:
+                continue
+            cids = pdf["cid"].to_numpy()
+            cm = np.stack(pdf["v"].to_numpy()).astype(np.float64)
+            cn = np.linalg.norm(cm, axis=1)
+            cm = cm / np.where(cn == 0, np.nan, cn)[:, None]
+            for lo in range(0, nq, q_chunk):
+                sim = qm_[lo : lo + q_chunk] @ cm.T
+                sim = np.where(np.isnan(sim), -np.inf, sim)
+                if exclude_self:
+                    sim = np.where(qids_[lo : lo + q_chunk, None] == cids[None, :], -np.inf, sim)
+                # merge the running top-k with this batch: (score desc, id asc)
+                s_all = np.concatenate([best_s[lo : lo + q_chunk], sim], axis=1)
+                c_all = np.concatenate([best_c[lo : lo + q_chunk], np.broadcast_to(cids, sim.shape)], axis=1)
+                order = np.lexsort((c_all, -s_all), axis=1)[:, :k]
+                best_s[lo : lo + q_chunk] = np.take_along_axis(s_all, order, axis=1)
+                best_c[lo : lo + q_chunk] = np.take_along_axis(c_all, order, axis=1)
+        keep = np.isfinite(best_s)
+        rows_q = np.repeat(qids_, k).reshape(nq, k)[keep] if nq else np.array([], dtype=np.int64)
+        yield pd.DataFrame({"qid": rows_q, "cid": best_c[keep], "score": best_s[keep]})
+
+    local = corpus.select(F.col(c_id).cast("long").alias("cid"), F.col(c_vec).cast("array<double>").alias("v")).mapInPandas(
+        scan, schema="qid long, cid long, score double"
+    )
+    ranked = first_n(local, "qid", [F.col("score").desc(), F.col("cid")], k, rank_col="rank")
+    return ranked.select(
+        F.col("qid").alias(q_id),
+        "rank",
+        F.col("cid").alias(f"neighbor_{c_id}"),
+        F.round(F.col("score").cast("decimal(38,12)"), digits).cast("double").alias("cosine_similarity"),
+    )
+
+
 def blocks_for(n_rows: int, rows_per_block: int = 20000) -> int:
     """Block count so one block holds about ``rows_per_block`` rows."""
     return max(1, math.ceil(n_rows / rows_per_block))

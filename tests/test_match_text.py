@@ -45,8 +45,10 @@ def test_dense_topk_matches_brute_force(spark):
     rng = np.random.default_rng(7)
     vecs = rng.normal(size=(60, 8))
     df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vecs)], "id long, v array<double>")
-    got = dense_topk(df, "id", "v", df, "id", "v", 3, q_blocks=3, c_blocks=4, exclude_self=True)
-    got = {(r.id, r.rank): r.neighbor_id for r in got.collect()}
+    blocked = dense_topk(df, "id", "v", df, "id", "v", 3, q_blocks=3, c_blocks=4, exclude_self=True)
+    bcast = dense_topk(df, "id", "v", df.repartition(5), "id", "v", 3, exclude_self=True, max_broadcast_queries=1000)
+    got = {(r.id, r.rank): r.neighbor_id for r in blocked.collect()}
+    assert got == {(r.id, r.rank): r.neighbor_id for r in bcast.collect()}
     nv = vecs / np.linalg.norm(vecs, axis=1, keepdims=True)
     sim = nv @ nv.T
     np.fill_diagonal(sim, -np.inf)
