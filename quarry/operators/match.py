@@ -94,9 +94,14 @@ def batch_search(
     n: int = 3,
     digits: int = 6,
     filters: Column | None = None,
+    min_score: float | None = None,
 ) -> DataFrame:
     """E4/J9/UD3: top-k corpus rows per query with cosine + text-match scores.
 
+    With ``min_score`` only results scoring at least that are returned, and
+    the candidate join uses each query's rare-gram prefix only (exact, see
+    ``_candidates_above``), which keeps common grams from fanning out.
+
     Output ``(q_id, rank, c_id, cosine_similarity, text_match)``.  Scores are
     rounded to ``digits`` before ranking so ties break on the corpus id, the
     same on every engine.  ``filters`` (E5) is a predicate over the joined
@@ -104,14 +109,19 @@ def batch_search(
     """
     index, idf, n_docs = build_index(corpus, c_id, c_text, n)
     qv = query_vectors(queries, q_id, q_text, idf, n_docs, n)
-    cand = qv.alias("q").join(index.alias("c"), "gram").groupBy(F.col("q.id").alias("qid"), F.col("c.id").alias("cid")).agg(
-        F.sum(F.col("q.w") * F.col("c.w")).alias("cos")
-    )
+    if min_score is None:
+        cand = qv.alias("q").join(index.alias("c"), "gram").groupBy(
+            F.col("q.id").alias("qid"), F.col("c.id").alias("cid")
+        ).agg(F.sum(F.col("q.w") * F.col("c.w")).alias("cos"))
+    else:
+        cand = _candidates_above(qv, index, min_score - 10.0 ** (-digits))
     if filters is not None:
         qa = queries.select(F.col(q_id).alias("qid"), *[F.col(c).alias(f"q_{c}") for c in queries.columns if c != q_id])
         ca = corpus.select(F.col(c_id).alias("cid"), *[F.col(c).alias(f"c_{c}") for c in corpus.columns if c != c_id])
         cand = cand.join(qa, "qid").join(ca, "cid").filter(filters).select("qid", "cid", "cos")
     cand = cand.withColumn("cosine_similarity", F.round(F.col("cos").cast("decimal(38,12)"), digits).cast("double"))
+    if min_score is not None:
+        cand = cand.filter(F.col("cosine_similarity") >= min_score)
     top = first_n(cand, "qid", [F.col("cosine_similarity").desc(), F.col("cid")], k, rank_col="rank")
     qt = queries.select(F.col(q_id).alias("qid"), F.col(q_text).alias("__qt"))
     ct = corpus.select(F.col(c_id).alias("cid"), F.col(c_text).alias("__ct"))
@@ -125,6 +135,27 @@ def batch_search(
     )
 
 
+def _candidates_above(qv: DataFrame, index: DataFrame, t: float) -> DataFrame:
+    """Exact candidate pairs with cosine >= t, without joining common grams.
+
+    Vectors are non-negative and unit length, so cos(q, c) <= sqrt(sum of
+    q_g^2 over the grams they share).  Sort a query's grams by weight; the
+    lightest ones whose squared weights sum below t^2 (the suffix) can never
+    reach t on their own, so a pair reaching t shares at least one of the
+    remaining (prefix) grams.  Candidates come from the prefix grams only
+    (rare, high-idf grams: small fan-out), then every candidate is rescored
+    over all its shared grams by a key lookup on (corpus id, gram).
+    """
+    w = Window.partitionBy("id").orderBy(F.col("w").asc(), F.col("gram").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    prefix = qv.withColumn("__cum", F.sum(F.col("w") * F.col("w")).over(w)).filter(F.col("__cum") >= t * t)
+    pairs = prefix.alias("q").join(index.alias("c"), "gram").select(
+        F.col("q.id").alias("qid"), F.col("c.id").alias("cid")
+    ).distinct()
+    qg = pairs.join(qv.select(F.col("id").alias("qid"), "gram", F.col("w").alias("wq")), "qid")
+    ig = index.select(F.col("id").alias("cid"), "gram", F.col("w").alias("wc"))
+    return qg.join(ig, ["cid", "gram"]).groupBy("qid", "cid").agg(F.sum(F.col("wq") * F.col("wc")).alias("cos"))
+
+
 def word_tokens(c: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda w: w != F.lit("")))
 

@@ -152,3 +152,33 @@ def embedding_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
         emb, "vec_id", "embedding", emb, "vec_id", "embedding", K, b, b, exclude_self=True,
         max_broadcast_queries=MAX_BROADCAST_QUERIES,
     )
+
+
+# ---------------------------------------------------------------------------
+# E4 + E8 + E9: the search app's view - up to 10 golden names per dirty name
+# scoring at least the minimum similarity, with the overall score (mean of
+# cosine and text match).  Candidates come from each query's rare grams only
+# (exact for scores >= the cut).
+# ---------------------------------------------------------------------------
+APP_K = 10
+
+# the search SQL with the cut applied before ranking and k = APP_K
+_SQL_ABOVE_SEARCH = SQL_SEARCH.replace("FROM cand)", f"FROM cand WHERE cosine_similarity >= {MIN_SCORE})").replace(
+    f"WHERE rank <= {K}", f"WHERE rank <= {APP_K}"
+)
+ABOVE_SQL = f"""
+WITH s AS ({_SQL_ABOVE_SEARCH})
+SELECT dirty_name, rank, master_name, cosine_similarity, text_match,
+       CAST(ROUND(CAST((cosine_similarity + text_match) / 2 AS DECIMAL(38,12)), 6) AS DOUBLE) AS overall
+FROM s
+"""
+
+
+@query("name_matches_above", ABOVE_SQL)
+def name_matches_above(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = dirty_parts(spark, sf_dir).select("dirty_name").distinct()
+    r = batch_search(
+        q, "dirty_name", "dirty_name", masters(spark, sf_dir), "master_name", "master_name", APP_K, min_score=MIN_SCORE
+    )
+    overall = (F.col("cosine_similarity") + F.col("text_match")) / 2
+    return r.withColumn("overall", F.round(overall.cast("decimal(38,12)"), 6).cast("double"))

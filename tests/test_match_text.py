@@ -149,3 +149,13 @@ def test_near_duplicate_clusters_vs_brute_force(spark):
             if a < b and j < 0.2:
                 assert got.get(a) is None or got.get(a) != got.get(b), (a, b, j)
     assert got[98] == got[99]
+
+
+def test_prefix_filtered_search_is_exact(spark):
+    m = spark.createDataFrame([(x,) for x in MASTERS], "name string")
+    q = spark.createDataFrame([(d,) for d, _ in DIRTY], "q string")
+    for cut in (0.2, 0.3, 0.5):
+        full = batch_search(q, "q", "q", m, "name", "name", k=100).filter(F.col("cosine_similarity") >= cut)
+        pruned = batch_search(q, "q", "q", m, "name", "name", k=100, min_score=cut)
+        key = lambda r: (r.q, r.name, r.cosine_similarity, r.text_match)
+        assert sorted(map(key, full.collect())) == sorted(map(key, pruned.collect())), cut
