@@ -3,7 +3,7 @@ exact dense nearest neighbours on `embeddings` (E2/E12).
 
 Stand-ins: the golden list = distinct `part.p_name`; every part record
 carries a dirty spelling of its name derived by a fixed rule of its key
-(upper-case, spaces removed, last letter dropped, a suffix, words swapped).
+(upper-case, spaces removed, last letter doubled, a suffix, words swapped).
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ def dirty_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     dirty = (
         F.when(v == 0, F.upper("p_name"))
         .when(v == 1, F.replace(F.col("p_name"), F.lit(" "), F.lit("")))
-        .when(v == 2, F.expr("substring(p_name, 1, length(p_name) - 1)"))
+        .when(v == 2, F.concat(F.col("p_name"), F.substring(F.col("p_name"), -1, 1)))
         .when(v == 3, F.concat(F.col("p_name"), F.lit(" co")))
         .otherwise(F.array_join(F.reverse(F.split(F.col("p_name"), " ")), " "))
     )
@@ -46,7 +46,7 @@ SQL_DIRTY = """
 SELECT p_partkey, p_name,
        CASE p_partkey % 5 WHEN 0 THEN upper(p_name)
                           WHEN 1 THEN replace(p_name, ' ', '')
-                          WHEN 2 THEN substring(p_name, 1, length(p_name) - 1)
+                          WHEN 2 THEN p_name || right(p_name, 1)
                           WHEN 3 THEN p_name || ' co'
                           ELSE array_to_string(list_reverse(string_split(p_name, ' ')), ' ') END AS dirty_name
 FROM part
