@@ -130,7 +130,7 @@ def ts_features(df: DataFrame, key, ts: str, y: str, cfg: dict | None = None) ->
     if cfg.get("calendar"):
         exprs.update(
             {
-                "day_of_week": F.dayofweek(ts) - 1,
+                "day_of_week": F.weekday(ts),  # Monday = 0, as pandas' dayofweek
                 "month": F.month(ts),
                 "quarter": F.quarter(ts),
                 "week_of_year": F.weekofyear(ts),

@@ -68,7 +68,7 @@ def _sql_ts_features(cfg=DEFAULT_TS_CONFIG) -> str:
     fr = f"({w} ROWS BETWEEN UNBOUNDED PRECEDING AND {cfg['expanding_lag']} PRECEDING)"
     cols.append(f"CAST(SUM(y) OVER {fr} AS DOUBLE) / COUNT(y) OVER {fr} AS y_expanding_mean")
     cols += [
-        "CAST(dayofweek(ds) AS INTEGER) AS day_of_week",
+        "CAST(isodow(ds) - 1 AS INTEGER) AS day_of_week",
         "CAST(month(ds) AS INTEGER) AS month",
         "CAST(quarter(ds) AS INTEGER) AS quarter",
         "CAST(weekofyear(ds) AS INTEGER) AS week_of_year",
