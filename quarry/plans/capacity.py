@@ -104,7 +104,7 @@ WITH d AS ({SQL_DAILY}),
 m AS (SELECT series, ds, y, MAX(ds) OVER (PARTITION BY series) AS mx FROM d),
 f AS (SELECT m.*, k.fold, CAST(m.mx - CAST(k.fold * {H} AS INTEGER) AS DATE) AS cutoff FROM m, range(1, {N_WINDOWS + 1}) k(fold)),
 r AS (SELECT *, CASE WHEN ds <= cutoff THEN 'train' WHEN ds <= cutoff + {H} THEN 'valid' END AS role FROM f)
-SELECT series, fold, role, cutoff, COUNT(*) AS n_rows, MIN(ds) AS first_ds, MAX(ds) AS last_ds, SUM(y) AS y_total
+SELECT series, fold, role, cutoff, COUNT(*) AS n_rows, MIN(ds) AS first_ds, MAX(ds) AS last_ds, CAST(SUM(y) AS BIGINT) AS y_total
 FROM r WHERE role IS NOT NULL GROUP BY series, fold, role, cutoff
 """
 

@@ -28,13 +28,29 @@ def _norm(v):
     return v if v is None or isinstance(v, (int, bool)) else str(v)
 
 
+# Spark type -> DuckDB type name, for the schema part of the comparison
+TYPE_NAMES = {
+    "IntegerType()": "INTEGER",
+    "LongType()": "BIGINT",
+    "DoubleType()": "DOUBLE",
+    "StringType()": "VARCHAR",
+    "DateType()": "DATE",
+    "BooleanType()": "BOOLEAN",
+    "FloatType()": "FLOAT",
+}
+
+
 def rows_equal(sdf, con, sql):
     scols = sdf.columns
+    stypes = {f.name: TYPE_NAMES.get(repr(f.dataType), repr(f.dataType)) for f in sdf.schema.fields}
     srows = sdf.collect()
+    rel = con.sql(sql)
+    dtypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     cur = con.execute(sql)
     dcols = [d[0] for d in cur.description]
     drows = cur.fetchall()
     assert sorted(scols) == sorted(dcols), (scols, dcols)
+    assert stypes == dtypes, {c: (stypes[c], dtypes.get(c)) for c in stypes if stypes[c] != dtypes.get(c)}
     order = sorted(scols)
     si = [scols.index(c) for c in order]
     di = [dcols.index(c) for c in order]
