@@ -238,3 +238,57 @@ def failure_daily_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[round_half_up(c, 9).alias(c) for c in ("precision", "recall", "f1")],
         F.col("n").cast("bigint").alias("n"),
     )
+
+
+# ---------------------------------------------------------------------------
+# F2 + F6/F7 + J7: a training dataset from two materialised feature views -
+# the customer's order history (timestamped, as-of, year-bucketed) and the
+# customer profile (static) - for every sold line at its ship date.
+# ---------------------------------------------------------------------------
+DATASET_SQL = """
+WITH sp AS (
+    SELECT l.l_orderkey, l.l_linenumber, o.o_custkey AS customer_key, CAST(l.l_shipdate AS DATE) AS ship_date
+    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+), h AS (
+    SELECT o_custkey AS customer_key, CAST(o_orderdate AS DATE) AS order_date,
+           o_totalprice AS last_order_total, o_orderpriority AS last_order_priority
+    FROM orders
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY o_custkey, CAST(o_orderdate AS DATE)
+                               ORDER BY o_totalprice DESC, o_orderpriority DESC) = 1
+)
+SELECT sp.l_orderkey, sp.l_linenumber, sp.customer_key, sp.ship_date,
+       h.last_order_total, h.last_order_priority,
+       c.c_mktsegment AS segment, c.c_nationkey AS nation_key, c.c_acctbal AS acctbal
+FROM sp ASOF LEFT JOIN h ON sp.customer_key = h.customer_key AND sp.ship_date >= h.order_date
+LEFT JOIN customer c ON c.c_custkey = sp.customer_key
+"""
+
+
+@query("customer_feature_dataset", DATASET_SQL)
+def customer_feature_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.operators.features import feature_view, generate_dataset
+    from quarry.session import scratch_path
+
+    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    orders = load(spark, sf_dir, "orders")
+    spine = li.join(orders.select("o_orderkey", "o_custkey"), li.l_orderkey == F.col("o_orderkey")).select(
+        "l_orderkey", "l_linenumber", F.col("o_custkey").alias("customer_key"), F.to_date("l_shipdate").alias("ship_date")
+    )
+    history = orders.select(
+        F.col("o_custkey").alias("customer_key"),
+        F.to_date("o_orderdate").alias("order_date"),
+        F.col("o_totalprice").alias("last_order_total"),
+        F.col("o_orderpriority").alias("last_order_priority"),
+    )
+    profile = load(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("customer_key"),
+        F.col("c_mktsegment").alias("segment"),
+        F.col("c_nationkey").alias("nation_key"),
+        F.col("c_acctbal").alias("acctbal"),
+    )
+    root = scratch_path(spark, "feature-store")
+    views = [
+        feature_view(history, "customer_orders", "customer_key", "order_date", time_bucket="year").materialize(root),
+        feature_view(profile, "customer_profile", "customer_key").materialize(root),
+    ]
+    return generate_dataset(spine, views, "ship_date")
