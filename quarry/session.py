@@ -53,17 +53,17 @@ def get_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    The cluster names it in ``spark.checkpoint.dir``; we only set our own
-    when it is unset (local tests), and then under a fresh temp folder.
+    The cluster names it in ``spark.checkpoint.dir`` (Spark then sets the
+    context's checkpoint folder itself); we only set our own when none is
+    configured (local tests), and then under a fresh temp folder.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="quarry-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
+    sc = spark.sparkContext
+    cur = sc.getCheckpointDir()
+    if cur:
+        return cur
+    d = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quarry-ckpt-")
+    sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
