@@ -294,3 +294,21 @@ def explode_segments(df: DataFrame, arr: str, fields: list[str] | None = None, k
     gen = F.inline_outer(F.col(arr)) if keep_empty else F.inline(F.col(arr))
     out = df.select(*others, gen)
     return out.select(*others, *fields) if fields else out
+
+
+def extractive_answer(prompt: str) -> str:
+    """A deterministic stand-in model for ``map_model``: from a
+    'Context: ... Question: ...' prompt, the context sentence sharing the
+    most words with the question (first one on ties; '' without context)."""
+    import re
+
+    ctx, _, question = prompt.rpartition("\n\nQuestion: ")
+    ctx = ctx.removeprefix("Context:\n")
+    words = lambda s: set(re.findall(r"\w+", s.lower()))
+    q = words(question)
+    best, best_n = "", -1
+    for sent in re.split(r"(?<=[.!?])\s+|\n+", ctx):
+        n = len(words(sent) & q)
+        if sent.strip() and n > best_n:
+            best, best_n = sent.strip(), n
+    return best

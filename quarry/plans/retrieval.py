@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.match import containment_search, exact_duplicates, near_duplicate_clusters, rag_prompts
+from quarry.operators.text import extractive_answer, map_model
 from quarry.plans.registry import query
 from quarry.plans.text import SQL_TOKENS
 from quarry.sources.tables import load, spread
@@ -74,3 +75,15 @@ def near_duplicate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     duplicate group lies inside one cluster."""
     docs = spread(load(spark, sf_dir, "documents").select("doc_id", "text"))
     return near_duplicate_clusters(docs, "doc_id", "text")
+
+
+@query("rag_answers")
+def rag_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E14 + T1: retrieve, build the prompt, run the model over the distinct
+    prompts (``map_model``: Arrow batches, errors captured per row)."""
+    docs = spread(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    bench = load(spark, sf_dir, "benchmark").select("item_id", "text")
+    top = containment_search(bench, "item_id", "text", docs, "doc_id", "text", n=SHINGLE, k=1)
+    p = rag_prompts(top, bench, "item_id", "text", docs, "doc_id", "text", TEMPLATE)
+    out = map_model(p.select("item_id", "doc_id", "prompt"), "prompt", "answer", extractive_answer)
+    return out.select("item_id", "doc_id", "answer", "answer_error", F.length("prompt").alias("prompt_chars"))

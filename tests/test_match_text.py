@@ -159,3 +159,11 @@ def test_prefix_filtered_search_is_exact(spark):
         pruned = batch_search(q, "q", "q", m, "name", "name", k=100, min_score=cut)
         key = lambda r: (r.q, r.name, r.cosine_similarity, r.text_match)
         assert sorted(map(key, full.collect())) == sorted(map(key, pruned.collect())), cut
+
+
+def test_extractive_answer():
+    from quarry.operators.text import extractive_answer
+
+    p = "Context:\nThe sky is blue. Grass is green and lush.\nCats sleep.\n\nQuestion: what colour is grass?"
+    assert extractive_answer(p) == "Grass is green and lush."
+    assert extractive_answer("Context:\n\n\nQuestion: x") == ""
