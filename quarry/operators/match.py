@@ -416,10 +416,11 @@ def connected_labels(edges: DataFrame, max_iter: int = 30) -> DataFrame:
     propagation: ``(id, label)`` with label = smallest id of the component.
 
     Each round is two grouped minimums (hot buckets are handled by the
-    map-side partial aggregate).  The round's labels are written as a table
+    map-side partial aggregate) plus one pointer-jumping join.  The round's labels are written as a table
     under the shared checkpoint folder and read back, which cuts the lineage
     to one round (a lost executor costs at most one round) in a single job.
-    Stops when no label changes.
+    Stops when no label changes; raises if ``max_iter`` rounds do not
+    converge (never returns partial components).
     """
     from quarry.session import scratch_path
     from quarry.sources.sinks import materialize
@@ -430,12 +431,18 @@ def connected_labels(edges: DataFrame, max_iter: int = 30) -> DataFrame:
     for _ in range(max_iter):
         bl = edges.join(labels, "id").groupBy("bk").agg(F.min("label").alias("bl"))
         nl = edges.join(bl, "bk").groupBy("id").agg(F.min("bl").alias("label"))
+        # pointer jumping: an id also takes its label's label (same component,
+        # never larger), which shortens label chains geometrically
+        hop = nl.select(F.col("id").alias("__l"), F.col("label").alias("__ll"))
+        nl = nl.join(hop, nl["label"] == hop["__l"], "left").select(
+            "id", F.least(F.col("label"), F.coalesce(F.col("__ll"), F.col("label"))).alias("label")
+        )
         nl = materialize(nl, scratch_path(spark, "cc-labels"))
         changed = nl.alias("n").join(labels.alias("o"), "id").filter(F.col("n.label") != F.col("o.label")).count()
         labels = nl
         if changed == 0:
-            break
-    return labels
+            return labels
+    raise RuntimeError(f"connected_labels: no convergence in {max_iter} rounds")
 
 
 def near_duplicate_clusters(

@@ -167,3 +167,12 @@ def test_extractive_answer():
     p = "Context:\nThe sky is blue. Grass is green and lush.\nCats sleep.\n\nQuestion: what colour is grass?"
     assert extractive_answer(p) == "Grass is green and lush."
     assert extractive_answer("Context:\n\n\nQuestion: x") == ""
+
+
+def test_connected_labels_long_chain_converges(spark):
+    from quarry.operators.match import connected_labels
+
+    # node i and i+1 share bucket i: one component of 200 nodes
+    edges = spark.createDataFrame([(i, b) for b in range(199) for i in (b, b + 1)], "id long, bk long")
+    labels = {r.id: r.label for r in connected_labels(edges, max_iter=30).collect()}
+    assert len(labels) == 200 and set(labels.values()) == {0}
