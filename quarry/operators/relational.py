@@ -157,12 +157,23 @@ def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     return wide.selectExpr(f"stack({len(pairs)}, {stack}) as (col_a, col_b, r)")
 
 
-def box_summary(df: DataFrame, by, col: str) -> DataFrame:
-    """Exact five-number summary + mean per category.
+def box_summary(df: DataFrame, by, col: str, exact: bool = True, accuracy: int = 10000) -> DataFrame:
+    """Five-number summary + mean per category.
 
-    Quartiles come from ``hist_quantiles`` (exact, skew-safe); the mean is
-    sum / count.
+    ``exact``: quartiles from ``hist_quantiles`` (exact, skew-safe, sized by
+    the distinct values); otherwise ``percentile_approx`` sketches (bounded
+    memory per group whatever the cardinality, rank error 1/accuracy).
+    The mean is sum / count.
     """
+    if not exact:
+        keys = _cols(by)
+        qs = F.percentile_approx(col, [0.0, 0.25, 0.5, 0.75, 1.0], accuracy)
+        out = df.groupBy(*keys).agg(qs.alias("__q"), (F.sum(col) / F.count(col)).alias("mean"), F.count(col).alias("n"))
+        return out.select(
+            *keys, "n",
+            *[F.col("__q")[i].alias(nm) for i, nm in enumerate(["min", "q1", "median", "q3", "max"])],
+            "mean",
+        )
     q = hist_quantiles(df, col, by, {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0})
     m = df.groupBy(*_cols(by)).agg((F.sum(col) / F.count(col)).alias("mean"))
     return q.join(m, _cols(by))

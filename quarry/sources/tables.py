@@ -96,7 +96,9 @@ def spread(df: DataFrame, slots: int | None = None) -> DataFrame:
     as one row group would otherwise run on a single core.  Planning only
     (no job) to count the splits.
     """
-    slots = slots or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    try:
+        slots = slots or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): leave the plan as is
         return df
-    return df.repartition(slots)
+    return df if splits >= slots else df.repartition(slots)

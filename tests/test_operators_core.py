@@ -190,3 +190,22 @@ def test_merge_update_rejects_duplicate_updates(spark):
     upd = spark.createDataFrame([(1, 5.0), (1, 6.0)], "k int, y double")
     with pytest.raises(Exception):
         merge_update(target, upd, ["k"], ["y"]).collect()
+
+
+def test_conditional_aggregates_and_box(spark):
+    from quarry.functions.scalar import count_distinct_if, growth_pct, sum_if
+    from quarry.operators.relational import box_summary
+
+    df = spark.createDataFrame([("a", 1, True), ("a", 1, True), ("a", 2, False), ("b", 3, True)], "k string, d int, h boolean")
+    r = {
+        x.k: (x.s, x.c)
+        for x in df.groupBy("k").agg(sum_if("d", F.col("h")).alias("s"), count_distinct_if("d", F.col("h")).alias("c")).collect()
+    }
+    assert r == {"a": (2, 1), "b": (3, 1)}
+    g = spark.range(1).select(growth_pct(F.lit(30.0), F.lit(3), F.lit(20.0), F.lit(4)).alias("g"), growth_pct(F.lit(1.0), F.lit(0), F.lit(1.0), F.lit(1)).alias("z")).first()
+    assert g.g == 100.0 and g.z is None  # (10 - 5) / 5; a zero day count gives NULL, not an error
+    vals = spark.createDataFrame([("x", float(v)) for v in [1, 2, 3, 4, 100]], "k string, v double")
+    ex = box_summary(vals, "k", "v").first()
+    ap = box_summary(vals, "k", "v", exact=False).first()
+    assert (ex.min, ex.q1, ex.median, ex.q3, ex.max, ex.mean) == (1.0, 2.0, 3.0, 4.0, 100.0, 22.0)
+    assert (ap.min, ap.median, ap.max, ap.n) == (1.0, 3.0, 100.0, 5)
