@@ -38,19 +38,30 @@ def weighted_prf(df: DataFrame, y: str, yhat: str, by=None) -> DataFrame:
     """M4 (and M21 with ``by`` = a day column): support-weighted precision,
     recall and F1, a class's score being 0 where undefined.
 
-    Confusion counts come from one ``groupBy(by, y, yhat)`` (map-side
-    partial); the per-class arithmetic runs on a table of
-    groups x classes^2 rows.
+    One pass: every row emits two class events - its actual class (support,
+    and a true positive when the prediction agrees) and its predicted class -
+    and one grouped sum (map-side partial) gives support, predicted and tp
+    per (group, class).  The per-class arithmetic then runs on
+    groups x classes rows.
     """
     keys = _cols(by) if by else []
-    conf = df.groupBy(*keys, F.col(y).alias("y"), F.col(yhat).alias("p")).agg(F.count(F.lit(1)).alias("n"))
-    tp = conf.filter(F.col("y") == F.col("p")).select(*keys, F.col("y").alias("c"), F.col("n").alias("tp"))
-    support = conf.groupBy(*keys, F.col("y").alias("c")).agg(F.sum("n").alias("support"))
-    predicted = conf.groupBy(*keys, F.col("p").alias("c")).agg(F.sum("n").alias("predicted"))
-    per = (
-        support.join(predicted, [*keys, "c"], "full")
-        .join(tp, [*keys, "c"], "left")
-        .fillna(0, subset=["tp", "support", "predicted"])
+    ct = df.schema[y].dataType
+    ev = df.select(
+        *keys,
+        F.explode(
+            F.array(
+                F.struct(
+                    F.col(y).cast(ct).alias("c"),
+                    F.lit(1).alias("s"),
+                    F.lit(0).alias("pr"),
+                    (F.col(y) == F.col(yhat)).cast("int").alias("tp"),
+                ),
+                F.struct(F.col(yhat).cast(ct).alias("c"), F.lit(0).alias("s"), F.lit(1).alias("pr"), F.lit(0).alias("tp")),
+            )
+        ).alias("e"),
+    )
+    per = ev.groupBy(*keys, F.col("e.c").alias("c")).agg(
+        F.sum("e.s").alias("support"), F.sum("e.pr").alias("predicted"), F.sum("e.tp").alias("tp")
     )
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(F.lit(0.0))
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
