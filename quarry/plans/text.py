@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from quarry.functions.scalar import round_half_up
 from quarry.operators.text import (
+    classify,
     detect_language,
+    label_words,
     extract_all,
     parse_pages,
     sentiment,
@@ -220,3 +222,45 @@ def bq6_monthly_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("k").alias("total_sum"),
         round_half_up(F.sum("k").cast("double") / F.count("k"), 4).alias("average_ticket_value"),
     )
+
+
+# ---------------------------------------------------------------------------
+# T4: classify documents into a fixed label list (their license), best
+# label first.  A label needs more than half of its words in the text
+# ("mit" alone is German for "with", "by" alone is everyday English), else
+# the license is NULL.
+# ---------------------------------------------------------------------------
+# The license labels and the evidence threshold.
+LICENSES = ["Apache License", "MIT License", "GNU General Public License", "CC BY-NC"]
+MIN_SHARE = 0.5
+
+
+def _sql_classify() -> str:
+    n = len(LICENSES)
+    shares = [
+        f"CAST(len(list_filter({_sql_list(label_words(lab))}, lambda w: list_contains(tok, w))) AS DOUBLE) / {len(label_words(lab))} AS s{i}"
+        for i, lab in enumerate(LICENSES)
+    ]
+    best = " ".join(
+        f"WHEN " + " AND ".join(f"s{i} {'>=' if j > i else '>'} s{j}" for j in range(n) if j != i) + f" THEN {i}"
+        for i in range(n)
+    )
+    labels = "[" + ", ".join(f"'{lab}'" for lab in LICENSES) + "]"
+    return (
+        f"SELECT doc_id, CASE WHEN best_s > {MIN_SHARE} THEN {labels}[best + 1] END AS license, "
+        f"CAST(ROUND(CAST(best_s AS DECIMAL(38,12)), 6) AS DOUBLE) AS license_score FROM ("
+        f"SELECT doc_id, b AS best, [{', '.join(f's{i}' for i in range(n))}][b + 1] AS best_s FROM ("
+        f"SELECT *, CASE {best} END AS b FROM ("
+        f"SELECT doc_id, {', '.join(shares)} FROM (SELECT doc_id, {SQL_TOKENS} AS tok FROM documents))))"
+    )
+
+
+@query("doc_license_class", _sql_classify())
+def doc_license_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spread(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    c = classify(docs, "text", LICENSES, out="labels")
+    return c.select(
+        "doc_id",
+        F.when(F.col("labels_score") > MIN_SHARE, F.col("labels")[0]).alias("license"),
+        round_half_up("labels_score", 6).alias("license_score"),
+    )

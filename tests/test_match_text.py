@@ -86,7 +86,10 @@ def test_sentiment_language_classify(spark):
     lang = {r.id: r.detected_lang for r in detect_language(df, "t", STOPWORDS).collect()}
     assert lang[4] == "fr" and lang[3] == ""
     c = classify(df.filter("id = 1"), "t", ["SOMATOM Force", "great thanks"], out="labels").first()
-    assert c.labels[0] == "great thanks"
+    assert c.labels[0] == "great thanks" and c.labels_score == 1.0
+    lic = spark.createDataFrame([("Released under the MIT License. submit",)], "t string")
+    r = classify(lic, "t", ["Apache License", "MIT License"], out="l").first()
+    assert r.l == ["MIT License", "Apache License"] and r.l_score == 1.0
 
 
 def test_parse_pages(spark):
