@@ -67,9 +67,14 @@ def build_index(corpus: DataFrame, id_col: str, text: str, n: int = 3) -> tuple[
         "gram", (F.log((n_docs + 1).cast("double") / (F.col("df") + 1)) + 1).alias("idf")
     )
     w = tf.join(idf, "gram").select("id", "gram", (F.col("tf") * F.col("idf")).alias("w"))
-    norm = w.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("nrm"))
-    index = w.join(norm, "id").select("id", "gram", (F.col("w") / F.col("nrm")).alias("w"))
-    return index, idf, n_docs
+    return _unit(w), idf, n_docs
+
+
+def _unit(w: DataFrame) -> DataFrame:
+    """L2-normalise ``w`` per id with one window (one exchange by id, no
+    aggregate-and-join-back)."""
+    nrm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("id")))
+    return w.select("id", "gram", (F.col("w") / nrm).alias("w"))
 
 
 def query_vectors(queries: DataFrame, id_col: str, text: str, idf: DataFrame, n_docs: Column, n: int = 3) -> DataFrame:
@@ -79,8 +84,7 @@ def query_vectors(queries: DataFrame, id_col: str, text: str, idf: DataFrame, n_
     w = tf.join(idf, "gram", "left").select(
         "id", "gram", (F.col("tf") * F.coalesce(F.col("idf"), unseen)).alias("w")
     )
-    norm = w.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("nrm"))
-    return w.join(norm, "id").select("id", "gram", (F.col("w") / F.col("nrm")).alias("w"))
+    return _unit(w)
 
 
 def batch_search(
