@@ -99,12 +99,16 @@ def batch_search(
     digits: int = 6,
     filters: Column | None = None,
     min_score: float | None = None,
+    levels: tuple[float, ...] | None = None,
 ) -> DataFrame:
     """E4/J9/UD3: top-k corpus rows per query with cosine + text-match scores.
 
     With ``min_score`` only results scoring at least that are returned, and
     the candidate join uses each query's rare-gram prefix only (exact, see
     ``_candidates_above``), which keeps common grams from fanning out.
+    With ``levels`` (descending score cuts) the exact top-k is found by a
+    cascade (``_cascade_candidates``): only queries without k results above
+    every cut reach the full gram join.
 
     Output ``(q_id, rank, c_id, cosine_similarity, text_match)``.  Scores are
     rounded to ``digits`` before ranking so ties break on the corpus id, the
@@ -113,12 +117,13 @@ def batch_search(
     """
     index, idf, n_docs = build_index(corpus, c_id, c_text, n)
     qv = query_vectors(queries, q_id, q_text, idf, n_docs, n)
-    if min_score is None:
-        cand = qv.alias("q").join(index.alias("c"), "gram").groupBy(
-            F.col("q.id").alias("qid"), F.col("c.id").alias("cid")
-        ).agg(F.sum(F.col("q.w") * F.col("c.w")).alias("cos"))
+    eps = 10.0 ** (-digits)
+    if min_score is not None:
+        cand = _candidates_above(qv, index, min_score - eps)
+    elif levels:
+        cand = _cascade_candidates(qv, index, k, levels, digits)
     else:
-        cand = _candidates_above(qv, index, min_score - 10.0 ** (-digits))
+        cand = _full_candidates(qv, index)
     if filters is not None:
         qa = queries.select(F.col(q_id).alias("qid"), *[F.col(c).alias(f"q_{c}") for c in queries.columns if c != q_id])
         ca = corpus.select(F.col(c_id).alias("cid"), *[F.col(c).alias(f"c_{c}") for c in corpus.columns if c != c_id])
@@ -139,6 +144,46 @@ def batch_search(
     )
 
 
+def _full_candidates(qv: DataFrame, index: DataFrame) -> DataFrame:
+    return qv.alias("q").join(index.alias("c"), "gram").groupBy(
+        F.col("q.id").alias("qid"), F.col("c.id").alias("cid")
+    ).agg(F.sum(F.col("q.w") * F.col("c.w")).alias("cos"))
+
+
+def _cascade_candidates(qv: DataFrame, index: DataFrame, k: int, levels, digits: int) -> DataFrame:
+    """Exact top-k candidates by descending score cuts.
+
+    At cut t, candidates come from rare-gram prefixes (``_candidates_above``)
+    and every pair scoring >= t is found; a query with at least k of them
+    has its whole top-k among them (its k-th best is >= t), so it is done.
+    Only the remaining queries go on to the next cut, and finally to the
+    full gram join - the only step where a common gram fans out, and only
+    for queries without k reasonable matches.  The index and the query
+    vectors are written once under the checkpoint folder and shared by the
+    levels.
+    """
+    from quarry.session import scratch_path
+    from quarry.sources.sinks import materialize
+
+    spark = qv.sparkSession
+    eps = 10.0 ** (-digits)
+    index = materialize(index, scratch_path(spark, "search-index"))
+    remaining = materialize(qv, scratch_path(spark, "search-queries"))
+    parts = []
+    for t in sorted(levels, reverse=True):
+        cand = _candidates_above(remaining, index, t - eps)
+        rounded = F.round(F.col("cos").cast("decimal(38,12)"), digits).cast("double")
+        cand = materialize(cand.filter(rounded >= t), scratch_path(spark, "search-level"))
+        done = cand.groupBy("qid").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= k).select("qid")
+        parts.append(cand.join(done, "qid", "left_semi"))
+        remaining = remaining.join(done.withColumnRenamed("qid", "id"), "id", "left_anti")
+    parts.append(_full_candidates(remaining, index))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def _candidates_above(qv: DataFrame, index: DataFrame, t: float) -> DataFrame:
     """Exact candidate pairs with cosine >= t, without joining common grams.
 

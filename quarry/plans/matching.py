@@ -37,9 +37,15 @@ def masters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "part").select(F.col("p_name").alias("master_name")).distinct()
 
 
-def name_search(spark: SparkSession, sf_dir: str, k: int = K) -> DataFrame:
+# Score cuts of the exact top-k cascade used for best matches.
+CASCADE = (0.6, 0.3)
+
+
+def name_search(spark: SparkSession, sf_dir: str, k: int = K, levels=None) -> DataFrame:
     q = dirty_parts(spark, sf_dir).select("dirty_name").distinct()
-    return batch_search(q, "dirty_name", "dirty_name", masters(spark, sf_dir), "master_name", "master_name", k)
+    return batch_search(
+        q, "dirty_name", "dirty_name", masters(spark, sf_dir), "master_name", "master_name", k, levels=levels
+    )
 
 
 SQL_DIRTY = """
@@ -112,7 +118,9 @@ def bq10_best_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     """BQ10 (E1, E4, E7, E10): best golden name per part record; records
     below the minimum score (or with no shared gram) are `matched = false`,
     i.e. the unmatched list is ``filter(~matched)``."""
-    best = name_search(spark, sf_dir, k=1).drop("rank")
+    # exact top-1 by the score cascade: names with a match >= 0.6 (then 0.3)
+    # never join their common grams; only the rest use the full gram join
+    best = name_search(spark, sf_dir, k=1, levels=CASCADE).drop("rank")
     parts = dirty_parts(spark, sf_dir).select("p_partkey", "dirty_name")
     return parts.join(best, "dirty_name", "left").select(
         "p_partkey",

@@ -179,3 +179,13 @@ def test_connected_labels_long_chain_converges(spark):
     edges = spark.createDataFrame([(i, b) for b in range(199) for i in (b, b + 1)], "id long, bk long")
     labels = {r.id: r.label for r in connected_labels(edges, max_iter=30).collect()}
     assert len(labels) == 200 and set(labels.values()) == {0}
+
+
+def test_cascade_top_k_is_exact(spark):
+    m = spark.createDataFrame([(x,) for x in MASTERS], "name string")
+    q = spark.createDataFrame([(d,) for d, _ in DIRTY], "q string")
+    key = lambda r: (r.q, r.rank, r.name, r.cosine_similarity, r.text_match)
+    for k in (1, 3):
+        full = batch_search(q, "q", "q", m, "name", "name", k=k)
+        casc = batch_search(q, "q", "q", m, "name", "name", k=k, levels=(0.6, 0.3))
+        assert sorted(map(key, full.collect())) == sorted(map(key, casc.collect())), k
