@@ -209,3 +209,19 @@ def test_conditional_aggregates_and_box(spark):
     ap = box_summary(vals, "k", "v", exact=False).first()
     assert (ex.min, ex.q1, ex.median, ex.q3, ex.max, ex.mean) == (1.0, 2.0, 3.0, 4.0, 100.0, 22.0)
     assert (ap.min, ap.median, ap.max, ap.n) == (1.0, 3.0, 100.0, 5)
+
+
+def test_asof_hot_key_bucketed_equals_plain(spark):
+    # key 0 holds a third of all spine and feature rows, spread over 3 years
+    import random
+
+    rnd = random.Random(3)
+    spine = [(0 if i % 3 == 0 else rnd.randrange(1, 50), D(2020, 1, 1) + dt.timedelta(days=rnd.randrange(1100))) for i in range(900)]
+    feats = [(0 if i % 3 == 0 else rnd.randrange(1, 50), D(2020, 1, 1) + dt.timedelta(days=rnd.randrange(1100)), float(i)) for i in range(600)]
+    s = spark.createDataFrame(spine, "k int, t date")
+    f = spark.createDataFrame(feats, "k int, ft date, v double")
+    plain = asof_join(s, f, "k", "t", "ft", keep_feature_ts="m").collect()
+    for bucket in ("month", "year"):
+        b = asof_join(s, f, "k", "t", "ft", time_bucket=bucket, keep_feature_ts="m").collect()
+        assert sorted(map(tuple, plain), key=repr) == sorted(map(tuple, b), key=repr), bucket
+    assert len(plain) == 900
