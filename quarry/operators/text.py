@@ -261,7 +261,7 @@ def map_model(
 ) -> DataFrame:
     """T1/E13/UD4: run a model over a prompt column.
 
-    Distinct prompts are scored once (``distinct`` then join back), in Arrow
+    Distinct prompts (keyed by md5) are scored once, then joined back, in Arrow
     batches through ``mapInPandas``; a failure is captured in
     ``<out_col>_error`` instead of failing the job.  Throttling errors are
     retried with exponential back-off up to ``retries`` tries; other errors
@@ -279,16 +279,20 @@ def map_model(
                 time.sleep(base_delay * (2**attempt))
         return None, "retries exhausted"
 
-    def run(batches):
+    # distinct prompts by their md5: long prompts (whole documents) are not
+    # used as shuffle or join keys; the text travels once, as a value
+    keyed = df.withColumn("__pk", F.md5(F.col(prompt_col)))
+    prompts = keyed.select("__pk", prompt_col).dropDuplicates(["__pk"])
+
+    def run_with_key(batches):
         for pdf in batches:
             res = [call(p) for p in pdf[prompt_col]]
             yield pd.DataFrame(
-                {prompt_col: pdf[prompt_col], out_col: [r[0] for r in res], f"{out_col}_error": [r[1] for r in res]}
+                {"__pk": pdf["__pk"], out_col: [r[0] for r in res], f"{out_col}_error": [r[1] for r in res]}
             )
 
-    prompts = df.select(prompt_col).distinct()
-    scored = prompts.mapInPandas(run, schema=f"{prompt_col} string, {out_col} string, {out_col}_error string")
-    return df.join(scored, on=prompt_col, how="left")
+    scored = prompts.mapInPandas(run_with_key, schema=f"__pk string, {out_col} string, {out_col}_error string")
+    return keyed.join(scored, on="__pk", how="left").drop("__pk")
 
 
 def explode_segments(df: DataFrame, arr: str, fields: list[str] | None = None, keep_empty: bool = True) -> DataFrame:

@@ -189,3 +189,24 @@ def test_cascade_top_k_is_exact(spark):
         full = batch_search(q, "q", "q", m, "name", "name", k=k)
         casc = batch_search(q, "q", "q", m, "name", "name", k=k, levels=(0.6, 0.3))
         assert sorted(map(key, full.collect())) == sorted(map(key, casc.collect())), k
+
+
+def test_map_model_retries_throttling_only(spark):
+    from quarry.operators.text import map_model
+
+    def flaky(p):
+        # throttled on the first two calls of each prompt (per worker process)
+        n = flaky.calls.get(p, 0)
+        flaky.calls[p] = n + 1
+        if p.startswith("busy") and n < 2:
+            raise RuntimeError("429 throttled")
+        if p == "bad":
+            raise ValueError("not a throttle")
+        return p[::-1]
+
+    flaky.calls = {}
+    df = spark.createDataFrame([("busy-a",), ("ok",), ("bad",)], "p string")
+    got = {r.p: (r.out, r.out_error) for r in map_model(df.coalesce(1), "p", "out", flaky, retries=5, base_delay=0.001).collect()}
+    assert got["busy-a"] == ("a-ysub", None)  # retried with back-off, then answered
+    assert got["ok"] == ("ko", None)
+    assert got["bad"][0] is None and "ValueError" in got["bad"][1]  # not retried
