@@ -25,7 +25,7 @@ from quarry.plans.capacity import EXOG, H, daily_series
 from quarry.plans.maintenance import LAG_COLS, bq9_training_dataset
 from quarry.plans.registry import query
 from quarry.session import scratch_path
-from quarry.sources.sinks import materialize
+from quarry.sources.sinks import materialize, snapshot
 from quarry.sources.tables import load
 
 LABEL = "failure_in_1_day"
@@ -50,10 +50,11 @@ def failure_model_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     Returns the run log ``(run, kind, key, value)`` plus feature importances
     and the v2-over-v1 F1 improvement as rows.
     """
-    # Written once to the shared checkpoint folder: the model fits scan their
-    # input many times, and a written table also cuts the lineage.
+    # F7 + S14: the training dataset is an immutable versioned snapshot (with
+    # a manifest of rows, columns and sources) under the shared folder; the
+    # model fits scan it many times, and the written table cuts the lineage.
     ds = bq9_training_dataset(spark, sf_dir).withColumn("date", F.col("date").cast("string"))
-    ds = materialize(ds, scratch_path(spark, "failure-dataset"))
+    ds = snapshot(ds, scratch_path(spark, "datasets"), "failure_dataset", "v1", sources=["events"])
     parts = split_by_date(ds, "date", RANGES)
     runs = []
     models = {}
