@@ -28,12 +28,32 @@ def _assembler(features: list[str], impute: bool):
     return stages
 
 
-def train_gbt(df: DataFrame, features: list[str], label: str, max_iter: int = 10, seed: int = 42, impute: bool = False) -> PipelineModel:
+def train_gbt(
+    df: DataFrame,
+    features: list[str],
+    label: str,
+    max_iter: int = 10,
+    seed: int = 42,
+    impute: bool = False,
+    validation: DataFrame | None = None,
+) -> PipelineModel:
     """M2: boosted trees, binary label.  Rows with a NULL feature are
-    skipped unless ``impute`` (mean imputation fitted on the training set)."""
+    skipped unless ``impute`` (mean imputation fitted on the training set).
+
+    ``validation``: an evaluation set for early stopping - boosting stops
+    when the validation error no longer improves (``validationIndicatorCol``).
+    The imputer and assembler are fitted on the training rows only.
+    """
     gbt = GBTClassifier(featuresCol="features", labelCol=label, maxIter=max_iter, seed=seed,
                         predictionCol=f"{label}_prediction")
-    return Pipeline(stages=[*_assembler(features, impute), gbt]).fit(df)
+    if validation is None:
+        return Pipeline(stages=[*_assembler(features, impute), gbt]).fit(df)
+    prep = Pipeline(stages=_assembler(features, impute)).fit(df)
+    both = prep.transform(df.withColumn("__val", F.lit(False))).unionByName(
+        prep.transform(validation.withColumn("__val", F.lit(True)))
+    )
+    model = gbt.setValidationIndicatorCol("__val").fit(both)
+    return PipelineModel(stages=[*prep.stages, model])
 
 
 def train_logreg(df: DataFrame, features: list[str], label: str, impute: bool = False, max_iter: int = 50) -> PipelineModel:

@@ -59,11 +59,12 @@ def failure_model_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = []
     models = {}
     for name, train in (("gbt_v1", parts["train_v1"]), ("gbt_v2", parts["train_v2"])):
-        m = train_gbt(train, LAG_COLS, LABEL, max_iter=10, seed=42, impute=True)
+        # 10 rounds at most, stopped early on the evaluation window
+        m = train_gbt(train, LAG_COLS, LABEL, max_iter=10, seed=42, impute=True, validation=parts["test"])
         path = save_model(m, scratch_path(spark, f"model-{name}"))
         models[name] = m
         pred = score(parts["test"], path)
-        runs.append(log_run(spark, name, {"model": "gbt", "max_iter": 10, "impute": "mean", "train_to": RANGES["train_" + name[-2:]][1]}, _metrics(pred, LABEL)))
+        runs.append(log_run(spark, name, {"model": "gbt", "max_iter": 10, "impute": "mean", "early_stopping": "validation", "train_to": RANGES["train_" + name[-2:]][1]}, _metrics(pred, LABEL)))
     lr = train_logreg(parts["train_v2"], LAG_COLS, LABEL, impute=True)
     runs.append(log_run(spark, "logreg_v2", {"model": "logreg", "impute": "mean"}, _metrics(score(parts["test"], lr), LABEL)))
     log = runs[0]
