@@ -178,14 +178,25 @@ def forecast_errors(df: DataFrame, key, y: str, yhat: str) -> tuple[DataFrame, D
     return per, overall
 
 
-def future_stubs(history: DataFrame, key, ts: str, y: str, h: int, feats: list[str]) -> DataFrame:
-    """M15 / BQ11: history plus ``h`` future rows per key.
-
-    Future rows sit on the ``h`` days after the key's last date, carry the
-    last known exogenous features forward and have ``y = NULL``.  The fan-out
-    is ``h`` rows per key (a generator, not a cross join of data).
+def future_stubs(history: DataFrame, key, ts: str, y: str, h: int, feats: list[str], exog: str = "carry_forward") -> DataFrame:
+    """M15 / BQ11: history plus ``h`` rows per key to be predicted.
+
+    ``exog="carry_forward"`` (production scoring): the rows sit on the ``h``
+    days after the key's last date, carry the last known exogenous features
+    forward and have ``y = NULL``; the fan-out is ``h`` rows per key (a
+    generator, not a cross join of data).
+    ``exog="actual"`` (hold-out scoring): the key's last ``h`` rows keep
+    their true exogenous features and get ``y = NULL``; the rows before them
+    are the history.
     """
     keys = _cols(key)
+    if exog == "actual":
+        w = Window.partitionBy(*keys).orderBy(F.col(ts).desc())
+        r = history.select(*keys, ts, y, *feats).withColumn("__rd", F.row_number().over(w))
+        masked = F.when(F.col("__rd") <= h, F.lit(None).cast(history.schema[y].dataType)).otherwise(F.col(y))
+        return r.withColumn(y, masked).drop("__rd")
+    if exog != "carry_forward":
+        raise ValueError(f"future_stubs: exog must be 'carry_forward' or 'actual', not {exog!r}")
     last = history.groupBy(*keys).agg(F.max_by(F.struct(ts, *feats), F.col(ts)).alias("__l"))
     stubs = last.select(
         *keys,

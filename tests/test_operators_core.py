@@ -225,3 +225,10 @@ def test_asof_hot_key_bucketed_equals_plain(spark):
         b = asof_join(s, f, "k", "t", "ft", time_bucket=bucket, keep_feature_ts="m").collect()
         assert sorted(map(tuple, plain), key=repr) == sorted(map(tuple, b), key=repr), bucket
     assert len(plain) == 900
+
+
+def test_future_stubs_actual_exog_masks_the_tail(spark):
+    df = spark.createDataFrame([(1, D(2024, 1, d), d, float(d)) for d in range(1, 6)], "k int, ds date, y int, x double")
+    out = future_stubs(df, "k", "ds", "y", 2, ["x"], exog="actual").orderBy("ds").collect()
+    assert [r.y for r in out] == [1, 2, 3, None, None]
+    assert [r.x for r in out] == [1.0, 2.0, 3.0, 4.0, 5.0]  # true future features kept
