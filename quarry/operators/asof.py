@@ -113,14 +113,66 @@ def asof_join(
     return m.select(*out)
 
 
+def asof_join_many(spine: DataFrame, views: list[dict], keys, spine_ts: str) -> DataFrame:
+    """J6 for several timestamped views on the same keys in ONE shuffle.
+
+    Spine rows and every view's rows go into one union; view i carries its
+    row as struct column ``__f<i>`` (NULL elsewhere), and one window over the
+    key computes ``last(__f<i>, ignorenulls)`` for every i.  Same semantics
+    as folding ``asof_join`` over the views, one exchange instead of one per
+    view.  Each view is ``{"df", "timestamp_col", "cols"?, "prefix"?}``.
+    """
+    keys = _keys(keys)
+    specs = []
+    for i, v in enumerate(views):
+        ts = v["timestamp_col"]
+        cols = v.get("cols") or [c for c in v["df"].columns if c not in keys and c != ts]
+        specs.append((i, v["df"], ts, cols, v.get("prefix", "")))
+    s = spine.select(
+        *[F.col(k) for k in keys],
+        F.col(spine_ts).alias("__ts"),
+        F.lit(1).alias("__side"),
+        F.struct(*[F.col(c) for c in spine.columns]).alias("__s"),
+    )
+    u = s
+    for i, df, ts, cols, _ in specs:
+        f = df.select(
+            *[F.col(k) for k in keys],
+            F.col(ts).alias("__ts"),
+            F.lit(0).alias("__side"),
+            F.struct(F.col(ts).alias("__fts"), *[F.col(c) for c in cols]).alias(f"__f{i}"),
+        )
+        u = u.unionByName(f, allowMissingColumns=True)
+    order = ["__ts", "__side", *[f"__f{i}" for i, *_ in specs]]
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    m = u.select("__side", "__s", *[F.last(f"__f{i}", ignorenulls=True).over(w).alias(f"__m{i}") for i, *_ in specs])
+    m = m.filter(F.col("__side") == 1)
+    out = [F.col(f"__s.{c}").alias(c) for c in spine.columns]
+    for i, _, _, cols, prefix in specs:
+        out += [F.col(f"__m{i}.{c}").alias(prefix + c) for c in cols]
+    return m.select(*out)
+
+
 def retrieve(spine: DataFrame, views: list[dict], spine_ts: str) -> DataFrame:
-    """fold as-of joins over several feature views.
+    """point-in-time features from several views.
 
-    Each view is ``{"df", "keys", "timestamp_col", "cols"?, "prefix"?}``;
-    a view without timestamp is joined statically (J7).
+    Timestamped views sharing the same keys (and no ``time_bucket``) are
+    resolved together by ``asof_join_many`` in one shuffle; the others are
+    folded one by one (``asof_join``; static views are plain left joins).
     """
     out = spine
+    plain = [v for v in views if v.get("timestamp_col") and not v.get("time_bucket")]
+    groups: dict[tuple, list[dict]] = {}
+    for v in plain:
+        groups.setdefault(tuple(_keys(v["keys"])), []).append(v)
+    for keys, vs in groups.items():
+        out = asof_join_many(out, vs, list(keys), spine_ts) if len(vs) > 1 else asof_join(
+            out, vs[0]["df"], list(keys), spine_ts, vs[0]["timestamp_col"], cols=vs[0].get("cols"),
+            prefix=vs[0].get("prefix", ""),
+        )
     for v in views:
+        if v in plain:
+            continue
         out = asof_join(
             out,
             v["df"],

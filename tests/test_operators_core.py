@@ -232,3 +232,25 @@ def test_future_stubs_actual_exog_masks_the_tail(spark):
     out = future_stubs(df, "k", "ds", "y", 2, ["x"], exog="actual").orderBy("ds").collect()
     assert [r.y for r in out] == [1, 2, 3, None, None]
     assert [r.x for r in out] == [1.0, 2.0, 3.0, 4.0, 5.0]  # true future features kept
+
+
+def test_asof_many_views_one_shuffle_equals_fold(spark):
+    import random
+
+    from quarry.operators.asof import asof_join_many
+
+    rnd = random.Random(11)
+    spine = spark.createDataFrame([(rnd.randrange(5), rnd.randrange(60)) for _ in range(80)], "k int, t int")
+    v1 = spark.createDataFrame([(rnd.randrange(5), rnd.randrange(60), rnd.randrange(9)) for _ in range(40)], "k int, t1 int, a int")
+    v2 = spark.createDataFrame([(rnd.randrange(5), rnd.randrange(60), float(rnd.randrange(9))) for _ in range(40)], "k int, t2 int, b double")
+    many = asof_join_many(spine, [{"df": v1, "timestamp_col": "t1"}, {"df": v2, "timestamp_col": "t2"}], "k", "t")
+    fold = asof_join(asof_join(spine, v1, "k", "t", "t1"), v2, "k", "t", "t2")
+    assert sorted(map(tuple, many.collect()), key=repr) == sorted(map(tuple, fold.select(*many.columns).collect()), key=repr)
+    import contextlib
+    import io
+
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        many.explain()
+    final = out.getvalue().split("== Initial Plan ==")[0]
+    assert final.count("Exchange hashpartitioning") == 1  # one shuffle for both views
