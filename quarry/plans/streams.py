@@ -101,8 +101,10 @@ def stream_lag_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     source_path, view_path, landing = f"{root}/sensors", f"{root}/view", f"{root}/landing"
     ckpt = f"{root}/checkpoint"
 
+    # the sensor table: one partition per load (base = -1, then one per
+    # micro-batch epoch), so a re-run batch overwrites its own partition
     base = ev.filter(~late & ~new)
-    base.write.mode("overwrite").parquet(source_path)
+    base.write.mode("overwrite").parquet(f"{source_path}/epoch=-1")
     # landing files, in arrival order: the late rows, then the new rows
     ev.filter(late & ~new).coalesce(1).write.mode("overwrite").parquet(f"{landing}/b1")
     ev.filter(new).coalesce(1).write.mode("append").parquet(f"{landing}/b2")
@@ -118,7 +120,7 @@ def stream_lag_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
         VIEW_BUCKETS,
         touched=lambda b: b.select(F.col("user_id").alias("machine_id")),
         recompute=lambda restrict: _daily_lags(restrict(spark.read.parquet(source_path), "user_id")),
-        before=lambda b: b.write.mode("append").parquet(source_path),
+        before=lambda b, epoch: b.write.mode("overwrite").parquet(f"{source_path}/epoch={epoch}"),
     )
     src = (
         spark.readStream.schema(ev.schema)

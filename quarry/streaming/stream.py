@@ -12,8 +12,10 @@ is a streaming query over a file source:
 * ST5 ``backfill_actuals`` - foreachBatch + ``merge_update`` into a new version.
 
 Checkpoints live under the shared folder named by ``spark.checkpoint.dir``;
-a restarted query resumes from its checkpoint (exactly-once for the file
-sink, idempotent overwrite of partitions for foreachBatch).
+a restarted query resumes from its checkpoint.  A micro-batch may run again
+after a failure, so every ``foreachBatch`` writer is idempotent per epoch:
+it overwrites an epoch-named partition or version, never appends blindly
+(the file sink of ST1 is exactly-once by itself).
 """
 
 from __future__ import annotations
@@ -118,12 +120,13 @@ def refresh_feature_view(
     buckets: int,
     touched: Callable[[DataFrame], DataFrame],
     recompute: Callable[[Callable[[DataFrame, str], DataFrame]], DataFrame],
-    before: Callable[[DataFrame], None] | None = None,
+    before: Callable[[DataFrame, int], None] | None = None,
 ):
     """ST2: a ``foreachBatch`` function refreshing a view partitioned by
     ``__kb = xxhash64(key) mod buckets``.
 
-    ``before(batch)`` lands the batch in the source table; ``touched(batch)``
+    ``before(batch, epoch)`` lands the batch in the source table (idempotently,
+    e.g. into an epoch partition); ``touched(batch)``
     gives the batch's keys (column ``key``); ``recompute(restrict)`` rebuilds
     the view rows from source rows passed through ``restrict(df, key_col)``,
     which keeps only keys of the touched buckets (whole key histories, since
@@ -136,7 +139,7 @@ def refresh_feature_view(
 
     def run(batch: DataFrame, epoch: int) -> None:
         if before is not None:
-            before(batch)
+            before(batch, epoch)
         hit = touched(batch).select(bucket(key).alias("__kb")).distinct()  # <= buckets rows
 
         def restrict(df: DataFrame, col: str) -> DataFrame:
@@ -155,15 +158,18 @@ def refresh_feature_view(
 
 
 def refresh_index(index_path: str, id_col: str, text: str, n: int = 3):
-    """ST3: ``foreachBatch`` appending (id, gram, tf) rows of new documents.
+    """ST3: ``foreachBatch`` adding (id, gram, tf) rows of new documents
+    under ``index_path/epoch=<id>``.
 
-    IDF is not stored: searches compute it from the tf table, so appending
-    never rewrites older rows.
+    IDF is not stored: searches compute it from the tf table, so adding an
+    epoch never rewrites older rows.
     """
     from quarry.operators.match import _gram_tf
 
     def run(batch: DataFrame, epoch: int) -> None:
-        _gram_tf(batch, id_col, text, n).withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(index_path)
+        # one partition per epoch, overwritten: a re-run batch replaces its
+        # own rows instead of appending them twice
+        _gram_tf(batch, id_col, text, n).write.mode("overwrite").parquet(f"{index_path}/epoch={epoch}")
 
     return run
 
@@ -171,15 +177,16 @@ def refresh_index(index_path: str, id_col: str, text: str, n: int = 3):
 def backfill_actuals(target_root: str, keys: list[str], cols: list[str]):
     """ST5: ``foreachBatch`` applying late actuals with ``merge_update``.
 
-    Each batch writes version ``epoch`` of the target from version
-    ``epoch - 1`` (never overwriting the version being read).
+    Batch ``epoch`` reads version ``v<epoch>`` and writes ``v<epoch+1>``
+    (never overwriting the version being read).  A re-run batch recomputes
+    the same version from the same input and overwrites it: idempotent.
     """
     from quarry.sources.sinks import merge_update
 
     def run(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         cur = spark.read.parquet(f"{target_root}/v{epoch}")
-        merge_update(cur, batch, keys, cols).write.mode("errorifexists").parquet(f"{target_root}/v{epoch + 1}")
+        merge_update(cur, batch, keys, cols).write.mode("overwrite").parquet(f"{target_root}/v{epoch + 1}")
 
     return run
 

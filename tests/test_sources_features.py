@@ -159,6 +159,10 @@ def test_streaming_index_and_backfill(spark):
     q.awaitTermination()
     idx = spark.read.parquet(f"{root}/idx")
     assert set(r.gram for r in idx.filter("id = 1").collect()) == {"^al", "alp", "lph", "pha", "ha$"}
+    # a re-run of the same epoch replaces its rows instead of duplicating them
+    again = spark.createDataFrame([(1, "alpha"), (2, "beta")], "id int, t string")
+    refresh_index(f"{root}/idx", "id", "t")(again, 0)
+    assert spark.read.parquet(f"{root}/idx").filter("id = 1").count() == 5
 
     spark.createDataFrame([("w", D(2024, 1, 1), None), ("w", D(2024, 1, 2), None)], "k string, d date, y double").write.parquet(
         f"{root}/target/v0"
@@ -171,6 +175,9 @@ def test_streaming_index_and_backfill(spark):
     q.awaitTermination()
     got = {r.d: r.y for r in spark.read.parquet(f"{root}/target/v1").collect()}
     assert got == {D(2024, 1, 1): 7.0, D(2024, 1, 2): None}
+    # re-running epoch 0 rewrites v1 identically (no error, no change)
+    backfill_actuals(f"{root}/target", ["k", "d"], ["y"])(spark.read.parquet(f"{root}/late/a"), 0)
+    assert {r.d: r.y for r in spark.read.parquet(f"{root}/target/v1").collect()} == got
 
 
 @settings(max_examples=15, deadline=None)
