@@ -275,25 +275,26 @@ def dense_topk(
             return pd.DataFrame({"qid": [], "cid": [], "score": []})
         qm = np.stack(qpdf["v"].to_numpy()).astype(np.float64)
         cm = np.stack(cpdf["v"].to_numpy()).astype(np.float64)
-        qn = np.linalg.norm(qm, axis=1)
-        cn = np.linalg.norm(cm, axis=1)
-        sim = (qm @ cm.T) / np.outer(np.where(qn == 0, np.nan, qn), np.where(cn == 0, np.nan, cn))
+        qm = qm / np.where((n := np.linalg.norm(qm, axis=1)) == 0, np.nan, n)[:, None]
+        cm = cm / np.where((n := np.linalg.norm(cm, axis=1)) == 0, np.nan, n)[:, None]
         qids = qpdf["qid"].to_numpy()
         cids = cpdf["cid"].to_numpy()
         out_q, out_c, out_s = [], [], []
-        order_c = np.argsort(cids, kind="stable")
-        for i in range(len(qids)):
-            s = sim[i, order_c]
-            c = cids[order_c]
-            ok = ~np.isnan(s)
+        # queries in chunks: a chunk x block similarity matrix stays small
+        # (512 x 20k doubles = 80 MB) whatever the block size
+        for lo in range(0, len(qids), 512):
+            sim = qm[lo : lo + 512] @ cm.T
+            sim = np.where(np.isnan(sim), -np.inf, sim)
             if exclude_self:
-                ok &= c != qids[i]
-            s, c = s[ok], c[ok]
-            take = np.argsort(-s, kind="stable")[:k]
-            out_q += [qids[i]] * len(take)
-            out_c += list(c[take])
-            out_s += list(s[take])
-        return pd.DataFrame({"qid": out_q, "cid": out_c, "score": out_s})
+                sim = np.where(qids[lo : lo + 512, None] == cids[None, :], -np.inf, sim)
+            order = np.lexsort((np.broadcast_to(cids, sim.shape), -sim), axis=1)[:, :k]
+            top_s = np.take_along_axis(sim, order, axis=1)
+            top_c = cids[order]
+            keep = np.isfinite(top_s)
+            out_q.append(np.repeat(qids[lo : lo + 512], order.shape[1]).reshape(order.shape)[keep])
+            out_c.append(top_c[keep])
+            out_s.append(top_s[keep])
+        return pd.DataFrame({"qid": np.concatenate(out_q), "cid": np.concatenate(out_c), "score": np.concatenate(out_s)})
 
     local = qb.groupBy("qb", "cb").cogroup(cb.groupBy("qb", "cb")).applyInPandas(
         block, schema="qid long, cid long, score double"
@@ -309,7 +310,7 @@ def dense_topk(
     )
 
 
-def _dense_topk_broadcast(queries, q_id, q_vec, corpus, c_id, c_vec, k, exclude_self, digits, q_chunk: int = 2048):
+def _dense_topk_broadcast(queries, q_id, q_vec, corpus, c_id, c_vec, k, exclude_self, digits, q_chunk: int = 1024):
     spark = queries.sparkSession
     qp = queries.select(F.col(q_id).cast("long").alias("qid"), F.col(q_vec).cast("array<double>").alias("v")).toPandas()
     qids = qp["qid"].to_numpy()
