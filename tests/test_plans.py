@@ -31,10 +31,11 @@ def plan(df, mode="formatted"):
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - RUNS_WHILE_BUILT))
-def test_no_cartesian_or_nested_loop_join(spark, name):
+def test_no_cartesian_nested_loop_or_row_udf(spark, name):
     p = plan(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in p
     assert "BroadcastNestedLoopJoin" not in p
+    assert "BatchEvalPython" not in p  # no row-at-a-time Python UDFs
 
 
 def test_rank_limit_is_pushed_below_the_shuffle(spark):
