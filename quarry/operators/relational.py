@@ -62,10 +62,16 @@ def latest_per_key(df: DataFrame, key, ts: str, tiebreak=None) -> DataFrame:
     ``max_by(struct(*), (ts, tiebreak))`` is a hash aggregate with a
     map-side partial, so a key holding a third of the rows costs one
     partial per map task instead of a giant sorted window partition.
+    Without ``tiebreak``, rows at the same latest ``ts`` are ordered by their
+    remaining values.
     """
     keys = _cols(key)
-    order = F.struct(F.col(ts), *[F.col(c) for c in _cols(tiebreak)])
     rest = [c for c in df.columns if c not in keys]
+    # rows at the same latest instant: the explicit tie-break, else the
+    # row's own values (largest wins) - deterministic either way, the same
+    # rule as the as-of join
+    ties = _cols(tiebreak) or [c for c in rest if c != ts]
+    order = F.struct(F.col(ts), *[F.col(c) for c in ties])
     agg = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("__row"))
     return agg.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest])
 

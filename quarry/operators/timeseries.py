@@ -197,7 +197,8 @@ def future_stubs(history: DataFrame, key, ts: str, y: str, h: int, feats: list[s
         return r.withColumn(y, masked).drop("__rd")
     if exog != "carry_forward":
         raise ValueError(f"future_stubs: exog must be 'carry_forward' or 'actual', not {exog!r}")
-    last = history.groupBy(*keys).agg(F.max_by(F.struct(ts, *feats), F.col(ts)).alias("__l"))
+    # the latest row per key; equal timestamps resolved by the row's values
+    last = history.groupBy(*keys).agg(F.max(F.struct(ts, *feats)).alias("__l"))
     stubs = last.select(
         *keys,
         F.explode(F.sequence(F.lit(1), F.lit(h))).alias("__k"),

@@ -292,3 +292,46 @@ def customer_feature_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
         feature_view(profile, "customer_profile", "customer_key").materialize(root),
     ]
     return generate_dataset(spine, views, "ship_date")
+
+
+# ---------------------------------------------------------------------------
+# F8: latest feature values for given keys (every customer) from the order
+# history view (newest order; same-day ties -> larger total, then priority)
+# and the static profile view.
+# ---------------------------------------------------------------------------
+LATEST_FEATURES_SQL = """
+WITH h AS (
+    SELECT o_custkey AS customer_key, o_totalprice AS last_order_total, o_orderpriority AS last_order_priority
+    FROM orders
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY o_custkey
+                               ORDER BY CAST(o_orderdate AS DATE) DESC, o_totalprice DESC, o_orderpriority DESC) = 1
+)
+SELECT c.c_custkey AS customer_key, h.last_order_total, h.last_order_priority,
+       c.c_mktsegment AS segment, c.c_nationkey AS nation_key, c.c_acctbal AS acctbal
+FROM customer c LEFT JOIN h ON h.customer_key = c.c_custkey
+"""
+
+
+@query("latest_customer_features", LATEST_FEATURES_SQL)
+def latest_customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.operators.features import feature_view, latest_features
+
+    orders = load(spark, sf_dir, "orders")
+    history = orders.select(
+        F.col("o_custkey").alias("customer_key"),
+        F.to_date("o_orderdate").alias("order_date"),
+        F.col("o_totalprice").alias("last_order_total"),
+        F.col("o_orderpriority").alias("last_order_priority"),
+    )
+    profile = load(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("customer_key"),
+        F.col("c_mktsegment").alias("segment"),
+        F.col("c_nationkey").alias("nation_key"),
+        F.col("c_acctbal").alias("acctbal"),
+    )
+    keys = profile.select("customer_key")
+    views = [
+        feature_view(history, "customer_orders", "customer_key", "order_date"),
+        feature_view(profile, "customer_profile", "customer_key"),
+    ]
+    return latest_features(keys, views)
