@@ -86,7 +86,7 @@ def bin_expr(col: str, lo, hi, bins: int):
     return F.when(width <= 0, F.lit(0)).otherwise(F.least(F.greatest(raw, F.lit(0)), F.lit(bins - 1))).cast("int")
 
 
-def psi(baseline: DataFrame, current: DataFrame, col: str, bins: int = 10, by=None) -> DataFrame:
+def psi(baseline: DataFrame, current: DataFrame, col: str, bins: int = 10, by=None, edges: str = "width") -> DataFrame:
     """Population stability index of ``col`` per group ``by``.
 
     PSI = sum_b (p_b - q_b) * ln(p_b / q_b), with p = current share and
@@ -97,12 +97,22 @@ def psi(baseline: DataFrame, current: DataFrame, col: str, bins: int = 10, by=No
     """
     keys = _cols(by) if by else []
     base = baseline.filter(F.col(col).isNotNull())
-    lo = base.agg(F.min(col)).scalar()
-    hi = base.agg(F.max(col)).scalar()
-    bq = base.groupBy(bin_expr(col, lo, hi, bins).alias("bin")).agg(F.count(F.lit(1)).alias("qn"))
+    if edges == "quantile":
+        # bins-1 cut points at the baseline's i/bins quantiles (a bounded
+        # sketch, no global sort); bin = number of cut points <= value
+        probs = [i / bins for i in range(1, bins)]
+        cuts = base.agg(F.percentile_approx(col, probs, 10000)).scalar()
+        bexpr = lambda: sum(  # noqa: E731 - bins-1 comparisons, no higher-order function
+            ((cuts.getItem(i) <= F.col(col)).cast("int") for i in range(bins - 1)), F.lit(0)
+        ).cast("int")
+    else:
+        lo = base.agg(F.min(col)).scalar()
+        hi = base.agg(F.max(col)).scalar()
+        bexpr = lambda: bin_expr(col, lo, hi, bins)
+    bq = base.groupBy(bexpr().alias("bin")).agg(F.count(F.lit(1)).alias("qn"))
     q = bq.select("bin", (F.col("qn") / F.sum("qn").over(Window.partitionBy())).alias("q"))
     cur = current.filter(F.col(col).isNotNull())
-    pc = cur.groupBy(*keys, bin_expr(col, lo, hi, bins).alias("bin")).agg(F.count(F.lit(1)).alias("pn"))
+    pc = cur.groupBy(*keys, bexpr().alias("bin")).agg(F.count(F.lit(1)).alias("pn"))
     pc = pc.withColumn("p", F.col("pn") / F.sum("pn").over(Window.partitionBy(*keys)))
     grid = pc.select(*keys).distinct().select(*keys, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     # q has at most ``bins`` rows: bounded, safe to broadcast.

@@ -125,6 +125,9 @@ def test_monitoring_metrics(spark):
     assert abs(psi(base, base, "x").first().psi) < 1e-12  # PSI(x, x) = 0
     shifted = spark.createDataFrame([(float(i % 10) + 5,) for i in range(100)], "x double")
     assert psi(base, shifted, "x").first().psi > 1.0
+    skewed = spark.createDataFrame([(float(i * i % 97),) for i in range(300)], "x double")
+    assert abs(psi(skewed, skewed, "x", edges="quantile").first().psi) < 1e-12
+    assert psi(skewed, skewed.select((F.col("x") + 40).alias("x")), "x", edges="quantile").first().psi > 1.0
     const = spark.createDataFrame([(1.0,)] * 5, "x double")
     assert psi(const, const, "x").first().psi == 0.0  # constant column: one bin
     mb = monitor_baseline(spark.createDataFrame([("w", D(2024, 1, 1), 3.0)], "k string, ds date, y double"), "k", "ds", "y", "pred").first()
