@@ -77,6 +77,20 @@ def _unit(w: DataFrame) -> DataFrame:
     return w.select("id", "gram", (F.col("w") / nrm).alias("w"))
 
 
+def index_from_tf(tf: DataFrame) -> tuple[DataFrame, DataFrame, Column]:
+    """E1 from a stored ``(id, gram, tf)`` table (e.g. the one ST3 keeps up to
+    date by appending epochs): ``(index, idf, n_docs)`` as ``build_index``
+    computes them.  A document re-sent in another epoch counts once (one
+    count per (id, gram), the largest over epochs)."""
+    tf = tf.groupBy("id", "gram").agg(F.max("tf").alias("tf"))
+    n_docs = tf.select("id").distinct().agg(F.count(F.lit(1))).scalar()
+    idf = tf.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).select(
+        "gram", (F.log((n_docs + 1).cast("double") / (F.col("df") + 1)) + 1).alias("idf")
+    )
+    w = tf.join(idf, "gram").select("id", "gram", (F.col("tf") * F.col("idf")).alias("w"))
+    return _unit(w), idf, n_docs
+
+
 def query_vectors(queries: DataFrame, id_col: str, text: str, idf: DataFrame, n_docs: Column, n: int = 3) -> DataFrame:
     """Query TF-IDF vectors, L2-normalised over *all* the query's grams."""
     tf = _gram_tf(queries, id_col, text, n)
@@ -100,6 +114,7 @@ def batch_search(
     filters: Column | None = None,
     min_score: float | None = None,
     levels: tuple[float, ...] | None = None,
+    index: tuple | None = None,
 ) -> DataFrame:
     """E4/J9/UD3: top-k corpus rows per query with cosine + text-match scores.
 
@@ -108,14 +123,16 @@ def batch_search(
     ``_candidates_above``), which keeps common grams from fanning out.
     With ``levels`` (descending score cuts) the exact top-k is found by a
     cascade (``_cascade_candidates``): only queries without k results above
-    every cut reach the full gram join.
+    every cut reach the full gram join.  ``index`` = a prebuilt
+    ``(index, idf, n_docs)`` (``build_index`` / ``index_from_tf``); the
+    corpus then only supplies the result texts.
 
     Output ``(q_id, rank, c_id, cosine_similarity, text_match)``.  Scores are
     rounded to ``digits`` before ranking so ties break on the corpus id, the
     same on every engine.  ``filters`` (E5) is a predicate over the joined
     query/corpus attribute columns, applied inside the candidate join.
     """
-    index, idf, n_docs = build_index(corpus, c_id, c_text, n)
+    index, idf, n_docs = index if index is not None else build_index(corpus, c_id, c_text, n)
     qv = query_vectors(queries, q_id, q_text, idf, n_docs, n)
     eps = 10.0 ** (-digits)
     if min_score is not None:

@@ -223,3 +223,21 @@ def test_stream_daily_append_emits_closed_days_only(spark):
     assert 0 < len(got) < len(full)  # the newest day stays open behind the watermark
     assert all(full[k] == v for k, v in got.items())  # finalised windows are complete
     assert max(d for d, _ in got) < max(d for d, _ in full)
+
+
+def test_search_against_stream_refreshed_index(spark):
+    from quarry.operators.match import batch_search, index_from_tf
+    from quarry.streaming.stream import refresh_index
+
+    root = tmp("idx")
+    corpus = spark.createDataFrame([(1, "Microsoft Teams"), (2, "Microsoft Azure"), (3, "Slack"), (4, "Zoom")], "id long, name string")
+    run = refresh_index(f"{root}/tf", "id", "name")
+    run(corpus.filter("id <= 2"), 0)  # two epochs, as a stream would deliver them
+    run(corpus.filter("id > 2"), 1)
+    run(corpus.filter("id > 2"), 1)  # a re-run epoch changes nothing
+    idx = index_from_tf(spark.read.parquet(f"{root}/tf").drop("epoch"))
+    q = spark.createDataFrame([("MS Teams",), ("zoom",)], "q string")
+    key = lambda r: (r.q, r.rank, r.id, r.cosine_similarity)
+    direct = batch_search(q, "q", "q", corpus, "id", "name", k=3)
+    stored = batch_search(q, "q", "q", corpus, "id", "name", k=3, index=idx)
+    assert sorted(map(key, direct.collect())) == sorted(map(key, stored.collect()))
