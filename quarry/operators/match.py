@@ -470,7 +470,8 @@ def minhash_band_keys(df: DataFrame, id_col: str, text: str, shingle: int = 5, b
     # one row per (text, shingle, hash function): generated code throughout,
     # and the per-(text, band) minimums are a map-side partial aggregate
     # (all rows of a text come from one input row, so one task).
-    h = t.select("id", F.explode(sh).alias("__sh")).select("id", F.xxhash64("__sh").alias("__h"))
+    # distinct shingles first: repeated lines add no information, only work
+    h = t.select("id", F.explode(F.array_distinct(sh)).alias("__sh")).select("id", F.xxhash64("__sh").alias("__h"))
     h = h.select("id", "__h", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("__i"))
     h = h.select("id", (F.col("__i") / rows).cast("int").alias("band"), F.pmod(F.col("__i"), F.lit(rows)).alias("__j"),
                  F.xxhash64("__h", "__i").alias("__v"))
