@@ -12,7 +12,7 @@ from quarry.functions.scalar import money
 from quarry.operators.timeseries import compute_lag
 from quarry.plans.maintenance import N_LAGS, SENSOR_COLS, _sql_lags, daily_sensor_means
 from quarry.plans.registry import query
-from quarry.plans.text import PATTERNS, _sql_entities
+from quarry.plans.text import _sql_entities, entity_columns
 from quarry.sources.tables import load
 from quarry.streaming.stream import (
     file_stream,
@@ -62,11 +62,7 @@ def stream_entity_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = file_stream(spark, sf_dir, schema, glob="documents.parquet")
 
     def transform(df: DataFrame) -> DataFrame:
-        from quarry.operators.text import extract_all
-
-        cols = {name: F.array_join(extract_all("text", pat, grp), ",") for name, (pat, grp) in PATTERNS.items()}
-        cols["n_email_mentions"] = F.size(F.regexp_extract_all("text", F.lit(PATTERNS["emails"][0]), 0))
-        return df.select("doc_id", "lang", "text").withColumns(cols).drop("text")
+        return entity_columns(df.select("doc_id", "lang", "text"))
 
     out, ckpt = fresh_paths(spark, "stream-entities")
     # the table arrives as few files: spread the regex work over the cores
