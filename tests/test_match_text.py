@@ -210,3 +210,15 @@ def test_map_model_retries_throttling_only(spark):
     assert got["busy-a"] == ("a-ysub", None)  # retried with back-off, then answered
     assert got["ok"] == ("ko", None)
     assert got["bad"][0] is None and "ValueError" in got["bad"][1]  # not retried
+
+
+def test_exact_duplicate_groups_lie_inside_near_duplicate_clusters(spark):
+    import __spark_entry__ as E
+
+    sf = "/root/testdata/sf0.001"
+    q = E.queries()
+    near = {r.doc_id: r.cluster_id for r in q["near_duplicate_documents"](spark, sf).collect()}
+    exact = q["duplicate_documents"](spark, sf).collect()
+    assert exact, "the fixture has exact copies"
+    for r in exact:
+        assert near.get(r.doc_id) is not None and near[r.doc_id] == near.get(r.rep_id), r
