@@ -241,3 +241,14 @@ def test_search_against_stream_refreshed_index(spark):
     direct = batch_search(q, "q", "q", corpus, "id", "name", k=3)
     stored = batch_search(q, "q", "q", corpus, "id", "name", k=3, index=idx)
     assert sorted(map(key, direct.collect())) == sorted(map(key, stored.collect()))
+
+
+def test_spread_only_repartitions_narrow_scans(spark):
+    from quarry.sources.tables import load, spread
+
+    narrow = load(spark, "/root/testdata/sf0.001", "documents")  # one row group -> one split
+    assert narrow.rdd.getNumPartitions() == 1
+    assert spread(narrow, slots=4).rdd.getNumPartitions() == 4
+    wide = spark.range(0, 100, numPartitions=6)
+    assert spread(wide, slots=4) is wide  # enough splits already: plan unchanged, no shuffle
+    assert sorted(r.doc_id for r in spread(narrow, slots=4).collect()) == sorted(r.doc_id for r in narrow.collect())
