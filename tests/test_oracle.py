@@ -25,6 +25,7 @@ def test_query_without_oracle_runs(spark, name):
     df = QUERIES[name](spark, SF)
     assert df.count() >= 0
     assert len(df.columns) > 0
+    assert not [c for c in df.columns if c.startswith("__")], df.columns  # no helper columns leak
 
 
 def test_entry_runs(spark):
