@@ -272,7 +272,9 @@ def map_model(
     def call(p):
         for attempt in range(retries):
             try:
-                return fn(p), None
+                r = fn(p)
+                # any answer becomes text: the output column is a string
+                return (None if r is None else str(r)), None
             except Exception as e:  # noqa: BLE001
                 if not throttled(e) or attempt == retries - 1:
                     return None, f"{type(e).__name__}: {e}"

@@ -222,3 +222,11 @@ def test_exact_duplicate_groups_lie_inside_near_duplicate_clusters(spark):
     assert exact, "the fixture has exact copies"
     for r in exact:
         assert near.get(r.doc_id) is not None and near[r.doc_id] == near.get(r.rep_id), r
+
+
+def test_map_model_non_string_answers(spark):
+    from quarry.operators.text import map_model
+
+    df = spark.createDataFrame([("abc",), ("",)], "p string")
+    got = {r.p: (r.out, r.out_error) for r in map_model(df, "p", "out", lambda p: len(p) or None).collect()}
+    assert got == {"abc": ("3", None), "": (None, None)}
