@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -54,24 +54,26 @@ def get_session(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster.
+    """The shared folder for checkpoints and scratch tables, from ``spark.checkpoint.dir``.
 
-    The cluster names it in ``spark.checkpoint.dir`` (Spark then sets the
-    context's checkpoint folder itself); we only set our own when none is
-    configured (local tests), and then under a fresh temp folder.
+    Where the setting is absent, a local session uses its warehouse folder;
+    on a cluster the setting is required, as a folder of the driver's machine
+    would be invisible to the executors.
     """
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
     if cur:
         return cur
-    d = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quarry-ckpt-")
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        d = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
-    import uuid
-
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"

@@ -9,10 +9,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    from quarry.session import checkpoint_dir, get_session
+def spark(tmp_path_factory):
+    from quarry.session import get_session
 
-    s = get_session("local[*]", app_name="quarry-tests", shuffle_partitions=8)
-    checkpoint_dir(s)  # tests set their own only because none is configured
+    shared = str(tmp_path_factory.mktemp("shared"))
+    s = get_session("local[*]", app_name="quarry-tests", shuffle_partitions=8, extra={"spark.checkpoint.dir": shared})
     yield s
     s.stop()
