@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import packing, pii
+from quarry.llm import packing, pii, quality, toxicity
 from quarry.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,13 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_packing")
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"))
+
+
+@query("op5_quality")
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
