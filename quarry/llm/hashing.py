@@ -120,8 +120,10 @@ class Words:
         return at, mix((p[at + k] - p[at]) * down[at])
 
 
-def words(c: Chars) -> Words:
-    gap = (c.codes == 32) | ((c.codes >= 9) & (c.codes <= 13))
+def words(c: Chars, gap: np.ndarray | None = None) -> Words:
+    """The words of a batch; ``gap`` marks the code points between them (blanks, unless given; newlines are gaps)."""
+    if gap is None:
+        gap = (c.codes == 32) | ((c.codes >= 9) & (c.codes <= 13))
     edge = np.flatnonzero(np.diff(gap, prepend=True))  # every text ends in a newline, so edges pair up
     start, end = edge[0::2], edge[1::2]
     return Words(start, end, c.hashes(start, end), np.searchsorted(start, c.first), np.searchsorted(start, c.last))
