@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import packing, pii, quality, toxicity
+from quarry.llm import mips, packing, pii, quality, secret_scan, toxicity
 from quarry.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,23 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_toxicity")
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@query("op10_secret_scan")
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_columns(secret_scan.find_secrets(load(spark, sf_dir, "documents")), secret_scan.KINDS)
+
+
+@query(
+    "op9_norm_buckets",
+    oracle="""
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
+               WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+          FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0),
+    r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+)
+def op9_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mips.top_products(load(spark, sf_dir, "embeddings"))
