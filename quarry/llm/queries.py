@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import mips, packing, pii, quality, secret_scan, toxicity
+from quarry.llm import ann, mips, packing, pii, quality, secret_scan, toxicity
 from quarry.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op9_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mips.top_products(load(spark, sf_dir, "embeddings"))
+
+
+@query("op4_rotated_codes")
+def op4_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(load(spark, sf_dir, "embeddings"))
