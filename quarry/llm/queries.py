@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import ann, mips, packing, pii, quality, secret_scan, toxicity
+from quarry.llm import ann, mips, mixing, packing, pii, quality, secret_scan, toxicity
 from quarry.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,9 @@ def op9_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_rotated_codes")
 def op4_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(load(spark, sf_dir, "embeddings"))
+
+
+@query("op7_mixing")
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(load(spark, sf_dir, "documents"))
+    return mixed.select("row.doc_id", "source", "lang", "topic", "n_tokens", "probability", "selected")
