@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import ann, mips, mixing, packing, pii, quality, secret_scan, toxicity
+from quarry.llm import ann, mips, mixing, packing, pii, quality, secret_scan, substring, toxicity
 from quarry.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,23 @@ def op4_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(load(spark, sf_dir, "documents"))
     return mixed.select("row.doc_id", "source", "lang", "topic", "n_tokens", "probability", "selected")
+
+
+@query(
+    "op3_substring_dedup",
+    oracle=r"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    x AS (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS i FROM d WHERE len(w) >= 20),
+    g AS (SELECT doc_id, i, array_to_string(w[i:i+19], ' ') AS k FROM x),
+    r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS n FROM g),
+    c AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 19)) AS p FROM r WHERE n > 1),
+    p AS (SELECT doc_id, unnest(generate_series(1, len(w))) AS p, unnest(w) AS word FROM d),
+    s AS (SELECT p.doc_id, count(c.p) AS n_removed, coalesce(string_agg(CASE WHEN c.p IS NULL THEN word END, ' ' ORDER BY p.p), '') AS kept
+          FROM p LEFT JOIN c ON p.doc_id = c.doc_id AND p.p = c.p GROUP BY p.doc_id)
+    SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM d LEFT JOIN s ON d.doc_id = s.doc_id
+    """,
+)
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stripped = substring.remove_repeats(load(spark, sf_dir, "documents"))
+    return stripped.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
