@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import ann, mips, mixing, packing, pii, quality, secret_scan, substring, toxicity
+from quarry.llm import ann, jaccard, mips, mixing, packing, pii, quality, secret_scan, substring, toxicity
 from quarry.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,22 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     stripped = substring.remove_repeats(load(spark, sf_dir, "documents"))
     return stripped.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query(
+    "op8_jaccard_join",
+    oracle=r"""
+    WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    x AS (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM d WHERE len(w) > 0),
+    g AS (SELECT DISTINCT doc_id, array_to_string(w[i:i+4], ' ') AS s FROM x),
+    n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+    o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+    l AS (SELECT a, b FROM o JOIN n x ON o.a = x.doc_id JOIN n y ON o.b = y.doc_id WHERE 100 * c >= 80 * (x.n + y.n - c)),
+    e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+    r AS (SELECT doc_id AS id, doc_id AS hit FROM d UNION SELECT r.id, e.b FROM r JOIN e ON r.hit = e.a)
+    SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id
+    FROM d LEFT JOIN n ON d.doc_id = n.doc_id JOIN (SELECT id, min(hit) AS component_id FROM r GROUP BY id) c ON d.doc_id = c.id
+    """,
+)
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(load(spark, sf_dir, "documents"))
