@@ -56,7 +56,8 @@ class NormBuckets:
         for f in focus:  # a unit vector with cosine t or more has this coordinate in between
             slack = np.sqrt(max(0.0, (1 - t * t) * (1 - unit[f] * unit[f]))) + 1e-9
             x = self.unit[at, f]
-            keep &= x >= unit[f] * t - slack
+            if unit[f] > -t:
+                keep &= x >= unit[f] * t - slack
             if unit[f] < t:
                 keep &= x <= unit[f] * t + slack
         return at.start + np.flatnonzero(keep)

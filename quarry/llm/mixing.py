@@ -33,7 +33,7 @@ TARGETS = {
 class Params:
     """Production parameters: tokens drawn as a share of all, and when raking ends."""
 
-    budget: float = 0.5
+    budget: float = 0.4
     rounds: int = 500
     tolerance: float = 1e-9
     seed: int = 37

@@ -7,8 +7,8 @@ reads its input left to right and writes an output together with the source
 interval of every rewritten piece; text between two rewrites is copied, so an
 output position maps back to the source by one binary search.  The detectors
 run on the source (base spans) and, where anything was rewritten, on the
-output; a span found there is mapped back and added unless it meets a span of
-its own kind that the source already showed.
+output; a span found there is mapped back and added, unless the source already
+showed it or showed one of its kind that crosses it.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ Span = tuple[str, int, int]
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]")
-_DOTTED = re.compile(r"[0-9]+\.[0-9][0-9.]*")
+_DOTTED = re.compile(r"(?<![0-9])[0-9]++\.[0-9][0-9.]*+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
@@ -243,8 +243,9 @@ def find_spans(text: str) -> list[tuple[str, int, int, bool]]:
         held = {kind: sorted((s, e) for k, s, e in base if k == kind) for kind in KINDS}
         for kind, o0, o1 in detect(tape.text):
             s, e = tape.source(o0, o1)
-            i = bisect_left(held[kind], (e, 0))
-            if not (i and held[kind][i - 1][1] > s):
+            stop = bisect_left(held[kind], (e, 0))
+            met = [x for x in held[kind][max(0, bisect_left(held[kind], (s, 0)) - 1) : stop] if x[1] > s]
+            if met != [(s, e)] and all(s <= x and y <= e for x, y in met):
                 found.append((kind, s, e, False))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
