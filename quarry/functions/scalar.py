@@ -100,20 +100,22 @@ def clip(x, lo, hi) -> Column:
     return F.least(F.greatest(_c(x), F.lit(lo)), F.lit(hi))
 
 
-def is_us_holiday(d) -> Column:
-    """G1 holiday rule as a pure expression of the date.
+# Fixed values (the sales calendar's days off): month, first and last day of
+# the month, weekday (Sunday 0; None: any).
+HOLIDAYS = (
+    (1, 1, 1, None),
+    (7, 4, 4, None),
+    (11, 22, 28, 4),
+    (11, 23, 29, 5),
+    (12, 24, 26, None),
+)
 
-    Fixed values (the holiday rule of the sales calendar): 1 Jan; 4 Jul;
-    a Thursday on 22-28 Nov; 25 Dec; a Friday on 23-29 Nov; 24-26 Dec.
-    (Day of week 4 = Thursday and 5 = Friday, counting Sunday as 0.)
-    """
+
+def is_us_holiday(d) -> Column:
+    """G1: whether a date is one of ``HOLIDAYS``, as a pure expression of the date."""
     d = _c(d)
-    m, day, dow = F.month(d), F.dayofmonth(d), dow_sunday0(d)
-    return (
-        ((m == 1) & (day == 1))
-        | ((m == 7) & (day == 4))
-        | ((m == 11) & day.between(22, 28) & (dow == 4))
-        | ((m == 12) & (day == 25))
-        | ((m == 11) & day.between(23, 29) & (dow == 5))
-        | ((m == 12) & day.between(24, 26))
-    )
+    hit = F.lit(False)
+    for month, first, last, weekday in HOLIDAYS:
+        one = (F.month(d) == month) & F.dayofmonth(d).between(first, last)
+        hit = hit | (one if weekday is None else one & (dow_sunday0(d) == weekday))
+    return hit

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.scalar import money
+from quarry.functions.scalar import HOLIDAYS, money
 from quarry.sources.tables import load
 
 # SQL fragments shared by the oracles (DuckDB dialect).
@@ -35,13 +35,10 @@ def sql_money(expr: str) -> str:
 SQL_NET = f"{sql_money('l_extendedprice')} * (1 - {sql_money('l_discount')})"
 SQL_DISC_AMT = f"{sql_money('l_extendedprice')} * {sql_money('l_discount')}"
 
-SQL_HOLIDAY = (
-    "((month(d) = 1 AND day(d) = 1) OR (month(d) = 7 AND day(d) = 4)"
-    " OR (month(d) = 11 AND day(d) BETWEEN 22 AND 28 AND dayofweek(d) = 4)"
-    " OR (month(d) = 12 AND day(d) = 25)"
-    " OR (month(d) = 11 AND day(d) BETWEEN 23 AND 29 AND dayofweek(d) = 5)"
-    " OR (month(d) = 12 AND day(d) BETWEEN 24 AND 26))"
-)
+SQL_HOLIDAY = "(" + " OR ".join(
+    f"(month(d) = {month} AND day(d) BETWEEN {first} AND {last}" + ("" if weekday is None else f" AND dayofweek(d) = {weekday}") + ")"
+    for month, first, last, weekday in HOLIDAYS
+) + ")"
 
 
 def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
