@@ -28,11 +28,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import MB, planned_bytes, slices
+from quarry.llm.common import MB, slices
 
 U = np.uint64
-BLOCK_BYTES = 8 * MB  # of the planner's size of id and text
-SLICE = 2 * MB  # text hashed at a time
+BLOCK_BYTES = 10 * MB  # of text
+MANY_BLOCKS = 8192
+SLICE = MB  # text hashed at a time
 
 
 # ------------------------------------------------------------- packed arrays
@@ -80,11 +81,17 @@ class Layout:
         return np.concatenate([[0], np.searchsorted(sorted_hashes, edges), [len(sorted_hashes)]])
 
 
-def layout(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> Layout:
-    """Blocks in proportion to the planner's size of ``docs``; 2^8 counters per byte of it."""
-    size = planned_bytes(docs)
+def layout(docs: DataFrame, text_col: str, block_bytes: int = BLOCK_BYTES) -> Layout:
+    """Blocks in proportion to the bytes of text, which one aggregate measures; 2^6 counters per byte.
+
+    Every block sends to every range, so beyond ``MANY_BLOCKS`` the number of
+    blocks and their size grow alike, with the square root of the input.
+    """
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")).cast("long") + 16)).first()[0] or 1
     blocks = max(8, size // block_bytes)
-    return Layout(blocks, blocks, min(56, max(24, math.ceil(math.log2(max(size, 2))) + 8)))
+    if blocks > MANY_BLOCKS:
+        blocks = int(math.sqrt(blocks * MANY_BLOCKS))
+    return Layout(blocks, blocks, min(56, max(24, math.ceil(math.log2(size)) + 6)))
 
 
 def in_blocks(docs: DataFrame, id_col: str, text_col: str, lay: Layout) -> DataFrame:
@@ -95,7 +102,7 @@ def in_blocks(docs: DataFrame, id_col: str, text_col: str, lay: Layout) -> DataF
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         options = pa.ipc.IpcWriteOptions(compression="zstd")
-        for batch in slices(batches, limit=16 * MB):
+        for batch in slices(batches, limit=8 * MB):
             table = pa.Table.from_batches([batch])
             b = table.column("b").to_numpy()
             order = np.argsort(b, kind="stable")

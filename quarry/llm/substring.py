@@ -63,7 +63,7 @@ def remove_repeats(df: DataFrame, k: int = 20, id_col: str = "doc_id", text_col:
     than all; rows with one id are ordered by a hash of their texts.  Null,
     empty and short texts lose nothing.
     """
-    lay = layout(df.select(id_col, text_col))
+    lay = layout(df, text_col)
     blocks = in_blocks(df, id_col, text_col, lay)
     repeated = shared_counters(blocks, lay, lambda table: _windows(table, k))
     least = np.iinfo(np.int64).min
