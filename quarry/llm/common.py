@@ -14,12 +14,6 @@ from quarry.session import scratch_path
 MB = 1 << 20
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (file sizes for a scan); runs no job."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return min(size, 1 << 60)
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared scratch folder and read back.
 
@@ -36,7 +30,7 @@ def id_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 4 * MB) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = MB) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut so that each holds about ``limit`` bytes of text (one row at least)."""
     for batch in batches:
         if batch.num_rows == 0:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import hashing
-from quarry.llm.common import MB, id_text, slices, texts_of
+from quarry.llm.common import id_text, slices, texts_of
 from quarry.llm.labels import held_out, label_counts, training_rows
 
 # Signs and the letters they stand for.
@@ -115,6 +115,7 @@ _ONE = rf"(?:{_LETTER}|[{re.escape(_SIGNS)}])"
 _SPACED = re.compile(rf"(?<!\w){_ONE}([ ._*\-]){_ONE}(?:\1{_ONE}){{2,}}(?!\w)")
 _MIXED = re.compile(rf"{_LETTER}[{re.escape(_SIGNS)}]+(?={_LETTER})|(?<![\w{re.escape(_SIGNS)}])[{re.escape(_SIGNS)}]{{1,2}}(?={_LETTER}{{2}})")
 _REPEAT = re.compile(rf"({_LETTER})\1\1+", re.I)
+_GAPS = " ._*-"
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]*")
 _BLANKS = " \t\n\x0b\x0c\r"
 _HEAD, _TAIL = "\"'([{<*_", "\"')]}>*_.,;:?!"
@@ -134,19 +135,19 @@ class Decoder:
         """The lattice: for each place its readings (perhaps empty) and their costs."""
         out, i, low = [], 0, piece.lower()
         while i < len(low):
-            c, j = low[i], i + 1
+            c, end = low[i], i + 1
             if c in ALPHABET:
-                while j < len(low) and low[j] == c:
-                    j += 1
-                n = j - i
+                while end < len(low) and low[end] == c:
+                    end += 1
+                n = end - i
                 out.append([(c, 0.0)] if n == 1 else [(c * 2, 0.0), (c, -2.0)] if n == 2 else [(c, -0.5), (c * 2, -0.5)])
             elif c in LEET:
                 out.append([(c, _AS_SIGN), *((x, _AS_LETTER) for x in LEET[c])])
-            elif c in " ._*-":
-                out.append([("", _DROP), (c, _KEEP)])
+            elif c in _GAPS and 0 < i < len(low) - 1 and all(j < 0 or j >= len(low) or low[j] in _GAPS for j in (i - 2, i + 2)):
+                out.append([("", _DROP), (c, _KEEP)])  # between two single characters
             else:
                 out.append([(c, 0.0)])
-            i = j
+            i = end
         return out
 
     def decode(self, piece: str) -> str:
@@ -218,7 +219,7 @@ def disguised(c: hashing.Chars) -> np.ndarray:
 @functools.lru_cache(maxsize=1)
 def _gap_table() -> np.ndarray:
     table = np.zeros(0x10000, bool)
-    table[[ord(s) for s in " ._*-"]] = True
+    table[[ord(s) for s in _GAPS]] = True
     return table
 
 
@@ -347,7 +348,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
 
     def to_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(shared.value)
-        for batch in slices(batches, limit=MB):
+        for batch in slices(batches):
             ids = distinct(restored(texts_of(batch), decoder), params)
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array([x.tobytes() for x in ids], pa.binary())], ["label", "ids"])
 
@@ -379,7 +380,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(shared.value.log_probs)
-        for batch in slices(batches, limit=MB):
+        for batch in slices(batches):
             scores = shared.value.score(restored(texts_of(batch), decoder), params)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], ["doc_id", "score"])
 
@@ -394,7 +395,7 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", threshold:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(shared.value.log_probs)
-        for batch in slices(batches, text_col, MB):
+        for batch in slices(batches, text_col):
             texts = [t or "" for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(shared.value.score(restored(texts, decoder), params) < threshold))
 
