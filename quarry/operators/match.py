@@ -8,19 +8,11 @@ share nothing: a (query, document) pair exists only when they share a gram.
 Queries are de-duplicated before the search and the results joined back,
 so a dirty value repeated in a million records is searched once.
 
-Dense vectors use an exact blocked top-k: queries and corpus are split into
-blocks; each (query block, corpus block) meets in one ``applyInPandas``
-group, which does a matrix product and emits only the local top-k per query;
-a final ``row_number() <= k`` merges the block winners.  Every group is
-bounded by the block sizes, never by the data.
+Dense vectors have their own module, ``quarry.operators.dense``.
 """
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -29,9 +21,9 @@ from quarry.operators.relational import first_n
 
 
 def normalize(text) -> Column:
-    """lower-case, alphanumerics only."""
+    """Lower case, letters and digits of any script only."""
     c = F.col(text) if isinstance(text, str) else text
-    return F.regexp_replace(F.lower(c), "[^a-z0-9]", "")
+    return F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]", "")
 
 
 def char_grams(padded: Column, n: int = 3) -> Column:
@@ -47,6 +39,7 @@ def _gram_tf(df: DataFrame, id_col: str, text: str, n: int) -> DataFrame:
     padded = F.concat(F.lit("^"), normalize(text), F.lit("$"))
     return (
         df.select(F.col(id_col).alias("id"), padded.alias("__s"))
+        .filter(F.length("__s") > 2)  # a text without letters or digits has no grams
         .select("id", F.explode(char_grams(F.col("__s"), n)).alias("gram"))
         .groupBy("id", "gram")
         .agg(F.count(F.lit(1)).alias("tf"))
@@ -80,8 +73,11 @@ def _unit(w: DataFrame) -> DataFrame:
 def index_from_tf(tf: DataFrame) -> tuple[DataFrame, DataFrame, Column]:
     """E1 from a stored ``(id, gram, tf)`` table (e.g. the one ST3 keeps up to
     date by appending epochs): ``(index, idf, n_docs)`` as ``build_index``
-    computes them.  A document re-sent in another epoch counts once (one
-    count per (id, gram), the largest over epochs)."""
+    computes them.  Of a document sent in several epochs (column ``epoch``)
+    only the grams of the newest count."""
+    if "epoch" in tf.columns:
+        newest = tf.groupBy("id").agg(F.max("epoch").alias("epoch"))
+        tf = tf.join(newest, ["id", "epoch"], "left_semi")
     tf = tf.groupBy("id", "gram").agg(F.max("tf").alias("tf"))
     n_docs = tf.select("id").distinct().agg(F.count(F.lit(1))).scalar()
     idf = tf.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).select(
@@ -130,21 +126,26 @@ def batch_search(
     Output ``(q_id, rank, c_id, cosine_similarity, text_match)``.  Scores are
     rounded to ``digits`` before ranking so ties break on the corpus id, the
     same on every engine.  ``filters`` (E5) is a predicate over the joined
-    query/corpus attribute columns, applied inside the candidate join.
+    query/corpus attribute columns (``q_`` and ``c_`` before their names),
+    applied to the candidate pairs before any of them counts towards k.
     """
     index, idf, n_docs = index if index is not None else build_index(corpus, c_id, c_text, n)
     qv = query_vectors(queries, q_id, q_text, idf, n_docs, n)
     eps = 10.0 ** (-digits)
+
+    def allowed(cand: DataFrame) -> DataFrame:
+        if filters is None:
+            return cand
+        qa = queries.select(F.col(q_id).alias("qid"), *[F.col(c).alias(f"q_{c}") for c in queries.columns if c != q_id])
+        ca = corpus.select(F.col(c_id).alias("cid"), *[F.col(c).alias(f"c_{c}") for c in corpus.columns if c != c_id])
+        return cand.join(qa, "qid").join(ca, "cid").filter(filters).select("qid", "cid", "cos")
+
     if min_score is not None:
-        cand = _candidates_above(qv, index, min_score - eps)
+        cand = allowed(_candidates_above(qv, index, min_score - eps))
     elif levels:
-        cand = _cascade_candidates(qv, index, k, levels, digits)
+        cand = _cascade_candidates(qv, index, k, levels, digits, allowed)
     else:
-        cand = _full_candidates(qv, index)
-    if filters is not None:
-        qa = queries.select(F.col(q_id).alias("qid"), *[F.col(c).alias(f"q_{c}") for c in queries.columns if c != q_id])
-        ca = corpus.select(F.col(c_id).alias("cid"), *[F.col(c).alias(f"c_{c}") for c in corpus.columns if c != c_id])
-        cand = cand.join(qa, "qid").join(ca, "cid").filter(filters).select("qid", "cid", "cos")
+        cand = allowed(_full_candidates(qv, index))
     cand = cand.withColumn("cosine_similarity", F.round(F.col("cos").cast("decimal(38,12)"), digits).cast("double"))
     if min_score is not None:
         cand = cand.filter(F.col("cosine_similarity") >= min_score)
@@ -167,7 +168,7 @@ def _full_candidates(qv: DataFrame, index: DataFrame) -> DataFrame:
     ).agg(F.sum(F.col("q.w") * F.col("c.w")).alias("cos"))
 
 
-def _cascade_candidates(qv: DataFrame, index: DataFrame, k: int, levels, digits: int) -> DataFrame:
+def _cascade_candidates(qv: DataFrame, index: DataFrame, k: int, levels, digits: int, allowed) -> DataFrame:
     """Exact top-k candidates by descending score cuts.
 
     At cut t, candidates come from rare-gram prefixes (``_candidates_above``)
@@ -188,13 +189,13 @@ def _cascade_candidates(qv: DataFrame, index: DataFrame, k: int, levels, digits:
     remaining = materialize(qv, scratch_path(spark, "search-queries"))
     parts = []
     for t in sorted(levels, reverse=True):
-        cand = _candidates_above(remaining, index, t - eps)
+        cand = allowed(_candidates_above(remaining, index, t - eps))
         rounded = F.round(F.col("cos").cast("decimal(38,12)"), digits).cast("double")
         cand = materialize(cand.filter(rounded >= t), scratch_path(spark, "search-level"))
         done = cand.groupBy("qid").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= k).select("qid")
         parts.append(cand.join(done, "qid", "left_semi"))
         remaining = remaining.join(done.withColumnRenamed("qid", "id"), "id", "left_anti")
-    parts.append(_full_candidates(remaining, index))
+    parts.append(allowed(_full_candidates(remaining, index)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -223,7 +224,7 @@ def _candidates_above(qv: DataFrame, index: DataFrame, t: float) -> DataFrame:
 
 
 def word_tokens(c: Column) -> Column:
-    return F.array_distinct(F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda w: w != F.lit("")))
+    return F.array_distinct(F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda w: w != F.lit("")))
 
 
 def text_match(a: Column, b: Column) -> Column:
@@ -233,11 +234,6 @@ def text_match(a: Column, b: Column) -> Column:
     return F.when(u == 0, F.lit(0.0)).otherwise(F.size(F.array_intersect(ta, tb)) / u)
 
 
-def best_match(results: DataFrame, q_id: str) -> DataFrame:
-    """The rank-1 result per query."""
-    return results.filter(F.col("rank") == 1)
-
-
 def above(results: DataFrame, q_id: str, min_score: float, score: str = "cosine_similarity") -> DataFrame:
     """Results above a minimum score, with 'shown n of m' counts and
     the overall score = mean of cosine and text match."""
@@ -247,139 +243,6 @@ def above(results: DataFrame, q_id: str, min_score: float, score: str = "cosine_
     return r.withColumn("overall", (F.col("cosine_similarity") + F.col("text_match")) / 2)
 
 
-def dense_topk(
-    queries: DataFrame,
-    q_id: str,
-    q_vec: str,
-    corpus: DataFrame,
-    c_id: str,
-    c_vec: str,
-    k: int,
-    q_blocks: int = 4,
-    c_blocks: int = 4,
-    exclude_self: bool = False,
-    digits: int = 6,
-    max_broadcast_queries: int = 0,
-) -> DataFrame:
-    """Exact top-k cosine neighbours.
-
-    * Broadcast plan, when ``queries`` has at most ``max_broadcast_queries``
-      rows (counted first: the size bound is checked, 64-dim float vectors
-      at 100k queries are ~50 MB): the query matrix is broadcast and every
-      corpus partition is scanned in place by ``mapInPandas``, keeping a
-      running top-k per query; only queries x k rows per partition are
-      shuffled for the final merge.  The corpus is never shuffled.
-    * Blocked plan otherwise (see module doc): each query row is replicated
-      to ``c_blocks`` groups and each corpus row to ``q_blocks`` groups (a
-      fixed fan-out); choose the block counts so |queries|/q_blocks x
-      |corpus|/c_blocks fits one task.
-    """
-    if max_broadcast_queries and queries.count() <= max_broadcast_queries:
-        return _dense_topk_broadcast(queries, q_id, q_vec, corpus, c_id, c_vec, k, exclude_self, digits)
-    qb = queries.select(
-        F.col(q_id).cast("long").alias("qid"),
-        F.col(q_vec).cast("array<double>").alias("v"),
-        F.pmod(F.xxhash64(F.col(q_id)), F.lit(q_blocks)).alias("qb"),
-    ).select("qid", "v", "qb", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))).alias("cb"))
-    cb = corpus.select(
-        F.col(c_id).cast("long").alias("cid"),
-        F.col(c_vec).cast("array<double>").alias("v"),
-        F.pmod(F.xxhash64(F.col(c_id)), F.lit(c_blocks)).alias("cb"),
-    ).select("cid", "v", "cb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("qb"))
-
-    def block(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
-        if qpdf.empty or cpdf.empty:
-            return pd.DataFrame({"qid": [], "cid": [], "score": []})
-        qm = np.stack(qpdf["v"].to_numpy()).astype(np.float64)
-        cm = np.stack(cpdf["v"].to_numpy()).astype(np.float64)
-        qm = qm / np.where((n := np.linalg.norm(qm, axis=1)) == 0, np.nan, n)[:, None]
-        cm = cm / np.where((n := np.linalg.norm(cm, axis=1)) == 0, np.nan, n)[:, None]
-        qids = qpdf["qid"].to_numpy()
-        cids = cpdf["cid"].to_numpy()
-        out_q, out_c, out_s = [], [], []
-        # queries in chunks: a chunk x block similarity matrix stays small
-        # (512 x 20k doubles = 80 MB) whatever the block size
-        for lo in range(0, len(qids), 512):
-            sim = qm[lo : lo + 512] @ cm.T
-            sim = np.where(np.isnan(sim), -np.inf, sim)
-            if exclude_self:
-                sim = np.where(qids[lo : lo + 512, None] == cids[None, :], -np.inf, sim)
-            order = np.lexsort((np.broadcast_to(cids, sim.shape), -sim), axis=1)[:, :k]
-            top_s = np.take_along_axis(sim, order, axis=1)
-            top_c = cids[order]
-            keep = np.isfinite(top_s)
-            out_q.append(np.repeat(qids[lo : lo + 512], order.shape[1]).reshape(order.shape)[keep])
-            out_c.append(top_c[keep])
-            out_s.append(top_s[keep])
-        return pd.DataFrame({"qid": np.concatenate(out_q), "cid": np.concatenate(out_c), "score": np.concatenate(out_s)})
-
-    local = qb.groupBy("qb", "cb").cogroup(cb.groupBy("qb", "cb")).applyInPandas(
-        block, schema="qid long, cid long, score double"
-    )
-    # Local winners were chosen by (score desc, id asc); the merge uses the
-    # same order, so the global top-k is exact.  Scores are rounded last.
-    ranked = first_n(local, "qid", [F.col("score").desc(), F.col("cid")], k, rank_col="rank")
-    return ranked.select(
-        F.col("qid").alias(q_id),
-        "rank",
-        F.col("cid").alias(f"neighbor_{c_id}"),
-        F.round(F.col("score").cast("decimal(38,12)"), digits).cast("double").alias("cosine_similarity"),
-    )
-
-
-def _dense_topk_broadcast(queries, q_id, q_vec, corpus, c_id, c_vec, k, exclude_self, digits, q_chunk: int = 1024):
-    spark = queries.sparkSession
-    qp = queries.select(F.col(q_id).cast("long").alias("qid"), F.col(q_vec).cast("array<double>").alias("v")).toPandas()
-    qids = qp["qid"].to_numpy()
-    qm = np.stack(qp["v"].to_numpy()).astype(np.float64) if len(qp) else np.zeros((0, 1))
-    qn = np.linalg.norm(qm, axis=1)
-    qm = qm / np.where(qn == 0, np.nan, qn)[:, None]
-    bq = spark.sparkContext.broadcast((qids, qm))
-
-    def scan(batches):
-        qids_, qm_ = bq.value
-        nq = len(qids_)
-        best_s = np.full((nq, k), -np.inf)
-        best_c = np.full((nq, k), np.iinfo(np.int64).max, dtype=np.int64)
-        for pdf in batches:
-            if pdf.empty or nq == 0:
-                continue
-            cids = pdf["cid"].to_numpy()
-            cm = np.stack(pdf["v"].to_numpy()).astype(np.float64)
-            cn = np.linalg.norm(cm, axis=1)
-            cm = cm / np.where(cn == 0, np.nan, cn)[:, None]
-            for lo in range(0, nq, q_chunk):
-                sim = qm_[lo : lo + q_chunk] @ cm.T
-                sim = np.where(np.isnan(sim), -np.inf, sim)
-                if exclude_self:
-                    sim = np.where(qids_[lo : lo + q_chunk, None] == cids[None, :], -np.inf, sim)
-                # merge the running top-k with this batch: (score desc, id asc)
-                s_all = np.concatenate([best_s[lo : lo + q_chunk], sim], axis=1)
-                c_all = np.concatenate([best_c[lo : lo + q_chunk], np.broadcast_to(cids, sim.shape)], axis=1)
-                order = np.lexsort((c_all, -s_all), axis=1)[:, :k]
-                best_s[lo : lo + q_chunk] = np.take_along_axis(s_all, order, axis=1)
-                best_c[lo : lo + q_chunk] = np.take_along_axis(c_all, order, axis=1)
-        keep = np.isfinite(best_s)
-        rows_q = np.repeat(qids_, k).reshape(nq, k)[keep] if nq else np.array([], dtype=np.int64)
-        yield pd.DataFrame({"qid": rows_q, "cid": best_c[keep], "score": best_s[keep]})
-
-    local = corpus.select(F.col(c_id).cast("long").alias("cid"), F.col(c_vec).cast("array<double>").alias("v")).mapInPandas(
-        scan, schema="qid long, cid long, score double"
-    )
-    ranked = first_n(local, "qid", [F.col("score").desc(), F.col("cid")], k, rank_col="rank")
-    return ranked.select(
-        F.col("qid").alias(q_id),
-        "rank",
-        F.col("cid").alias(f"neighbor_{c_id}"),
-        F.round(F.col("score").cast("decimal(38,12)"), digits).cast("double").alias("cosine_similarity"),
-    )
-
-
-def blocks_for(n_rows: int, rows_per_block: int = 20000) -> int:
-    """Block count so one block holds about ``rows_per_block`` rows."""
-    return max(1, math.ceil(n_rows / rows_per_block))
-
-
 def normalized_text_hash(text) -> Column:
     """md5 of lower-cased text with blank runs collapsed."""
     c = F.col(text) if isinstance(text, str) else text
@@ -411,84 +274,67 @@ def word_shingles(tok: Column, n: int) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
-def _shingle_rows(df: DataFrame, id_col: str, text: str, n: int, alias: str) -> DataFrame:
+def _shingle_rows(df: DataFrame, id_col: str, text: str, lengths: list[int], alias: str) -> DataFrame:
+    """(alias, sh) with the runs of each of the given numbers of words."""
     from quarry.operators.text import tokens
 
     t = df.select(F.col(id_col).alias(alias), tokens(text).alias("__tok"))
-    return t.select(alias, F.explode(word_shingles(F.col("__tok"), n)).alias("sh"))
+    runs = F.concat(*[word_shingles(F.col("__tok"), n) for n in lengths])
+    return t.select(alias, F.explode(runs).alias("sh"))
 
 
-def containment_search(queries: DataFrame, q_id: str, q_text: str, corpus: DataFrame, c_id: str, c_text: str, n: int = 8, k: int = 1) -> DataFrame:
-    """E4 for passages: corpus rows sharing the most word n-grams with each
-    query, ``(q_id, rank, c_id, shared, q_shingles)``.
+def containment_search(queries: DataFrame, q_id: str, q_text: str, corpus: DataFrame, c_id: str, c_text: str, n: int = 3, k: int = 1) -> DataFrame:
+    """E4 for passages: per query the k corpus rows sharing the most of its word runs.
 
-    The corpus side is exploded into shingles and streamed through the join
-    with the query shingles; only matching shingles survive, so nothing
-    proportional to the corpus is shuffled beyond the join itself.  n-grams
-    this long are rarely common, which keeps the join fan-out small.
+    Output ``(q_id, rank, c_id, shared, q_shingles)``, at least one row per
+    query: one that shares nothing has a null rank and corpus id and shared 0.
+    A query of fewer than ``n`` words is one run of all its words.  The corpus
+    side is exploded into runs of 1..n words and streamed through the join
+    with the query runs; only what matches survives.
     """
-    qs = _shingle_rows(queries, q_id, q_text, n, "qid").distinct()
-    qn = qs.groupBy("qid").agg(F.count(F.lit(1)).alias("q_shingles"))
-    cs = _shingle_rows(corpus, c_id, c_text, n, "cid")
+    from quarry.operators.text import tokens
+
+    tok = queries.select(F.col(q_id).alias("qid"), tokens(q_text).alias("__tok"))
+    run = F.when(F.size("__tok") >= n, word_shingles(F.col("__tok"), n)).when(F.size("__tok") > 0, F.array(F.array_join("__tok", " ")))
+    qs = tok.select("qid", F.explode(run).alias("sh")).distinct()
+    qn = tok.select("qid", F.coalesce(F.size(F.array_distinct(run)), F.lit(0)).cast("long").alias("q_shingles"))
+    cs = _shingle_rows(corpus, c_id, c_text, list(range(1, n + 1)), "cid")
     hits = cs.join(qs, "sh").select("qid", "cid", "sh").distinct()
     cnt = hits.groupBy("qid", "cid").agg(F.count(F.lit(1)).alias("shared"))
     top = first_n(cnt, "qid", [F.col("shared").desc(), F.col("cid")], k, rank_col="rank")
-    return top.join(qn, "qid").select(F.col("qid").alias(q_id), "rank", F.col("cid").alias(c_id), "shared", "q_shingles")
-
-
-def rag_prompts(results: DataFrame, questions: DataFrame, q_id: str, q_text: str, corpus: DataFrame, c_id: str, c_text: str, template: str) -> DataFrame:
-    """Retrieved context + question -> prompt (``template`` has two %s:
-    context, question), ready for ``map_model``."""
-    r = results.join(questions.select(q_id, F.col(q_text).alias("__q")), q_id).join(
-        corpus.select(c_id, F.col(c_text).alias("__c")), c_id
+    return qn.join(top, "qid", "left").select(
+        F.col("qid").alias(q_id), "rank", F.col("cid").alias(c_id), F.coalesce("shared", F.lit(0)).cast("long").alias("shared"), "q_shingles"
     )
-    return r.withColumn("prompt", F.format_string(template, F.col("__c"), F.col("__q"))).drop("__q", "__c")
 
 
-def minhash_band_keys(df: DataFrame, id_col: str, text: str, shingle: int = 5, bands: int = 16, rows: int = 8) -> DataFrame:
-    """LSH band keys ``(id, bk)`` of word-shingle sets (MinHash).
+def rag_prompts(results: DataFrame, questions: DataFrame, q_id: str, q_text: str, corpus: DataFrame, c_id: str, c_text: str, template: str, nothing: str = "(no document)") -> DataFrame:
+    """One prompt per question from all its retrieved documents.
 
-    The signature is ``bands * rows`` independent minimums over the text's
-    shingles (``xxhash64(shingle_hash, i)`` for i in 0..k-1), and each band
-    of ``rows`` minimums is hashed to one key.  Two texts with Jaccard J share a band with
-    probability 1 - (1 - J^rows)^bands: 0.95 at J = 0.8, 0.24 at 0.6 and
-    0.06 at 0.5 for the defaults.  No empty positions exist (every text has
-    at least one shingle), so unrelated texts never collide on empty bands.
+    Output ``(q_id, n_docs, doc_ids, prompt)``: the documents' texts by rank,
+    parted by blank lines, stand in the first %s of ``template`` (``nothing``
+    where there are none), the question in the second.
     """
-    from quarry.operators.text import tokens
-
-    k = bands * rows
-    t = df.select(F.col(id_col).alias("id"), tokens(text).alias("__tok"), F.col(text).alias("__txt"))
-    tok = F.col("__tok")
-    # a text shorter than one shingle is one shingle (its words, or its
-    # normalised text when it has no words), so exact copies always match
-    sh = (
-        F.when(F.size(tok) >= shingle, word_shingles(tok, shingle))
-        .when(F.size(tok) > 0, F.array(F.array_join(tok, " ")))
-        .otherwise(F.array(F.trim(F.regexp_replace(F.lower(F.col("__txt")), r"[ \t\n\r\f]+", " "))))
+    found = results.filter(F.col(c_id).isNotNull()).join(corpus.select(c_id, F.col(c_text).alias("__c")), c_id)
+    context = found.groupBy(q_id).agg(F.array_sort(F.collect_list(F.struct("rank", F.col(c_id).alias("id"), F.col("__c").alias("t")))).alias("__d"))
+    r = questions.select(q_id, F.col(q_text).alias("__q")).join(context, q_id, "left")
+    text = F.coalesce(F.array_join(F.transform("__d", lambda d: d["t"]), "\n\n"), F.lit(nothing))
+    return r.select(
+        q_id,
+        F.coalesce(F.size("__d"), F.lit(0)).alias("n_docs"),
+        F.array_join(F.transform("__d", lambda d: d["id"].cast("string")), ",").alias("doc_ids"),
+        F.format_string(template, text, F.coalesce("__q", F.lit(""))).alias("prompt"),
     )
-    # one row per (text, shingle, hash function): generated code throughout,
-    # and the per-(text, band) minimums are a map-side partial aggregate
-    # (all rows of a text come from one input row, so one task).
-    # distinct shingles first: repeated lines add no information, only work
-    h = t.select("id", F.explode(F.array_distinct(sh)).alias("__sh")).select("id", F.xxhash64("__sh").alias("__h"))
-    h = h.select("id", "__h", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("__i"))
-    h = h.select("id", (F.col("__i") / rows).cast("int").alias("band"), F.pmod(F.col("__i"), F.lit(rows)).alias("__j"),
-                 F.xxhash64("__h", "__i").alias("__v"))
-    mins = h.groupBy("id", "band").agg(*[F.min(F.when(F.col("__j") == j, F.col("__v"))).alias(f"__m{j}") for j in range(rows)])
-    return mins.select("id", F.xxhash64("band", *[f"__m{j}" for j in range(rows)]).alias("bk"))
-
-
-def connected_labels(edges: DataFrame, max_iter: int = 30) -> DataFrame:
+
+
+def connected_labels(edges: DataFrame) -> DataFrame:
     """Connected components of a node-bucket graph ``(id, bk)`` by min-label
     propagation: ``(id, label)`` with label = smallest id of the component.
 
     Each round is two grouped minimums (hot buckets are handled by the
-    map-side partial aggregate) plus one pointer-jumping join.  The round's labels are written as a table
-    under the shared checkpoint folder and read back, which cuts the lineage
-    to one round (a lost executor costs at most one round) in a single job.
-    Stops when no label changes; raises if ``max_iter`` rounds do not
-    converge (never returns partial components).
+    map-side partial aggregate) plus one pointer-jumping join, which shortens
+    label chains geometrically.  The round's labels are written under the
+    shared checkpoint folder and read back, which cuts the lineage to one
+    round.  Ends when no label changes; labels only fall, so it does end.
     """
     from quarry.session import scratch_path
     from quarry.sources.sinks import materialize
@@ -496,11 +342,9 @@ def connected_labels(edges: DataFrame, max_iter: int = 30) -> DataFrame:
     spark = edges.sparkSession
     edges = materialize(edges, scratch_path(spark, "cc-edges"))
     labels = materialize(edges.groupBy("id").agg(F.min("id").alias("label")), scratch_path(spark, "cc-labels"))
-    for _ in range(max_iter):
+    while True:
         bl = edges.join(labels, "id").groupBy("bk").agg(F.min("label").alias("bl"))
         nl = edges.join(bl, "bk").groupBy("id").agg(F.min("bl").alias("label"))
-        # pointer jumping: an id also takes its label's label (same component,
-        # never larger), which shortens label chains geometrically
         hop = nl.select(F.col("id").alias("__l"), F.col("label").alias("__ll"))
         nl = nl.join(hop, nl["label"] == hop["__l"], "left").select(
             "id", F.least(F.col("label"), F.coalesce(F.col("__ll"), F.col("label"))).alias("label")
@@ -510,24 +354,69 @@ def connected_labels(edges: DataFrame, max_iter: int = 30) -> DataFrame:
         labels = nl
         if changed == 0:
             return labels
-    raise RuntimeError(f"connected_labels: no convergence in {max_iter} rounds")
 
 
-def near_duplicate_clusters(
-    df: DataFrame, id_col: str, text: str, shingle: int = 5, bands: int = 16, rows: int = 8, max_iter: int = 30
-) -> DataFrame:
-    """Clusters of near-duplicate texts, ``(id, cluster_id, cluster_size)``
-    for texts in clusters of two or more.
+def shingle_sets(df: DataFrame, id_col: str, text: str, shingle: int) -> DataFrame:
+    """``(id, sh, set_key)``: sorted distinct hashes of a text's word runs, and a key of the whole set.
 
-    Texts meet through shared LSH band buckets, never through pairs: a cluster
-    of k copies costs k rows per band, not k^2 pairs.  Buckets holding one
-    text are dropped before the propagation.
+    A text shorter than one run is one run of its words, or of its normalised
+    text when it has none, so exact copies always have equal sets.
     """
-    bk = minhash_band_keys(df, id_col, text, shingle, bands, rows)
-    multi = bk.groupBy("bk").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("bk")
-    edges = bk.join(multi, "bk")
-    labels = connected_labels(edges, max_iter)
-    size = labels.groupBy("label").agg(F.count(F.lit(1)).alias("cluster_size"))
-    return labels.join(size, "label").select(
-        F.col("id").alias(id_col), F.col("label").alias("cluster_id"), "cluster_size"
+    from quarry.operators.text import tokens
+
+    t = df.select(F.col(id_col).alias("id"), tokens(text).alias("__tok"), F.coalesce(F.col(text), F.lit("")).alias("__txt"))
+    tok = F.col("__tok")
+    runs = (
+        F.when(F.size(tok) >= shingle, word_shingles(tok, shingle))
+        .when(F.size(tok) > 0, F.array(F.array_join(tok, " ")))
+        .otherwise(F.array(F.trim(F.regexp_replace(F.lower(F.col("__txt")), r"[ \t\n\r\f]+", " "))))
     )
+    sh = F.array_sort(F.array_distinct(F.transform(runs, lambda r: F.xxhash64(r))))
+    return t.select("id", sh.alias("sh")).withColumn("set_key", F.sha2(F.to_csv(F.struct(F.array_join(F.transform("sh", lambda x: x.cast("string")), ",").alias("s"))), 256))
+
+
+def similar_pairs(sets: DataFrame, threshold: float) -> DataFrame:
+    """``(id_a, id_b, jaccard)`` of all sets ``(id, sh)`` with Jaccard >= ``threshold``, each pair once.
+
+    Runs are ordered by how many sets hold them, rarest first.  Two sets that
+    reach the threshold share a run among the first n - ceil(threshold * n) + 1
+    of each, so candidates come from these rare prefixes alone; sizes that
+    cannot match are dropped in the join and the rest verified on whole sets.
+    """
+    runs = sets.select("id", F.size("sh").alias("n"), F.explode("sh").alias("r"))
+    df = runs.groupBy("r").agg(F.count(F.lit(1)).alias("df"))
+    order = Window.partitionBy("id").orderBy("df", "r")
+    ranked = runs.join(df, "r").withColumn("i", F.row_number().over(order))
+    keep = ranked.filter((F.col("i") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1) & (F.col("df") > 1))
+    a, b = keep.select("r", F.col("id").alias("id_a"), F.col("n").alias("na")), keep.select("r", F.col("id").alias("id_b"), F.col("n").alias("nb"))
+    near = (F.col("id_a") < F.col("id_b")) & (F.col("na") >= threshold * F.col("nb") - 1e-9) & (F.col("nb") >= threshold * F.col("na") - 1e-9)
+    cand = a.join(b, "r").filter(near).select("id_a", "id_b").distinct()
+    whole = cand.join(sets.select(F.col("id").alias("id_a"), F.col("sh").alias("sa")), "id_a").join(sets.select(F.col("id").alias("id_b"), F.col("sh").alias("sb")), "id_b")
+    common = F.size(F.array_intersect("sa", "sb"))
+    j = whole.select("id_a", "id_b", (common / (F.size("sa") + F.size("sb") - common)).alias("jaccard"))
+    return j.filter(F.col("jaccard") >= threshold - 1e-12)
+
+
+def near_duplicate_pairs(df: DataFrame, id_col: str, text: str, threshold: float = 0.8, shingle: int = 5) -> tuple[DataFrame, DataFrame]:
+    """``(members, pairs)``: each text's representative (smallest id with
+    an equal set), and the pairs of representatives reaching ``threshold``."""
+    from quarry.session import scratch_path
+    from quarry.sources.sinks import materialize
+
+    sets = materialize(shingle_sets(df, id_col, text, shingle), scratch_path(df.sparkSession, "shingle-sets"))
+    reps = sets.groupBy("set_key").agg(F.min("id").alias("rep_id"))
+    members = sets.select("id", "set_key").join(reps, "set_key").select("id", "rep_id")
+    first = sets.join(reps.select(F.col("rep_id").alias("id")), "id", "left_semi").select("id", "sh")
+    return members, similar_pairs(first, threshold)
+
+
+def near_duplicate_clusters(df: DataFrame, id_col: str, text: str, threshold: float = 0.8, shingle: int = 5) -> DataFrame:
+    """Clusters of texts connected by Jaccard >= ``threshold``, as
+    ``(id, cluster_id, cluster_size)`` for clusters of two or more."""
+    members, pairs = near_duplicate_pairs(df, id_col, text, threshold, shingle)
+    by_rep = members.select("id", F.concat(F.lit("m"), F.col("rep_id").cast("string")).alias("bk"))
+    name = F.concat(F.lit("p"), F.col("id_a").cast("string"), F.lit("_"), F.col("id_b").cast("string"))
+    links = pairs.select(F.explode(F.array("id_a", "id_b")).alias("id"), name.alias("bk"))
+    labels = connected_labels(by_rep.unionByName(links))
+    size = labels.groupBy("label").agg(F.count(F.lit(1)).alias("cluster_size")).filter("cluster_size > 1")
+    return labels.join(size, "label").select(F.col("id").alias(id_col), F.col("label").alias("cluster_id"), "cluster_size")

@@ -11,12 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators.match import batch_search, blocks_for, dense_topk
+from quarry.operators.dense import dense_topk
+from quarry.operators.match import above, batch_search
 from quarry.plans.registry import query
 from quarry.sources.tables import load
 
 K = 5
-MAX_BROADCAST_QUERIES = 100_000
 MIN_SCORE = 0.30  # fixed value: the search app's default minimum similarity
 
 
@@ -64,14 +64,14 @@ def _r6(x: str) -> str:
 
 
 def _sql_tokens(x: str) -> str:
-    return f"list_distinct(list_filter(regexp_split_to_array(lower({x}), '[^a-z0-9]+'), lambda w: w <> ''))"
+    return f"list_distinct(list_filter(regexp_split_to_array(lower({x}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> ''))"
 
 
 def _sql_grams(src: str) -> str:
     return (
         f"SELECT id, substring(s, i, 3) AS gram, COUNT(*) AS tf FROM ("
         f"SELECT id, s, unnest(generate_series(1, greatest(length(s) - 2, 1))) AS i FROM ("
-        f"SELECT id, '^' || regexp_replace(lower(id), '[^a-z0-9]', '', 'g') || '$' AS s FROM {src})) GROUP BY id, gram"
+        f"SELECT id, '^' || regexp_replace(lower(id), '[^\\p{{L}}\\p{{N}}]', '', 'g') || '$' AS s FROM {src}) WHERE length(s) > 2) GROUP BY id, gram"
     )
 
 
@@ -147,19 +147,10 @@ FROM r WHERE rank <= {K}
 
 @query("embedding_knn", KNN_SQL)
 def embedding_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact 5 nearest neighbours (cosine) of every embedding.
-
-    The oracle is the brute-force all-pairs join; ours scans the corpus
-    against the broadcast (count-checked) query matrix, or the blocked
-    matrix product beyond that bound (no pair is materialised as a row)."""
+    """Exact 5 nearest neighbours (cosine) of every embedding, by
+    pivot cells; the oracle is the brute-force all-pairs join."""
     emb = load(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    n = emb.count()
-    b = max(2, blocks_for(n))
-    # up to 100k query vectors (counted) are broadcast; beyond, blocked plan
-    return dense_topk(
-        emb, "vec_id", "embedding", emb, "vec_id", "embedding", K, b, b, exclude_self=True,
-        max_broadcast_queries=MAX_BROADCAST_QUERIES,
-    )
+    return dense_topk(emb, "vec_id", "embedding", emb, "vec_id", "embedding", K, exclude_self=True)
 
 
 # ---------------------------------------------------------------------------
@@ -190,3 +181,60 @@ def name_matches_above(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     overall = (F.col("cosine_similarity") + F.col("text_match")) / 2
     return r.withColumn("overall", F.round(overall.cast("decimal(38,12)"), 6).cast("double"))
+
+
+# ---------------------------------------------------------------------------
+# E8: "shown n of m": of the top 5 of every dirty name, those at or above 0.5.
+# ---------------------------------------------------------------------------
+SHOWN_CUT = 0.5
+SHOWN_SQL = f"""
+WITH s AS ({SQL_SEARCH})
+SELECT dirty_name, rank, master_name, cosine_similarity, m AS n_results, COUNT(*) OVER (PARTITION BY dirty_name) AS n_shown
+FROM (SELECT *, COUNT(*) OVER (PARTITION BY dirty_name) AS m FROM s) WHERE cosine_similarity >= {SHOWN_CUT}
+"""
+
+
+@query("name_matches_shown", SHOWN_SQL)
+def name_matches_shown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = above(name_search(spark, sf_dir), "dirty_name", SHOWN_CUT)
+    return r.select("dirty_name", "rank", "master_name", "cosine_similarity", "n_results", "n_shown")
+
+
+# ---------------------------------------------------------------------------
+# E5: the best golden name of the same first letter, with score levels; the
+# oracle ranks after the same filter and without levels.
+# ---------------------------------------------------------------------------
+FILTERED_SQL = SQL_SEARCH.replace("GROUP BY qi.id, mi.id)", "WHERE lower(left(qi.id, 1)) = lower(left(mi.id, 1)) GROUP BY qi.id, mi.id)").replace(
+    f"WHERE rank <= {K}", "WHERE rank <= 2"
+)
+
+
+@query("name_search_filtered", FILTERED_SQL)
+def name_search_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = dirty_parts(spark, sf_dir).select("dirty_name").distinct().withColumn("first", F.lower(F.substring("dirty_name", 1, 1)))
+    m = masters(spark, sf_dir).withColumn("first", F.lower(F.substring("master_name", 1, 1)))
+    return batch_search(
+        q, "dirty_name", "dirty_name", m, "master_name", "master_name", 2, filters=F.col("q_first") == F.col("c_first"), levels=CASCADE
+    )
+
+
+# ---------------------------------------------------------------------------
+# E1/E3 beyond ASCII: the first words of every document of another language,
+# run together, against the words themselves.
+# ---------------------------------------------------------------------------
+_FOREIGN = "SELECT DISTINCT substring(text, 1, 24) AS id FROM documents WHERE lang <> 'en' AND length(text) > 24"
+FOREIGN_SQL = (
+    SQL_SEARCH.replace("m AS (SELECT DISTINCT p_name AS id FROM part)", f"m AS ({_FOREIGN})")
+    .replace("q AS (SELECT DISTINCT dirty_name AS id FROM parts)", "q AS (SELECT DISTINCT replace(id, ' ', '') AS id FROM m WHERE length(id) % 2 = 0)")
+    .replace(f"WHERE rank <= {K}", "WHERE rank = 1")
+    .replace("AS dirty_name,", "AS spelled,")
+    .replace("cid AS master_name", "cid AS words")
+)
+
+
+@query("foreign_words_search", FOREIGN_SQL)
+def foreign_words_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").filter((F.col("lang") != "en") & (F.length("text") > 24))
+    m = docs.select(F.substring("text", 1, 24).alias("words")).distinct()
+    q = m.filter(F.length("words") % 2 == 0).select(F.replace("words", F.lit(" "), F.lit("")).alias("spelled")).distinct()
+    return batch_search(q, "spelled", "spelled", m, "words", "words", 1, levels=CASCADE)

@@ -1,18 +1,22 @@
 """Pipeline D retrieval over `documents` and `benchmark`: exact duplicate
-groups (E11) and retrieve-then-prompt (E14)."""
+groups, near duplicates (E11) and retrieve-then-prompt (E14, A14)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators.match import containment_search, exact_duplicates, near_duplicate_clusters, rag_prompts
+from quarry.operators.match import containment_search, exact_duplicates, near_duplicate_clusters, near_duplicate_pairs, rag_prompts
 from quarry.operators.text import extractive_answer, map_model
 from quarry.plans.registry import query
 from quarry.plans.text import SQL_TOKENS
-from quarry.sources.tables import load, spread
+from quarry.session import scratch_path
+from quarry.sources.sinks import materialize
+from quarry.sources.tables import load
 
-SHINGLE = 8  # fixed value: words per shingle
+SHINGLE = 3  # words per run shared by question and document
+CONTEXT = 2  # documents in a prompt
+THRESHOLD = 0.8  # Jaccard similarity of near duplicates
 # Fixed value: the prompt template (context, then question).
 TEMPLATE = "Context:\n%s\n\nQuestion: %s"
 
@@ -29,61 +33,91 @@ def duplicate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(docs, "doc_id", "text").select("doc_id", "text_hash", "rep_id", "n_copies")
 
 
-def _sql_shingles(src: str, id_col: str) -> str:
-    tok = SQL_TOKENS
+def _sql_runs(src: str, id_col: str, n: str) -> str:
+    """(id, sh): runs of ``n`` tokens (an SQL expression over ``tok``)."""
     return (
-        f"SELECT {id_col} AS id, array_to_string(list_slice(tok, i, i + {SHINGLE - 1}), ' ') AS sh FROM ("
-        f"SELECT {id_col}, tok, unnest(generate_series(1, len(tok) - {SHINGLE - 1})) AS i FROM ("
-        f"SELECT {id_col}, {tok} AS tok FROM {src}) WHERE len(tok) >= {SHINGLE})"
+        f"SELECT DISTINCT id, array_to_string(list_slice(tok, i, i + n - 1), ' ') AS sh FROM ("
+        f"SELECT id, tok, n, unnest(generate_series(1, len(tok) - n + 1)) AS i FROM ("
+        f"SELECT {id_col} AS id, {SQL_TOKENS} AS tok, {n} AS n FROM {src}) WHERE len(tok) >= n AND n > 0)"
     )
 
 
 RAG_SQL = f"""
-WITH qs AS (SELECT DISTINCT id, sh FROM ({_sql_shingles('benchmark', 'item_id')})),
-qn AS (SELECT id, COUNT(*) AS q_shingles FROM qs GROUP BY id),
-cs AS ({_sql_shingles('documents', 'doc_id')}),
-hits AS (SELECT DISTINCT qs.id AS qid, cs.id AS cid, qs.sh FROM cs JOIN qs ON cs.sh = qs.sh),
-cnt AS (SELECT qid, cid, COUNT(*) AS shared FROM hits GROUP BY qid, cid),
-top AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY qid ORDER BY shared DESC, cid) AS rank FROM cnt)
-SELECT top.qid AS item_id, CAST(top.rank AS INTEGER) AS rank, top.cid AS doc_id, top.shared, qn.q_shingles,
-       CAST(length('Context:' || chr(10) || d.text || chr(10) || chr(10) || 'Question: ' || b.text) AS INTEGER) AS prompt_chars,
-       md5('Context:' || chr(10) || d.text || chr(10) || chr(10) || 'Question: ' || b.text) AS prompt_md5
-FROM top JOIN qn ON top.qid = qn.id JOIN documents d ON d.doc_id = top.cid JOIN benchmark b ON b.item_id = top.qid
-WHERE top.rank = 1
+WITH qs AS ({_sql_runs('benchmark', 'item_id', f'least({SHINGLE}, len({SQL_TOKENS}))')}),
+cs AS ({' UNION ALL '.join(_sql_runs('documents', 'doc_id', str(n)) for n in range(1, SHINGLE + 1))}),
+cnt AS (SELECT qs.id AS qid, cs.id AS cid, COUNT(DISTINCT qs.sh) AS shared FROM cs JOIN qs ON cs.sh = qs.sh GROUP BY ALL),
+top AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY qid ORDER BY shared DESC, cid) AS rank FROM cnt),
+ctx AS (SELECT qid, COUNT(*) AS n, string_agg(CAST(cid AS VARCHAR), ',' ORDER BY rank) AS ids, string_agg(text, chr(10) || chr(10) ORDER BY rank) AS body
+        FROM top JOIN documents ON doc_id = cid WHERE rank <= {CONTEXT} GROUP BY qid),
+p AS (SELECT item_id, CAST(coalesce(n, 0) AS INTEGER) AS n_docs, ids AS doc_ids,
+             'Context:' || chr(10) || coalesce(body, '(no document)') || chr(10) || chr(10) || 'Question: ' || coalesce(text, '') AS prompt
+      FROM benchmark LEFT JOIN ctx ON qid = item_id)
+SELECT item_id, n_docs, doc_ids, CAST(length(prompt) AS INTEGER) AS prompt_chars, md5(prompt) AS prompt_md5 FROM p
 """
 
 
-@query("rag_retrieval", RAG_SQL)
-def rag_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For every benchmark question, the document sharing the most
-    8-word shingles, and the prompt built from it (T1's input)."""
-    docs = spread(load(spark, sf_dir, "documents").select("doc_id", "text"))
+def rag_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One prompt per benchmark question, written once."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     bench = load(spark, sf_dir, "benchmark").select("item_id", "text")
-    top = containment_search(bench, "item_id", "text", docs, "doc_id", "text", n=SHINGLE, k=1)
-    p = rag_prompts(top, bench, "item_id", "text", docs, "doc_id", "text", TEMPLATE)
-    return p.select(
-        "item_id", "rank", "doc_id", "shared", "q_shingles",
-        F.length("prompt").alias("prompt_chars"), F.md5("prompt").alias("prompt_md5"),
-    )
+    top = containment_search(bench, "item_id", "text", docs, "doc_id", "text", n=SHINGLE, k=CONTEXT)
+    prompts = rag_prompts(top, bench, "item_id", "text", docs, "doc_id", "text", TEMPLATE)
+    return materialize(prompts, scratch_path(spark, "rag-prompts"))
 
 
-@query("near_duplicate_documents")
-def near_duplicate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Near-duplicate clusters of documents (MinHash bands + connected
-    components).  Probabilistic by construction, so no SQL oracle; tests
-    check it against brute-force Jaccard on a fixture and that every exact
-    duplicate group lies inside one cluster."""
-    docs = spread(load(spark, sf_dir, "documents").select("doc_id", "text"))
-    return near_duplicate_clusters(docs, "doc_id", "text")
+@query("rag_retrieval", RAG_SQL)
+def rag_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every benchmark question, the documents sharing most of
+    its word runs as one context, and the prompt built from it (T1's input)."""
+    p = rag_table(spark, sf_dir)
+    return p.select("item_id", "n_docs", "doc_ids", F.length("prompt").alias("prompt_chars"), F.md5("prompt").alias("prompt_md5"))
 
 
 @query("rag_answers")
 def rag_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E14 + T1: retrieve, build the prompt, run the model over the distinct
     prompts (``map_model``: Arrow batches, errors captured per row)."""
-    docs = spread(load(spark, sf_dir, "documents").select("doc_id", "text"))
-    bench = load(spark, sf_dir, "benchmark").select("item_id", "text")
-    top = containment_search(bench, "item_id", "text", docs, "doc_id", "text", n=SHINGLE, k=1)
-    p = rag_prompts(top, bench, "item_id", "text", docs, "doc_id", "text", TEMPLATE)
-    out = map_model(p.select("item_id", "doc_id", "prompt"), "prompt", "answer", extractive_answer)
-    return out.select("item_id", "doc_id", "answer", "answer_error", F.length("prompt").alias("prompt_chars"))
+    out = map_model(rag_table(spark, sf_dir), "prompt", "answer", extractive_answer)
+    return out.select("item_id", "n_docs", "answer", "answer_error", F.length("prompt").alias("prompt_chars"))
+
+
+_SQL_SETS = rf"""
+d AS (SELECT doc_id, coalesce(text, '') AS text, {SQL_TOKENS} AS tok FROM documents),
+x AS (SELECT doc_id, tok, text, unnest(generate_series(1, greatest(1, len(tok) - 4))) AS i FROM d),
+g AS (SELECT DISTINCT doc_id, CASE WHEN len(tok) > 0 THEN array_to_string(list_slice(tok, i, i + 4), ' ')
+                                   ELSE trim(regexp_replace(lower(text), '[ \t\n\r\f]+', ' ', 'g')) END AS s FROM x),
+n AS (SELECT doc_id, COUNT(*) AS n FROM g GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, COUNT(*) AS c FROM g a JOIN g b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+j AS (SELECT a, b, CAST(c AS DOUBLE) / (x.n + y.n - c) AS jaccard FROM o JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id),
+l AS (SELECT * FROM j WHERE jaccard >= {THRESHOLD} - 1e-12)
+""".replace("\\\\", "\\")
+
+NEAR_PAIRS_SQL = f"""
+WITH {_SQL_SETS},
+rep AS (SELECT doc_id FROM d WHERE doc_id NOT IN (SELECT b FROM l WHERE jaccard = 1))
+SELECT a AS id_a, b AS id_b, CAST(ROUND(CAST(jaccard AS DECIMAL(38,12)), 6) AS DOUBLE) AS jaccard
+FROM l WHERE a IN (FROM rep) AND b IN (FROM rep)
+"""
+
+NEAR_CLUSTERS_SQL = f"""
+WITH RECURSIVE {_SQL_SETS},
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT a AS id, a AS seen FROM e UNION SELECT r.id, e.b FROM r JOIN e ON r.seen = e.a),
+c AS (SELECT id, MIN(seen) AS cluster_id FROM r GROUP BY id)
+SELECT id AS doc_id, cluster_id, COUNT(*) OVER (PARTITION BY cluster_id) AS cluster_size FROM c
+"""
+
+
+@query("near_duplicate_documents", NEAR_CLUSTERS_SQL)
+def near_duplicate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of documents connected by Jaccard >= 0.8 of their word runs."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicate_clusters(docs, "doc_id", "text", THRESHOLD)
+
+
+@query("near_duplicate_scores", NEAR_PAIRS_SQL)
+def near_duplicate_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scores between representatives (the smallest id of equal sets)."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    pairs = near_duplicate_pairs(docs, "doc_id", "text", THRESHOLD)[1]
+    return pairs.withColumn("jaccard", F.round(F.col("jaccard").cast("decimal(38,12)"), 6).cast("double"))

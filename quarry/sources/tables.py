@@ -29,12 +29,6 @@ def load_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {t: load(spark, sf_dir, t) for t in TABLES}
 
 
-def register_views(spark: SparkSession, sf_dir: str) -> None:
-    """Expose every driver table as a temp view for ``spark.sql``."""
-    for t in TABLES:
-        load(spark, sf_dir, t).createOrReplaceTempView(t)
-
-
 def values(spark: SparkSession, rows, schema) -> DataFrame:
     """Inline literal table with an explicit schema."""
     return spark.createDataFrame(rows, schema)
@@ -85,20 +79,3 @@ def read_files(spark: SparkSession, path: str, glob: str = "*", as_text: bool =
 def from_local(spark: SparkSession, pdf, schema: T.StructType | str) -> DataFrame:
     """Local pandas frame -> DataFrame through Arrow, schema always given."""
     return spark.createDataFrame(pdf, schema=schema)
-
-
-def spread(df: DataFrame, slots: int | None = None) -> DataFrame:
-    """Round-robin repartition for CPU-heavy per-row work (regex, tokenising)
-    when the scan yields fewer splits than there are task slots.
-
-    A large table read from many files/row groups already has more splits
-    than slots and is returned unchanged (no shuffle added); a table stored
-    as one row group would otherwise run on a single core.  Planning only
-    (no job) to count the splits.
-    """
-    try:
-        slots = slots or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): leave the plan as is
-        return df
-    return df if splits >= slots else df.repartition(slots)

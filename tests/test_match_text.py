@@ -1,8 +1,10 @@
 """Matching and text operators on hand-written frames and the golden set."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from quarry.operators.match import above, batch_search, dense_topk, text_match
+from quarry.operators.dense import assign_cells, cell_visits, choose_pivots, dense_topk
+from quarry.operators.match import above, batch_search, containment_search, near_duplicate_pairs, rag_prompts, text_match
 from quarry.operators.text import classify, detect_language, extract_fields, map_model, parse_pages, sentiment, typed
 from quarry.plans.matching import MIN_SCORE
 from quarry.plans.text import LEXICON, STOPWORDS
@@ -39,22 +41,83 @@ def test_above_and_text_match(spark):
     assert t.select(text_match(F.col("a"), F.col("b")).alias("j")).first().j == 1 / 3
 
 
-def test_dense_topk_matches_brute_force(spark):
+def _brute_topk(vecs, k):
     import numpy as np
 
-    rng = np.random.default_rng(7)
-    vecs = rng.normal(size=(60, 8))
-    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vecs)], "id long, v array<double>")
-    blocked = dense_topk(df, "id", "v", df, "id", "v", 3, q_blocks=3, c_blocks=4, exclude_self=True)
-    bcast = dense_topk(df, "id", "v", df.repartition(5), "id", "v", 3, exclude_self=True, max_broadcast_queries=1000)
-    got = {(r.id, r.rank): r.neighbor_id for r in blocked.collect()}
-    assert got == {(r.id, r.rank): r.neighbor_id for r in bcast.collect()}
     nv = vecs / np.linalg.norm(vecs, axis=1, keepdims=True)
     sim = nv @ nv.T
     np.fill_diagonal(sim, -np.inf)
-    for i in range(60):
-        top = list(np.argsort(-sim[i], kind="stable")[:3])
-        assert [got[(i, r)] for r in (1, 2, 3)] == top
+    return {(i, r + 1): int(j) for i in range(len(vecs)) for r, j in enumerate(np.argsort(-sim[i], kind="stable")[:k])}
+
+
+@pytest.mark.parametrize("pivots,part_rows", [(64, 4096), (5, 7), (1, 1000), (16, 3)])
+@pytest.mark.parametrize("clusters", [0, 6])
+def test_dense_topk_matches_brute_force(spark, pivots, part_rows, clusters):
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    vecs = rng.normal(size=(60, 8))
+    if clusters:
+        vecs = rng.normal(size=(clusters, 8))[np.arange(60) % clusters] + 0.05 * vecs
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vecs)] + [(98, [0.0] * 8), (99, None)], "id long, v array<double>")
+    got = dense_topk(df, "id", "v", df, "id", "v", 3, exclude_self=True, pivots=pivots, part_rows=part_rows).collect()
+    assert {(r.id, r.rank): r.neighbor_id for r in got} == _brute_topk(vecs, 3)
+
+
+def test_dense_topk_string_ids_ties_and_empty(spark):
+    df = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [2.0, 0.0]), ("c", [0.5, 0.0]), ("d", [0.0, 1.0])], "id string, v array<double>")
+    got = dense_topk(df, "id", "v", df, "id", "v", 2, exclude_self=True)
+    rows = {(r.id, r.rank): (r.neighbor_id, r.cosine_similarity) for r in got.collect()}
+    assert rows[("a", 1)] == ("b", 1.0) and rows[("a", 2)] == ("c", 1.0) and rows[("d", 1)] == ("a", 0.0)
+    assert dense_topk(df, "id", "v", df.limit(0), "id", "v", 2).collect() == []
+
+
+def test_dense_topk_visits_grow_slower_than_all_pairs(spark):
+    """On clustered data the cells a query may not skip stay few as the table grows."""
+    import numpy as np
+
+    def visited(n):
+        rng = np.random.default_rng(3)
+        centres = rng.normal(size=(n // 20, 16))
+        vecs = centres[np.arange(n) % len(centres)] + 0.02 * rng.normal(size=(n, 16))
+        df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vecs)], "cid long, v array<double>")
+        p = choose_pivots(df, n // 10)
+        cells = assign_cells(df, p)
+        sizes = {r.cell: (r.widest, r.n) for r in cells.groupBy("cell").agg(F.max("angle").alias("widest"), F.count("*").alias("n")).collect()}
+        q = df.select(F.col("cid").alias("qid"), "v", F.lit(0.99).alias("floor"))
+        reach = {c: w for c, (w, _) in sizes.items()}
+        hit = cell_visits(q, p, reach, home=True).unionByName(cell_visits(q, p, reach, home=False))
+        return sum(sizes[r.cell][1] for r in hit.select("cell").collect())
+
+    small, large = visited(400), visited(1600)
+    assert large < 6 * small < 0.5 * 400 * 400 * 6
+
+
+def test_containment_search_answers_every_question(spark):
+    docs = spark.createDataFrame([(1, "the quick brown fox jumps"), (2, "a lazy dog sleeps here"), (3, "the quick brown dog")], "id long, t string")
+    q = spark.createDataFrame([(1, "quick brown fox"), (2, "dog"), (3, "nothing alike"), (4, None), (5, "!!")], "qid long, t string")
+    got = containment_search(q, "qid", "t", docs, "id", "t", n=3, k=2).collect()
+    assert sorted((r.qid, r.rank or 0, r.id or 0, r.shared) for r in got) == [(1, 1, 1, 1), (2, 1, 2, 1), (2, 2, 3, 1), (3, 0, 0, 0), (4, 0, 0, 0), (5, 0, 0, 0)]
+    top = containment_search(q, "qid", "t", docs, "id", "t", n=3, k=2)
+    prompts = {r.qid: r for r in rag_prompts(top, q, "qid", "t", docs, "id", "t", "%s|%s").collect()}
+    assert prompts[2].doc_ids == "2,3" and prompts[2].prompt == "a lazy dog sleeps here\n\nthe quick brown dog|dog"
+    assert prompts[3].n_docs == 0 and prompts[3].prompt == "(no document)|nothing alike" and len(prompts) == 5
+
+
+def test_filters_apply_before_levels_decide(spark):
+    m = spark.createDataFrame([("alpha one", "x"), ("alpha two", "y"), ("alpha", "x")], "name string, kind string")
+    q = spark.createDataFrame([("alpha", "y")], "q string, kind string")
+    cond = F.col("q_kind") == F.col("c_kind")
+    for levels in (None, (0.6, 0.3), (0.9,)):
+        r = batch_search(q, "q", "q", m, "name", "name", k=1, filters=cond, levels=levels).collect()
+        assert [x.name for x in r] == ["alpha two"], levels
+
+
+def test_names_of_any_script(spark):
+    m = spark.createDataFrame([("北京大学",), ("Москва",), ("東京大学",), ("???",)], "name string")
+    q = spark.createDataFrame([("北京 大学",), ("москва!",), ("--",)], "q string")
+    got = {r.q: (r.name, r.cosine_similarity) for r in batch_search(q, "q", "q", m, "name", "name", k=1).collect()}
+    assert got["москва!"] == ("Москва", 1.0) and got["北京 大学"] == ("北京大学", 1.0) and "--" not in got
 
 
 def test_extract_and_typed(spark):
@@ -152,6 +215,12 @@ def test_near_duplicate_clusters_vs_brute_force(spark):
             if a < b and j < 0.2:
                 assert got.get(a) is None or got.get(a) != got.get(b), (a, b, j)
     assert got[98] == got[99]
+    for cut in (0.5, 0.8):
+        members, pairs = near_duplicate_pairs(df, "id", "t", cut)
+        rep = {r.id: r.rep_id for r in members.collect()}
+        found = {(r.id_a, r.id_b): r.jaccard for r in pairs.collect()}
+        want = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in sets for b in sets if a < b and rep[a] == a and rep[b] == b}
+        assert found == pytest.approx({k: v for k, v in want.items() if v >= cut})
 
 
 def test_prefix_filtered_search_is_exact(spark):
@@ -177,7 +246,7 @@ def test_connected_labels_long_chain_converges(spark):
 
     # node i and i+1 share bucket i: one component of 200 nodes
     edges = spark.createDataFrame([(i, b) for b in range(199) for i in (b, b + 1)], "id long, bk long")
-    labels = {r.id: r.label for r in connected_labels(edges, max_iter=30).collect()}
+    labels = {r.id: r.label for r in connected_labels(edges).collect()}
     assert len(labels) == 200 and set(labels.values()) == {0}
 
 

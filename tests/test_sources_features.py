@@ -243,12 +243,18 @@ def test_search_against_stream_refreshed_index(spark):
     assert sorted(map(key, direct.collect())) == sorted(map(key, stored.collect()))
 
 
-def test_spread_only_repartitions_narrow_scans(spark):
-    from quarry.sources.tables import load, spread
-
-    narrow = load(spark, "/root/testdata/sf0.001", "documents")  # one row group -> one split
-    assert narrow.rdd.getNumPartitions() == 1
-    assert spread(narrow, slots=4).rdd.getNumPartitions() == 4
-    wide = spark.range(0, 100, numPartitions=6)
-    assert spread(wide, slots=4) is wide  # enough splits already: plan unchanged, no shuffle
-    assert sorted(r.doc_id for r in spread(narrow, slots=4).collect()) == sorted(r.doc_id for r in narrow.collect())
+def test_updated_document_loses_its_old_grams(spark):
+    from quarry.operators.match import batch_search, index_from_tf
+    from quarry.streaming.stream import refresh_index
+
+    root = tmp("idx2")
+    first = spark.createDataFrame([(1, "alpha"), (2, "beta")], "id long, name string")
+    changed = spark.createDataFrame([(1, "omega")], "id long, name string")
+    run = refresh_index(f"{root}/tf", "id", "name")
+    run(first, 0)
+    run(changed, 1)
+    now = spark.createDataFrame([(1, "omega"), (2, "beta")], "id long, name string")
+    q = spark.createDataFrame([("alpha",), ("omega",)], "q string")
+    got = batch_search(q, "q", "q", now, "id", "name", k=2, index=index_from_tf(spark.read.parquet(f"{root}/tf")))
+    assert {(r.q, r.id): r.cosine_similarity for r in got.collect()}[("omega", 1)] == 1.0
+    assert not [r for r in got.collect() if r.q == "alpha" and r.id == 1 and r.cosine_similarity > 0.3]
