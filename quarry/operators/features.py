@@ -32,7 +32,6 @@ class FeatureView:
     cols: list[str] | None = None
     prefix: str = ""
     time_bucket: str | None = None
-    key_buckets: int = 64
     path: str | None = field(default=None)
 
     def feature_cols(self) -> list[str]:
@@ -49,14 +48,11 @@ class FeatureView:
         }
 
     def materialize(self, root: str) -> "FeatureView":
-        """Write under ``root/name/version`` (overwrite), partitioned by key hash."""
+        """Write under ``root/name/version`` (overwrite), as the rows lie: no
+        shuffle, so a hot key is written by as many tasks as hold its rows."""
         self.path = f"{root.rstrip('/')}/{self.name}/{self.version}"
-        kb = F.pmod(F.xxhash64(*self.keys), F.lit(self.key_buckets)).alias("__kb")
-        out = self.df.select("*", kb).repartition("__kb")
-        if self.timestamp_col:
-            out = out.sortWithinPartitions(*self.keys, self.timestamp_col)
-        out.write.mode("overwrite").partitionBy("__kb").parquet(self.path)
-        self.df = self.df.sparkSession.read.parquet(self.path).drop("__kb")
+        self.df.write.mode("overwrite").parquet(self.path)
+        self.df = self.df.sparkSession.read.parquet(self.path)
         return self
 
 

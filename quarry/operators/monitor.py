@@ -122,6 +122,32 @@ def psi(baseline: DataFrame, current: DataFrame, col: str, bins: int = 10, by=No
     return full.groupBy(*keys).agg(F.sum((p - qq) * F.log(p / qq)).alias("psi"))
 
 
+def daily_psi(df: DataFrame, ts: str, col: str, baseline_end: str, bins: int = 10) -> DataFrame:
+    """M20 per day against the days before ``baseline_end``, on equal-width
+    edges of those days: (day, psi).
+
+    The table is read twice, for the edges (one row) and for the counts per
+    day and bin; the baseline's shares are sums of the same counts, written
+    once.
+    """
+    from quarry.session import scratch_path
+    from quarry.sources.sinks import materialize
+
+    spark = df.sparkSession
+    x = df.select(F.to_date(ts).alias("day"), F.col(col).alias("v")).filter(F.col("v").isNotNull())
+    before = F.col("day") < F.lit(baseline_end).cast("date")
+    edges = x.filter(before).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    counts = x.join(F.broadcast(edges)).groupBy("day", bin_expr("v", F.col("lo"), F.col("hi"), bins).alias("bin")).agg(F.count(F.lit(1)).alias("k"))
+    counts = materialize(counts, scratch_path(spark, "psi-counts"))  # days x bins rows
+    base = counts.filter(before).groupBy("bin").agg(F.sum("k").alias("k"))
+    q = base.select("bin", (F.col("k") / F.sum("k").over(Window.partitionBy())).alias("q"))
+    p = counts.withColumn("p", F.col("k") / F.sum("k").over(Window.partitionBy("day"))).drop("k")
+    grid = counts.select("day").distinct().select("day", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    full = grid.join(p, ["day", "bin"], "left").join(F.broadcast(q), "bin", "left")
+    p_, q_ = (F.greatest(F.coalesce(F.col(c), F.lit(0.0)), F.lit(EPS)) for c in ("p", "q"))
+    return full.groupBy("day").agg(F.sum((p_ - q_) * F.log(p_ / q_)).alias("psi"))
+
+
 def monitor_performance(df: DataFrame, ts: str, y: str, yhat: str, by=None) -> DataFrame:
     """Regression error per 1-day tumbling window (and group).
 

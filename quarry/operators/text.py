@@ -17,6 +17,7 @@ word, no aggregation).
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable, Mapping
 
@@ -52,13 +53,15 @@ def extract_all(text, pattern: str, group: int = 0, distinct: bool = True) -> Co
 def extract_fields(df: DataFrame, text: str, spec: Mapping[str, tuple]) -> DataFrame:
     """Schema-driven extraction.
 
-    ``spec = {name: (pattern, type, many)}``; ``many`` gives an array of all
-    matches, else the first match (group 1 when the pattern has a group)
-    cast leniently to ``type`` (NULL when it does not parse).
+    ``spec = {name: (pattern, type, many)}`` or ``(pattern, type, many,
+    group)``; ``many`` gives an array of all matches, else the first match
+    cast leniently to ``type`` (NULL when it does not parse).  Without a
+    group number, the first capturing group counts if there is one, else the
+    whole match.
     """
     cols = {}
-    for name, (pattern, typ, many) in spec.items():
-        grp = 1 if "(" in pattern.replace(r"\(", "") else 0
+    for name, (pattern, typ, many, *group) in spec.items():
+        grp = group[0] if group else min(1, _capturing_groups(pattern))
         if many:
             cols[name] = extract_all(text, pattern, grp)
         else:
@@ -68,6 +71,13 @@ def extract_fields(df: DataFrame, text: str, spec: Mapping[str, tuple]) -> DataF
     return df.withColumns(cols)
 
 
+def _capturing_groups(pattern: str) -> int:
+    """Number of capturing groups: unescaped ``(`` outside classes, not followed by ``?`` unless it names a group."""
+    bare = re.sub(r"\\.", "", pattern)
+    bare = re.sub(r"\[\^?\]?[^\]]*\]", "", bare)
+    return len(re.findall(r"\((?!\?)|\(\?<(?![=!])", bare))
+
+
 def typed(df: DataFrame, spec: Mapping[str, tuple]) -> DataFrame:
     """Typed finishing of extracted strings.
 
@@ -222,7 +232,7 @@ def decode_entities(c: Column) -> Column:
 
 
 def parse_pages(df: DataFrame, html: str = "html") -> DataFrame:
-    """HTML -> title, heading count, links, visible text.
+    """HTML -> title, heading count and texts, links, visible text and its blocks.
 
     script/style/nav blocks and comments are dropped, block tags become
     newlines, the remaining tags disappear, entities are decoded and runs
@@ -239,13 +249,19 @@ def parse_pages(df: DataFrame, html: str = "html") -> DataFrame:
     body = decode_entities(body)
     body = F.regexp_replace(body, r"[ \t\r\f]+", " ")
     body = F.trim(F.regexp_replace(body, r" ?\n[ \n]*", "\n"))
+    headings = F.transform(
+        F.regexp_extract_all(h, F.lit(r"(?is)<h[1-6][^>]*>(.*?)</h[1-6]\s*>"), 1),
+        lambda x: F.trim(F.regexp_replace(decode_entities(F.regexp_replace(x, r"<[^>]*>", " ")), r"\s+", " ")),
+    )
     title = decode_entities(F.trim(F.regexp_extract(h, r"(?is)<title[^>]*>(.*?)</title>", 1)))
     return df.withColumns(
         {
             "title": title,
             "n_headings": F.size(F.regexp_extract_all(h, F.lit(r"(?i)<h[1-6][\s>]"), 0)),
             "n_links": F.size(F.regexp_extract_all(h, F.lit(r"(?i)<a\s[^>]*href"), 0)),
+            "headings": headings,
             "text": body,
+            "blocks": F.filter(F.split(body, "\n"), lambda b: F.trim(b) != ""),
         }
     )
 
@@ -254,10 +270,11 @@ def map_model(
     df: DataFrame,
     prompt_col: str,
     out_col: str,
-    fn: Callable[[str], str],
+    fn: Callable,
     retries: int = 5,
     base_delay: float = 0.5,
     is_throttle: Callable[[Exception], bool] | None = None,
+    batch: int | None = None,
 ) -> DataFrame:
     """T1/E13/UD4: run a model over a prompt column.
 
@@ -266,13 +283,17 @@ def map_model(
     ``<out_col>_error`` instead of failing the job.  Throttling errors are
     retried with exponential back-off up to ``retries`` tries; other errors
     give up at once.
+
+    With ``batch``, ``fn`` takes a list of up to that many prompts and returns
+    as many answers, one call for all; a list that fails is tried again
+    prompt by prompt, so one bad prompt costs only its own answer.
     """
     throttled = is_throttle or (lambda e: "throttl" in str(e).lower() or "429" in str(e))
 
     def call(p):
         for attempt in range(retries):
             try:
-                r = fn(p)
+                r = fn([p])[0] if batch else fn(p)
                 # any answer becomes text: the output column is a string
                 return (None if r is None else str(r)), None
             except Exception as e:  # noqa: BLE001
@@ -281,6 +302,21 @@ def map_model(
                 time.sleep(base_delay * (2**attempt))
         return None, "retries exhausted"
 
+    def call_all(prompts):
+        if not batch:
+            return [call(p) for p in prompts]
+        out = []
+        for at in range(0, len(prompts), batch):
+            some = prompts[at : at + batch]
+            try:
+                answers = fn(some)
+                if len(answers) != len(some):
+                    raise ValueError(f"{len(answers)} answers to {len(some)} prompts")
+                out += [(None if r is None else str(r), None) for r in answers]
+            except Exception:  # noqa: BLE001
+                out += [call(p) for p in some]
+        return out
+
     # distinct prompts by their md5: long prompts (whole documents) are not
     # used as shuffle or join keys; the text travels once, as a value
     keyed = df.withColumn("__pk", F.md5(F.col(prompt_col)))
@@ -288,7 +324,7 @@ def map_model(
 
     def run_with_key(batches):
         for pdf in batches:
-            res = [call(p) for p in pdf[prompt_col]]
+            res = call_all(list(pdf[prompt_col]))
             yield pd.DataFrame(
                 {"__pk": pdf["__pk"], out_col: [r[0] for r in res], f"{out_col}_error": [r[1] for r in res]}
             )
@@ -313,8 +349,6 @@ def extractive_answer(prompt: str) -> str:
     """A deterministic stand-in model for ``map_model``: from a
     'Context: ... Question: ...' prompt, the context sentence sharing the
     most words with the question (first one on ties; '' without context)."""
-    import re
-
     ctx, _, question = prompt.rpartition("\n\nQuestion: ")
     ctx = ctx.removeprefix("Context:\n")
     words = lambda s: set(re.findall(r"\w+", s.lower()))

@@ -230,39 +230,60 @@ def forecast(
     ts: str,
     y: str,
     coef: dict,
-    lags: list[int],
+    cfg: dict | None = None,
+    exog: tuple[str, ...] = (),
     out: str = "forecast",
 ) -> DataFrame:
-    """Recursive h-step forecast per key with a linear model on lags.
-
-    ``coef`` = {"intercept": b0, "lag_<n>": b_n} (e.g. from a Spark ML
-    LinearRegression, broadcast here as a tiny dict).  Each key's history
-    and future rows go to one ``applyInPandas`` call; the loop over h steps
-    feeds each prediction back as the next lag.  A key's group is its daily
-    series (bounded by the calendar span), never raw events.
+    """Recursive forecast per key with a linear model on the features of
+    ``ts_features`` plus exogenous columns.
+
+    ``coef`` maps "intercept" and feature names (``<y>_lag_7``,
+    ``<y>_lag7_roll7_mean``, ``<y>_expanding_mean``, ``day_of_week``, an
+    ``exog`` column, ...) to weights; names without a weight count nothing.
+    The rows after a key's last known ``y`` are predicted in order, each
+    prediction feeding the lags and windows of the next.  A feature that is
+    NULL (too little history, a gap, a NULL exogenous value) makes the
+    forecast NULL, never a changed number; NULLs inside the history stay
+    unknown and are not forecast.  A key's group is its daily series, bounded
+    by the calendar span, never raw events.
     """
-    b0 = float(coef.get("intercept", 0.0))
-    bs = [float(coef.get(f"lag_{n}", 0.0)) for n in lags]
+    cfg = cfg or DEFAULT_TS_CONFIG
     kt = history_future.schema[key].dataType.simpleString()
+    weights = {n: float(b) for n, b in coef.items() if n != "intercept"}
+    b0 = float(coef.get("intercept", 0.0))
+
+    def features(vals: np.ndarray, i: int, day: pd.Timestamp, row: dict) -> dict:
+        f = {f"{y}_lag_{n}": vals[i - n] if i >= n else math.nan for n in cfg["lags"]}
+        for lag, win, stats in cfg["rolling"]:
+            window = vals[max(0, i - lag - win + 1) : max(0, i - lag + 1)]
+            full = len(window) == win and not np.isnan(window).any()
+            if "mean" in stats:
+                f[f"{y}_lag{lag}_roll{win}_mean"] = window.mean() if full else math.nan
+            if "std" in stats:
+                f[f"{y}_lag{lag}_roll{win}_std"] = window.std(ddof=1) if full and win > 1 else math.nan
+        if cfg.get("expanding_lag"):
+            past = vals[: max(0, i - cfg["expanding_lag"] + 1)]
+            past = past[~np.isnan(past)]
+            f[f"{y}_expanding_mean"] = past.mean() if len(past) else math.nan
+        if cfg.get("calendar"):
+            f |= {"day_of_week": day.weekday(), "month": day.month, "quarter": (day.month + 2) // 3, "week_of_year": day.isocalendar()[1]}
+        return f | row
 
     def per_key(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(ts)
         vals = pdf[y].astype("float64").to_numpy().copy()
-        known = ~np.isnan(vals)
-        pred = np.full(len(vals), np.nan)
-        for i in range(len(vals)):
-            if known[i]:
-                continue
-            x = b0
-            for n, b in zip(lags, bs):
-                j = i - n
-                x += b * (vals[j] if j >= 0 and not math.isnan(vals[j]) else 0.0)
-            pred[i] = x
-            vals[i] = x
-        return pd.DataFrame({key: pdf[key].to_numpy(), ts: pdf[ts].to_numpy(), out: pred})[~known]
-
-    return (
-        history_future.select(key, ts, y)
+        known = np.flatnonzero(~np.isnan(vals))
+        first = known[-1] + 1 if len(known) else 0
+        days = pd.to_datetime(pdf[ts])
+        extra = {c: pdf[c].astype("float64").to_numpy() for c in exog}
+        for i in range(first, len(vals)):
+            f = features(vals, i, days.iloc[i], {c: v[i] for c, v in extra.items()})
+            vals[i] = b0 + sum(b * f.get(n, math.nan) for n, b in weights.items())
+        return pd.DataFrame({key: pdf[key].to_numpy()[first:], ts: pdf[ts].to_numpy()[first:], out: vals[first:]})
+
+    scored = (
+        history_future.select(key, ts, y, *exog)
         .groupBy(key)
         .applyInPandas(per_key, schema=f"{key} {kt}, {ts} date, {out} double")
     )
+    return scored.withColumn(out, F.when(~F.isnan(out), F.col(out)))

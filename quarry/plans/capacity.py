@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quarry.functions.scalar import money, round_half_up
-from quarry.operators.monitor import attach_actuals, monitor_performance, psi
+from quarry.functions.scalar import money, round_half_up, safe_div
+from quarry.operators.monitor import attach_actuals, daily_psi, monitor_performance
 from quarry.operators.timeseries import (
     DEFAULT_TS_CONFIG,
+    forecast,
     forecast_errors,
     future_stubs,
     rolling_origin_cv,
@@ -23,6 +24,8 @@ from quarry.operators.timeseries import (
 )
 from quarry.plans.common import sql_r
 from quarry.plans.registry import query
+from quarry.session import scratch_path
+from quarry.sources.sinks import materialize
 from quarry.sources.tables import load
 
 # Forecast horizon, number of CV windows, PSI bins and the
@@ -154,58 +157,154 @@ def _sql_bin(col: str) -> str:
     )
 
 
+# Versions of the forecast model: a line through (y a week before, y), fitted
+# on the days up to each cutoff (fixed values).
+CUTOFFS = {"v1": "2024-01-16", "v2": "2024-01-22"}
+FIRST_SCORED = "2024-01-23"
+
+_SQL_LINE = """
+COUNT(*) AS n, SUM(x) AS sx, SUM(y) AS sy, SUM(x * y) AS sxy, SUM(x * x) AS sxx"""
+_SQL_SLOPE = "CAST(n * sxy - sx * sy AS DOUBLE) / NULLIF(CAST(n * sxx - sx * sx AS DOUBLE), 0)"
+
 BQ12_SQL = f"""
 WITH d AS ({SQL_DAILY}),
-pw AS (SELECT series, ds, y, LAG(y, 7) OVER (PARTITION BY series ORDER BY ds) AS v1,
-              LAG(y, 1) OVER (PARTITION BY series ORDER BY ds) AS v2 FROM d),
-pred AS (SELECT series, ds AS forecast_date, 'v1' AS model, v1 AS predicted FROM pw
-         UNION ALL SELECT series, ds, 'v2', v2 FROM pw),
-src AS (SELECT p.*, d.y FROM pred p LEFT JOIN d ON p.series = d.series AND p.forecast_date = d.ds),
+xy AS (SELECT series, ds, y, LAG(y, 7) OVER (PARTITION BY series ORDER BY ds) AS x FROM d),
+cut(model, day) AS (VALUES {', '.join(f"('{m}', DATE '{x}')" for m, x in CUTOFFS.items())}),
+sums AS (SELECT model, {_SQL_LINE} FROM xy JOIN cut ON ds <= day WHERE x IS NOT NULL GROUP BY model),
+line AS (SELECT model, b, (CAST(sy AS DOUBLE) - b * CAST(sx AS DOUBLE)) / CAST(n AS DOUBLE) AS a FROM (SELECT *, {_SQL_SLOPE} AS b FROM sums)),
+pred AS (SELECT model, ds AS day, y, a + b * CAST(x AS DOUBLE) AS yhat FROM xy, line WHERE ds >= DATE '{FIRST_SCORED}' AND x IS NOT NULL AND b IS NOT NULL),
 perf AS (
-    SELECT forecast_date AS day, model, COUNT(*) AS n,
-           {sql_r('SQRT(CAST(SUM((y - predicted) * (y - predicted)) AS DOUBLE) / COUNT(*))', 9)} AS rmse,
-           {sql_r('AVG(CASE WHEN ABS(y) + ABS(predicted) = 0 THEN 0.0 ELSE ABS(y - predicted) / CAST(ABS(y) + ABS(predicted) AS DOUBLE) END)', 9)} AS smape
-    FROM src WHERE y IS NOT NULL AND predicted IS NOT NULL GROUP BY forecast_date, model
+    SELECT day, model, COUNT(*) AS n, {sql_r('SQRT(AVG((y - yhat) * (y - yhat)))', 6)} AS rmse,
+           {sql_r('AVG(CASE WHEN ABS(y) + ABS(yhat) = 0 THEN 0.0 ELSE ABS(y - yhat) / (ABS(y) + ABS(yhat)) END)', 6)} AS smape
+    FROM pred GROUP BY day, model
 ),
-base AS (SELECT value FROM events WHERE ts < TIMESTAMP '{BASELINE_END}' AND value IS NOT NULL),
-e AS (SELECT MIN(value) AS lo, MAX(value) AS hi FROM base),
-bq AS (SELECT {_sql_bin('value')} AS bin, COUNT(*) AS qn FROM base, e GROUP BY 1),
-q AS (SELECT bin, qn / SUM(qn) OVER () AS q FROM bq),
-pc AS (SELECT CAST(ts AS DATE) AS day, {_sql_bin('value')} AS bin, COUNT(*) AS pn FROM events, e WHERE value IS NOT NULL GROUP BY 1, 2),
-p AS (SELECT day, bin, pn / SUM(pn) OVER (PARTITION BY day) AS p FROM pc),
-grid AS (SELECT dd.day, CAST(b.bin AS INTEGER) AS bin FROM (SELECT DISTINCT day FROM p) dd, range({PSI_BINS}) b(bin)),
-fl AS (SELECT g.day, GREATEST(COALESCE(p.p, 0.0), 1e-4) AS p, GREATEST(COALESCE(q.q, 0.0), 1e-4) AS q
+e AS (SELECT MIN(value) AS lo, MAX(value) AS hi FROM events WHERE ts < TIMESTAMP '{BASELINE_END}'),
+c AS (SELECT CAST(ts AS DATE) AS day, {_sql_bin('value')} AS bin, COUNT(*) AS k FROM events, e WHERE value IS NOT NULL GROUP BY 1, 2),
+q AS (SELECT bin, SUM(k) / SUM(SUM(k)) OVER () AS q FROM c WHERE day < DATE '{BASELINE_END}' GROUP BY bin),
+p AS (SELECT day, bin, k / SUM(k) OVER (PARTITION BY day) AS p FROM c),
+grid AS (SELECT day, CAST(b.bin AS INTEGER) AS bin FROM (SELECT DISTINCT day FROM c), range({PSI_BINS}) b(bin)),
+fl AS (SELECT g.day, GREATEST(COALESCE(p, 0.0), 1e-4) AS p, GREATEST(COALESCE(q, 0.0), 1e-4) AS q
        FROM grid g LEFT JOIN p ON g.day = p.day AND g.bin = p.bin LEFT JOIN q ON g.bin = q.bin),
-drift AS (SELECT day, {sql_r('SUM((p - q) * LN(p / q))', 9)} AS psi_value FROM fl GROUP BY day)
-SELECT perf.day, perf.model, perf.n, perf.rmse, perf.smape, drift.psi_value
-FROM perf LEFT JOIN drift ON perf.day = drift.day
+drift AS (SELECT day, {sql_r('SUM((p - q) * LN(p / q))', 6)} AS psi_value FROM fl GROUP BY day)
+SELECT perf.day, model, n, rmse, smape, psi_value FROM perf LEFT JOIN drift ON perf.day = drift.day
 """
 
 
+def line_fit(df: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
+    """Least-squares line ``y = a + b x`` per group from exact integer sums: (by, a, b)."""
+    s = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(x).alias("sx"),
+        F.sum(y).alias("sy"),
+        F.sum(F.col(x) * F.col(y)).alias("sxy"),
+        F.sum(F.col(x) * F.col(x)).alias("sxx"),
+    )
+    b = safe_div(F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy"), F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx"))
+    s = s.withColumn("b", b)
+    return s.select(*by, ((F.col("sy").cast("double") - F.col("b") * F.col("sx").cast("double")) / F.col("n").cast("double")).alias("a"), "b")
+
+
 @query("bq12_drift_and_error", BQ12_SQL)
 def bq12_drift_and_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     """BQ12: per day and model version, forecast error and feature drift.
 
-    v1 = seasonal-naive (lag 7), v2 = naive (lag 1) predictions are joined
-    to the actuals on renamed keys (M18/J3), scored per 1-day window (M21),
-    and the day's `value` distribution is compared with the baseline
-    period by PSI (M20).
+    The versions are the same model fitted up to two cutoffs; both score the
+    days after, joined to the actuals on renamed keys (M18/J3, M21), and each
+    day's `value` distribution is compared with the baseline period by PSI
+    (M20).  ``events`` is read three times: once for the daily series, which
+    is written, once for the bin edges and once for the counts.
     """
-    d = daily_series(spark, sf_dir)
-    w = Window.partitionBy("series").orderBy("ds")
-    pw = d.select("series", "ds", F.lag("y", 7).over(w).alias("v1"), F.lag("y", 1).over(w).alias("v2"))
-    pred = pw.select(
-        "series",
-        F.col("ds").alias("forecast_date"),
-        F.expr("stack(2, 'v1', v1, 'v2', v2) AS (model, predicted)"),
-    )
+    d = materialize(daily_series(spark, sf_dir).select("series", "ds", "y"), scratch_path(spark, "daily-series"))
+    xy = d.withColumn("x", F.lag("y", 7).over(Window.partitionBy("series").orderBy("ds")))
+    version = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.lit(x).cast("date").alias("cutoff")) for m, x in CUTOFFS.items()]))
+    fits = line_fit(xy.withColumn("v", version).filter(F.col("ds") <= F.col("v.cutoff")).withColumn("model", F.col("v.model")), ["model"], "x", "y")
+    scored = xy.filter((F.col("ds") >= F.lit(FIRST_SCORED).cast("date")) & F.col("x").isNotNull())
+    pred = scored.select("series", F.col("ds").alias("forecast_date"), "x").join(F.broadcast(fits.filter("b IS NOT NULL")))
+    pred = pred.select("series", "forecast_date", "model", (F.col("a") + F.col("b") * F.col("x").cast("double")).alias("predicted"))
     src = attach_actuals(pred, d, ["series", "forecast_date"], ["series", "ds"], "y")
     perf = monitor_performance(src, "forecast_date", "y", "predicted", by="model").select(
-        "day", "model", "n", round_half_up("rmse", 9).alias("rmse"), round_half_up("smape", 9).alias("smape")
-    )
-    ev = load(spark, sf_dir, "events")
-    base = ev.filter(F.col("ts") < F.lit(BASELINE_END).cast("timestamp_ntz"))
-    drift = psi(base, ev.withColumn("day", F.to_date("ts")), "value", PSI_BINS, by="day").select(
-        "day", round_half_up("psi", 9).alias("psi_value")
+        "day", "model", "n", round_half_up("rmse", 6).alias("rmse"), round_half_up("smape", 6).alias("smape")
     )
+    ev = load(spark, sf_dir, "events").select("ts", "value")
+    drift = daily_psi(ev, "ts", "value", BASELINE_END, PSI_BINS).select("day", round_half_up("psi", 6).alias("psi_value"))
     return perf.join(drift, "day", "left")
+
+
+# ---------------------------------------------------------------------------
+# M13 with a model: per fold, the line is fitted on the training rows of all
+# series and scored on the H days after the cutoff (their lag is history).
+# ---------------------------------------------------------------------------
+CV_SCORE_SQL = f"""
+WITH d AS ({SQL_DAILY}),
+xy AS (SELECT series, ds, y, LAG(y, 7) OVER (PARTITION BY series ORDER BY ds) AS x, MAX(ds) OVER (PARTITION BY series) AS mx FROM d),
+f AS (SELECT xy.*, k.fold, ds <= mx - CAST(k.fold * {H} AS INTEGER) AS train, ds <= mx - CAST(k.fold * {H} AS INTEGER) + {H} AS kept FROM xy, range(1, {N_WINDOWS + 1}) k(fold)),
+sums AS (SELECT fold, {_SQL_LINE} FROM f WHERE train AND x IS NOT NULL GROUP BY fold),
+line AS (SELECT fold, b, (CAST(sy AS DOUBLE) - b * CAST(sx AS DOUBLE)) / CAST(n AS DOUBLE) AS a FROM (SELECT *, {_SQL_SLOPE} AS b FROM sums)),
+s AS (SELECT f.fold, y, a + b * CAST(x AS DOUBLE) AS yhat FROM f JOIN line ON f.fold = line.fold WHERE kept AND NOT train AND x IS NOT NULL)
+SELECT CAST(fold AS BIGINT) AS fold, COUNT(*) AS n, {sql_r('SQRT(AVG((y - yhat) * (y - yhat)))', 6)} AS rmse,
+       {sql_r('AVG(CASE WHEN ABS(y) + ABS(yhat) = 0 THEN 0.0 ELSE ABS(y - yhat) / (ABS(y) + ABS(yhat)) END)', 6)} AS smape
+FROM s GROUP BY fold
+"""
+
+
+@query("cv_model_scores", CV_SCORE_SQL)
+def cv_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rolling-origin CV that fits and scores a model on every fold."""
+    d = daily_series(spark, sf_dir).select("series", "ds", "y")
+    xy = d.withColumn("x", F.lag("y", 7).over(Window.partitionBy("series").orderBy("ds")))
+    folds = materialize(rolling_origin_cv(xy, "series", "ds", H, N_WINDOWS), scratch_path(spark, "cv-folds"))
+    fits = line_fit(folds.filter("role = 'train'"), ["fold"], "x", "y")
+    valid = folds.filter("role = 'valid' AND x IS NOT NULL").join(F.broadcast(fits), "fold")
+    valid = valid.withColumn("yhat", F.col("a") + F.col("b") * F.col("x").cast("double"))
+    per, _ = forecast_errors(valid, "fold", "y", "yhat")
+    return per.select(F.col("fold").cast("bigint").alias("fold"), "n", round_half_up("rmse", 6).alias("rmse"), round_half_up("smape", 6).alias("smape"))
+
+
+# ---------------------------------------------------------------------------
+# M16 with given weights: lag 1 (fed back), lag 7, the 7-row mean a week back,
+# the weekday and a carried exogenous column; the oracle recurses day by day.
+# ---------------------------------------------------------------------------
+WEIGHTS = {"intercept": 2.0, "y_lag_1": 0.3, "y_lag_7": 0.25, "y_lag7_roll7_mean": 0.35, "day_of_week": 0.5, "active_users": 0.04}
+
+GIVEN_SQL = f"""
+WITH RECURSIVE d AS ({SQL_DAILY}),
+l AS (SELECT series, MAX(ds) AS last, arg_max(y, ds) AS y, arg_max(active_users, ds) AS au FROM d GROUP BY series),
+f(series, k, last, au, yhat) AS (
+    SELECT series, 0, last, au, CAST(y AS DOUBLE) FROM l
+    UNION ALL
+    SELECT f.series, k + 1, last, au,
+           {WEIGHTS['intercept']} + {WEIGHTS['y_lag_1']} * yhat + {WEIGHTS['active_users']} * au
+           + {WEIGHTS['day_of_week']} * (isodow(last + k + 1) - 1)
+           + {WEIGHTS['y_lag_7']} * (SELECT y FROM d WHERE d.series = f.series AND d.ds = f.last + f.k - 6)
+           + {WEIGHTS['y_lag7_roll7_mean']} * (SELECT CASE WHEN COUNT(*) = 7 THEN AVG(y) END FROM d WHERE d.series = f.series AND d.ds BETWEEN f.last + f.k - 12 AND f.last + f.k - 6)
+    FROM f WHERE k < {H}
+)
+SELECT series, CAST(last + k AS DATE) AS ds, {sql_r('yhat', 6)} AS forecast FROM f WHERE k > 0
+"""
+
+
+@query("forecast_given_weights", GIVEN_SQL)
+def forecast_given_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stubs = future_stubs(daily_series(spark, sf_dir), "series", "ds", "y", H, EXOG)
+    f = forecast(stubs, "series", "ds", "y", WEIGHTS, exog=("active_users",))
+    return f.withColumn("forecast", round_half_up("forecast", 6))
+
+
+# ---------------------------------------------------------------------------
+# W5/W6 on a long series: monthly net sales per brand, all features of the
+# recipe (the 28 x 28 window needs 56 months).
+# ---------------------------------------------------------------------------
+SQL_MONTHLY = (
+    "SELECT p_brand AS series, CAST(date_trunc('month', CAST(l_shipdate AS DATE)) AS DATE) AS ds, "
+    "CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS y, COUNT(*) AS active_users, CAST(MAX(l_linenumber) AS DOUBLE) AS value_sum "
+    "FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2"
+)
+
+
+@query("brand_monthly_features", _sql_ts_features().replace(SQL_DAILY, SQL_MONTHLY).replace("SELECT series, ds, y, active_users, value_sum,", "SELECT series, ds, y,"))
+def brand_monthly_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = load(spark, sf_dir, "lineitem").select("l_partkey", "l_shipdate", "l_quantity")
+    part = load(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("series"))
+    month = F.trunc(F.to_date("l_shipdate"), "month").alias("ds")
+    m = li.join(part, li.l_partkey == part.p_partkey).groupBy("series", month).agg(F.sum(F.col("l_quantity").cast("bigint")).alias("y"))
+    return ts_features(m, "series", "ds", "y")

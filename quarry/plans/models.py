@@ -1,5 +1,5 @@
-"""Model training / scoring / comparison queries (no SQL oracle: the driver
-records a rows-only check; tests bound the metrics)."""
+"""Model training / scoring / comparison queries.  Fitted models have no SQL
+form; ``tests/test_models.py`` bounds what each of them must reach."""
 
 from __future__ import annotations
 
@@ -20,8 +20,8 @@ from quarry.operators.ml import (
     train_regressor,
     train_text_logreg,
 )
-from quarry.operators.timeseries import forecast, future_stubs, ts_features
-from quarry.plans.capacity import EXOG, H, daily_series
+from quarry.operators.timeseries import forecast, forecast_errors, future_stubs, ts_features
+from quarry.plans.capacity import CUTOFFS, EXOG, FIRST_SCORED, H, daily_series
 from quarry.plans.maintenance import LAG_COLS, bq9_training_dataset
 from quarry.plans.registry import query
 from quarry.session import scratch_path
@@ -29,10 +29,13 @@ from quarry.sources.sinks import materialize, snapshot
 from quarry.sources.tables import load
 
 LABEL = "failure_in_1_day"
-# Training windows of model versions 1 and 2, and the test window.
+# Training and validation windows of model versions 1 and 2
+# (validation stops the boosting) and the test window, which only scores.
 RANGES = {
-    "train_v1": ("2024-01-04", "2024-01-16"),
-    "train_v2": ("2024-01-04", "2024-01-22"),
+    "train_v1": ("2024-01-04", "2024-01-13"),
+    "valid_v1": ("2024-01-14", "2024-01-16"),
+    "train_v2": ("2024-01-04", "2024-01-19"),
+    "valid_v2": ("2024-01-20", "2024-01-22"),
     "test": ("2024-01-23", "2024-01-30"),
 }
 
@@ -53,18 +56,19 @@ def failure_model_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     # F7 + S14: the training dataset is an immutable versioned snapshot (with
     # a manifest of rows, columns and sources) under the shared folder; the
     # model fits scan it many times, and the written table cuts the lineage.
-    ds = bq9_training_dataset(spark, sf_dir).withColumn("date", F.col("date").cast("string"))
+    ds = bq9_training_dataset(spark, sf_dir)
     ds = snapshot(ds, scratch_path(spark, "datasets"), "failure_dataset", "v1", sources=["events"])
     parts = split_by_date(ds, "date", RANGES)
     runs = []
     models = {}
-    for name, train in (("gbt_v1", parts["train_v1"]), ("gbt_v2", parts["train_v2"])):
-        # 10 rounds at most, stopped early on the evaluation window
-        m = train_gbt(train, LAG_COLS, LABEL, max_iter=10, seed=42, impute=True, validation=parts["test"])
+    for version in ("v1", "v2"):
+        name = f"gbt_{version}"
+        # 10 rounds at most, stopped early on the validation window
+        m = train_gbt(parts[f"train_{version}"], LAG_COLS, LABEL, max_iter=10, seed=42, impute=True, validation=parts[f"valid_{version}"])
         path = save_model(m, scratch_path(spark, f"model-{name}"))
         models[name] = m
         pred = score(parts["test"], path)
-        runs.append(log_run(spark, name, {"model": "gbt", "max_iter": 10, "impute": "mean", "early_stopping": "validation", "train_to": RANGES["train_" + name[-2:]][1]}, _metrics(pred, LABEL)))
+        runs.append(log_run(spark, name, {"model": "gbt", "max_iter": 10, "impute": "mean", "early_stopping": "validation", "train_to": RANGES[f"train_{version}"][1]}, _metrics(pred, LABEL)))
     lr = train_logreg(parts["train_v2"], LAG_COLS, LABEL, impute=True)
     runs.append(log_run(spark, "logreg_v2", {"model": "logreg", "impute": "mean"}, _metrics(score(parts["test"], lr), LABEL)))
     log = runs[0]
@@ -95,14 +99,51 @@ def doc_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_run(spark, "doc_quality_logreg", {"features": "hashed words 2^16"}, met)
 
 
+# What the recursive model learns from: lags, a rolling and an expanding mean,
+# the weekday and the carried exogenous features.
+RECURSIVE = ["y_lag_1", "y_lag_7", "y_lag7_roll7_mean", "y_expanding_mean", "day_of_week", *EXOG]
+# The direct model may only use what is known H <= 7 days ahead.
+DIRECT = ["y_lag_7", "y_lag7_roll7_mean", "day_of_week", *EXOG]
+
+
+def _complete(df: DataFrame, cols: list[str]) -> DataFrame:
+    return df.dropna(subset=cols).withColumn("y", F.col("y").cast("double"))
+
+
 @query("forecast_recursive")
 def forecast_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M12 + M15 + M16: linear model on lags 1 and 7 of the daily series,
+    """M12 + M15 + M16: linear model on all features of the daily series,
     then an H-step recursive forecast per series (applyInPandas)."""
-    d = daily_series(spark, sf_dir)
-    feats = ts_features(d, "series", "ds", "y", {"lags": [1, 7], "rolling": [], "expanding_lag": None, "calendar": False})
-    train = feats.filter(F.col("y_lag_7").isNotNull()).withColumn("y", F.col("y").cast("double"))
-    m = train_regressor(train, ["y_lag_1", "y_lag_7"], "y", kind="linear")
-    coef = linear_coefficients(m, ["lag_1", "lag_7"])  # 3 numbers: bounded
-    hist = future_stubs(d, "series", "ds", "y", H, EXOG)
-    return forecast(hist, "series", "ds", "y", coef, [1, 7])
+    d = materialize(daily_series(spark, sf_dir), scratch_path(spark, "daily-series"))
+    train = _complete(ts_features(d, "series", "ds", "y"), RECURSIVE)
+    m = train_regressor(train, RECURSIVE, "y", kind="linear")
+    coef = linear_coefficients(m, RECURSIVE)  # one number per feature
+    return forecast(future_stubs(d, "series", "ds", "y", H, EXOG), "series", "ds", "y", coef, exog=tuple(EXOG))
+
+
+@query("forecast_direct_trees")
+def forecast_direct_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M12 + M10: boosted trees on features known a week ahead score all H days at once."""
+    d = materialize(daily_series(spark, sf_dir), scratch_path(spark, "daily-series"))
+    m = train_regressor(_complete(ts_features(d, "series", "ds", "y"), DIRECT), DIRECT, "y", kind="trees")
+    ahead = ts_features(future_stubs(d, "series", "ds", "y", H, EXOG), "series", "ds", "y").filter("y IS NULL")
+    return score(ahead.select("series", "ds", *DIRECT).dropna(), m).select("series", "ds", F.col("y_prediction").alias("forecast"))
+
+
+@query("forecast_retrain")
+def forecast_retrain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M22 for the forecast: trees trained up to two cutoffs score the same
+    last days; errors per version and the improvement of the later one."""
+    d = materialize(daily_series(spark, sf_dir), scratch_path(spark, "daily-series"))
+    f = materialize(_complete(ts_features(d, "series", "ds", "y"), DIRECT), scratch_path(spark, "daily-features"))
+    test = f.filter(F.col("ds") >= F.lit(FIRST_SCORED).cast("date"))
+    log = None
+    for version, cutoff in CUTOFFS.items():
+        m = train_regressor(f.filter(F.col("ds") <= F.lit(cutoff).cast("date")), DIRECT, "y", kind="trees")
+        e = forecast_errors(score(test, m), "series", "y", "y_prediction")[1].first()  # one row
+        run = log_run(spark, f"trees_{version}", {"train_to": cutoff}, {"rmse": e["rmse"], "smape": e["smape"]})
+        log = run if log is None else log.unionByName(run)
+    better = improvement(log, "trees_v1", "trees_v2", "rmse").select(
+        F.lit("trees_v2_vs_trees_v1").alias("run"), F.lit("improvement_pct").alias("kind"), F.col("metric").alias("key"), F.col("improvement_pct").cast("string").alias("value")
+    )
+    return log.unionByName(better)

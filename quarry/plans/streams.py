@@ -13,11 +13,12 @@ from quarry.operators.timeseries import compute_lag
 from quarry.plans.maintenance import N_LAGS, SENSOR_COLS, _sql_lags, daily_sensor_means
 from quarry.plans.registry import query
 from quarry.plans.text import _sql_entities, entity_columns
-from quarry.sources.tables import load
+from quarry.sources.tables import load, table_path
 from quarry.streaming.stream import (
     file_stream,
     fresh_paths,
     incremental_map,
+    latest_version,
     refresh_feature_view,
     run_to_table,
     stream_daily,
@@ -37,7 +38,7 @@ FROM events GROUP BY 1, 2
 @query("stream_daily_event_metrics", STREAM_DAILY_SQL)
 def stream_daily_event_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = load(spark, sf_dir, "events").schema
-    src = file_stream(spark, sf_dir, schema, glob="events.parquet").withColumn("event_time", utc_instant("ts"))
+    src = file_stream(spark, table_path(sf_dir, "events"), schema).withColumn("event_time", utc_instant("ts"))
     agg = stream_daily(
         src,
         "event_time",
@@ -49,8 +50,9 @@ def stream_daily_event_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         ],
     )
     out, ckpt = fresh_paths(spark, "stream-daily")
-    run_to_table(agg, out, ckpt, mode="complete").awaitTermination()
-    return spark.read.parquet(out).select("day", "event_type", "n_events", "value_sum", "value_max")
+    done = run_to_table(agg, out, ckpt, ["day", "event_type"])
+    done.awaitTermination()
+    return latest_version(spark, out, done).select("day", "event_type", "n_events", "value_sum", "value_max")
 
 
 # ---------------------------------------------------------------------------
@@ -59,14 +61,13 @@ def stream_daily_event_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stream_entity_extraction", _sql_entities())
 def stream_entity_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = load(spark, sf_dir, "documents").schema
-    src = file_stream(spark, sf_dir, schema, glob="documents.parquet")
+    src = file_stream(spark, table_path(sf_dir, "documents"), schema)
 
     def transform(df: DataFrame) -> DataFrame:
         return entity_columns(df.select("doc_id", "lang", "text"))
 
     out, ckpt = fresh_paths(spark, "stream-entities")
-    # the table arrives as few files: spread the regex work over the cores
-    incremental_map(src, transform, out, ckpt, spread_to=spark.sparkContext.defaultParallelism).awaitTermination()
+    incremental_map(src, transform, out, ckpt).awaitTermination()
     return spark.read.parquet(out)
 
 
@@ -80,7 +81,6 @@ def stream_entity_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 # touches.  The final view must equal the lag features of the whole table.
 # ---------------------------------------------------------------------------
 LATE_FROM, NEW_FROM = "2024-01-15", "2024-01-25"
-VIEW_BUCKETS = 8
 
 
 def _daily_lags(rows: DataFrame) -> DataFrame:
@@ -97,33 +97,30 @@ def stream_lag_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     source_path, view_path, landing = f"{root}/sensors", f"{root}/view", f"{root}/landing"
     ckpt = f"{root}/checkpoint"
 
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kb = F.pmod(F.xxhash64(F.col("user_id")), F.lit(buckets))
+
     # the sensor table: one partition per load (base = -1, then one per
-    # micro-batch epoch), so a re-run batch overwrites its own partition
-    base = ev.filter(~late & ~new)
-    base.write.mode("overwrite").parquet(f"{source_path}/epoch=-1")
-    # landing files, in arrival order: the late rows, then the new rows
-    ev.filter(late & ~new).coalesce(1).write.mode("overwrite").parquet(f"{landing}/b1")
-    ev.filter(new).coalesce(1).write.mode("append").parquet(f"{landing}/b2")
-
-    kb = F.pmod(F.xxhash64(F.col("machine_id")), F.lit(VIEW_BUCKETS))
-    _daily_lags(spark.read.parquet(source_path)).withColumn("__kb", kb).repartition("__kb").write.mode(
+    # micro-batch epoch, so a re-run batch overwrites its own) and bucket
+    def land(rows: DataFrame, epoch: int) -> None:
+        rows.withColumn("__kb", kb).write.mode("overwrite").partitionBy("__kb").parquet(f"{source_path}/epoch={epoch}")
+
+    land(ev.filter(~late & ~new), -1)
+    _daily_lags(spark.read.parquet(source_path)).withColumn("__kb", F.pmod(F.xxhash64("machine_id"), F.lit(buckets))).write.mode(
         "overwrite"
     ).partitionBy("__kb").parquet(view_path)
 
     refresher = refresh_feature_view(
         view_path,
         "machine_id",
-        VIEW_BUCKETS,
+        buckets,
         touched=lambda b: b.select(F.col("user_id").alias("machine_id")),
         recompute=lambda restrict: _daily_lags(restrict(spark.read.parquet(source_path), "user_id")),
-        before=lambda b, epoch: b.write.mode("overwrite").parquet(f"{source_path}/epoch={epoch}"),
-    )
-    src = (
-        spark.readStream.schema(ev.schema)
-        .option("maxFilesPerTrigger", 1)
-        .option("recursiveFileLookup", "true")
-        .parquet(landing)
+        before=land,
     )
-    q = src.writeStream.foreachBatch(refresher).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
-    q.awaitTermination()
+    # the late rows land and are taken in, then the new ones: one batch each
+    for rows, name in ((ev.filter(late & ~new), "b1"), (ev.filter(new), "b2")):
+        rows.write.mode("overwrite").parquet(f"{landing}/{name}")
+        src = spark.readStream.schema(ev.schema).option("recursiveFileLookup", "true").parquet(landing)
+        src.writeStream.foreachBatch(refresher).option("checkpointLocation", ckpt).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(view_path).drop("__kb")

@@ -46,13 +46,16 @@ def day_of_instant(c) -> Column:
     return F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.unix_seconds(c) / 86400).cast("int"))
 
 
-def file_stream(spark: SparkSession, directory: str, schema, glob: str | None = None, max_files: int | None = None) -> DataFrame:
+def file_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
+    """Stream over a table's files; ``path`` is its folder, or one file.
+
+    The last letter is put in brackets: as a pattern, the path may be either.
+    """
     r = spark.readStream.schema(schema)
-    if glob:
-        r = r.option("pathGlobFilter", glob)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(directory)
+    path = path.rstrip("/")
+    return r.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def _trigger(w, trigger: str | None):
@@ -65,17 +68,12 @@ def incremental_map(
     sink: str,
     checkpoint: str,
     trigger: str | None = None,
-    spread_to: int | None = None,
 ):
     """ST1: keep ``sink`` in step with ``src`` through a stateless transform.
 
     ``trigger``: None/"availableNow" processes what is there and stops;
     "20 minutes" keeps a lag target like a self-refreshing table.
-    ``spread_to``: round-robin the batch over that many tasks before a
-    CPU-heavy transform (when a trigger brings fewer files than cores).
     """
-    if spread_to:
-        src = src.repartition(spread_to)
     w = transform(src).writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
     return _trigger(w.outputMode("append"), trigger).start()
 
@@ -101,19 +99,36 @@ def stream_daily(
     )
 
 
-def run_to_table(agg: DataFrame, out_path: str, checkpoint: str, mode: str = "complete", trigger: str | None = None):
-    """Write a streaming aggregate: ``complete`` -> each batch overwrites the
-    table (parity with a batch run); ``append`` -> finalised windows only."""
-    if mode == "complete":
-        def write(batch: DataFrame, epoch: int) -> None:
-            batch.write.mode("overwrite").parquet(out_path)
+def run_to_table(agg: DataFrame, out_path: str, checkpoint: str, keys: list[str], trigger: str | None = None):
+    """Keep a table in step with a streaming aggregate.
+
+    Each micro-batch brings only the groups it touched (update mode, so the
+    watermark lets old state go); they replace the same ``keys`` in a new
+    version ``v<epoch>``.  The version before stays readable, and a re-run
+    batch writes the same version again.  Read it with ``latest_version``.
+    """
 
-        w = agg.writeStream.outputMode("complete").foreachBatch(write)
-    else:
-        w = agg.writeStream.outputMode("append").format("parquet").option("path", out_path)
+    def upsert(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        new = batch.dropDuplicates(keys)
+        if epoch > 0:
+            same = None
+            for k in keys:
+                c = F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}"))
+                same = c if same is None else same & c
+            old = spark.read.parquet(f"{out_path}/v{epoch - 1}")
+            new = old.alias("o").join(new.select(*keys).alias("n"), same, "left_anti").unionByName(new)
+        new.write.mode("overwrite").parquet(f"{out_path}/v{epoch}")
+
+    w = agg.writeStream.outputMode("update").foreachBatch(upsert)
     return _trigger(w.option("checkpointLocation", checkpoint), trigger).start()
 
 
+def latest_version(spark: SparkSession, out_path: str, query) -> DataFrame:
+    """The table after a finished ``run_to_table`` query."""
+    return spark.read.parquet(f"{out_path}/v{query.lastProgress['batchId']}")
+
+
 def refresh_feature_view(
     view_path: str,
     key: str,
@@ -143,7 +158,10 @@ def refresh_feature_view(
         hit = touched(batch).select(bucket(key).alias("__kb")).distinct()  # <= buckets rows
 
         def restrict(df: DataFrame, col: str) -> DataFrame:
-            return df.withColumn("__kb", bucket(col)).join(F.broadcast(hit), "__kb", "left_semi").drop("__kb")
+            # a source partitioned by __kb is pruned to the touched buckets
+            if "__kb" not in df.columns:
+                df = df.withColumn("__kb", bucket(col))
+            return df.join(F.broadcast(hit), "__kb", "left_semi").drop("__kb")
 
         out = recompute(restrict).withColumn("__kb", bucket(key))
         (

@@ -96,7 +96,7 @@ def test_feature_store_round_trip(spark):
         [(1, D(2024, 1, 1), 1.0), (1, D(2024, 1, 3), 3.0), (2, D(2024, 1, 2), 5.0)], "k int, d date, f double"
     )
     static = spark.createDataFrame([(1, "gold"), (2, "silver")], "k int, tier string")
-    fv = feature_view(feats, "fv", ["k"], "d", version="1", key_buckets=4).materialize(root)
+    fv = feature_view(feats, "fv", ["k"], "d", version="1").materialize(root)
     sv = feature_view(static, "sv", ["k"], None)
     assert os.path.isdir(fv.path)
     events = spark.createDataFrame(
@@ -203,26 +203,23 @@ def test_asof_properties(spark, spine, feats):
                 assert (r.ft, r.v) == (best[1], best[2])  # latest, never later than the spine
 
 
-def test_stream_daily_append_emits_closed_days_only(spark):
-    from quarry.streaming.stream import file_stream, fresh_paths, run_to_table, stream_daily, utc_instant
-
-    sf = "/root/testdata/sf0.001"
-    schema = spark.read.parquet(f"{sf}/events.parquet").schema
-    src = file_stream(spark, sf, schema, glob="events.parquet").withColumn("event_time", utc_instant("ts"))
-    agg = stream_daily(src, "event_time", ["event_type"], [F.count(F.lit(1)).alias("n")])
-    out, ck = fresh_paths(spark, "test-append")
-    run_to_table(agg, out, ck, mode="append").awaitTermination()
-    got = {(r.day, r.event_type): r.n for r in spark.read.parquet(out).collect()}
-    full = {
-        (r.day, r.event_type): r.n
-        for r in spark.read.parquet(f"{sf}/events.parquet")
-        .groupBy(F.to_date("ts").alias("day"), "event_type")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .collect()
-    }
-    assert 0 < len(got) < len(full)  # the newest day stays open behind the watermark
-    assert all(full[k] == v for k, v in got.items())  # finalised windows are complete
-    assert max(d for d, _ in got) < max(d for d, _ in full)
+def test_streams_read_tables_stored_as_folders(spark):
+    """Part files in several batches, a group touched by more than one: upserted, old versions kept."""
+    from quarry.streaming.stream import file_stream, fresh_paths, latest_version, run_to_table, stream_daily, utc_instant
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    root = tmp("folders")
+    events.repartition(5).write.parquet(f"{root}/events.parquet")
+    src = file_stream(spark, f"{root}/events.parquet", events.schema, max_files=2).withColumn("event_time", utc_instant("ts"))
+    agg = stream_daily(src, "event_time", ["event_type"], [F.count(F.lit(1)).alias("n")], watermark="60 days")
+    out, ck = fresh_paths(spark, "test-upsert")
+    done = run_to_table(agg, out, ck, ["day", "event_type"])
+    done.awaitTermination()
+    assert done.lastProgress["batchId"] >= 2
+    got = {(r.day, r.event_type): r.n for r in latest_version(spark, out, done).collect()}
+    want = events.groupBy(F.to_date("ts").alias("day"), "event_type").agg(F.count(F.lit(1)).alias("n")).collect()
+    assert got == {(r.day, r.event_type): r.n for r in want}
+    assert spark.read.parquet(f"{out}/v0").agg(F.sum("n")).first()[0] < sum(got.values())
 
 
 def test_search_against_stream_refreshed_index(spark):
