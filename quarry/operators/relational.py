@@ -11,8 +11,6 @@ join stays a sort-merge join, so the decision is always size-checked.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -24,20 +22,6 @@ def _cols(x):
     return [x] if isinstance(x, (str, Column)) else list(x)
 
 
-def star_join(fact: DataFrame, dims: list[tuple]) -> DataFrame:
-    """Inner equi-join of a fact to n dimensions.
-
-    ``dims`` items are ``(dim_df, fact_key, dim_key, bounded)``; ``bounded``
-    marks a dimension whose row count cannot grow with the data, the only
-    ones forced to broadcast.
-    """
-    out = fact
-    for dim, fk, pk, bounded in dims:
-        d = F.broadcast(dim) if bounded else dim
-        out = out.join(d, out[fk] == d[pk], "inner")
-    return out
-
-
 def unmatched(queries: DataFrame, matches: DataFrame, on) -> DataFrame:
     """Rows of ``queries`` with no row in ``matches`` (left anti)."""
     return queries.join(matches, on=on, how="left_anti")
@@ -148,13 +132,6 @@ def coverage(df: DataFrame, col: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count(F.col(col)).alias("n_non_null"))
 
 
-def daily_mean(df: DataFrame, key, ts: str, cols: list[str], suffix: str = "_daily_average") -> DataFrame:
-    """Mean per (key, calendar day)."""
-    return df.groupBy(*_cols(key), F.to_date(F.col(ts)).alias("date")).agg(
-        *[F.avg(c).alias(f"{c}{suffix}") for c in cols]
-    )
-
-
 def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """Long correlation matrix ``(col_a, col_b, r)`` in one pass."""
     pairs = [(a, b) for a in cols for b in cols]
@@ -258,7 +235,3 @@ def hist_quantiles(df: DataFrame, value: str, by, qs: dict[str, float]) -> DataF
         lo, hi, fr = F.col(f"__{name}_lo"), F.col(f"__{name}_hi"), F.col(f"__{name}_f")
         out = out.withColumn(name, lo + fr * (hi - lo)).drop(f"__{name}_lo", f"__{name}_hi", f"__{name}_f")
     return out
-
-
-def and_all(conds: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conds)

@@ -25,7 +25,7 @@ FAILURE_TYPE = "error"
 N_LAGS = 3
 TRAIN_START, TRAIN_END = "2024-01-04", "2024-01-30"
 
-SENSOR_COLS = [f"sensor_{i}_daily_average" for i in range(1, len(SENSOR_TYPES) + 1)]
+SENSOR_COLS = [f"s{i}_mean" for i in range(1, len(SENSOR_TYPES) + 1)]
 LAG_COLS = [f"{c}_lag_{n}" for c in SENSOR_COLS for n in range(1, N_LAGS + 1)]
 
 
@@ -128,14 +128,14 @@ spine AS (
       AND ts >= TIMESTAMP '{TRAIN_START}' AND ts < CAST(DATE '{TRAIN_END}' + 1 AS TIMESTAMP)
 ),
 lab AS (
-    SELECT DISTINCT user_id AS machine_id, CAST(ts AS DATE) - 1 AS date, 1 AS failure_in_1_day
+    SELECT DISTINCT user_id AS machine_id, CAST(ts AS DATE) - 1 AS date, 1 AS fails_next_day
     FROM events WHERE event_type = '{FAILURE_TYPE}'
 ),
 sp AS (
-    SELECT s.machine_id, s.date, COALESCE(l.failure_in_1_day, 0) AS failure_in_1_day
+    SELECT s.machine_id, s.date, COALESCE(l.fails_next_day, 0) AS fails_next_day
     FROM spine s LEFT JOIN lab l ON s.machine_id = l.machine_id AND s.date = l.date
 )
-SELECT sp.machine_id, sp.date, sp.failure_in_1_day, {', '.join('f.' + c for c in LAG_COLS)}
+SELECT sp.machine_id, sp.date, sp.fails_next_day, {', '.join('f.' + c for c in LAG_COLS)}
 FROM sp ASOF LEFT JOIN lagf f ON sp.machine_id = f.machine_id AND sp.date >= f.date
 """
 
@@ -145,8 +145,8 @@ def bq9_training_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """BQ9: lag features + spine + next-day failure label + point-in-time join."""
     ev = load(spark, sf_dir, "events").filter(F.col("event_type").isin(SENSOR_TYPES))
     ev = ev.select(F.col("user_id").alias("machine_id"), "ts")
-    labels = shift_label(failures(spark, sf_dir), "machine_id", "date", 1, "failure_in_1_day")
-    spine = make_spine(ev, "machine_id", "ts", TRAIN_START, TRAIN_END, labels=labels, label_col="failure_in_1_day")
+    labels = shift_label(failures(spark, sf_dir), "machine_id", "date", 1, "fails_next_day")
+    spine = make_spine(ev, "machine_id", "ts", TRAIN_START, TRAIN_END, labels=labels, label_col="fails_next_day")
     return asof_join(spine, lag_features(spark, sf_dir), "machine_id", "date", "date", cols=LAG_COLS)
 
 
@@ -202,7 +202,7 @@ def _r9(x: str) -> str:
 DAILY_PRF_SQL = f"""
 WITH d AS ({BQ9_SQL}),
 f AS (SELECT machine_id, date, 1 AS failed_today FROM ({SQL_FAILURES})),
-p AS (SELECT d.date, d.failure_in_1_day AS y, COALESCE(f.failed_today, 0) AS p
+p AS (SELECT d.date, d.fails_next_day AS y, COALESCE(f.failed_today, 0) AS p
       FROM d LEFT JOIN f ON d.machine_id = f.machine_id AND d.date = f.date),
 conf AS (SELECT date, y, p, COUNT(*) AS n FROM p GROUP BY date, y, p),
 cls AS (SELECT DISTINCT date, y AS c FROM conf UNION SELECT DISTINCT date, p FROM conf),
@@ -229,10 +229,10 @@ FROM m GROUP BY date
 
 @query("failure_daily_quality", DAILY_PRF_SQL)
 def failure_daily_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = bq9_training_dataset(spark, sf_dir).select("machine_id", "date", "failure_in_1_day")
+    d = bq9_training_dataset(spark, sf_dir).select("machine_id", "date", "fails_next_day")
     f = failures(spark, sf_dir).select("machine_id", "date", F.col("failure").alias("failed_today"))
     p = d.join(f, ["machine_id", "date"], "left").fillna(0, subset=["failed_today"])
-    m = weighted_prf(p, "failure_in_1_day", "failed_today", by="date")
+    m = weighted_prf(p, "fails_next_day", "failed_today", by="date")
     return m.select(
         F.col("date").alias("day"),
         *[round_half_up(c, 9).alias(c) for c in ("precision", "recall", "f1")],

@@ -28,7 +28,7 @@ from quarry.session import scratch_path
 from quarry.sources.sinks import materialize, snapshot
 from quarry.sources.tables import load
 
-LABEL = "failure_in_1_day"
+LABEL = "fails_next_day"
 # Training and validation windows of model versions 1 and 2
 # (validation stops the boosting) and the test window, which only scores.
 RANGES = {

@@ -27,4 +27,4 @@ def query(name: str, oracle: str | None = None):
 
 def load_all_plans() -> None:
     """Import every plan module so its queries register themselves."""
-    from quarry.plans import capacity, maintenance, matching, models, relational, retrieval, star, streams, text  # noqa: F401
+    from quarry.plans import basics, capacity, maintenance, matching, models, relational, retrieval, star, streams, text  # noqa: F401

@@ -145,9 +145,9 @@ WITH lex AS (
            CASE WHEN neg > 0 AND pos = 0 THEN 1 ELSE 0 END AS is_neg
     FROM seg
 )
-SELECT conv_id, COUNT(*) AS n_turns,
-       {sql_r('CAST(SUM(s) AS DOUBLE) / COUNT(*)', 4)} AS average_sentiment,
-       CAST(SUM(is_pos) AS BIGINT) AS n_positive, CAST(SUM(is_neg) AS BIGINT) AS n_negative
+SELECT conv_id, COUNT(*) AS turns,
+       {sql_r('CAST(SUM(s) AS DOUBLE) / COUNT(*)', 4)} AS mean_sentiment,
+       CAST(SUM(is_pos) AS BIGINT) AS positive_turns, CAST(SUM(is_neg) AS BIGINT) AS negative_turns
 FROM scored GROUP BY conv_id
 """
 
@@ -155,14 +155,14 @@ FROM scored GROUP BY conv_id
 @query("bq7_conversation_sentiment", BQ7_SQL)
 def bq7_conversation_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = load(spark, sf_dir, "conversations").filter(F.col("role") == SPEAKER)
-    seg = sentiment(conv, "text", LEXICON, out="transcription_sentiment", keys=["conv_id", "turn"]).withColumn(
-        "sentiment", sentiment_score("transcription_sentiment")
+    seg = sentiment(conv, "text", LEXICON, out="mood", keys=["conv_id", "turn"]).withColumn(
+        "sentiment", sentiment_score("mood")
     )
     return seg.groupBy("conv_id").agg(
-        F.count(F.lit(1)).alias("n_turns"),
-        round_half_up(F.sum("sentiment").cast("double") / F.count(F.lit(1)), 4).alias("average_sentiment"),
-        F.sum((F.col("sentiment") == 1).cast("long")).alias("n_positive"),
-        F.sum((F.col("sentiment") == -1).cast("long")).alias("n_negative"),
+        F.count(F.lit(1)).alias("turns"),
+        round_half_up(F.sum("sentiment").cast("double") / F.count(F.lit(1)), 4).alias("mean_sentiment"),
+        F.sum((F.col("sentiment") == 1).cast("long")).alias("positive_turns"),
+        F.sum((F.col("sentiment") == -1).cast("long")).alias("negative_turns"),
     )
 
 
@@ -219,9 +219,9 @@ def page_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
 # leniently (bad values -> NULL), grouped by the year and month aliases.
 # ---------------------------------------------------------------------------
 BQ6_SQL = f"""
-SELECT CAST(year(ts) AS INTEGER) AS ticket_year, CAST(month(ts) AS INTEGER) AS ticket_month, COUNT(*) AS total_tickets,
-       CAST(SUM(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS total_sum,
-       {sql_r("CAST(SUM(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)) AS DOUBLE) / COUNT(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT))", 4)} AS average_ticket_value
+SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, COUNT(*) AS events,
+       CAST(SUM(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k_total,
+       {sql_r("CAST(SUM(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)) AS DOUBLE) / COUNT(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT))", 4)} AS k_mean
 FROM events GROUP BY year(ts), month(ts)
 """
 
@@ -230,10 +230,10 @@ FROM events GROUP BY year(ts), month(ts)
 def bq6_monthly_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = load(spark, sf_dir, "events").select("ts", F.get_json_object("props", "$.k").alias("k_text"))
     ev = typed(ev, {"k": ("k_text", "bigint")})
-    return ev.groupBy(F.year("ts").alias("ticket_year"), F.month("ts").alias("ticket_month")).agg(
-        F.count(F.lit(1)).alias("total_tickets"),
-        F.sum("k").alias("total_sum"),
-        round_half_up(F.sum("k").cast("double") / F.count("k"), 4).alias("average_ticket_value"),
+    return ev.groupBy(F.year("ts").alias("year"), F.month("ts").alias("month")).agg(
+        F.count(F.lit(1)).alias("events"),
+        F.sum("k").alias("k_total"),
+        round_half_up(F.sum("k").cast("double") / F.count("k"), 4).alias("k_mean"),
     )
 
 
