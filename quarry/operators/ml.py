@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import HashingTF, Imputer, RegexTokenizer, VectorAssembler
+from pyspark.ml.feature import HashingTF, Imputer, Normalizer, RegexTokenizer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,16 +63,23 @@ def train_logreg(df: DataFrame, features: list[str], label: str, impute: bool =
     return Pipeline(stages=[*_assembler(features, impute), lr]).fit(df)
 
 
-def train_text_logreg(df: DataFrame, text: str, label: str, num_features: int = 1 << 16) -> PipelineModel:
-    """T4 (trained alternative): hashed word counts + logistic regression."""
-    return Pipeline(
-        stages=[
-            RegexTokenizer(inputCol=text, outputCol="__tok", pattern=r"[^\p{L}]+", toLowercase=True),
-            HashingTF(inputCol="__tok", outputCol="features", numFeatures=num_features),
-            LogisticRegression(featuresCol="features", labelCol=label, maxIter=30, regParam=0.01,
-                               predictionCol=f"{label}_prediction"),
-        ]
-    ).fit(df)
+def text_vectors(df: DataFrame, text: str, num_features: int = 1 << 16) -> DataFrame:
+    """Unit vectors of hashed counts of words and of runs of other signs (T4); the text itself is dropped."""
+    stages = [
+        RegexTokenizer(inputCol=text, outputCol="__tok", pattern=r"\p{L}+|[^\p{L}\s]+", gaps=False, toLowercase=True),
+        HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=num_features),
+        Normalizer(inputCol="__tf", outputCol="features"),
+    ]
+    out = df.withColumn(text, F.coalesce(text, F.lit("")))
+    for stage in stages:
+        out = stage.transform(out)
+    return out.drop(text, "__tok", "__tf")
+
+
+def train_vector_logreg(df: DataFrame, label: str) -> PipelineModel:
+    """M3 on a ``features`` vector column."""
+    lr = LogisticRegression(featuresCol="features", labelCol=label, maxIter=60, regParam=0.0001, standardization=False, predictionCol=f"{label}_prediction")
+    return Pipeline(stages=[lr]).fit(df)
 
 
 def train_regressor(df: DataFrame, features: list[str], y: str, kind: str = "linear", seed: int = 42) -> PipelineModel:

@@ -136,8 +136,8 @@ def daily_psi(df: DataFrame, ts: str, col: str, baseline_end: str, bins: int = 1
     spark = df.sparkSession
     x = df.select(F.to_date(ts).alias("day"), F.col(col).alias("v")).filter(F.col("v").isNotNull())
     before = F.col("day") < F.lit(baseline_end).cast("date")
-    edges = x.filter(before).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    counts = x.join(F.broadcast(edges)).groupBy("day", bin_expr("v", F.col("lo"), F.col("hi"), bins).alias("bin")).agg(F.count(F.lit(1)).alias("k"))
+    edges = x.filter(before).agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
+    counts = x.groupBy("day", bin_expr("v", edges["lo"], edges["hi"], bins).alias("bin")).agg(F.count(F.lit(1)).alias("k"))
     counts = materialize(counts, scratch_path(spark, "psi-counts"))  # days x bins rows
     base = counts.filter(before).groupBy("bin").agg(F.sum("k").alias("k"))
     q = base.select("bin", (F.col("k") / F.sum("k").over(Window.partitionBy())).alias("q"))

@@ -113,9 +113,9 @@ def text_files_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "text-files")
     s = load(spark, sf_dir, "supplier").select(F.concat_ws(";", "s_suppkey", "s_name", "s_nationkey").alias("line"))
     s.repartition(4, "line").write.text(root)
-    listed = list_files(spark, root, "*.txt").filter("size > 0").agg(F.count(F.lit(1)).alias("files"))
+    listed = list_files(spark, root, "*.txt").filter("size > 0").agg(F.count(F.lit(1)) > 0).scalar()
     lines = read_files(spark, root, "*.txt").select(F.explode(F.split(F.rtrim("text"), "\n")).alias("line")).filter("line <> ''")
-    return lines.groupBy("line").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(listed)).select("line", "n", (F.col("files") > 0).alias("listed"))
+    return lines.groupBy("line").agg(F.count(F.lit(1)).alias("n")).withColumn("listed", listed)
 
 
 # ---------------------------------------------------------------------------
@@ -179,9 +179,10 @@ def dataset_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = load(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
     d = with_comments(d, {"n": "orders by status"})
     kept = snapshot(d, root, "by_status", "v1", sources=["orders"])
-    manifest = spark.read.json(f"{root}/by_status/v1/manifest").select(F.col("rows").alias("manifest_rows"), "version")
+    manifest = spark.read.json(f"{root}/by_status/v1/manifest")  # one row
     about = kept.schema["n"].metadata.get("comment")
-    return kept.join(F.broadcast(manifest)).withColumn("about_n", F.lit(about))
+    told = {"manifest_rows": manifest.select("rows").scalar(), "version": manifest.select("version").scalar()}
+    return kept.withColumns(told).withColumn("about_n", F.lit(about))
 
 
 # ---------------------------------------------------------------------------

@@ -219,8 +219,8 @@ def bq12_drift_and_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     version = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.lit(x).cast("date").alias("cutoff")) for m, x in CUTOFFS.items()]))
     fits = line_fit(xy.withColumn("v", version).filter(F.col("ds") <= F.col("v.cutoff")).withColumn("model", F.col("v.model")), ["model"], "x", "y")
     scored = xy.filter((F.col("ds") >= F.lit(FIRST_SCORED).cast("date")) & F.col("x").isNotNull())
-    pred = scored.select("series", F.col("ds").alias("forecast_date"), "x").join(F.broadcast(fits.filter("b IS NOT NULL")))
-    pred = pred.select("series", "forecast_date", "model", (F.col("a") + F.col("b") * F.col("x").cast("double")).alias("predicted"))
+    asked = scored.select("series", F.col("ds").alias("forecast_date"), "x", F.explode(F.array(*map(F.lit, CUTOFFS))).alias("model"))
+    pred = asked.join(F.broadcast(fits.filter("b IS NOT NULL")), "model").select("series", "forecast_date", "model", (F.col("a") + F.col("b") * F.col("x").cast("double")).alias("predicted"))
     src = attach_actuals(pred, d, ["series", "forecast_date"], ["series", "ds"], "y")
     perf = monitor_performance(src, "forecast_date", "y", "predicted", by="model").select(
         "day", "model", "n", round_half_up("rmse", 6).alias("rmse"), round_half_up("smape", 6).alias("smape")

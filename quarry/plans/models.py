@@ -15,10 +15,11 @@ from quarry.operators.ml import (
     log_run,
     save_model,
     score,
+    text_vectors,
     train_gbt,
     train_logreg,
     train_regressor,
-    train_text_logreg,
+    train_vector_logreg,
 )
 from quarry.operators.timeseries import forecast, forecast_errors, future_stubs, ts_features
 from quarry.plans.capacity import CUTOFFS, EXOG, FIRST_SCORED, H, daily_series
@@ -87,16 +88,17 @@ def failure_model_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("doc_quality_model")
 def doc_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T4 trained alternative + M3/M4: hashed words -> logistic regression
-    predicting `labels.quality`, split 80/20 by a hash of doc_id."""
+    """T4 trained alternative + M3/M4: hashed words and signs -> logistic
+    regression predicting `labels.quality`, split 80/20 by a hash of doc_id.
+    The vectors, not the texts, are written for the fit and the scoring."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     lab = load(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("quality"))
-    d = materialize(docs.join(lab, "doc_id"), scratch_path(spark, "quality-dataset"))
+    d = materialize(text_vectors(docs.join(lab, "doc_id"), "text"), scratch_path(spark, "quality-dataset"))
     is_test = F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0
-    m = train_text_logreg(d.filter(~is_test), "text", "quality")
+    m = train_vector_logreg(d.filter(~is_test), "quality")
     pred = score(d.filter(is_test), m)
     met = _metrics(pred, "quality")
-    return log_run(spark, "doc_quality_logreg", {"features": "hashed words 2^16"}, met)
+    return log_run(spark, "doc_quality_logreg", {"features": "hashed words and signs 2^16"}, met)
 
 
 # What the recursive model learns from: lags, a rolling and an expanding mean,

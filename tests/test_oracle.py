@@ -21,10 +21,9 @@ def test_query_matches_oracle(spark, con, name):
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
-def test_query_without_oracle_runs(spark, name):
+def test_query_without_oracle_has_rows(spark, name):
     df = QUERIES[name](spark, SF)
-    assert df.count() >= 0
-    assert len(df.columns) > 0
+    assert df.count() > 0
     assert not [c for c in df.columns if c.startswith("__")], df.columns  # no helper columns leak
 
 

@@ -67,3 +67,23 @@ def test_time_filters_reach_the_scan(spark):
 def test_fixed_lexicon_is_broadcast(spark):
     p = plan(QUERIES["doc_language"](spark, SF))
     assert "BroadcastHashJoin" in p
+
+
+def test_drift_query_reads_events_few_times(spark):
+    """The daily series and the bin counts are written once; the rest reads what was written."""
+    assert plan(QUERIES["bq12_drift_and_error"](spark, SF)).count("events.parquet") <= 4
+
+
+def test_rag_prompts_are_computed_once(spark):
+    for name in ("rag_retrieval", "rag_answers"):
+        assert "documents.parquet" not in plan(QUERIES[name](spark, SF))  # the prompts were written
+
+
+def test_no_temporary_folders_in_the_package():
+    import pathlib
+
+    import quarry
+
+    for f in pathlib.Path(quarry.__file__).parent.rglob("*.py"):
+        assert "tempfile" not in f.read_text(), f
+        assert "localCheckpoint(" not in f.read_text(), f
