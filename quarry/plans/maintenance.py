@@ -153,8 +153,8 @@ def bq9_training_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # J6 on the order tables: every sold line gets the customer's latest order
 # (an attribute history with effective date o_orderdate) as of its ship date.
-# Time-bucketed by year, so a customer with a third of all lines is spread
-# over one task per year instead of one task.
+# Time-bucketed by month, so a customer with a third of all lines is spread
+# over one task per month instead of one task.
 # ---------------------------------------------------------------------------
 ASOF_SQL = """
 WITH sp AS (
@@ -187,7 +187,7 @@ def asof_customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority").alias("last_order_priority"),
     )
     return asof_join(
-        spine, feats, "customer_key", "ship_date", "order_date", time_bucket="year", keep_feature_ts="last_order_date"
+        spine, feats, "customer_key", "ship_date", "order_date", time_bucket="month", keep_feature_ts="last_order_date"
     )
 
 
@@ -242,7 +242,7 @@ def failure_daily_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------------------
 # F2 + F6/F7 + J7: a training dataset from two materialised feature views -
-# the customer's order history (timestamped, as-of, year-bucketed) and the
+# the customer's order history (timestamped, as-of, month-bucketed) and the
 # customer profile (static) - for every sold line at its ship date.
 # ---------------------------------------------------------------------------
 DATASET_SQL = """
@@ -288,7 +288,7 @@ def customer_feature_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     root = scratch_path(spark, "feature-store")
     views = [
-        feature_view(history, "customer_orders", "customer_key", "order_date", time_bucket="year").materialize(root),
+        feature_view(history, "customer_orders", "customer_key", "order_date", time_bucket="month").materialize(root),
         feature_view(profile, "customer_profile", "customer_key").materialize(root),
     ]
     return generate_dataset(spine, views, "ship_date")
