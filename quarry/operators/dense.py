@@ -131,17 +131,18 @@ def dense_topk(
     k: int,
     exclude_self: bool = False,
     digits: int = 6,
-    pivots: int = 64,
+    pivots: int | None = None,
     part_rows: int = 4096,
 ) -> DataFrame:
     """The k nearest corpus vectors by cosine, exactly; ties to the smaller corpus id.
 
     Output ``(q_id, rank, neighbor_c_id, cosine_similarity)``.  Ids keep their
     type.  Vectors without a direction (null, zero, not finite) take no part.
+    Without a number of ``pivots``, one per 500 corpus vectors, 4 to 256.
     """
     c = _usable(corpus, c_id, c_vec, "cid")
     q = _usable(queries, q_id, q_vec, "qid")
-    centres = choose_pivots(c, pivots)
+    centres = choose_pivots(c, pivots or min(256, max(4, c.count() // 500)))
     if not len(centres):
         empty = q.limit(0).select(F.col("qid").alias(q_id), F.lit(1).alias("rank"))
         return empty.crossJoin(c.limit(0).select(F.col("cid").alias(f"neighbor_{c_id}"), F.lit(0.0).alias("cosine_similarity")))

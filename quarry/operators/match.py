@@ -289,8 +289,8 @@ def containment_search(queries: DataFrame, q_id: str, q_text: str, corpus: DataF
     Output ``(q_id, rank, c_id, shared, q_shingles)``, at least one row per
     query: one that shares nothing has a null rank and corpus id and shared 0.
     A query of fewer than ``n`` words is one run of all its words.  The corpus
-    side is exploded into runs of 1..n words and streamed through the join
-    with the query runs; only what matches survives.
+    side is exploded into runs of the lengths that queries have and streamed
+    through the join with the query runs; only what matches survives.
     """
     from quarry.operators.text import tokens
 
@@ -298,7 +298,10 @@ def containment_search(queries: DataFrame, q_id: str, q_text: str, corpus: DataF
     run = F.when(F.size("__tok") >= n, word_shingles(F.col("__tok"), n)).when(F.size("__tok") > 0, F.array(F.array_join("__tok", " ")))
     qs = tok.select("qid", F.explode(run).alias("sh")).distinct()
     qn = tok.select("qid", F.coalesce(F.size(F.array_distinct(run)), F.lit(0)).cast("long").alias("q_shingles"))
-    cs = _shingle_rows(corpus, c_id, c_text, list(range(1, n + 1)), "cid")
+    # run lengths that questions have: at most n values
+    asked = tok.filter(F.size("__tok") > 0).select(F.least(F.size("__tok"), F.lit(n)).alias("n")).distinct().collect()
+    lengths = sorted(r["n"] for r in asked) or [n]
+    cs = _shingle_rows(corpus, c_id, c_text, lengths, "cid")
     hits = cs.join(qs, "sh").select("qid", "cid", "sh").distinct()
     cnt = hits.groupBy("qid", "cid").agg(F.count(F.lit(1)).alias("shared"))
     top = first_n(cnt, "qid", [F.col("shared").desc(), F.col("cid")], k, rank_col="rank")

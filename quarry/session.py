@@ -53,6 +53,18 @@ def get_session(
     return spark
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers of this machine import the library wherever the driver was started.
+
+    On a cluster the library is installed or sent with the job; the path is
+    then one more entry that holds nothing.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables, from ``spark.checkpoint.dir``.
 

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.session import importable
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -22,6 +24,7 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Named table scan."""
+    importable(spark)
     return spark.read.parquet(table_path(sf_dir, name))
 
 
