@@ -231,6 +231,9 @@ def restored(texts: list[str], decoder: Decoder) -> list[str]:
 
 # ------------------------------------------------------------------- scoring
 
+# Near copies among the rows learned from: Jaccard similarity of their buckets, and the search for candidates.
+_NEAR, _PROPOSE, _BINS = 0.8, 0.65, 128
+
 
 def buckets(texts: list[str], p: Params) -> tuple[np.ndarray, np.ndarray]:
     """(text number, bucket) of every word and word beginning, kind by kind; words are runs of letters."""
@@ -283,21 +286,56 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(x @ self.link, -30, 30)))
 
 
+def signature(ids: np.ndarray) -> np.ndarray:
+    """Smallest hash of each of ``_BINS`` parts of a set (the largest number where a part is empty): as many min-hashes in one pass."""
+    h = hashing.mix(ids.astype(hashing.U))
+    out = np.full(_BINS, np.iinfo(hashing.U).max, hashing.U)
+    np.minimum.at(out, (h % hashing.U(_BINS)).astype(np.int64), h)
+    return out
+
+
+def single(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """The non-empty sets (sorted, distinct) in order, without those of Jaccard similarity ``_NEAR`` or more to one kept before.
+
+    Signatures only propose pairs: those that agree in ``_PROPOSE`` of the parts
+    (over four standard deviations below ``_NEAR``).  The sets themselves decide.
+    """
+    kept: list[np.ndarray] = []
+    marks = np.zeros((len(sets), _BINS), hashing.U)
+    sizes = np.zeros(len(sets), np.int64)
+    empty = np.iinfo(hashing.U).max
+    for ids in sets:
+        if not len(ids):
+            continue
+        mark, n = signature(ids), len(kept)
+        like = np.flatnonzero((sizes[:n] >= _NEAR * len(ids)) & (sizes[:n] * _NEAR <= len(ids)))
+        held = marks[like]
+        same = ((held == mark) & (mark != empty)).sum(1)
+        some = ((held != empty) | (mark != empty)).sum(1)
+        near = False
+        for i in like[same >= _PROPOSE * some]:
+            common = len(np.intersect1d(kept[i], ids, assume_unique=True))
+            near = common >= _NEAR * (len(kept[i]) + len(ids) - common)
+            if near:
+                break
+        if not near:
+            marks[n], sizes[n] = mark, len(ids)
+            kept.append(ids)
+    return kept
+
+
 def weights(rows: list[tuple[int, np.ndarray]], p: Params) -> np.ndarray:
     """Log-odds of buckets that toxic rows show significantly more often; others weigh nothing.
 
-    Rows whose smallest bucket is the same are near copies and count once per label.
+    Near copies (see ``single``) count once per label.
     """
-    kept = {}
-    for label, ids in rows:
-        if len(ids):
-            kept.setdefault((label == 1, int(hashing.mix(ids.astype(hashing.U)).min())), ids)
     size = 1 << p.bits
     seen = [np.zeros(size, np.int32), np.zeros(size, np.int32)]
     rows_of = [0, 0]
-    for (toxic, _), ids in kept.items():
-        seen[toxic][ids] += 1
-        rows_of[toxic] += 1
+    for toxic in (0, 1):
+        for ids in single([ids for label, ids in rows if (label == 1) == toxic]):
+            seen[toxic][ids] += 1
+            rows_of[toxic] += 1
     clean, toxic = rows_of
     out = np.zeros(size, np.float32)
     if not clean or not toxic:

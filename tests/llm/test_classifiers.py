@@ -118,3 +118,34 @@ def test_keep_clean_keeps_columns(spark):
     labels = spark.createDataFrame([(4, 0)], "doc_id long, toxic int")
     kept = toxicity.keep_clean(d, toxicity.fit(d, labels))
     assert kept.columns == d.columns and kept.count() == d.count()
+
+
+def test_rows_that_share_one_common_word_all_count():
+    p = toxicity.Params(bits=16)
+    every = np.arange(1 << p.bits)
+    common = int(every[np.argmin(hashing.mix(every.astype(hashing.U)))])
+    rng = np.random.default_rng(3)
+    free = np.setdiff1d(every, [common, 7])
+
+    def row(*more):
+        return np.unique(np.concatenate([[common, *more], rng.choice(free, 30)])).astype(np.int32)
+
+    toxic, clean = [(1, row(7)) for _ in range(40)], [(0, row()) for _ in range(80)]
+    assert toxicity.weights(toxic + clean, p)[7] > 0
+    assert len(toxicity.single([r for _, r in toxic])) == 40
+    copies = [(1, np.unique(np.append(toxic[0][1], rng.choice(free, 2))).astype(np.int32)) for _ in range(40)]
+    assert toxicity.weights(copies + clean, p)[7] == 0
+
+
+def test_single_equals_brute_force():
+    rng = np.random.default_rng(4)
+    sets = []
+    for _ in range(60):
+        base = np.unique(rng.choice(5000, rng.integers(1, 400)))
+        sets += [np.unique(np.append(base[rng.random(len(base)) > drop], rng.choice(5000, more))) for drop, more in ((0, 0), (0.05, 1), (0.3, 9))]
+    want = []
+    for s in sets:
+        if len(s) and not any(len(np.intersect1d(s, k)) >= 0.8 * len(np.union1d(s, k)) for k in want):
+            want.append(s)
+    got = toxicity.single([*sets, np.zeros(0, np.int32)])
+    assert len(got) == len(want) < len(sets) and all((a == b).all() for a, b in zip(got, want))
