@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import hashing
 from quarry.llm.common import id_text, slices, texts_of
-from quarry.llm.labels import held_out, training_rows
+from quarry.llm.labels import held_out, label_counts, training_rows
 
 
 @dataclass(frozen=True)
@@ -117,7 +117,11 @@ BAG_DDL = "label int, ids binary, shares binary"
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", params: Params = Params()) -> Model:
-    """Train on at most ``params.rows_per_label`` labelled rows of each label outside the held-out fold."""
+    """Train on at most ``params.rows_per_label`` labelled rows of each label outside the held-out fold.
+
+    The bias is moved from the sample's odds of label 1 to those of all
+    training rows, so that scores do not depend on where the sample was cut.
+    """
 
     def to_bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -128,7 +132,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str
     rows = sample.mapInArrow(to_bags, BAG_DDL).toArrow()
     parsed = [(r["label"], np.frombuffer(r["ids"], np.int32), np.frombuffer(r["shares"], np.float32)) for r in rows.to_pylist()]
     parsed.sort(key=lambda r: (r[0], r[1].tobytes(), r[2].tobytes()))  # the same model whatever the order of arrival
-    return train(parsed, params)
+    model = train(parsed, params)
+    one, other = label_counts(labels, label, id_col)
+    drawn = sum(r[0] == 1 for r in parsed)
+    model.bias += math.log((one + 0.5) / (other + 0.5)) - math.log((drawn + 0.5) / (len(parsed) - drawn + 0.5))
+    return model
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3, params: Params = Params()) -> DataFrame:

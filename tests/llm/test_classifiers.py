@@ -149,3 +149,12 @@ def test_single_equals_brute_force():
             want.append(s)
     got = toxicity.single([*sets, np.zeros(0, np.int32)])
     assert len(got) == len(want) < len(sets) and all((a == b).all() for a, b in zip(got, want))
+
+
+def test_quality_scores_follow_the_real_label_ratio(spark):
+    rows = [(i, "the same words for every label") for i in range(1, 1101)]
+    d = docs(spark, rows)
+    labels = spark.createDataFrame([(i, int(i % 11 != 0), 0) for i, _ in rows], "doc_id long, quality int, toxic int")
+    for limit in (40, 1500):
+        got = quality.score(d, quality.fit(d, labels, params=quality.Params(rows_per_label=limit))).toPandas()
+        assert abs(got.score.mean() - 10 / 11) < 0.03 and got.predicted.all()
