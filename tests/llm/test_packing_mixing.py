@@ -146,3 +146,25 @@ def test_mixing_awkward_rows(spark):
     alike = spark.createDataFrame([(i % 50, "one two", "en", "src0") for i in range(300)], "doc_id long, text string, lang string, source string")
     assert mixing.mix(alike).select("row.doc_id", "selected").distinct().count() == 50
     assert mixing.mix(d.limit(0)).collect() == []
+
+
+def test_every_source_has_a_target(spark):
+    rng = np.random.default_rng(6)
+    names = ["hot"] * 10 + [None, "", "(rest)"] + [f"s{i}" for i in range(17)]
+    rows = [(i, "one two three four " * int(rng.integers(5, 30)), ["en", "de", "fr", "es"][i % 4], names[int(rng.integers(len(names)))]) for i in range(6000)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    params = mixing.Params(budget=0.1)
+    mixed = mixing.mix(d, params=params).toPandas()
+    expected = (mixed.n_tokens * mixed.probability).groupby(mixed.source.fillna("(rest)")).sum()
+    assert len(expected) == 20 and np.allclose(expected / expected.sum(), 1 / 20, atol=1e-4)
+    got = {(r["dimension"], r["value"]): r for r in mixing.margins(d, params=params).collect()}
+    assert all(got["source", v]["expected"] == pytest.approx(e) for v, e in expected.items())
+    assert got["all", None]["asked"] == pytest.approx(0.1 * mixed.n_tokens.sum()) and got["all", None]["expected"] == pytest.approx(expected.sum())
+    assert mixing.mix(d.limit(0)).collect() == [] and len(mixing.margins(d.limit(0)).collect()) > 0
+
+
+def test_what_a_value_lacks_goes_to_the_others():
+    totals = np.array([[10.0, 10.0], [300.0, 500.0], [400.0, 200.0]])
+    raked = mixing.rake(totals, [np.array([0.4, 0.4, 0.2]), np.array([0.5, 0.5])], 500.0)
+    assert np.allclose(raked.sum(1), [20, 320, 160], rtol=1e-3) and np.allclose(raked.sum(0), [250, 250], rtol=1e-3)
+    assert mixing.reachable(np.array([0.5, 0.5]), np.array([3.0, 4.0]), 100.0).tolist() == [3, 4]
