@@ -123,6 +123,14 @@ EXTRA_DIGIT_WORDS = {"oh": "0", "nil": "0", "zwo": "2", "niner": "9"}
 AT_WORDS = ("at", "arroba", "arobase", "ät", "klammeraffe")
 DOT_WORDS = ("dot", "punkt", "point", "punto", "period")
 PLUS_WORDS = ("plus", "más", "mas")
+# Words before "at" and a plainly written domain that are no mailbox ("look at example.com").
+NO_MAILBOX = (
+    "a above account all also am an and arrive articles as available back be been below book buy by call check click contact "
+    "details down download everyone find for found free from go good here host hosted in info is it join just learn live located "
+    "look looking me more news not now of on online open or order out over page pages place register sale see shop sign site "
+    "sites staff start stay stop store that the them there these this time to today up us via view visit was we website were work "
+    "works you"
+).split()
 
 
 @functools.lru_cache(maxsize=1)
@@ -148,14 +156,18 @@ def _patterns() -> dict[str, re.Pattern]:
     at, dot, plus = ("|".join(map(re.escape, x)) for x in (AT_WORDS, DOT_WORDS, PLUS_WORDS))
     return {
         "sign hint": re.compile(r"[\[({<][ ]?(?:[@.]|" + at + r")[ ]?[\])}>]| @|@ ", re.I),
+        # a spelled at before a plainly written domain
+        "at hint": re.compile(rf"[A-Za-z0-9][ _-](?:{at})[ _-][A-Za-z0-9-]+\.[A-Za-z0-9]", re.I),
         # two spelled digits in a row, or one beside a written digit
         "digits": re.compile(rf"(?<!\w){word}(?:{gap}{word})+(?!\w)|(?<=[0-9][ -]){word}(?!\w)|(?<!\w){word}(?=[ -][0-9])|(?<=[0-9]\.){word}(?!\w)", re.I),
         "word": re.compile(word + r"|\.", re.I),
         "plus": re.compile(rf"(?<!\w)(?:{plus})[ ]+(?=[0-9])", re.I),
         "signs": re.compile(
             rf"(?P<at1>[ ]?[\[({{<][ ]?(?:{at}|@)[ ]?[\])}}>][ ]?)|(?P<dot1>[ ]?[\[({{<][ ]?(?:{dot}|\.)[ ]?[\])}}>][ ]?)"
-            rf"|(?P<at2>(?<=[A-Za-z0-9])[ _-](?:{at})[ _-](?=[A-Za-z0-9-]+(?:[ _-](?:{dot})[ _-]|[ ]?[\[({{<][ ]?(?:{dot}|\.))[ ]?))"
-            rf"|(?P<dot2>(?<=[A-Za-z0-9])[ _-](?:{dot})[ _-](?=[A-Za-z0-9]))|(?P<at3>(?<=[A-Za-z0-9])[ ]@[ ]?(?=[A-Za-z0-9-]+\.)|(?<=[A-Za-z0-9])@[ ](?=[A-Za-z0-9-]+\.))",
+            rf"|(?P<at2>(?<=[A-Za-z0-9])[ _-](?:{at})[ _-](?=[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?:[ _-](?:{dot})[ _-]|[ ]?[\[({{<][ ]?(?:{dot}|\.))[ ]?))"
+            rf"|(?P<at4>(?<=[A-Za-z0-9])[ _-](?:{at})[ _-](?=[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}}(?![A-Za-z0-9-])))"
+            rf"|(?P<dot2>(?<=[A-Za-z0-9])[ _-](?:{dot})[ _-](?=[A-Za-z0-9]))|(?P<at3>(?<=[A-Za-z0-9])[ ]@[ ]?(?=[A-Za-z0-9-]+(?:\.|[ ]\.[ ]))|(?<=[A-Za-z0-9])@[ ](?=[A-Za-z0-9-]+(?:\.|[ ]\.[ ])))"
+            rf"|(?P<dot3>(?<=[A-Za-z0-9])[ ]\.[ ](?=[A-Za-z0-9]))",
             re.I,
         ),
     }
@@ -204,7 +216,18 @@ def _one_digit_run(m: re.Match) -> str:
     return "".join(names.get(w.lower(), w) for w in _patterns()["word"].findall(m.group()))
 
 
-def _sign(m: re.Match) -> str:
+_LAST_WORD = re.compile(r"[A-Za-z0-9._%+-]+$")
+_HOST = re.compile(r"@[ ]?[A-Za-z0-9-]+(?:[ ]?\.[ ]?[A-Za-z0-9-]+)*$")
+
+
+def _sign(m: re.Match) -> str | None:
+    """The sign that a disguise stands for; None where it is none."""
+    if m.lastgroup == "dot3" and not _HOST.search(m.string, max(0, m.start() - 255), m.start()):
+        return None  # a spaced dot counts inside an address alone
+    if m.lastgroup == "at4":
+        before = _LAST_WORD.search(m.string, max(0, m.start() - 64), m.start())
+        if before and before.group().lower() in NO_MAILBOX:
+            return None
     return "@" if m.lastgroup.startswith("at") else "."
 
 
@@ -225,7 +248,7 @@ def normalise(text: str) -> Tape:
         if c in bare:
             bare = bare.replace(c, " ")
     tokens = set(bare.split())
-    if not tokens.isdisjoint(DOT_WORDS) or any(c in tape.text for c in "@[({<") and p["sign hint"].search(tape.text):
+    if not tokens.isdisjoint(DOT_WORDS) or any(c in tape.text for c in "@[({<") and p["sign hint"].search(tape.text) or not tokens.isdisjoint(AT_WORDS) and p["at hint"].search(tape.text):
         tape.rewrite(p["signs"], _sign)
     if not tokens.isdisjoint(digit_words()):
         tape.rewrite(p["digits"], _one_digit_run)

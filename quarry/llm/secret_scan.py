@@ -1,40 +1,49 @@
 """Secret scans (operator 10): probabilistic automata inferred from labelled credentials.
 
-One scan finds the plainly written credentials (base spans) and every other
-candidate token.  The values of a bounded sample of base spans are the
-labelled credentials: per kind, a prefix tree of their character classes is
-folded into a probabilistic automaton by merging states whose outgoing and
-stopping frequencies do not differ significantly (Hoeffding bound).  Every
-candidate is then scored by its likelihood per character under each
-automaton; one that fits a kind as well as that kind's own credentials do is
-added as a span of that kind.
+A first scan takes a bounded sample of the plainly written credentials (base
+spans) and of the other candidate tokens, as character classes only: no
+credential leaves its text.  The credentials are the labelled strings: per
+kind, a prefix tree of their classes is folded into a probabilistic automaton
+by merging states whose outgoing and stopping frequencies do not differ
+significantly (Hoeffding bound).  The other tokens, most of them long words,
+give one more automaton in the same way.  A second scan scores every
+candidate, whatever characters of the value class it has, by its likelihood
+per character under each automaton; one that fits a kind as well as that
+kind's own credentials do, and better than it fits the other tokens, is added
+as a span of that kind.
 """
 
 from __future__ import annotations
 
+import functools
+import hashlib
+import heapq
 import math
 import re
+import string
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import id_text, slices, texts_of, written
+from quarry.llm.common import id_text, slices, texts_of
 
 KINDS = ("assign", "access", "hex")
 
 
 @dataclass(frozen=True)
 class Params:
-    """Production parameters; ``train_values`` bounds the distinct credentials of a kind learned from."""
+    """Production parameters; ``train_values`` and ``train_others`` bound the distinct credentials of a kind and other tokens learned from."""
 
     train_values: int = 600
+    train_others: int = 2000
     alpha: float = 0.05
-    shortest: int = 16
+    shortest: int = 12
     quantile: float = 0.02
+    margin: float = 0.2  # by which the other tokens' automaton must fit better, per character; unnamed credentials are among them
     seed: int = 29
 
 
@@ -76,32 +85,32 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
     return out + [("hex", m.start(), m.end(), m.group()) for m in _HEX.finditer(text)]
 
 
-_RUN = re.compile(r"[A-Za-z0-9+/_=-]*")
-_RUN_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")
-_DIGIT = re.compile("[0-9]")
+@functools.lru_cache(maxsize=4)
+def _run(shortest: int) -> re.Pattern:
+    return re.compile(rf"[A-Za-z0-9+/_.=-]{{{shortest},}}")
 
 
 def candidates(text: str, shortest: int) -> list[tuple[int, int]]:
-    """Runs of credential characters with a digit in them."""
-    out, done = [], 0
-    for m in _DIGIT.finditer(text):
-        if m.start() < done:
-            continue
-        start = m.start()
-        while start > done and text[start - 1] in _RUN_CHARS:
-            start -= 1
-        done = _RUN.match(text, m.start()).end()
-        if done - start >= shortest:
-            out.append((start, done))
+    """Runs of the value class, without the dots and dashes that end or begin them."""
+    out = []
+    for m in _run(shortest).finditer(text):
+        run = m.group()
+        start = m.start() + len(run) - len(run.lstrip(".-_"))
+        end = m.end() - len(run) + len(run.rstrip(".-_"))
+        if end - start >= shortest:
+            out.append((start, end))
     return out
 
 
 # ------------------------------------------------------------ grammar inference
 
 
+_CLASSES = {c: "0" if chr(c) in string.digits else "a" if chr(c) in "abcdef" else "g" if chr(c) in string.ascii_lowercase else "A" for c in map(ord, string.digits + string.ascii_letters)}
+
+
 def classes(value: str) -> str:
     """Character classes: digit, hex letter, other small letter, capital; other characters are themselves."""
-    return "".join("0" if "0" <= c <= "9" else "a" if "a" <= c <= "f" else "g" if "g" <= c <= "z" else "A" if "A" <= c <= "Z" else c for c in value)
+    return value.translate(_CLASSES)
 
 
 @dataclass
@@ -124,10 +133,10 @@ class Automaton:
         self.margin = math.sqrt(0.5 * math.log(2 / alpha))
         self._fold()
 
-    def _add(self, string: str) -> None:
+    def _add(self, shape: str) -> None:
         at = self.states[0]
         at.arrivals += 1
-        for c in string:
+        for c in shape:
             if c not in at.go:
                 at.go[c] = len(self.states)
                 self.states.append(State())
@@ -196,33 +205,42 @@ class Automaton:
         for s in self.states:
             s.go = {c: number[t] for c, t in s.go.items()}
 
-    def likelihood(self, string: str) -> float:
+    def likelihood(self, shape: str) -> float:
         """Log probability per symbol (the stop included); symbols never taken cost a fixed penalty."""
         total, at = 0.0, self.states[0]
-        for c in string:
+        for c in shape:
             n = at.taken.get(c, 0)
             total += math.log((n + 0.01) / (at.arrivals + 1))
             if n:
                 at = self.states[at.go[c]]
-        return (total + math.log((at.stops + 0.01) / (at.arrivals + 1))) / (len(string) + 1)
+        return (total + math.log((at.stops + 0.01) / (at.arrivals + 1))) / (len(shape) + 1)
 
 
 @dataclass
 class Grammar:
-    """One automaton and acceptance level per kind that had credentials."""
+    """One automaton and acceptance level per kind that had credentials, and the automaton of the other tokens."""
 
     automata: dict[str, tuple[Automaton, float]]
+    other: Automaton | None = None
+    margin: float = 0.0
+    memo: dict[str, str | None] = field(default_factory=dict)
 
     def kind_of(self, value: str) -> str | None:
-        """The kind whose format the value fits best, relative to its level; None if it fits none."""
+        """The kind whose format the value fits best, relative to its level; None if it fits none, or the other tokens better."""
         shape = classes(value)
-        fits = [(a.likelihood(shape) - level, kind) for kind, (a, level) in self.automata.items()]
-        best = max(fits, default=(-1.0, ""), key=lambda f: f[0])
-        return best[1] if best[0] >= 0 else None
-
-
-def infer(values: dict[str, list[str]], p: Params = Params()) -> Grammar:
-    """An automaton per kind; its level is a low quantile of the likelihoods of its own credentials."""
+        if shape in self.memo:
+            return self.memo[shape]
+        fits = [(likely - level, likely, kind) for kind, (a, level) in self.automata.items() for likely in [a.likelihood(shape)]]
+        over, likely, kind = max(fits, default=(-1.0, 0.0, ""), key=lambda f: f[0])
+        if over < 0 or self.other is not None and self.other.likelihood(shape) > likely + self.margin:
+            kind = None
+        if len(self.memo) < 100_000:
+            self.memo[shape] = kind
+        return kind
+
+
+def infer(values: dict[str, list[str]], p: Params = Params(), others: list[str] | None = None) -> Grammar:
+    """An automaton per kind, from credentials or their classes; its level is a low quantile of the likelihoods of its own credentials."""
     automata = {}
     for kind in KINDS:
         shapes = sorted(classes(v) for v in values.get(kind, []))
@@ -230,39 +248,64 @@ def infer(values: dict[str, list[str]], p: Params = Params()) -> Grammar:
             a = Automaton(shapes, p.alpha)
             own = sorted(a.likelihood(s) for s in shapes)
             automata[kind] = (a, own[int(p.quantile * (len(own) - 1))])
-    return Grammar(automata)
+    return Grammar(automata, Automaton(sorted(map(classes, others)), p.alpha) if others else None, p.margin)
 
 
 # ------------------------------------------------------------------------ Spark
 
-_FOUND = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("value", pa.string())]))
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())]))
-FOUND_DDL = "doc_id long, found array<struct<kind:string,start:int,end:int,value:string>>"
 SPANS_DDL = "doc_id long, spans array<struct<kind:string,start:int,end:int,base:boolean>>"
+OTHER = "other"
 
 
-def scan(df: DataFrame, id_col: str, text_col: str, p: Params) -> DataFrame:
-    """Base spans and candidates (kind null) of every whole text."""
+def free_candidates(text: str, base: list[tuple[str, int, int, str]], shortest: int) -> Iterator[tuple[int, int]]:
+    """Candidates that meet no base span, by start."""
+    taken = sorted((s, e) for _, s, e, _ in base)
+    i, reach = 0, -1
+    for start, end in candidates(text, shortest):
+        while i < len(taken) and taken[i][0] < end:
+            reach = max(reach, taken[i][1])
+            i += 1
+        if reach <= start:
+            yield start, end
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            rows = []
-            for text in texts_of(batch):
-                base = base_spans(text)
-                rest = [(None, s, e, text[s:e]) for s, e in candidates(text, p.shortest)]
-                rows.append([dict(zip(("kind", "start", "end", "value"), x)) for x in base + rest])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, _FOUND)], ["doc_id", "found"])
 
-    return id_text(df, id_col, text_col).mapInArrow(run, FOUND_DDL)
+def labelled(rows: DataFrame, p: Params) -> dict[str, list[str]]:
+    """Shapes of at most ``train_values`` distinct credentials of each kind and ``train_others`` other tokens: those with the smallest seeded hash.
+
+    Every task keeps that many of each kind, so a task sends no more whatever it reads.
+    """
+    limits = dict.fromkeys(KINDS, p.train_values) | {OTHER: p.train_others}
+    key = p.seed.to_bytes(8, "little")
 
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, dict[bytes, str]] = {kind: {} for kind in limits}
 
-def labelled(found: DataFrame, p: Params) -> dict[str, list[str]]:
-    """At most ``train_values`` distinct credentials of each kind, those with the smallest seeded hash."""
-    spans = found.select(F.explode("found").alias("s")).select("s.kind", "s.value").filter("kind IS NOT NULL").distinct()
-    out = {}
-    for kind in KINDS:
-        rows = spans.filter(F.col("kind") == kind).orderBy(F.xxhash64("value", F.lit(p.seed)), "value").limit(p.train_values)
-        out[kind] = [r["value"] for r in rows.collect()]
+        def cut(kind: str) -> None:
+            held[kind] = dict(heapq.nsmallest(limits[kind], held[kind].items()))
+
+        for batch in slices(batches):
+            for text in texts_of(batch):
+                base = base_spans(text)
+                found = [(kind, value) for kind, _, _, value in base]
+                found += [(OTHER, text[s:e]) for s, e in free_candidates(text, base, p.shortest)]
+                for kind, value in found:
+                    held[kind][hashlib.blake2b(value.encode(), digest_size=16, key=key).digest()] = classes(value)
+            for kind, limit in limits.items():
+                if len(held[kind]) > 4 * limit:
+                    cut(kind)
+        for kind in limits:
+            cut(kind)
+        found = [(kind, mark, shape) for kind, some in held.items() for mark, shape in some.items()]
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found), (pa.string(), pa.binary(), pa.string()))], ["kind", "mark", "shape"])
+
+    marks = rows.mapInArrow(sample, "kind string, mark binary, shape string").distinct()
+    first = Window.partitionBy("kind").orderBy("mark")
+    kept = marks.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= max(limits.values()))
+    out: dict[str, list[str]] = {kind: [] for kind in limits}
+    for r in kept.filter(functools.reduce(lambda a, b: a | b, [(F.col("kind") == k) & (F.col("n") <= n) for k, n in limits.items()])).collect():
+        out[r["kind"]].append(r["shape"])
     return out
 
 
@@ -273,24 +316,20 @@ def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spans.  Without any base span in the table nothing is learned and nothing
     is added.  Repeated rows give repeated rows; a null id stays null.
     """
-    found = written(scan(df, id_col, text_col, params), "secret-candidates")
-    grammar = infer(labelled(found, params), params)
+    rows = id_text(df, id_col, text_col)
+    learned = labelled(rows, params)
+    grammar = infer(learned, params, learned[OTHER])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for items in batch.column("found").to_pylist():
-                base = [x for x in items if x["kind"] is not None]
-                spans = [{"kind": x["kind"], "start": x["start"], "end": x["end"], "base": True} for x in base]
-                taken = sorted((x["start"], x["end"]) for x in base)
-                i, reach = 0, -1
-                for x in (x for x in items if x["kind"] is None):  # by start
-                    while i < len(taken) and taken[i][0] < x["end"]:
-                        reach = max(reach, taken[i][1])
-                        i += 1
-                    if reach <= x["start"] and (kind := grammar.kind_of(x["value"])):
-                        spans.append({"kind": kind, "start": x["start"], "end": x["end"], "base": False})
-                rows.append(spans)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, _SPANS)], ["doc_id", "spans"])
-
-    return found.mapInArrow(judge, SPANS_DDL)
+        for batch in slices(batches):
+            out = []
+            for text in texts_of(batch):
+                base = base_spans(text)
+                spans = [{"kind": kind, "start": s, "end": e, "base": True} for kind, s, e, _ in base]
+                for s, e in free_candidates(text, base, params.shortest):
+                    if kind := grammar.kind_of(text[s:e]):
+                        spans.append({"kind": kind, "start": s, "end": e, "base": False})
+                out.append(spans)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, _SPANS)], ["doc_id", "spans"])
+
+    return rows.mapInArrow(judge, SPANS_DDL)

@@ -1,8 +1,9 @@
 """Toxicity (operator 6): noisy-channel deobfuscation, then scores of the restored text.
 
-* A character trigram model is counted over every text of the corpus.
-* Disguised stretches (look-alike signs inside words, letters spaced out,
-  letters repeated) become a lattice: a sign may stand for itself or for the
+* A character trigram model is counted over every text of the corpus, each
+  text between boundaries of its own.
+* Disguised stretches (words that mix letters and look-alike signs, three or
+  more characters spaced out, letters repeated) become a lattice: a sign may stand for itself or for the
   letters it resembles, a gap between single letters may be there or not, a
   run of one letter may stand for one or two.  Viterbi decoding under the
   trigram model picks the reading; all other text is its own only reading.
@@ -70,18 +71,23 @@ def letter_numbers(codes: np.ndarray) -> np.ndarray:
     return _codes()[np.minimum(codes, 0xFFFF)]
 
 
+def bounded(c: hashing.Chars) -> np.ndarray:
+    """Letter numbers of a batch with two boundaries before each text and two after, shared by neighbours: no trigram holds letters of two texts."""
+    return np.concatenate([[0], np.insert(letter_numbers(c.codes), c.first, 0), [0]])
+
+
 def trigram_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
     """Counts of letter trigrams over all texts: ``SIZE``^3 numbers, whatever the corpus.
 
     Every task adds up its own texts first and sends one row per first letter.
+    The counts do not depend on how texts are dealt to batches.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SIZE**3, np.int64)
         for batch in slices(batches):
-            x = letter_numbers(hashing.chars(texts_of(batch)).codes)
-            if len(x) > 2:
-                total += np.bincount((x[:-2] * SIZE + x[1:-1]) * SIZE + x[2:], minlength=SIZE**3)
+            x = bounded(hashing.chars(texts_of(batch)))
+            total += np.bincount((x[:-2] * SIZE + x[1:-1]) * SIZE + x[2:], minlength=SIZE**3)
         rows = total.reshape(SIZE, -1)
         yield pa.RecordBatch.from_arrays([pa.array(range(SIZE), pa.int32()), pa.array([r.tobytes() for r in rows], pa.binary())], ["letter", "counts"])
 
@@ -112,8 +118,12 @@ _NUMBER = {c: i for i, c in enumerate(ALPHABET, 1)} | dict.fromkeys(LEET, SIGN)
 _SIGNS = "".join(LEET)
 _LETTER = r"[^\W\d_]"
 _ONE = rf"(?:{_LETTER}|[{re.escape(_SIGNS)}])"
-_SPACED = re.compile(rf"(?<!\w){_ONE}([ ._*\-]){_ONE}(?:\1{_ONE}){{2,}}(?!\w)")
-_MIXED = re.compile(rf"{_LETTER}[{re.escape(_SIGNS)}]+(?={_LETTER})|(?<![\w{re.escape(_SIGNS)}])[{re.escape(_SIGNS)}]{{1,2}}(?={_LETTER}{{2}})")
+_SPACED = re.compile(rf"(?<!\w){_ONE}([ ._*\-]){_ONE}(?:\1{_ONE})+(?!\w)")
+_SIGNS_IN_SETS = re.escape(_SIGNS)
+_OTHER_SIGNS = re.escape("".join(c for c in LEET if not c.isdigit()))
+_MIXED = re.compile(rf"{_LETTER}[{_SIGNS_IN_SETS}]|[{_SIGNS_IN_SETS}]{_LETTER}|[{_OTHER_SIGNS}][0-9]|[0-9][{_OTHER_SIGNS}]")
+# signs inside a word or at its beginning: what only a disguise has
+_INSIDE = re.compile(rf"{_LETTER}[{_SIGNS_IN_SETS}]+(?={_LETTER})|(?<![\w{_SIGNS_IN_SETS}])[{_SIGNS_IN_SETS}]{{1,2}}(?={_LETTER}{{2}})")
 _REPEAT = re.compile(rf"({_LETTER})\1\1+", re.I)
 _GAPS = " ._*-"
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]*")
@@ -122,6 +132,8 @@ _HEAD, _TAIL = "\"'([{<*_", "\"')]}>*_.,;:?!"
 
 # Costs of the channel, as log probabilities.
 _AS_SIGN, _AS_LETTER, _DROP, _KEEP = math.log(0.4), math.log(0.3), math.log(0.95), math.log(0.05)
+# A code (a key, a number, an address) instead of a disguised word: that it is one, and each of its characters.
+_IS_CODE, _CODE = -3.0, -math.log(40)
 
 
 class Decoder:
@@ -150,7 +162,8 @@ class Decoder:
             i = end
         return out
 
-    def decode(self, piece: str) -> str:
+    def decode(self, piece: str, word: bool = True) -> str:
+        """The likeliest reading; where ``word`` is False, a code of equally likely characters, left as it is, is one of them."""
         if piece in self.memo:
             return self.memo[piece]
         logp, number = self.logp, _NUMBER
@@ -169,11 +182,14 @@ class Decoder:
                         new[x, y], back[x, y] = score, (state, put)
             scores = new
             steps.append(back)
-        state, read = max(scores, key=lambda s: (scores[s], s)), []
+        last = state = max(scores, key=lambda s: (scores[s], s))
+        read = []
         for back in reversed(steps):
             state, put = back[state]
             read.append(put)
         best = "".join(reversed(read))[:-1]
+        if not word and scores[last] < _IS_CODE + _CODE * len(piece):
+            best = piece
         if len(self.memo) < 100_000:
             self.memo[piece] = best
         return best
@@ -192,26 +208,29 @@ class Decoder:
             token = text[start:end]
             head = len(token) - len(token.lstrip(_HEAD))
             tail = len(token.rstrip(_TAIL)) if head < len(token) else len(token)
-            parts += (text[last : start + head], self.decode(token[head:tail]), token[tail:])
-            last = end
+            mixed = _MIXED.search(token, head, tail) is not None
+            if mixed or _REPEAT.search(token, head, tail):  # not punctuation alone
+                word = not mixed or _INSIDE.search(token, head, tail) is not None
+                parts += (text[last : start + head], self.decode(token[head:tail], word), token[tail:])
+                last = end
         return "".join([*parts, text[last:]])
 
 
 def disguised(c: hashing.Chars) -> np.ndarray:
     """Which texts of a batch may hold a disguised stretch (a superset, found by array passes)."""
     codes = c.codes
-    n = len(codes)
-    hits = np.zeros(n, bool)
-    if n > 6:
-        number = letter_numbers(codes)
-        sign = number == SIGN
-        letter = (number > 0) & ~sign
-        same = (codes[1:] | 32) == (codes[:-1] | 32)
-        hits[:-2] |= letter[:-2] & same[:-1] & same[1:]
-        hits[:-1] |= sign[:-1] & letter[1:]
-        gap = _gap_table()[np.minimum(codes, 0xFFFF)]
-        one = letter | sign
-        hits[:-6] |= one[:-6] & gap[1:-5] & one[2:-4] & gap[3:-3] & one[4:-2] & gap[5:-1] & one[6:]
+    hits = np.zeros(len(codes), bool)
+    number = letter_numbers(codes)
+    sign = number == SIGN
+    letter = (number > 0) & ~sign
+    digit = (codes >= 48) & (codes <= 57)
+    same = (codes[1:] | 32) == (codes[:-1] | 32)
+    hits[:-2] |= letter[:-2] & same[:-1] & same[1:]
+    before, after = sign[:-1] & (letter[1:] | (digit[1:] & ~digit[:-1])), sign[1:] & (letter[:-1] | (digit[:-1] & ~digit[1:]))
+    hits[:-1] |= before | after
+    gap = _gap_table()[np.minimum(codes, 0xFFFF)]
+    one = letter | sign
+    hits[:-4] |= one[:-4] & gap[1:-3] & one[2:-2] & gap[3:-1] & one[4:]
     total = np.concatenate([[0], np.cumsum(hits)])
     return total[c.last] > total[c.first]
 
@@ -283,7 +302,8 @@ class Model:
         owner = pairs >> 32
         for i in np.unique(owner):
             x[i] = summary(self.weight[pairs[owner == i] & 0xFFFFFFFF])
-        return 1 / (1 + np.exp(-np.clip(x @ self.link, -30, 30)))
+        z = x[:, 0] * self.link[0] + x[:, 1] * self.link[1] + x[:, 2] * self.link[2] + x[:, 3] * self.link[3]  # one order of additions, whatever the batch
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
 def signature(ids: np.ndarray) -> np.ndarray:

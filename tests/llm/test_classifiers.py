@@ -86,11 +86,10 @@ def test_trigram_counts_cover_all_texts(spark):
     counts = toxicity.trigram_counts(d)
     texts = [r["text"] or "" for r in d.collect()]
     want = np.zeros_like(counts)
-    # pairs across texts of one batch are part of the counts; compare inside texts only
     for t in texts:
-        x = toxicity.letter_numbers(hashing.chars([t]).codes)
+        x = np.concatenate([[0, 0], toxicity.letter_numbers(hashing.chars([t]).codes), [0]])
         np.add.at(want, (x[:-2], x[1:-1], x[2:]), 1)
-    assert (counts >= want).all() and counts.sum() - want.sum() <= 2 * len(texts)
+    assert (counts == want).all()
 
 
 @pytest.mark.parametrize("module,label", [(quality, "quality"), (toxicity, "toxic")])
@@ -158,3 +157,54 @@ def test_quality_scores_follow_the_real_label_ratio(spark):
     for limit in (40, 1500):
         got = quality.score(d, quality.fit(d, labels, params=quality.Params(rows_per_label=limit))).toPandas()
         assert abs(got.score.mean() - 10 / 11) < 0.03 and got.predicted.all()
+
+
+def test_trigrams_do_not_depend_on_batches_and_cross_no_text():
+    texts = ["ab", "", "c", "abc d", "é1"]
+
+    def counts(batch):
+        x = toxicity.bounded(hashing.chars(batch))
+        return sorted(zip(x[:-2].tolist(), x[1:-1].tolist(), x[2:].tolist()))
+
+    assert counts(texts) == sorted(sum((counts([t]) for t in texts), []))
+    a, b, c = (toxicity.letter_numbers(np.array([ord(x)]))[0] for x in "abc")
+    assert (b, 0, c) not in counts(texts) and (0, 0, c) in counts(texts) and (0, a, b) in counts(texts)
+
+
+@pytest.mark.parametrize("text", ["sh!t", "5h17", "garbag3", "ki11", "a$$", "@55", "d.i.e", "k i l", "h4te", "w0w"])
+def test_short_and_trailing_disguises_reach_the_lattice(decoder, monkeypatch, text):
+    """Alone in a batch or beside a long text, with punctuation or without."""
+    for some in ([text], [f"({text})!"], [text, "a much longer text beside it"]):
+        assert toxicity.disguised(hashing.chars(some))[0]
+        seen = []
+        monkeypatch.setattr(decoder, "decode", lambda piece, word=True: seen.append(piece) or piece)
+        toxicity.restored(some, decoder)
+        monkeypatch.undo()
+        assert seen == [text]
+
+
+@pytest.mark.parametrize("text", ["wow!", "yes! no!", "in 2024, 17 of 30", "plain words", "a b", ""])
+def test_punctuation_and_numbers_do_not(decoder, monkeypatch, text):
+    monkeypatch.setattr(decoder, "decode", lambda piece, word=True: pytest.fail(piece))
+    assert toxicity.restored([text], decoder) == [text.lower()]
+
+
+def test_a_text_has_one_score_whatever_its_batch(decoder):
+    r = np.random.default_rng(2)
+    model = toxicity.Model(decoder_probabilities(decoder), r.choice([0.0, 0.0, 2.5], 1 << 21).astype(np.float32), np.array([-3.0, 0.4, 0.5, 0.6]))
+    texts = ["sh!t", "", "a", "th3 w0rd h3re", "k i l l them all", "plain words of an ordinary text " * 20, "5h17", "a$$ h0le"]
+    together = model.score(toxicity.restored(texts, decoder), toxicity.Params())
+    alone = [model.score(toxicity.restored([t], decoder), toxicity.Params())[0] for t in texts]
+    assert together.tolist() == alone
+    for i, t in enumerate(texts):  # the score from the model, in plain Python
+        words = "".join(c if "a" <= c <= "z" or c >= "À" else " " for c in toxicity.restored([t], decoder)[0]).split()
+        parts = {(n, w[:n]) for w in words for n in (*toxicity.Params().prefixes, 0) if len(w) >= n and n} | {(0, w) for w in words}
+        found = {}
+        for n, part in parts:
+            _, bucket = toxicity.buckets([part], toxicity.Params(prefixes=(n,) if n else ()))
+            found[int(bucket[-1])] = float(model.weight[bucket[-1]])
+        assert abs(alone[i] - 1 / (1 + np.exp(-np.clip(np.dot(toxicity.summary(np.array([x for x in found.values() if x > 0])), model.link), -30, 30)))) < 1e-9
+
+
+def decoder_probabilities(decoder):
+    return np.array(decoder.logp)

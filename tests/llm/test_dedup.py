@@ -179,3 +179,22 @@ def test_components_of_long_paths_and_odd_edges(spark):
         groups[c] += 1
     assert groups == {0: 201, 700: 3}
     assert graph.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@pytest.mark.parametrize("shingles_of_bucket", [4_000_000, 60])
+def test_an_id_with_two_texts_links_what_either_links(spark, shingles_of_bucket):
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (4, "nothing like it at all here"), (1, a), (1, a)]
+    rows += [(9, "z " + a), (9, "y " + b), (9, "own words of this very document")]
+    got = jaccard.jaccard_components(docs(spark, rows), params=jaccard.Params(bucket_shingles=shingles_of_bucket)).collect()
+    assert sorted((str(r["doc_id"]), r["n_shingles"], r["component_id"]) for r in got) == plain_components(rows)
+    assert {r["doc_id"]: r["component_id"] for r in got} == {1: 1, 2: 1, 3: 1, 4: 4, 9: 1}
+    kept = jaccard.keep_one(docs(spark, rows), params=jaccard.Params(bucket_shingles=shingles_of_bucket)).collect()
+    assert sorted(r["doc_id"] for r in kept) == [1, 1, 1, 1, 4]
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_repeated_ids_equal_brute_force(spark, seed):
+    rows = [(i % 40, t) for i, t in near_copies(seed)]
+    got = jaccard.jaccard_components(docs(spark, rows)).collect()
+    assert sorted((str(r["doc_id"]), r["n_shingles"], r["component_id"]) for r in got) == plain_components(rows)

@@ -88,7 +88,7 @@ def test_long_texts_take_linear_time(text):
     began = time.time()
     pii.find_spans(text)
     secret_scan.base_spans(text)
-    secret_scan.candidates(text, 16)
+    secret_scan.candidates(text, 12)
     assert time.time() - began < 10
 
 
@@ -144,3 +144,62 @@ def test_added_secret_is_found_and_base_is_not_repeated(spark):
     got = {x["doc_id"]: x["spans"] for x in secret_scan.find_secrets(docs(spark, rows)).collect()}
     assert [(s["kind"], s["start"], s["end"], s["base"]) for s in got[900]] == [("access", 3, 23, False)]
     assert got[901] == [] and [s["base"] for s in got[0]] == [True]
+
+
+@pytest.mark.parametrize("text,source", [
+    ("mail john at example.com now", "john at example.com"),
+    ("john at mail.example dot com", "john at mail.example dot com"),
+    ("john @ example . com", "john @ example . com"),
+    ("write j.doe at mail.example.org.", "j.doe at mail.example.org"),
+    ("x_1@ mail . example . org now", "x_1@ mail . example . org"),
+])
+def test_spelled_and_spaced_addresses(text, source):
+    assert [(k, text[s:e]) for k, s, e, base in pii.find_spans(text) if not base] == [("email", source)]
+
+
+@pytest.mark.parametrize("text", ["look at example.com", "Visit us at www.example.org today", "see a . b @ c", "he was at home. then", "at 10.30 we met", "it is at v1.2 now", "one . two . three"])
+def test_plain_at_is_no_address(text):
+    assert pii.find_spans(text) == []
+
+
+def test_all_runs_of_the_value_class_are_candidates():
+    text = "a Zk9Qw2Lm4Tp8, abcdEFGHijklMNOPqrst. ab12.cd34.ef56.gh78 short1 (__x/y+z=0123456__) elevenchars"
+    assert [text[s:e] for s, e in secret_scan.candidates(text, 12)] == ["Zk9Qw2Lm4Tp8", "abcdEFGHijklMNOPqrst", "ab12.cd34.ef56.gh78", "x/y+z=0123456"]
+
+
+def credentials(r, n):
+    """Short, letter-only and dotted values, like the labelled ones of each test corpus."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    made = []
+    for i in range(n):
+        mixed = "".join(r.choice(upper + lower + "0123456789") for _ in range(r.randrange(12, 16)))
+        letters = "".join(r.choice(upper + lower) for _ in range(20))
+        dotted = ".".join("".join(r.choice(lower[:8]) for _ in range(2)) + "%02d" % r.randrange(100) for _ in range(4))
+        made.append((mixed, letters, dotted)[i % 3])
+    return made
+
+
+def test_short_letter_only_and_dotted_credentials_are_scored(spark):
+    """Unnamed credentials of the labelled formats are found; long words, names and addresses of pages are left alone."""
+    r = random.Random(6)
+    syllables = ["con", "ver", "ti", "mon", "sta", "bil", "ra", "ge", "ment", "sch", "lich", "tion", "keit", "er", "in", "ung"]
+    word = lambda: "".join(r.choice(syllables) for _ in range(r.randrange(4, 7)))
+    clean = lambda: " ".join([word(), word().capitalize() + ".", f"www.{word()}.com/{word()}", f"{word()}-{word()}", "plain text"])
+    rows = [(i, f"{clean()} password={value} {clean()}") for i, value in enumerate(credentials(r, 300))]
+    fresh = credentials(r, 60)
+    rows += [(1000 + i, f"{clean()} {value} {clean()}") for i, value in enumerate(fresh)] + [(2000 + i, clean()) for i in range(200)]
+    texts = dict(rows)
+    got = {x["doc_id"]: [texts[x["doc_id"]][s["start"] : s["end"]] for s in x["spans"] if not s["base"]] for x in secret_scan.find_secrets(docs(spark, rows)).collect()}
+    found = sum(got[1000 + i] == [value] for i, value in enumerate(fresh))
+    false = sum(len(found) for i, found in got.items() if not 1000 <= i < 2000)
+    assert found >= 50 and false <= 5, (found, false)
+
+
+def test_learning_takes_a_bounded_sample_of_shapes(spark):
+    r = random.Random(7)
+    rows = [(i, f"token={value} and {value[::-1]}") for i, value in enumerate(credentials(r, 90) * 2)]
+    p = secret_scan.Params(train_values=20, train_others=7)
+    learned = secret_scan.labelled(secret_scan.id_text(docs(spark, rows).repartition(5), "doc_id", "text"), p)
+    assert (len(learned["assign"]), len(learned["other"]), learned["hex"]) == (20, 7, [])
+    assert learned == secret_scan.labelled(secret_scan.id_text(docs(spark, rows[::-1]).repartition(2), "doc_id", "text"), p)
+    assert all(set(s) <= set("0agA.+/=_-") for s in learned["assign"])

@@ -56,7 +56,8 @@ def test_codes_estimate_within_their_bound():
     p = ann.Params()
     codes, q = ann.encode(x, p), np.random.default_rng(2).standard_normal(48)
     turned = ann.rotation(48, codes.bits, p.seed) @ q
-    estimate = codes.signs() @ turned / np.sqrt(codes.bits) / codes.own * codes.length
+    products, off = codes.products(turned, 12)
+    estimate = products / np.sqrt(codes.bits) / codes.own * codes.length
     bound = np.linalg.norm(q) * codes.length * np.sqrt(1 - codes.own**2) / codes.own * p.epsilon / np.sqrt(codes.bits - 1)
     assert codes.packed.nbytes == 500 * codes.bits // 8
     assert (abs(estimate - x @ q) <= bound).mean() > 0.995
@@ -118,3 +119,52 @@ def test_mips_odd_rows(spark):
     assert got[0] == [(50, 0), (51, 0), (52, 0)] and got[50][0] == (51, 128 * 128 + 256 * 256) and got[150] == [(151, 256 * 768)]
     assert set(got) == {0, 50, 150}
     assert mips.top_products(frame(spark, rows).limit(0)).collect() == []
+
+
+def test_equal_vectors_tie_by_id_wherever_they_lie(spark):
+    """Wide vectors, their copies dealt to many parts: equal rows have equal scores."""
+    r = np.random.default_rng(8)
+    for dim in (16, 33, 64):
+        base = r.standard_normal((3, dim))
+        rows = [(int(i), [float(x) for x in base[0]]) for i in range(0, 60)] + [(100 + i, [float(x) for x in base[1 + i % 2]]) for i in range(20)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        for part in (8, 8192):
+            got = {(x["query_id"], x["rank"]): (x["vec_id"], x["score"]) for x in ann.nearest(df, 20, 20, params=ann.Params(part=part)).collect()}
+            assert [got[0, k][0] for k in range(1, 21)] == list(range(1, 21))
+            assert len({got[0, k][1] for k in range(1, 21)}) == 1
+
+
+def test_products_have_one_value_whatever_the_matrix():
+    r = np.random.default_rng(9)
+    for dim in (1, 2, 3, 7, 16, 33, 64, 100):
+        rows, q = r.standard_normal((50, dim)), r.standard_normal(dim)
+        want = ann.exact(rows, q)
+        assert np.allclose(want, rows @ q)
+        assert all(ann.exact(rows[i : i + 1], q)[0] == want[i] for i in range(50))
+        assert (ann.exact(rows[::-1][::2], q) == want[::-1][::2]).all()
+
+
+@pytest.mark.parametrize("dim", [5, 64, 100])
+def test_packed_products_equal_signed_sums(dim):
+    r = np.random.default_rng(dim)
+    p = ann.Params()
+    codes = ann.encode(r.standard_normal((40, dim)), p)
+    signs = np.unpackbits(codes.packed.view(np.uint8), axis=1).astype(float) * 2 - 1
+    q = r.standard_normal(dim) @ ann.rotation(dim, codes.bits, p.seed).T
+    products, off = codes.products(q, p.planes)
+    assert (np.abs(products - signs @ q) <= off + 1e-9).all()
+
+
+def test_codes_leave_rows_out():
+    """Clustered vectors: few rows are multiplied out, and none of the nearest is lost."""
+    r = np.random.default_rng(10)
+    centres = r.standard_normal((40, 64))
+    rows = centres[r.integers(0, 40, 8000)] + 0.3 * r.standard_normal((8000, 64))
+    part = ann.CodedPart(np.arange(8000), rows, 20, ann.Params())
+    hits = 0
+    for query, found, _ in part.search(np.arange(0, 8000, 400), rows[::400]):
+        scores = rows @ rows[query]
+        scores[query] = -np.inf
+        hits += len(set(found.tolist()) & set(np.argsort(-scores)[:20].tolist()))
+    assert hits >= 0.99 * 20 * 20
+    assert part.reranked < 0.15 * part.seen
