@@ -8,7 +8,8 @@ share nothing: a (query, document) pair exists only when they share a gram.
 Queries are de-duplicated before the search and the results joined back,
 so a dirty value repeated in a million records is searched once.
 
-Dense vectors have their own module, ``quarry.operators.dense``.
+Dense vectors have their own module, ``quarry.operators.dense``, and
+duplicates within one table theirs, ``quarry.operators.duplicates``.
 """
 
 from __future__ import annotations
@@ -17,6 +18,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quarry.operators.duplicates import (  # noqa: F401  (part of this module's interface)
+    connected_labels,
+    exact_duplicates,
+    near_duplicate_clusters,
+    near_duplicate_members,
+    near_duplicate_pairs,
+    normalized_text_hash,
+    shingle_sets,
+    similar_pairs,
+    word_shingles,
+)
 from quarry.operators.relational import first_n
 
 
@@ -243,37 +255,6 @@ def above(results: DataFrame, q_id: str, min_score: float, score: str = "cosine_
     return r.withColumn("overall", (F.col("cosine_similarity") + F.col("text_match")) / 2)
 
 
-def normalized_text_hash(text) -> Column:
-    """md5 of lower-cased text with blank runs collapsed."""
-    c = F.col(text) if isinstance(text, str) else text
-    return F.md5(F.trim(F.regexp_replace(F.lower(c), r"[ \t\n\r\f]+", " ")))
-
-
-def exact_duplicates(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """E11 (exact part): rows whose normalised text occurs more than once,
-    with the group's representative (smallest id) and size.
-
-    One hash aggregate per text hash (map-side partial), no pairs: a text
-    copied a million times is one group row, not 10^12 pairs.
-    """
-    h = df.select(F.col(id_col), normalized_text_hash(text).alias("text_hash"))
-    groups = h.groupBy("text_hash").agg(F.min(id_col).alias("rep_id"), F.count(F.lit(1)).alias("n_copies"))
-    groups = groups.filter(F.col("n_copies") > 1)
-    return h.join(groups, "text_hash")
-
-
-def word_shingles(tok: Column, n: int) -> Column:
-    """Array of word n-grams of a token-array column, joined by ' '.
-
-    Pass a column *reference* (tokens computed once beforehand): an
-    expression used inside the lambda would be re-evaluated per position.
-    """
-    return F.when(
-        F.size(tok) >= n,
-        F.transform(F.sequence(F.lit(1), F.size(tok) - (n - 1)), lambda i: F.array_join(F.slice(tok, i, n), " ")),
-    ).otherwise(F.array().cast("array<string>"))
-
-
 def _shingle_rows(df: DataFrame, id_col: str, text: str, lengths: list[int], alias: str) -> DataFrame:
     """(alias, sh) with the runs of each of the given numbers of words."""
     from quarry.operators.text import tokens
@@ -327,99 +308,3 @@ def rag_prompts(results: DataFrame, questions: DataFrame, q_id: str, q_text: str
         F.array_join(F.transform("__d", lambda d: d["id"].cast("string")), ",").alias("doc_ids"),
         F.format_string(template, text, F.coalesce("__q", F.lit(""))).alias("prompt"),
     )
-
-
-def connected_labels(edges: DataFrame) -> DataFrame:
-    """Connected components of a node-bucket graph ``(id, bk)`` by min-label
-    propagation: ``(id, label)`` with label = smallest id of the component.
-
-    Each round is two grouped minimums (hot buckets are handled by the
-    map-side partial aggregate) plus one pointer-jumping join, which shortens
-    label chains geometrically.  The round's labels are written under the
-    shared checkpoint folder and read back, which cuts the lineage to one
-    round.  Ends when no label changes; labels only fall, so it does end.
-    """
-    from quarry.session import scratch_path
-    from quarry.sources.sinks import materialize
-
-    spark = edges.sparkSession
-    edges = materialize(edges, scratch_path(spark, "cc-edges"))
-    labels = materialize(edges.groupBy("id").agg(F.min("id").alias("label")), scratch_path(spark, "cc-labels"))
-    while True:
-        bl = edges.join(labels, "id").groupBy("bk").agg(F.min("label").alias("bl"))
-        nl = edges.join(bl, "bk").groupBy("id").agg(F.min("bl").alias("label"))
-        hop = nl.select(F.col("id").alias("__l"), F.col("label").alias("__ll"))
-        nl = nl.join(hop, nl["label"] == hop["__l"], "left").select(
-            "id", F.least(F.col("label"), F.coalesce(F.col("__ll"), F.col("label"))).alias("label")
-        )
-        nl = materialize(nl, scratch_path(spark, "cc-labels"))
-        changed = nl.alias("n").join(labels.alias("o"), "id").filter(F.col("n.label") != F.col("o.label")).count()
-        labels = nl
-        if changed == 0:
-            return labels
-
-
-def shingle_sets(df: DataFrame, id_col: str, text: str, shingle: int) -> DataFrame:
-    """``(id, sh, set_key)``: sorted distinct hashes of a text's word runs, and a key of the whole set.
-
-    A text shorter than one run is one run of its words, or of its normalised
-    text when it has none, so exact copies always have equal sets.
-    """
-    from quarry.operators.text import tokens
-
-    t = df.select(F.col(id_col).alias("id"), tokens(text).alias("__tok"), F.coalesce(F.col(text), F.lit("")).alias("__txt"))
-    tok = F.col("__tok")
-    runs = (
-        F.when(F.size(tok) >= shingle, word_shingles(tok, shingle))
-        .when(F.size(tok) > 0, F.array(F.array_join(tok, " ")))
-        .otherwise(F.array(F.trim(F.regexp_replace(F.lower(F.col("__txt")), r"[ \t\n\r\f]+", " "))))
-    )
-    sh = F.array_sort(F.array_distinct(F.transform(runs, lambda r: F.xxhash64(r))))
-    return t.select("id", sh.alias("sh")).withColumn("set_key", F.sha2(F.to_csv(F.struct(F.array_join(F.transform("sh", lambda x: x.cast("string")), ",").alias("s"))), 256))
-
-
-def similar_pairs(sets: DataFrame, threshold: float) -> DataFrame:
-    """``(id_a, id_b, jaccard)`` of all sets ``(id, sh)`` with Jaccard >= ``threshold``, each pair once.
-
-    Runs are ordered by how many sets hold them, rarest first.  Two sets that
-    reach the threshold share a run among the first n - ceil(threshold * n) + 1
-    of each, so candidates come from these rare prefixes alone; sizes that
-    cannot match are dropped in the join and the rest verified on whole sets.
-    """
-    runs = sets.select("id", F.size("sh").alias("n"), F.explode("sh").alias("r"))
-    df = runs.groupBy("r").agg(F.count(F.lit(1)).alias("df"))
-    order = Window.partitionBy("id").orderBy("df", "r")
-    ranked = runs.join(df, "r").withColumn("i", F.row_number().over(order))
-    keep = ranked.filter((F.col("i") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1) & (F.col("df") > 1))
-    a, b = keep.select("r", F.col("id").alias("id_a"), F.col("n").alias("na")), keep.select("r", F.col("id").alias("id_b"), F.col("n").alias("nb"))
-    near = (F.col("id_a") < F.col("id_b")) & (F.col("na") >= threshold * F.col("nb") - 1e-9) & (F.col("nb") >= threshold * F.col("na") - 1e-9)
-    cand = a.join(b, "r").filter(near).select("id_a", "id_b").distinct()
-    whole = cand.join(sets.select(F.col("id").alias("id_a"), F.col("sh").alias("sa")), "id_a").join(sets.select(F.col("id").alias("id_b"), F.col("sh").alias("sb")), "id_b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    j = whole.select("id_a", "id_b", (common / (F.size("sa") + F.size("sb") - common)).alias("jaccard"))
-    return j.filter(F.col("jaccard") >= threshold - 1e-12)
-
-
-def near_duplicate_pairs(df: DataFrame, id_col: str, text: str, threshold: float = 0.8, shingle: int = 5) -> tuple[DataFrame, DataFrame]:
-    """``(members, pairs)``: each text's representative (smallest id with
-    an equal set), and the pairs of representatives reaching ``threshold``."""
-    from quarry.session import scratch_path
-    from quarry.sources.sinks import materialize
-
-    sets = materialize(shingle_sets(df, id_col, text, shingle), scratch_path(df.sparkSession, "shingle-sets"))
-    reps = sets.groupBy("set_key").agg(F.min("id").alias("rep_id"))
-    members = sets.select("id", "set_key").join(reps, "set_key").select("id", "rep_id")
-    first = sets.join(reps.select(F.col("rep_id").alias("id")), "id", "left_semi").select("id", "sh")
-    return members, similar_pairs(first, threshold)
-
-
-def near_duplicate_clusters(df: DataFrame, id_col: str, text: str, threshold: float = 0.8, shingle: int = 5) -> DataFrame:
-    """Clusters of texts connected by Jaccard >= ``threshold``, as
-    ``(id, cluster_id, cluster_size)`` for clusters of two or more."""
-    members, pairs = near_duplicate_pairs(df, id_col, text, threshold, shingle)
-    by_rep = members.select("id", F.concat(F.lit("m"), F.col("rep_id").cast("string")).alias("bk"))
-    name = F.concat(F.lit("p"), F.col("id_a").cast("string"), F.lit("_"), F.col("id_b").cast("string"))
-    links = pairs.select(F.explode(F.array("id_a", "id_b")).alias("id"), name.alias("bk"))
-    labels = connected_labels(by_rep.unionByName(links))
-    size = labels.groupBy("label").agg(F.count(F.lit(1)).alias("cluster_size")).filter("cluster_size > 1")
-    return labels.join(size, "label").select(F.col("id").alias(id_col), F.col("label").alias("cluster_id"), "cluster_size")
