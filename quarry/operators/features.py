@@ -32,6 +32,7 @@ class FeatureView:
     cols: list[str] | None = None
     prefix: str = ""
     time_bucket: str | None = None
+    segment_rows: int | None = None
     path: str | None = field(default=None)
 
     def feature_cols(self) -> list[str]:
@@ -45,6 +46,7 @@ class FeatureView:
             "cols": self.feature_cols(),
             "prefix": self.prefix,
             "time_bucket": self.time_bucket,
+            "segment_rows": self.segment_rows,
         }
 
     def materialize(self, root: str) -> "FeatureView":

@@ -20,7 +20,8 @@ from quarry.plans.capacity import H, SQL_DAILY, daily_series
 from quarry.plans.common import sql_r
 from quarry.plans.registry import query
 from quarry.session import scratch_path
-from quarry.sources.sinks import append_by_name, ctas, merge_update, save, snapshot, union_all, with_comments
+from quarry.sources import versioned
+from quarry.sources.sinks import append_by_name, ctas, save, snapshot, union_all, with_comments
 from quarry.sources.tables import from_local, list_files, load, read_files, seq, values
 
 # ---------------------------------------------------------------------------
@@ -160,7 +161,11 @@ def late_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
     waiting = o.select("o_orderkey", (F.round(F.col("o_totalprice") / 1000) * 1000).alias("predicted"), F.lit(None).cast("double").alias("actual"), F.lit("open").alias("state"))
     arrived = o.filter(F.col("o_orderkey") % 2 == 1).select("o_orderkey", F.col("o_totalprice").alias("actual"), F.col("o_orderstatus").alias("state"))
-    return merge_update(waiting, arrived, ["o_orderkey"], ["actual", "state"])
+    # the table's first version, then the day's changes: only the buckets they fall into are rewritten
+    root = scratch_path(spark, "late-actuals")
+    versioned.create(waiting, root, ["o_orderkey"])
+    versioned.merge(spark, root, arrived, 1, cols=["actual", "state"])
+    return versioned.read(spark, root, 1)
 
 
 # ---------------------------------------------------------------------------

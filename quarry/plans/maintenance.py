@@ -191,6 +191,31 @@ def asof_customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------------------
+# J6 / W8 with hot keys: for every event the latest large one of its type so
+# far.  The types are the keys, so each holds a fifth of all rows; their time
+# lines are cut where the data are dense and the scan is carried across.
+# ---------------------------------------------------------------------------
+LARGE = 60.0
+SEGMENT_ROWS = 2_000
+LATEST_LARGE_SQL = f"""
+WITH u AS (SELECT event_type, ts, 1 AS side, event_id, NULL AS large_id, NULL AS large_value FROM events
+           UNION ALL SELECT event_type, ts, 0, event_id, event_id, value FROM events WHERE value >= {LARGE} AND event_type IS NOT NULL AND ts IS NOT NULL),
+m AS (SELECT event_id, side, event_type, ts, last_value(large_id IGNORE NULLS) OVER w AS large_id, last_value(large_value IGNORE NULLS) OVER w AS large_value
+      FROM u WINDOW w AS (PARTITION BY event_type ORDER BY ts, side, event_id ROWS UNBOUNDED PRECEDING))
+SELECT event_id, event_type, CASE WHEN event_type IS NOT NULL AND ts IS NOT NULL THEN large_id END AS large_id,
+       CASE WHEN event_type IS NOT NULL AND ts IS NOT NULL THEN large_value END AS large_value FROM m WHERE side = 1
+"""
+
+
+@query("latest_large_event", LATEST_LARGE_SQL)
+def latest_large_event(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = load(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
+    large = ev.filter(F.col("value") >= LARGE).select("event_type", F.col("ts").alias("at"), F.col("event_id").alias("large_id"), F.col("value").alias("large_value"))
+    found = asof_join(ev.select("event_id", "event_type", "ts"), large, "event_type", "ts", "at", segment_rows=SEGMENT_ROWS)
+    return found.select("event_id", "event_type", "large_id", "large_value")
+
+
 # ---------------------------------------------------------------------------
 # M4 + M21: per-day classification quality of a naive failure predictor
 # ("a machine that failed today fails tomorrow") on the training spine.

@@ -13,9 +13,11 @@ from quarry.operators.timeseries import compute_lag
 from quarry.plans.maintenance import N_LAGS, SENSOR_COLS, _sql_lags, daily_sensor_means
 from quarry.plans.registry import query
 from quarry.plans.text import _sql_entities, entity_columns
+from quarry.sources import versioned
 from quarry.sources.tables import load, table_path
 from quarry.streaming.stream import (
     file_stream,
+    backfill_versions,
     fresh_paths,
     incremental_map,
     latest_version,
@@ -124,3 +126,39 @@ def stream_lag_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
         src = spark.readStream.schema(ev.schema).option("recursiveFileLookup", "true").parquet(landing)
         src.writeStream.foreachBatch(refresher).option("checkpointLocation", ckpt).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(view_path).drop("__kb")
+
+
+# ---------------------------------------------------------------------------
+# ST5: actuals arrive late, in three files of a stream, and fill the waiting
+# forecasts of a versioned table; only the buckets a batch touches are written.
+# The orders of each status are one file; orders of status P never get one.
+# ---------------------------------------------------------------------------
+BACKFILL_SQL = """
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, round(o_totalprice / 1000) * 1000 AS predicted,
+       CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS actual,
+       CASE WHEN o_orderstatus <> 'P' THEN abs(o_totalprice - round(o_totalprice / 1000) * 1000) END AS error
+FROM orders
+"""
+
+
+@query("stream_late_actuals", BACKFILL_SQL)
+def stream_late_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderdate")
+    root, ckpt = fresh_paths(spark, "stream-actuals")
+    predicted = F.round(F.col("o_totalprice") / 1000) * 1000
+    waiting = o.select("o_orderkey", F.to_date("o_orderdate").alias("day"), predicted.alias("predicted"), F.lit(None).cast("double").alias("actual"))
+    versioned.create(waiting, root, ["o_orderkey"])
+    landing, schema = f"{root}-landing", "o_orderkey long, actual double, arrived int"
+    # a first, wrong reading of the finished orders is corrected in the same batch
+    late = o.filter("o_orderstatus = 'F'").select("o_orderkey", F.col("o_totalprice").alias("actual"), F.lit(2).alias("arrived"))
+    late = late.unionByName(late.select("o_orderkey", F.lit(0.0).alias("actual"), F.lit(1).alias("arrived")))
+    rest = o.filter("o_orderstatus NOT IN ('F', 'P')").select("o_orderkey", F.col("o_totalprice").alias("actual"), F.lit(3).alias("arrived"))
+    epochs = 0
+    for rows, name in ((late, "a"), (rest, "b")):
+        rows.write.mode("overwrite").parquet(f"{landing}/{name}")
+        src = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(landing)
+        done = src.writeStream.foreachBatch(backfill_versions(root, ["actual"])).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+        done.awaitTermination()
+        epochs = done.lastProgress["batchId"] + 1
+    table = versioned.read(spark, root, epochs)
+    return table.select("o_orderkey", "day", "predicted", "actual", F.abs(F.col("actual") - F.col("predicted")).alias("error"))

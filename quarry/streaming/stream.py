@@ -9,7 +9,8 @@ is a streaming query over a file source:
   too) and only their key-hash partitions are overwritten.
 * ST3 ``refresh_index`` - foreachBatch: append n-gram rows of new documents.
 * ST4 ``stream_daily`` - event-time watermark + 1-day tumbling windows.
-* ST5 ``backfill_actuals`` - foreachBatch + ``merge_update`` into a new version.
+* ST5 ``backfill_versions`` - foreachBatch + MERGE that rewrites the touched
+  buckets of a versioned table (``backfill_actuals``: of a plain one, whole).
 
 Checkpoints live under the shared folder named by ``spark.checkpoint.dir``;
 a restarted query resumes from its checkpoint.  A micro-batch may run again
@@ -26,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.session import scratch_path
+from quarry.sources import versioned
 
 
 def utc_instant(ntz) -> Column:
@@ -99,26 +101,23 @@ def stream_daily(
     )
 
 
-def run_to_table(agg: DataFrame, out_path: str, checkpoint: str, keys: list[str], trigger: str | None = None):
+def run_to_table(agg: DataFrame, out_path: str, checkpoint: str, keys: list[str], trigger: str | None = None, buckets: int = 8):
     """Keep a table in step with a streaming aggregate.
 
     Each micro-batch brings only the groups it touched (update mode, so the
-    watermark lets old state go); they replace the same ``keys`` in a new
-    version ``v<epoch>``.  The version before stays readable, and a re-run
-    batch writes the same version again.  Read it with ``latest_version``.
+    watermark lets old state go); they replace the same ``keys`` in version
+    ``epoch`` of a table dealt to ``buckets`` (``quarry.sources.versioned``): buckets
+    that a batch does not touch are not rewritten, the version before stays
+    readable, and a re-run batch writes the same version again.  Read it with
+    ``latest_version``.
     """
 
     def upsert(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        new = batch.dropDuplicates(keys)
-        if epoch > 0:
-            same = None
-            for k in keys:
-                c = F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}"))
-                same = c if same is None else same & c
-            old = spark.read.parquet(f"{out_path}/v{epoch - 1}")
-            new = old.alias("o").join(new.select(*keys).alias("n"), same, "left_anti").unionByName(new)
-        new.write.mode("overwrite").parquet(f"{out_path}/v{epoch}")
+        changes = batch.dropDuplicates(keys)
+        if epoch == 0:
+            versioned.create(changes, out_path, keys, buckets)
+        else:
+            versioned.merge(batch.sparkSession, out_path, changes, epoch)
 
     w = agg.writeStream.outputMode("update").foreachBatch(upsert)
     return _trigger(w.option("checkpointLocation", checkpoint), trigger).start()
@@ -126,7 +125,7 @@ def run_to_table(agg: DataFrame, out_path: str, checkpoint: str, keys: list[str]
 
 def latest_version(spark: SparkSession, out_path: str, query) -> DataFrame:
     """The table after a finished ``run_to_table`` query."""
-    return spark.read.parquet(f"{out_path}/v{query.lastProgress['batchId']}")
+    return versioned.read(spark, out_path, query.lastProgress["batchId"])
 
 
 def refresh_feature_view(
@@ -209,6 +208,24 @@ def backfill_actuals(target_root: str, keys: list[str], cols: list[str]):
     return run
 
 
+def backfill_versions(root: str, cols: list[str]):
+    """ST5: ``foreachBatch`` setting ``cols`` of the rows that late actuals name.
+
+    ``root`` holds a table of ``quarry.sources.versioned``; batch ``epoch`` writes version
+    ``epoch + 1`` and rewrites only the buckets its keys fall into.  The
+    newest actual of a key in a batch counts if the batch has a column
+    ``arrived``; otherwise a key may occur once.
+    """
+
+    def run(batch: DataFrame, epoch: int) -> None:
+        if "arrived" in batch.columns:
+            keys = versioned.manifest(batch.sparkSession, root, epoch)[0]["keys"]
+            batch = batch.groupBy(*keys).agg(F.max(F.struct("arrived", *cols)).alias("__n")).select(*keys, *[F.col(f"__n.{c}").alias(c) for c in cols])
+        versioned.merge(batch.sparkSession, root, batch, epoch + 1, cols=cols)
+
+    return run
+
+
 def fresh_paths(spark: SparkSession, name: str) -> tuple[str, str]:
     """(output path, checkpoint path) under the shared checkpoint folder."""
     base = scratch_path(spark, name)

@@ -299,3 +299,29 @@ def test_map_model_non_string_answers(spark):
     df = spark.createDataFrame([("abc",), ("",)], "p string")
     got = {r.p: (r.out, r.out_error) for r in map_model(df, "p", "out", lambda p: len(p) or None).collect()}
     assert got == {"abc": ("3", None), "": (None, None)}
+
+
+@pytest.mark.parametrize("text", ["a" * 2_000_000, "a@" * 500_000, "a.b@" + "c." * 500_000, "a@" + "b" * 2_000_000, "x" * 999 + " "])
+def test_email_pattern_is_linear_on_long_texts(spark, text):
+    import time
+
+    from quarry.plans.text import entity_columns
+
+    df = spark.createDataFrame([(1, "en", text * 1)], "doc_id long, lang string, text string")
+    t = time.time()
+    entity_columns(df).collect()
+    assert time.time() - t < 20
+
+
+def test_linear_email_pattern_finds_the_same(spark):
+    import random
+    import re
+
+    from quarry.plans.text import LINEAR_EMAIL, PATTERNS
+
+    r = random.Random(3)
+    texts = ["".join(r.choice("abcdefZ1.@@-%+ ,_.") for _ in range(r.randrange(90))) for _ in range(3000)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {x.i: x.m for x in df.select("i", F.regexp_extract_all("t", F.lit(LINEAR_EMAIL), 0).alias("m")).collect()}
+    want = {i: re.findall(PATTERNS["emails"][0], t) for i, t in enumerate(texts)}
+    assert got == want and sum(map(len, want.values())) > 20
