@@ -219,13 +219,12 @@ def name_search_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# E1/E3 beyond ASCII: the first words of every document of another language,
-# run together, against the words themselves.
+# E1/E3 beyond ASCII: every passage of `benchmark`, whatever its language and
+# length, is looked up by its whole text without blanks.
 # ---------------------------------------------------------------------------
-_FOREIGN = "SELECT DISTINCT substring(text, 1, 24) AS id FROM documents WHERE lang <> 'en' AND length(text) > 24"
 FOREIGN_SQL = (
-    SQL_SEARCH.replace("m AS (SELECT DISTINCT p_name AS id FROM part)", f"m AS ({_FOREIGN})")
-    .replace("q AS (SELECT DISTINCT dirty_name AS id FROM parts)", "q AS (SELECT DISTINCT replace(id, ' ', '') AS id FROM m WHERE length(id) % 2 = 0)")
+    SQL_SEARCH.replace("m AS (SELECT DISTINCT p_name AS id FROM part)", "m AS (SELECT DISTINCT text AS id FROM benchmark WHERE text IS NOT NULL)")
+    .replace("q AS (SELECT DISTINCT dirty_name AS id FROM parts)", "q AS (SELECT DISTINCT replace(id, ' ', '') AS id FROM m)")
     .replace(f"WHERE rank <= {K}", "WHERE rank = 1")
     .replace("AS dirty_name,", "AS spelled,")
     .replace("cid AS master_name", "cid AS words")
@@ -234,7 +233,6 @@ FOREIGN_SQL = (
 
 @query("foreign_words_search", FOREIGN_SQL)
 def foreign_words_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = load(spark, sf_dir, "documents").filter((F.col("lang") != "en") & (F.length("text") > 24))
-    m = docs.select(F.substring("text", 1, 24).alias("words")).distinct()
-    q = m.filter(F.length("words") % 2 == 0).select(F.replace("words", F.lit(" "), F.lit("")).alias("spelled")).distinct()
+    m = load(spark, sf_dir, "benchmark").filter("text IS NOT NULL").select(F.col("text").alias("words")).distinct()
+    q = m.select(F.replace("words", F.lit(" "), F.lit("")).alias("spelled")).distinct()
     return batch_search(q, "spelled", "spelled", m, "words", "words", 1, levels=CASCADE)
