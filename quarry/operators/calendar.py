@@ -56,3 +56,13 @@ def mod_label(key, labels: list[str], offset: int = 0) -> Column:
     arr = F.array(*[F.lit(x) for x in labels])
     k = F.col(key) if isinstance(key, str) else key
     return F.element_at(arr, (F.pmod(k + F.lit(offset), F.lit(len(labels))) + 1).cast("int"))
+
+
+def available_days(df: DataFrame, start: Column, end, day: str = "day") -> DataFrame:
+    """Every row once per day from its own ``start`` to ``end``, both included; rows available later, or never, give none.
+
+    The days are expanded where the row is: no calendar is joined and nothing
+    is shuffled.
+    """
+    last = _date(end)
+    return df.filter(start <= last).withColumn(day, F.explode(F.sequence(start, last)))

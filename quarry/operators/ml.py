@@ -7,6 +7,9 @@ importances (one number per feature) and metric rows.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import HashingTF, Imputer, Normalizer, RegexTokenizer, VectorAssembler
@@ -92,6 +95,52 @@ def train_regressor(df: DataFrame, features: list[str], y: str, kind: str = "lin
     return Pipeline(stages=[*_assembler(features, False), est]).fit(df)
 
 
+@dataclass(frozen=True)
+class TreeArrays:
+    """A fitted ensemble as flat arrays, small enough to be sent with a task: per node the feature it asks (-1: a leaf),
+    its threshold, its children and its prediction; per tree its root and weight."""
+
+    feature: np.ndarray
+    threshold: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    value: np.ndarray
+    root: np.ndarray
+    weight: np.ndarray
+
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        """Weighted sums of all trees' leaves for rows of features; every row goes down all trees at once."""
+        rows = np.arange(len(x))[:, None]
+        at = np.repeat(self.root[None, :], len(x), 0)
+        while True:
+            asks = self.feature[at]
+            inner = asks >= 0
+            if not inner.any():
+                return (self.value[at] * self.weight).sum(1)
+            low = x[rows, np.maximum(asks, 0)] <= self.threshold[at]
+            at = np.where(inner, np.where(low, self.left[at], self.right[at]), at)
+
+
+def tree_arrays(model: PipelineModel) -> TreeArrays:
+    """The fitted trees of a pipeline's last stage (continuous features); what reaches the driver are the model's own nodes."""
+    ensemble = model.stages[-1]
+    nodes: list[list] = []
+
+    def add(node) -> int:
+        number = len(nodes)
+        nodes.append([-1, 0.0, 0, 0, node.prediction()])
+        if node.subtreeDepth() > 0:
+            split = node.split()
+            nodes[number][:2] = [split.featureIndex(), split.threshold()]
+            nodes[number][2:4] = [add(node.leftChild()), add(node.rightChild())]
+        return number
+
+    root = [add(tree._java_obj.rootNode()) for tree in ensemble.trees]
+    feature, threshold, left, right, value = zip(*nodes)
+    whole = [np.array(x, np.int64) for x in (feature, left, right, root)]
+    return TreeArrays(whole[0], np.array(threshold, float), whole[1], whole[2], np.array(value, float), whole[3], np.array(ensemble.treeWeights, float))
+
+
 def save_model(model: PipelineModel, path: str) -> str:
     model.write().overwrite().save(path)
     return path

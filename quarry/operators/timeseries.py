@@ -229,17 +229,21 @@ def forecast(
     key: str,
     ts: str,
     y: str,
-    coef: dict,
+    coef: dict | None = None,
     cfg: dict | None = None,
     exog: tuple[str, ...] = (),
     out: str = "forecast",
+    model=None,
+    model_features: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Recursive forecast per key with a linear model on the features of
-    ``ts_features`` plus exogenous columns.
+    """Recursive forecast per key with a linear model, or a fitted one, on
+    the features of ``ts_features`` plus exogenous columns.
 
     ``coef`` maps "intercept" and feature names (``<y>_lag_7``,
     ``<y>_lag7_roll7_mean``, ``<y>_expanding_mean``, ``day_of_week``, an
     ``exog`` column, ...) to weights; names without a weight count nothing.
+    ``model`` (e.g. ``ml.TreeArrays``) predicts from rows of ``model_features``
+    instead; it is sent with the tasks, so it must be bounded like a model is.
     The rows after a key's last known ``y`` are predicted in order, each
     prediction feeding the lags and windows of the next.  A feature that is
     NULL (too little history, a gap, a NULL exogenous value) makes the
@@ -249,8 +253,16 @@ def forecast(
     """
     cfg = cfg or DEFAULT_TS_CONFIG
     kt = history_future.schema[key].dataType.simpleString()
-    weights = {n: float(b) for n, b in coef.items() if n != "intercept"}
-    b0 = float(coef.get("intercept", 0.0))
+    if (coef is None) == (model is None):
+        raise ValueError("forecast: pass either coef or model")
+    weights = {n: float(b) for n, b in (coef or {}).items() if n != "intercept"}
+    b0 = float((coef or {}).get("intercept", 0.0))
+
+    def predict(f: dict) -> float:
+        if model is None:
+            return b0 + sum(b * f.get(n, math.nan) for n, b in weights.items())
+        x = np.array([[f.get(n, math.nan) for n in model_features]], float)
+        return math.nan if np.isnan(x).any() else float(model.predict(x)[0])
 
     def features(vals: np.ndarray, i: int, day: pd.Timestamp, row: dict) -> dict:
         f = {f"{y}_lag_{n}": vals[i - n] if i >= n else math.nan for n in cfg["lags"]}
@@ -278,7 +290,7 @@ def forecast(
         extra = {c: pdf[c].astype("float64").to_numpy() for c in exog}
         for i in range(first, len(vals)):
             f = features(vals, i, days.iloc[i], {c: v[i] for c, v in extra.items()})
-            vals[i] = b0 + sum(b * f.get(n, math.nan) for n, b in weights.items())
+            vals[i] = predict(f)
         return pd.DataFrame({key: pdf[key].to_numpy()[first:], ts: pdf[ts].to_numpy()[first:], out: vals[first:]})
 
     scored = (

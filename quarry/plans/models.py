@@ -20,6 +20,7 @@ from quarry.operators.ml import (
     train_logreg,
     train_regressor,
     train_vector_logreg,
+    tree_arrays,
 )
 from quarry.operators.timeseries import forecast, forecast_errors, future_stubs, ts_features
 from quarry.plans.capacity import CUTOFFS, EXOG, FIRST_SCORED, H, daily_series
@@ -123,6 +124,16 @@ def forecast_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast(future_stubs(d, "series", "ds", "y", H, EXOG), "series", "ds", "y", coef, exog=tuple(EXOG))
 
 
+@query("forecast_recursive_trees")
+def forecast_recursive_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M12 + M16: boosted trees on all features of the daily series, recursed H
+    steps ahead per series; every prediction feeds the lags of the next."""
+    d = materialize(daily_series(spark, sf_dir), scratch_path(spark, "daily-series"))
+    m = train_regressor(_complete(ts_features(d, "series", "ds", "y"), RECURSIVE), RECURSIVE, "y", kind="trees")
+    ahead = future_stubs(d, "series", "ds", "y", H, EXOG)
+    return forecast(ahead, "series", "ds", "y", exog=tuple(EXOG), model=tree_arrays(m), model_features=tuple(RECURSIVE))
+
+
 @query("forecast_direct_trees")
 def forecast_direct_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M12 + M10: boosted trees on features known a week ahead score all H days at once."""

@@ -5,11 +5,11 @@ histogram (A18)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.scalar import dow_sunday0, is_us_holiday, round_half_up
-from quarry.operators.calendar import calendar
+from quarry.functions.scalar import dow_sunday0, hash_int, is_us_holiday, round_half_up
+from quarry.operators.calendar import available_days, calendar
 from quarry.operators.relational import (
     box_summary,
     corr_matrix,
@@ -253,3 +253,59 @@ FROM orders
 def order_sequence_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = load(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("o_orderdate"))
     return surrogate_key(o, ["o_orderdate", "o_orderkey"], name="order_seq")
+
+
+# ---------------------------------------------------------------------------
+# Generated sales of the parts that are available.  Every part is sold
+# from its own first day on; whether on a day, how many and at what mark-up
+# are draws keyed by (part, day), so a lost task draws the same again.
+# Draws of RATES above; at most 8, 5 or 3 pieces; mark-up 20 to 80 percent.
+# ---------------------------------------------------------------------------
+SOLD_FROM, LARGE_FROM, SOLD_TO = "1996-01-01", "1996-06-01", "1996-12-31"
+MOST = {"holiday": 8, "weekend": 5, "other": 3}
+
+
+def _sql_draw(seed: str) -> str:
+    return f"CAST('0x' || substr(md5(concat_ws('|', '{seed}', p_partkey, d)), 1, 8) AS BIGINT)"
+
+
+GENERATED_SQL = f"""
+WITH p AS (SELECT p_partkey, CAST(round(p_retailprice * 100) AS BIGINT) AS cents,
+                  CASE WHEN p_size > 40 THEN DATE '{LARGE_FROM}' ELSE DATE '{SOLD_FROM}' END AS first_day FROM part),
+c AS (SELECT CAST(unnest(generate_series(DATE '{SOLD_FROM}', DATE '{SOLD_TO}', INTERVAL 1 DAY)) AS DATE) AS d),
+t AS (SELECT *, CASE WHEN {SQL_HOLIDAY} THEN 'holiday' WHEN dayofweek(d) IN (0, 6) THEN 'weekend' ELSE 'other' END AS day_type FROM c),
+s AS (SELECT * FROM p JOIN t ON d >= first_day)
+SELECT p_partkey, d AS day, day_type,
+       1 + {_sql_draw('pieces')} % CASE day_type WHEN 'holiday' THEN {MOST['holiday']} WHEN 'weekend' THEN {MOST['weekend']} ELSE {MOST['other']} END AS pieces,
+       cents * (120 + {_sql_draw('price')} % 61) // 100 AS unit_cents
+FROM s
+WHERE {_sql_draw('sale')} % 100 < CASE day_type WHEN 'holiday' THEN {RATES['holiday']} WHEN 'weekend' THEN {RATES['weekend']} ELSE {RATES['other']} END
+"""
+
+
+@query("generated_sales", GENERATED_SQL)
+def generated_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = load(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.round(F.col("p_retailprice") * 100).cast("long").alias("cents"),
+        F.when(F.col("p_size") > 40, F.lit(LARGE_FROM)).otherwise(F.lit(SOLD_FROM)).cast("date").alias("first_day"),
+    )
+    d = F.col("day")
+    days = available_days(p, F.col("first_day"), SOLD_TO).withColumn(
+        "day_type", F.when(is_us_holiday(d), "holiday").when(dow_sunday0(d).isin(0, 6), "weekend").otherwise("other")
+    )
+
+    def by_type(values: dict) -> Column:
+        return F.when(F.col("day_type") == "holiday", values["holiday"]).when(F.col("day_type") == "weekend", values["weekend"]).otherwise(values["other"])
+
+    def draw(seed: str) -> Column:
+        return hash_int(F.lit(seed), F.col("p_partkey"), d)
+
+    sold = sample_by_rate(days, ["p_partkey", "day"], by_type(RATES), seed="sale")
+    return sold.select(
+        "p_partkey",
+        "day",
+        "day_type",
+        (1 + F.pmod(draw("pieces"), by_type(MOST))).cast("long").alias("pieces"),
+        F.floor(F.col("cents") * (120 + F.pmod(draw("price"), F.lit(61))) / 100).cast("long").alias("unit_cents"),
+    )

@@ -106,3 +106,56 @@ def test_stubs_carry_exogenous_features(spark, series):
     out = future_stubs(daily_series(spark, SF), "series", "ds", "y", H, EXOG).filter(F.col("y").isNull()).toPandas()
     last = series.groupby("series").tail(1).set_index("series")
     assert all(r.value_sum == last.loc[r.series, "value_sum"] for r in out.itertuples())
+
+
+def test_flattened_trees_equal_spark_and_recurse_step_by_step(spark):
+    """Arrays score as Spark's own transform does, and the recursion equals H single steps of it."""
+    import numpy as np
+
+    from quarry.operators.ml import score, train_regressor, tree_arrays
+    from quarry.operators.timeseries import forecast, future_stubs, ts_features
+    from quarry.plans.capacity import EXOG, H, daily_series
+    from quarry.plans.models import RECURSIVE, _complete
+    from pyspark.sql import functions as F
+
+    d = daily_series(spark, "/root/testdata/sf0.01").cache()
+    train = _complete(ts_features(d, "series", "ds", "y"), RECURSIVE).cache()
+    m = train_regressor(train, RECURSIVE, "y", kind="trees")
+    trees = tree_arrays(m)
+    rows = score(train, m).select(*RECURSIVE, "y_prediction").toPandas()
+    assert np.allclose(trees.predict(rows[RECURSIVE].to_numpy(float)), rows["y_prediction"], rtol=0, atol=1e-9)
+    assert len(set(rows["y_prediction"])) > 10
+
+    ahead = future_stubs(d, "series", "ds", "y", H, EXOG)
+    got = {(r["series"], r["ds"]): r["forecast"] for r in forecast(ahead, "series", "ds", "y", exog=tuple(EXOG), model=trees, model_features=tuple(RECURSIVE)).collect()}
+    plain = ahead.select("series", "ds", F.col("y").cast("double").alias("y"), *EXOG)
+    held = spark.createDataFrame(plain.collect(), plain.schema)
+    want = {}
+    for _ in range(H):
+        f = ts_features(held, "series", "ds", "y")
+        nxt = f.filter("y IS NULL").groupBy("series").agg(F.min("ds").alias("ds"))
+        step = score(f.join(nxt, ["series", "ds"]).drop("y").withColumn("y", F.lit(0.0)), m).select("series", "ds", F.col("y_prediction").alias("__p"))
+        found = {(r["series"], r["ds"]): r["__p"] for r in step.collect()}
+        want |= found
+        rows = [tuple(r) for r in held.collect()]
+        held = spark.createDataFrame([(s, t, found.get((s, t), y), *e) for s, t, y, *e in rows], held.schema)
+    assert got.keys() == want.keys() and len(got) >= 5 * H
+    assert all(abs(got[k] - want[k]) < 1e-6 for k in got)
+
+
+def test_forecast_takes_one_kind_of_model(spark):
+    import pytest
+
+    from quarry.operators.timeseries import forecast
+
+    with pytest.raises(ValueError):
+        forecast(spark.createDataFrame([], "k string, t date, y double"), "k", "t", "y")
+
+
+def test_available_days_start_late_end_together_or_never(spark):
+    from quarry.operators.calendar import available_days
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(1, "2024-01-30"), (2, "2024-02-01"), (3, "2024-02-02"), (4, None)], "k int, s string")
+    got = sorted((r.k, str(r.day)) for r in available_days(df, F.col("s").cast("date"), "2024-02-01").collect())
+    assert got == [(1, "2024-01-30"), (1, "2024-01-31"), (1, "2024-02-01"), (2, "2024-02-01")]
