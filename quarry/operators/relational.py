@@ -235,3 +235,52 @@ def hist_quantiles(df: DataFrame, value: str, by, qs: dict[str, float]) -> DataF
         lo, hi, fr = F.col(f"__{name}_lo"), F.col(f"__{name}_hi"), F.col(f"__{name}_f")
         out = out.withColumn(name, lo + fr * (hi - lo)).drop(f"__{name}_lo", f"__{name}_hi", f"__{name}_f")
     return out
+
+
+def exact_quantiles(df: DataFrame, value: str, by, qs: dict[str, float], rows_per_task: int = 4_000_000, bins: int = 1000) -> DataFrame:
+    """The quantiles of ``hist_quantiles`` where a group may hold any number of distinct values.
+
+    Groups of at most ``rows_per_task`` rows are read off their histograms.  A
+    larger group is never sorted: a mergeable sketch of it gives up to ``bins``
+    cuts, counts per bin (complete before the shuffle but for one row per bin
+    and task) tell which bin holds each wanted place, and only the rows of
+    those bins are read a second time and ordered, a bin per task.  The
+    sketch decides how the work is dealt, never the result.  Null values count
+    nowhere; a null group is a group.
+    """
+    from quarry.session import scratch_path
+    from quarry.sources.sinks import materialize
+
+    keys, spark = _cols(by), df.sparkSession
+    d = df.filter(F.col(value).isNotNull()).select(F.struct(*keys).alias("__k"), F.col(value).alias("__v"))
+    sizes = materialize(d.groupBy("__k").agg(F.count(F.lit(1)).alias("__tot")), scratch_path(spark, "quantile-sizes"))
+    hot = sizes.filter(F.col("__tot") > rows_per_task)
+    if hot.isEmpty():
+        return hist_quantiles(df, value, by, qs)
+    small = hist_quantiles(d.join(hot, "__k", "left_anti"), "__v", "__k", qs)
+    shares = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+    cuts = d.join(hot, "__k").groupBy("__k").agg(F.array_distinct(F.percentile_approx("__v", shares, 10 * bins)).alias("__cuts"))
+    cuts = materialize(cuts, scratch_path(spark, "quantile-cuts"))
+    binned = d.join(cuts, "__k").select("__k", "__v", F.size(F.filter("__cuts", lambda c: c < F.col("__v"))).alias("__b"))
+    order = Window.partitionBy("__k").orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
+    counts = binned.groupBy("__k", "__b").agg(F.count(F.lit(1)).alias("__c")).withColumn("__before", F.sum("__c").over(order) - F.col("__c")).join(hot, "__k")
+    places = []
+    for name, q in qs.items():
+        h = (F.col("__tot") - 1).cast("double") * q
+        places += [F.struct(F.lit(f"{name}_{side}").alias("name"), place.cast("long").alias("at")) for side, place in (("lo", F.floor(h)), ("hi", F.ceil(h)))]
+    wanted = counts.withColumn("__p", F.explode(F.array(*places))).filter((F.col("__before") <= F.col("__p.at")) & (F.col("__p.at") < F.col("__before") + F.col("__c")))
+    wanted = materialize(wanted.select("__k", "__b", F.col("__p.name").alias("__name"), (F.col("__p.at") - F.col("__before")).alias("__at")), scratch_path(spark, "quantile-places"))
+    read = binned.join(wanted.select("__k", "__b").distinct(), ["__k", "__b"]).groupBy("__k", "__b", "__v").agg(F.count(F.lit(1)).alias("__n"))
+    within = Window.partitionBy("__k", "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    found = read.withColumn("__cum", F.sum("__n").over(within)).join(wanted, ["__k", "__b"])
+    found = found.filter((F.col("__cum") - F.col("__n") <= F.col("__at")) & (F.col("__at") < F.col("__cum")))
+    one = found.groupBy("__k").agg(*[F.max(F.when(F.col("__name") == f"{n}_{side}", F.col("__v"))).alias(f"__{n}_{side}") for n in qs for side in ("lo", "hi")]).join(hot, "__k")
+    out = one.select("__k", F.col("__tot").alias("n"), *[_between(f"__{n}", F.col("__tot"), q).alias(n) for n, q in qs.items()])
+    return small.unionByName(out).select(*[F.col(f"__k.{k}").alias(k) for k in keys], "n", *qs)
+
+
+def _between(name: str, total: Column, q: float) -> Column:
+    """Linear interpolation between the two places around a quantile."""
+    h = (total - 1).cast("double") * q
+    lo, hi = F.col(f"{name}_lo"), F.col(f"{name}_hi")
+    return lo + (h - F.floor(h)) * (hi - lo)

@@ -13,6 +13,7 @@ from quarry.operators.calendar import available_days, calendar
 from quarry.operators.relational import (
     box_summary,
     corr_matrix,
+    exact_quantiles,
     first_n,
     histogram,
     latest_per_key,
@@ -309,3 +310,21 @@ def generated_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         (1 + F.pmod(draw("pieces"), by_type(MOST))).cast("long").alias("pieces"),
         F.floor(F.col("cents") * (120 + F.pmod(draw("price"), F.lit(61))) / 100).cast("long").alias("unit_cents"),
     )
+
+
+# ---------------------------------------------------------------------------
+# A6, A17 on a continuous column: quartiles of the event values per type; each
+# type holds a fifth of all rows, more than one task is meant to order.
+# ---------------------------------------------------------------------------
+ORDERED_AT_ONCE = 500
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+EVENT_QUARTILES_SQL = f"""
+SELECT event_type, COUNT(value) AS n, {', '.join(f"{sql_r(f'quantile_cont(value, {q})', 6)} AS {n}" for n, q in QUARTILES.items())}
+FROM events WHERE value IS NOT NULL GROUP BY event_type
+"""
+
+
+@query("event_value_quartiles", EVENT_QUARTILES_SQL)
+def event_value_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = exact_quantiles(load(spark, sf_dir, "events").select("event_type", "value"), "value", "event_type", QUARTILES, ORDERED_AT_ONCE, bins=100)
+    return q.select("event_type", "n", *[round_half_up(c, 6).alias(c) for c in QUARTILES])
