@@ -5,8 +5,9 @@ manifest: one row per bucket with the folder that holds its rows now.  A change
 reads the buckets that its rows fall into, writes these to a folder of the new
 version and a manifest in which all other buckets keep the folders they had.
 
-    root/data/v<version>/__kb=<bucket>/   rows of the buckets changed in a version
-    root/manifest/v<version>/             (bucket, path, buckets, keys): bucket count and keys are the table's, not the session's
+    root/v<version>/__kb=<bucket>/   rows of the buckets changed in a version
+    root/_manifest/v<version>/       (bucket, path, buckets, keys, schema): bucket count and keys are the table's, not
+                                     the session's; a row of bucket -1 holds them where there are no buckets
 
 Versions are numbered by the caller (a streaming epoch, or one more than the
 last).  Writing a version again writes the same folder from the same version
@@ -19,14 +20,17 @@ A manifest has as many rows as buckets; it is the only thing the driver holds.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quarry.sources.sinks import merge_update
 
-MANIFEST = "bucket int, path string, buckets int, keys array<string>"
+MANIFEST = "bucket int, path string, buckets int, keys array<string>, schema string"
+TABLE = -1  # the manifest row of the table itself
 
 
 def _bucket(keys: list[str], buckets: int):
@@ -35,15 +39,16 @@ def _bucket(keys: list[str], buckets: int):
 
 def manifest(spark: SparkSession, root: str, version: int) -> list:
     """The rows of a version's manifest."""
-    return spark.read.schema(MANIFEST).parquet(f"{root}/manifest/v{version}").collect()
+    return spark.read.schema(MANIFEST).parquet(f"{root}/_manifest/v{version}").collect()
 
 
 def _write(spark: SparkSession, root: str, version: int, rows: DataFrame, touched: list[int], kept: list, keys: list[str], buckets: int) -> None:
     """Write the rows of the touched buckets and the manifest that names them beside the kept ones."""
-    path = f"{root}/data/v{version}"
+    path = f"{root}/v{version}"
     rows.withColumn("__kb", _bucket(keys, buckets)).repartition("__kb").write.mode("overwrite").partitionBy("__kb").parquet(path)
-    named = [(b, path, buckets, keys) for b in touched] + [(r["bucket"], r["path"], buckets, keys) for r in kept]
-    spark.createDataFrame(named, MANIFEST).coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest/v{version}")
+    named = [(TABLE, path, buckets, keys, rows.schema.json())]
+    named += [(b, path, buckets, keys, None) for b in touched] + [(r["bucket"], r["path"], buckets, keys, None) for r in kept if r["bucket"] != TABLE]
+    spark.createDataFrame(named, MANIFEST).coalesce(1).write.mode("overwrite").parquet(f"{root}/_manifest/v{version}")
 
 
 def create(df: DataFrame, root: str, keys: list[str], buckets: int = 64, version: int = 0) -> None:
@@ -52,24 +57,18 @@ def create(df: DataFrame, root: str, keys: list[str], buckets: int = 64, version
     _write(df.sparkSession, root, version, df, held, [], keys, buckets)
 
 
-def read(spark: SparkSession, root: str, version: int, schema=None, only: set[int] | None = None) -> DataFrame:
-    """A version of the table; ``only`` reads no more than those buckets.
-
-    A table without rows needs its ``schema``.
-    """
+def read(spark: SparkSession, root: str, version: int, only: set[int] | None = None) -> DataFrame:
+    """A version of the table; ``only`` reads no more than those buckets."""
     rows = manifest(spark, root, version)
+    schema = StructType.fromJson(json.loads(next(r["schema"] for r in rows if r["bucket"] == TABLE)))
     paths: dict[str, list[int]] = {}
     for r in rows:
-        if only is None or r["bucket"] in only:
+        if r["bucket"] != TABLE and (only is None or r["bucket"] in only):
             paths.setdefault(r["path"], []).append(r["bucket"])
     # folders of a bucket that lost all its rows are not there
     found = [_existing(spark, path, buckets) for path, buckets in paths.items()]
-    parts = [spark.read.parquet(*folders) for folders in found if folders]
-    if not parts:
-        if schema is None:
-            raise ValueError(f"version {version} of {root} has no rows here; pass schema=")
-        return spark.createDataFrame([], schema)
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    parts = [spark.read.schema(schema).parquet(*folders) for folders in found if folders]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
 
 
 def _existing(spark: SparkSession, path: str, buckets: list[int]) -> list[str]:
@@ -95,12 +94,11 @@ def merge(spark: SparkSession, root: str, changes: DataFrame, version: int, cols
     before = manifest(spark, root, version - 1)
     buckets, keys = before[0]["buckets"], before[0]["keys"]
     touched = {r["b"] for r in changes.select(_bucket(keys, buckets).alias("b")).distinct().collect()}  # at most as many rows as buckets
-    held = {r["bucket"] for r in before}
     if cols is not None:
-        touched &= held
-    old = read(spark, root, version - 1, changes.schema if cols is None else None, touched) if touched or cols is None else None
+        touched &= {r["bucket"] for r in before}
+    old = read(spark, root, version - 1, touched)
     if cols is not None:
-        rows = merge_update(old, changes, keys, cols) if old is not None else read(spark, root, version - 1).limit(0)
+        rows = merge_update(old, changes, keys, cols)
     else:
         same = reduce(lambda a, b: a & b, [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys])
         rows = old.alias("o").join(changes.select(*keys).distinct().alias("n"), same, "left_anti").unionByName(changes)
@@ -111,17 +109,19 @@ def merge(spark: SparkSession, root: str, changes: DataFrame, version: int, cols
 def expire(spark: SparkSession, root: str, newest: int, keep: int = 2) -> list[str]:
     """Remove the manifests before the ``keep`` newest versions and the data folders that none of those names; their paths."""
     first = newest - keep + 1
-    named = {f"{r['path']}/__kb={r['bucket']}".split("/data/")[1] for v in range(max(0, first), newest + 1) for r in manifest(spark, root, v)}
+    named = {tuple(r["path"].split("/")[-1:]) + (f"__kb={r['bucket']}",) for v in range(max(0, first), newest + 1) for r in manifest(spark, root, v) if r["bucket"] != TABLE}
     gone = []
-    fs, data = _files(spark, f"{root}/data")
-    for folder in fs.listStatus(data):
+    fs, top = _files(spark, root)
+    for folder in fs.listStatus(top):
         name = folder.getPath().getName()
+        if not folder.isDirectory() or not name.startswith("v") or int(name[1:]) >= newest:
+            continue
         for bucket in fs.listStatus(folder.getPath()):
-            inside = f"{name}/{bucket.getPath().getName()}"
-            if bucket.isDirectory() and inside not in named and int(name[1:]) < newest:
+            inside = bucket.getPath().getName()
+            if bucket.isDirectory() and (name, inside) not in named:
                 fs.delete(bucket.getPath(), True)
-                gone.append(inside)
-    fs, folders = _files(spark, f"{root}/manifest")
+                gone.append(f"{name}/{inside}")
+    fs, folders = _files(spark, f"{root}/_manifest")
     for folder in fs.listStatus(folders):
         if int(folder.getPath().getName()[1:]) < first:
             fs.delete(folder.getPath(), True)

@@ -14,7 +14,7 @@ SCHEMA = "k long, g string, y double"
 
 def files(root):
     """Data file -> its time of change."""
-    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(f"{root}/data") for f in fs if f.endswith(".parquet")}
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(root) for f in fs if f.endswith(".parquet") and "_manifest" not in d}
 
 
 def local(spark, name):
@@ -87,6 +87,11 @@ def test_empty_tables(spark):
     versioned.create(spark.createDataFrame([(1, "a", 0.0)], SCHEMA), root, ["k"])
     assert versioned.merge(spark, root, none, 1) == set() and versioned.merge(spark, root, none, 2, cols=["y"]) == set()
     assert rows_of(spark, root, 2) == [(1, "a", 0.0)]
+    root = local(spark, "none")
+    versioned.create(none, root, ["k"])
+    assert versioned.read(spark, root, 0).schema == none.schema and rows_of(spark, root, 0) == []
+    assert versioned.merge(spark, root, spark.createDataFrame([(1, "a", 0.0)], SCHEMA), 1, cols=["y"]) == set()
+    assert len(versioned.merge(spark, root, spark.createDataFrame([(1, "a", 0.0)], SCHEMA), 2)) == 1 and rows_of(spark, root, 2) == [(1, "a", 0.0)]
 
 
 def test_expired_folders_go_and_named_ones_stay(spark):
@@ -96,10 +101,10 @@ def test_expired_folders_go_and_named_ones_stay(spark):
         versioned.merge(spark, root, spark.createDataFrame([(1, f"v{v}", float(v))], SCHEMA), v)
     want = [rows_of(spark, root, v) for v in (3, 4)]
     gone = versioned.expire(spark, root, 4, keep=2)
-    b = bucket_of(spark, [1], root)[1] if os.path.exists(f"{root}/manifest/v0") else int(gone[0].split("=")[1])
+    b = bucket_of(spark, [1], root)[1] if os.path.exists(f"{root}/_manifest/v0") else int(gone[0].split("=")[1])
     assert gone == [f"v{v}/__kb={b}" for v in (0, 1, 2)]
     assert [rows_of(spark, root, v) for v in (3, 4)] == want
-    assert sorted(os.listdir(f"{root}/manifest")) == ["v3", "v4"]
+    assert sorted(os.listdir(f"{root}/_manifest")) == ["v3", "v4"]
 
 
 def test_late_actuals_of_a_stream(spark):
