@@ -43,6 +43,17 @@ class NormBuckets:
         self.ids, self.rows, self.norms = ids[order], rows[order], norms[order]
         self.unit = self.rows / np.maximum(self.norms, 1e-300)[:, None]
         self.k, self.p = k, p
+        self.largest = float(np.abs(self.rows).max(initial=0.0))
+
+    def _reach(self, norm, length: float):
+        """No product with vectors of this norm is larger, rounding included."""
+        return norm * length * (1 + 1e-12) + 1e-6
+
+    def _products(self, at, q: np.ndarray) -> np.ndarray:
+        """Exact products: in doubles where every partial sum is below 2^53, else in 64-bit integers."""
+        if self.largest * float(np.abs(q).max(initial=0.0)) * len(q) < 2**53:
+            return (self.rows[at] @ q).astype(np.int64)
+        return self.rows[at].astype(np.int64) @ q.astype(np.int64)
 
     def _left(self, q: np.ndarray, length: float, unit: np.ndarray, focus: np.ndarray, at: slice, floor: float) -> np.ndarray:
         """Positions in the bucket that may beat ``floor``."""
@@ -50,7 +61,7 @@ class NormBuckets:
         if threshold > 1 + 1e-9:
             return np.zeros(0, np.int64)
         if threshold < self.p.coordinate_from:
-            return at.start + np.flatnonzero(self.norms[at] * length >= floor - 1e-6) if floor > 0 else np.arange(at.start, at.stop)
+            return at.start + np.flatnonzero(self._reach(self.norms[at], length) >= floor) if floor > 0 else np.arange(at.start, at.stop)
         keep = np.ones(at.stop - at.start, bool)
         t = min(threshold, 1.0)
         for f in focus:  # a unit vector with cosine t or more has this coordinate in between
@@ -65,25 +76,23 @@ class NormBuckets:
     def search(self, query_ids: np.ndarray, queries: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         n, k = len(self.ids), self.k
         first = slice(0, min(n, self.p.bucket))
-        opening = queries @ self.rows[first].T  # the longest vectors set the first thresholds
         lengths = np.sqrt((queries * queries).sum(1))
-        for i, query_id in enumerate(query_ids):
-            q, length = queries[i], float(lengths[i])
+        for query_id, q, length in zip(query_ids, queries, lengths.tolist()):
             unit = q / max(length, 1e-300)
             focus = np.argsort(-np.abs(unit), kind="stable")[: self.p.focus]
             others = self.ids[first] != query_id
-            ids, scores = self._top(self.ids[first][others], opening[i][others])
+            ids, scores = self._top(self.ids[first][others], self._products(first, q)[others])  # the longest vectors set the first threshold
             for start in range(first.stop, n, self.p.bucket):
                 floor = scores[-1] if len(ids) >= k else -np.inf
                 at = slice(start, min(n, start + self.p.bucket))
-                if floor > length * self.norms[start] + 1e-6:
+                if floor > self._reach(self.norms[start], length):
                     break  # this bucket and all shorter ones
                 left = np.arange(at.start, at.stop) if floor == -np.inf else self._left(q, length, unit, focus, at, floor)
                 left = left[self.ids[left] != query_id]
                 if len(left):
-                    ids, scores = self._top(np.concatenate([ids, self.ids[left]]), np.concatenate([scores, self.rows[left] @ q]))
+                    ids, scores = self._top(np.concatenate([ids, self.ids[left]]), np.concatenate([scores, self._products(left, q)]))
             if len(ids):
-                yield int(query_id), ids, np.rint(scores).astype(np.int64)
+                yield int(query_id), ids, scores
 
     def _top(self, ids: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if len(ids) > 4 * self.k:
@@ -101,7 +110,7 @@ def top_products(df: DataFrame, k: int = 5, every: int = 50, scale: int = 256, i
     components, and rows without id, take no part; zero vectors do.  A row
     with the query's id is the query's own; equal rows under other ids are
     candidates; with fewer candidates than k all are returned.  Products are
-    exact while they stay below 2^53.
+    exact while they and the components fit into 64 bits.
     """
     x = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec")).filter(F.col("id").isNotNull() & usable("vec"))
     x = x.select("id", F.transform("vec", lambda c: F.floor(c.cast("double") * scale).cast("double")).alias("vec"))

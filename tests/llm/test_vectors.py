@@ -168,3 +168,21 @@ def test_codes_leave_rows_out():
         hits += len(set(found.tolist()) & set(np.argsort(-scores)[:20].tolist()))
     assert hits >= 0.99 * 20 * 20
     assert part.reranked < 0.15 * part.seen
+
+
+def test_products_beyond_doubles_are_exact(spark):
+    """Products near 2^60 that differ by little: integers tell them apart, and equal ones tie by id."""
+    r = np.random.default_rng(12)
+    rows = r.integers(2**20, 2**21, (400, 16)).astype(float) + np.floor(r.random((400, 16)) * 256) / 256
+    rows[200:] = rows[:200]
+    rows[100:110] = rows[0]
+    rows[100:110, 3] += np.arange(10) / 256
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    whole = [[int(x * 256) for x in v] for v in rows]
+    for part in (50, 8192):
+        got = {}
+        for x in mips.top_products(df, 5, 50, params=mips.Params(part=part, bucket=16)).collect():
+            got.setdefault(x["query_id"], []).append((x["rank"], x["vec_id"], x["score"]))
+        for q in range(0, 400, 50):
+            scores = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in enumerate(whole) if i != q)[:5]
+            assert sorted(got[q]) == [(k, i, -s) for k, (s, i) in enumerate(scores, 1)]
