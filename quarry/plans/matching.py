@@ -98,6 +98,29 @@ FROM ranked WHERE rank <= {K}
 """
 
 
+# The same search of texts with an id of their own: ``corpus`` (id, text), ``queries`` (text).
+SQL_SEARCH_TEXTS = f"""
+WITH m AS ({{corpus}}),
+q AS ({{queries}}),
+mt AS ({_sql_grams('m').replace('lower(id)', 'lower(text)')}),
+nd AS (SELECT COUNT(*) AS n FROM m),
+idf AS (SELECT gram, ln(CAST((SELECT n FROM nd) + 1 AS DOUBLE) / (COUNT(*) + 1)) + 1 AS idf FROM mt GROUP BY gram),
+mw AS (SELECT id, gram, tf * idf AS w FROM mt JOIN idf USING (gram)),
+mn AS (SELECT id, sqrt(SUM(w * w)) AS nrm FROM mw GROUP BY id),
+mi AS (SELECT id, gram, w / nrm AS w FROM mw JOIN mn USING (id)),
+qt AS ({_sql_grams('(SELECT text AS id FROM q)')}),
+qw AS (SELECT id, gram, tf * COALESCE(idf, ln(CAST((SELECT n FROM nd) + 1 AS DOUBLE)) + 1) AS w FROM qt LEFT JOIN idf USING (gram)),
+qn AS (SELECT id, sqrt(SUM(w * w)) AS nrm FROM qw GROUP BY id),
+qi AS (SELECT id, gram, w / nrm AS w FROM qw JOIN qn USING (id)),
+cand AS (SELECT qi.id AS qid, mi.id AS cid, {_r6('SUM(qi.w * mi.w)')} AS cosine_similarity
+         FROM qi JOIN mi USING (gram) GROUP BY qi.id, mi.id),
+ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY qid ORDER BY cosine_similarity DESC, cid) AS rank FROM cand)
+SELECT qid AS asked, CAST(rank AS INTEGER) AS rank, cid AS p_partkey, cosine_similarity,
+       {_r6(f"len(list_intersect({_sql_tokens('qid')}, {_sql_tokens('text')})) / len(list_distinct(list_concat({_sql_tokens('qid')}, {_sql_tokens('text')})))")} AS text_match
+FROM ranked JOIN m ON m.id = ranked.cid WHERE rank <= {{k}}
+""".replace("\\p{L}", "\\p{{L}}").replace("\\p{N}", "\\p{{N}}")
+
+
 @query("name_topk_search", SQL_SEARCH)
 def name_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top-5 golden names per distinct dirty name, cosine + text match."""

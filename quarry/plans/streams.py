@@ -1,4 +1,4 @@
-"""Streaming queries (ST1, ST2, ST4).  Each runs a Structured Streaming
+"""Streaming queries (ST1-ST5).  Each runs a Structured Streaming
 query to completion (``availableNow``) over the driver tables and returns the
 table it maintains; the oracle is the batch SQL of the same question, so the
 check is "stream result == batch result"."""
@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import money
+from quarry.operators.match import batch_search
 from quarry.operators.timeseries import compute_lag
 from quarry.plans.maintenance import N_LAGS, SENSOR_COLS, _sql_lags, daily_sensor_means
+from quarry.plans.matching import SQL_SEARCH_TEXTS
 from quarry.plans.registry import query
 from quarry.plans.text import _sql_entities, entity_columns
 from quarry.sources import versioned
 from quarry.sources.tables import load, table_path
+from quarry.streaming.search_index import SearchIndex
 from quarry.streaming.stream import (
     file_stream,
     backfill_versions,
@@ -162,3 +165,46 @@ def stream_late_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
         epochs = done.lastProgress["batchId"] + 1
     table = versioned.read(spark, root, epochs)
     return table.select("o_orderkey", "day", "predicted", "actual", F.abs(F.col("actual") - F.col("predicted")).alias("error"))
+
+
+# ---------------------------------------------------------------------------
+# ST3: a search index over the parts' descriptions follows a stream of four
+# batches: all parts, the large ones with a provisional text; their full texts;
+# the dear parts withdrawn; the small ones of these back again.  The oracle
+# searches the parts that are left, with statistics counted over them.
+# ---------------------------------------------------------------------------
+LARGE, DEAR = "p_size > 25", "p_retailprice >= 990"
+INDEX_SQL = SQL_SEARCH_TEXTS.format(
+    corpus=f"SELECT p_partkey AS id, p_name || ' ' || p_brand || ' ' || p_type AS text FROM part WHERE NOT ({LARGE} AND {DEAR})",
+    queries="SELECT DISTINCT p_name || ' ' || p_type AS text FROM part",
+    k=3,
+)
+
+
+@query("stream_index_search", INDEX_SQL)
+def stream_index_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = load(spark, sf_dir, "part")
+    full = F.concat_ws(" ", "p_name", "p_brand", "p_type")
+    large, dear = F.expr(LARGE), F.expr(DEAR)
+
+    def rows(df: DataFrame, text, gone: bool = False) -> DataFrame:
+        return df.select("p_partkey", text.cast("string").alias("text"), F.lit(gone).alias("gone"))
+
+    batches = [
+        rows(p, F.when(large, F.col("p_brand")).otherwise(full)),
+        rows(p.filter(large), full),
+        rows(p.filter(dear), F.lit(None), gone=True),
+        rows(p.filter(dear & ~large), full),
+    ]
+    root, ckpt = fresh_paths(spark, "stream-index")
+    index, landing, epoch = SearchIndex(spark, root, "long"), f"{root}-landing", -1
+    for i, b in enumerate(batches):
+        b.write.mode("overwrite").parquet(f"{landing}/b{i}")
+        src = spark.readStream.schema("p_partkey long, text string, gone boolean").option("recursiveFileLookup", "true").parquet(landing)
+        w = src.writeStream.foreachBatch(index.follow("p_partkey", "text", gone="gone")).option("checkpointLocation", ckpt)
+        done = w.trigger(availableNow=True).start()
+        done.awaitTermination()
+        epoch = done.lastProgress["batchId"]
+    q = p.select(F.concat_ws(" ", "p_name", "p_type").alias("asked")).distinct()
+    found = batch_search(q, "asked", "asked", index.documents(epoch), "id", "text", 3, index=index.at(epoch))
+    return found.select("asked", "rank", F.col("id").alias("p_partkey"), "cosine_similarity", "text_match")
