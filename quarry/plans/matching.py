@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators.dense import dense_topk
 from quarry.operators.match import above, batch_search
+from quarry.operators.search_function import register_search
 from quarry.plans.registry import query
 from quarry.sources.tables import load
 
@@ -259,3 +260,19 @@ def foreign_words_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = load(spark, sf_dir, "benchmark").filter("text IS NOT NULL").select(F.col("text").alias("words")).distinct()
     q = m.select(F.replace("words", F.lit(" "), F.lit("")).alias("spelled")).distinct()
     return batch_search(q, "spelled", "spelled", m, "words", "words", 1, levels=CASCADE)
+
+
+# ---------------------------------------------------------------------------
+# UD3: the same search, asked in SQL by a lateral table function.
+# ---------------------------------------------------------------------------
+LATERAL_SEARCH = f"""
+SELECT d.dirty_name, m.rank, m.master_name, m.cosine_similarity, m.text_match
+FROM (SELECT DISTINCT dirty_name FROM dirty_part_names) d, LATERAL find_master(d.dirty_name, {K}) m
+"""
+
+
+@query("name_search_in_sql", SQL_SEARCH)
+def name_search_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register_search("find_master", masters(spark, sf_dir), "master_name", "master_name")
+    dirty_parts(spark, sf_dir).createOrReplaceTempView("dirty_part_names")
+    return spark.sql(LATERAL_SEARCH)
