@@ -18,6 +18,7 @@ from quarry.operators.text import (
     typed,
 )
 from quarry.plans.common import sql_r
+from quarry.operators.layout import page_blocks
 from quarry.plans.registry import query
 from quarry.sources.tables import load
 
@@ -281,3 +282,48 @@ def doc_license_class(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("labels_score") > MIN_SHARE, F.col("labels")[0]).alias("license"),
         round_half_up("labels_score", 6).alias("license_score"),
     )
+
+
+# ---------------------------------------------------------------------------
+# The blocks of all pages.  The oracle knows these pages' shape (one level of
+# list, no tables): texts between block tags, named by the tag before them.
+# ---------------------------------------------------------------------------
+_DECODED = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·")]  # with &amp; the entities of these pages
+
+
+def _sql_entities_of(x: str) -> str:
+    for k, v in _DECODED:
+        x = f"replace({x}, '{k}', '{v}')"
+    return f"regexp_replace({x}, '&amp;?', '&', 'g')"
+
+
+_PARTS = "/?(title|nav|ul|li|div|article|h1|p|footer|header|head|body|html|script|style)"
+LAYOUT_SQL = rf"""
+WITH bare AS (
+    SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)\b[^>]*>.*?(</(script|style)|$)', '</script', 'g'),
+           '(?s)<!--.*?(-->|$)', '', 'g'), '(?s)<[^>]*$', '') AS h FROM pages WHERE html IS NOT NULL
+), marked AS (
+    SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(h, '(?i)<br\b[^>]*>', chr(3), 'g'),
+           '(?i)<({_PARTS})\b[^>]*>', chr(1) || '\1' || chr(2), 'g'), '<[^>]*>', '', 'g'), '[ \t\r\n\f]+', ' ', 'g') AS m FROM bare
+), pieces AS (
+    SELECT page_id, unnest(string_split(m, chr(1))) AS x, generate_subscripts(string_split(m, chr(1)), 1) AS i FROM marked
+), named AS (
+    SELECT page_id, i, lower(split_part(x, chr(2), 1)) AS tag, split_part(x, chr(2), 2) AS t FROM pieces WHERE contains(x, chr(2))
+), placed AS (
+    SELECT *, SUM(CASE tag WHEN 'nav' THEN 1 WHEN '/nav' THEN -1 ELSE 0 END) OVER w AS navs,
+           SUM(CASE tag WHEN 'footer' THEN 1 WHEN '/footer' THEN -1 ELSE 0 END) OVER w AS footers
+    FROM named WINDOW w AS (PARTITION BY page_id ORDER BY i)
+), clean AS (
+    SELECT page_id, i, tag, navs, footers, {_sql_entities_of("trim(regexp_replace(regexp_replace(t, ' *\x03[ \x03]*', chr(10), 'g'), '^[ \n]+|[ \n]+$', '', 'g'))")} AS text FROM placed
+)
+SELECT page_id, CAST(ROW_NUMBER() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS block,
+       CASE tag WHEN 'title' THEN 'title' WHEN 'h1' THEN 'heading' WHEN 'li' THEN 'item' ELSE 'paragraph' END AS kind,
+       CAST(CASE WHEN tag IN ('h1', 'li') THEN 1 ELSE 0 END AS INTEGER) AS depth,
+       CASE WHEN navs > 0 THEN 'nav' WHEN footers > 0 THEN 'footer' ELSE 'body' END AS region, text
+FROM clean WHERE text <> ''
+"""
+
+
+@query("page_layout", LAYOUT_SQL)
+def page_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_blocks(load(spark, sf_dir, "pages"), "page_id").drop("cells")
