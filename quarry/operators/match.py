@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quarry.operators.block_search import block_candidates
 from quarry.operators.duplicates import (  # noqa: F401  (part of this module's interface)
     connected_labels,
     exact_duplicates,
@@ -123,6 +124,7 @@ def batch_search(
     min_score: float | None = None,
     levels: tuple[float, ...] | None = None,
     index: tuple | None = None,
+    blocks: int | None = None,
 ) -> DataFrame:
     """E4/J9/UD3: top-k corpus rows per query with cosine + text-match scores.
 
@@ -131,7 +133,9 @@ def batch_search(
     ``_candidates_above``), which keeps common grams from fanning out.
     With ``levels`` (descending score cuts) the exact top-k is found by a
     cascade (``_cascade_candidates``): only queries without k results above
-    every cut reach the full gram join.  ``index`` = a prebuilt
+    every cut reach the full gram join.  With ``blocks`` (documents a block)
+    blocks that cannot hold any of a query's top k are skipped, whatever its
+    scores (``quarry.operators.block_search``; exact).  ``index`` = a prebuilt
     ``(index, idf, n_docs)`` (``build_index`` / ``index_from_tf``); the
     corpus then only supplies the result texts.
 
@@ -156,6 +160,8 @@ def batch_search(
         cand = allowed(_candidates_above(qv, index, min_score - eps))
     elif levels:
         cand = _cascade_candidates(qv, index, k, levels, digits, allowed)
+    elif blocks:
+        cand = block_candidates(qv, index, k, digits, allowed, blocks)
     else:
         cand = allowed(_full_candidates(qv, index))
     cand = cand.withColumn("cosine_similarity", F.round(F.col("cos").cast("decimal(38,12)"), digits).cast("double"))

@@ -276,3 +276,19 @@ def name_search_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_search("find_master", masters(spark, sf_dir), "master_name", "master_name")
     dirty_parts(spark, sf_dir).createOrReplaceTempView("dirty_part_names")
     return spark.sql(LATERAL_SEARCH)
+
+
+# ---------------------------------------------------------------------------
+# E4 by blocks: the three part records nearest to every dirty name, of records
+# that share their names and kinds by the hundred; the oracle scores them all.
+# ---------------------------------------------------------------------------
+BLOCK_SQL = SQL_SEARCH_TEXTS.format(
+    corpus="SELECT p_partkey AS id, p_name || ' ' || p_type AS text FROM part", queries=f"SELECT DISTINCT dirty_name AS text FROM ({SQL_DIRTY})", k=3
+)
+
+
+@query("part_search_by_blocks", BLOCK_SQL)
+def part_search_by_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = dirty_parts(spark, sf_dir).select(F.col("dirty_name").alias("asked")).distinct()
+    p = load(spark, sf_dir, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_type").alias("text"))
+    return batch_search(q, "asked", "asked", p, "p_partkey", "text", 3, blocks=64)

@@ -206,5 +206,5 @@ def stream_index_search(spark: SparkSession, sf_dir: str) -> DataFrame:
         done.awaitTermination()
         epoch = done.lastProgress["batchId"]
     q = p.select(F.concat_ws(" ", "p_name", "p_type").alias("asked")).distinct()
-    found = batch_search(q, "asked", "asked", index.documents(epoch), "id", "text", 3, index=index.at(epoch))
+    found = batch_search(q, "asked", "asked", index.documents(epoch), "id", "text", 3, index=index.at(epoch), blocks=64)
     return found.select("asked", "rank", F.col("id").alias("p_partkey"), "cosine_similarity", "text_match")
