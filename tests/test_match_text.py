@@ -325,3 +325,53 @@ def test_linear_email_pattern_finds_the_same(spark):
     got = {x.i: x.m for x in df.select("i", F.regexp_extract_all("t", F.lit(LINEAR_EMAIL), 0).alias("m")).collect()}
     want = {i: re.findall(PATTERNS["emails"][0], t) for i, t in enumerate(texts)}
     assert got == want and sum(map(len, want.values())) > 20
+
+
+def test_dense_visits_leave_in_bounded_slices(spark, monkeypatch):
+    """A query that must open every cell is sent once to a part, and no slice holds all visits of a batch."""
+    import numpy as np
+
+    from quarry.operators import dense
+
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(400, 16)))], "cid long, v array<double>").coalesce(1)
+    p = choose_pivots(df, 64)
+    reach = {c: 3.2 for c in range(len(p))}
+    mapped = type(df).mapInPandas
+
+    def counted(frame, run, schema):
+        def counting(frames):
+            for f in run(frames):
+                yield f.assign(floor=float(len(f)))
+
+        return mapped(frame, counting, schema)
+
+    monkeypatch.setattr(dense, "SLICE", 16 * 100)
+    monkeypatch.setattr(type(df), "mapInPandas", counted)
+    q = df.select(F.col("cid").alias("qid"), "v", F.lit(-2.0).alias("floor"))
+    place = dense.deal_cells({c: 10 for c in reach}, 200)
+    own = cell_visits(q, p, reach, home=True).withColumn("floor", F.lit(-2.0))
+    sizes = [r.floor for r in cell_visits(own, p, reach, False, place).select("floor").distinct().collect()]
+    assert max(sizes) <= 100
+    assert cell_visits(own, p, reach, False, place).groupBy("qid").count().agg(F.max("count")).first()[0] == len({x for r in place.values() for x in r}) == 4
+    assert max(r.floor for r in cell_visits(q, p, reach, home=False).select("floor").distinct().collect()) <= 100
+
+
+def test_dense_topk_of_copies_and_repeated_ids(spark):
+    """Families of equal vectors in shared and cut cells: ties to the smaller id, rows of one id as often as they come."""
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(30, 8))
+    vecs = [base[i % 3] if i < 120 else base[i % 30] + 0.3 * rng.normal(size=8) for i in range(240)]
+    ids = [i if i < 220 else 3 * (i - 220) for i in range(240)]
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in zip(ids, vecs)], "id long, v array<double>").repartition(5)
+    unit = np.stack(vecs) / np.sqrt((np.stack(vecs) ** 2).sum(1))[:, None]
+    sim = np.round(unit @ unit.T, 9)
+    want = {}
+    for i in sorted(set(ids)):
+        found = sorted((-sim[a, b], ids[b]) for a in range(240) if ids[a] == i for b in range(240) if ids[b] != i)[:4]
+        want.update({(i, n): (c, round(-s, 6)) for n, (s, c) in enumerate(found, 1)})
+    for pivots, part_rows in ((4, 4096), (6, 20)):
+        got = dense_topk(df, "id", "v", df, "id", "v", 4, exclude_self=True, pivots=pivots, part_rows=part_rows).collect()
+        assert {(r.id, r.rank): (r.neighbor_id, round(r.cosine_similarity, 6)) for r in got} == want
