@@ -61,8 +61,10 @@ def mod_label(key, labels: list[str], offset: int = 0) -> Column:
 def available_days(df: DataFrame, start: Column, end, day: str = "day") -> DataFrame:
     """Every row once per day from its own ``start`` to ``end``, both included; rows available later, or never, give none.
 
-    The days are expanded where the row is: no calendar is joined and nothing
-    is shuffled.
+    No calendar is joined.  A row becomes hundreds, so the rows are dealt to all
+    tasks before: a small table is one split, and one task would do all the work
+    that follows.
     """
     last = _date(end)
-    return df.filter(start <= last).withColumn(day, F.explode(F.sequence(start, last)))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.filter(start <= last).repartition(tasks).withColumn(day, F.explode(F.sequence(start, last)))

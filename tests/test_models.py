@@ -159,3 +159,12 @@ def test_available_days_start_late_end_together_or_never(spark):
     df = spark.createDataFrame([(1, "2024-01-30"), (2, "2024-02-01"), (3, "2024-02-02"), (4, None)], "k int, s string")
     got = sorted((r.k, str(r.day)) for r in available_days(df, F.col("s").cast("date"), "2024-02-01").collect())
     assert got == [(1, "2024-01-30"), (1, "2024-01-31"), (1, "2024-02-01"), (2, "2024-02-01")]
+
+
+def test_available_days_are_expanded_by_many_tasks(spark):
+    from quarry.operators.calendar import available_days
+
+    df = spark.range(40).coalesce(1).select("id", F.lit("2024-01-01").cast("date").alias("s"))
+    days = available_days(df, F.col("s"), "2024-01-31")
+    held = days.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in held) == 40 * 31 and max(r["count"] for r in held) < 40 * 31 / 2
