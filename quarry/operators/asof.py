@@ -69,6 +69,12 @@ def time_cuts(rows: DataFrame, keys: list[str], ts: str, segment_rows: int) -> D
     return materialize(cuts, scratch_path(spark, "asof-cuts"))
 
 
+def cuts_before(cuts: str, at: str) -> Column:
+    """How many of at most MOST_SEGMENTS ascending cuts are smaller than ``at``: a bisection, so its steps grow with the logarithm of the cuts."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(MOST_SEGMENTS.bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda n, step: n + F.when(F.get(F.col(cuts), n + step - 1) < F.col(at), step).otherwise(0))
+
+
 def asof_join(
     spine: DataFrame,
     features: DataFrame,
@@ -145,9 +151,8 @@ def asof_join_many(spine: DataFrame, views: list[dict], keys, spine_ts: str, tim
         times = reduce(DataFrame.unionByName, [spine.select(*keys, F.col(spine_ts).alias("__ts")), *[df.select(*keys, F.col(ts).alias("__ts")) for _, df, ts, _, _ in specs]])
         cuts = time_cuts(times.filter(_all_set([*keys, "__ts"])), keys, "__ts", segment_rows)
         if cuts is not None:
-            u = u.join(cuts, keys, "left")
-            passed = F.size(F.filter("__cuts", lambda c: c < F.col("__ts").cast("timestamp").cast("double")))
-            segment = F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(passed)
+            u = u.join(cuts, keys, "left").withColumn("__at", F.col("__ts").cast("timestamp").cast("double"))
+            segment = F.when(F.col("__cuts").isNull() | F.col("__at").isNull(), F.lit(0)).otherwise(cuts_before("__cuts", "__at"))
     elif time_bucket is not None:
         segment = F.date_trunc(time_bucket, F.col("__ts"))
 

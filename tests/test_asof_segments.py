@@ -82,3 +82,16 @@ def test_a_key_with_all_rows_is_cut_where_its_rows_lie(spark):
 def test_no_hot_key_leaves_the_plain_plan(spark):
     spine, feats = rows(spark, 9, 20)
     assert asof.time_cuts(spine.filter("k IS NOT NULL"), ["k"], "t", 100) is None
+
+
+def test_cuts_are_bisected(spark):
+    """The segment of a row is the number of cuts before it, found without passing all cuts."""
+    from quarry.operators.asof import MOST_SEGMENTS, cuts_before
+
+    for n in (0, 1, 2, 7, 600, MOST_SEGMENTS - 1):
+        cuts = [float(2 * i) for i in range(n)]
+        df = spark.range(-2, 2 * n + 2).select(F.array(*[F.lit(c) for c in cuts]).cast("array<double>").alias("c"), F.col("id").cast("double").alias("at"))
+        got = df.select("at", cuts_before("c", "at").alias("n")).collect()
+        assert [(r.at, r.n) for r in got] == [(r.at, sum(c < r.at for c in cuts)) for r in got]
+    plan = df.select(cuts_before("c", "at"))._jdf.queryExecution().analyzed().toString()
+    assert "filter(" not in plan
