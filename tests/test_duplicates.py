@@ -105,3 +105,17 @@ def test_a_family_of_50_000_copies_costs_rows_not_pairs(spark, monkeypatch):
     got = near_duplicate_clusters(family(spark, 50_000, 60), "id", "t")
     assert [tuple(r) for r in got.groupBy("cluster_id", "cluster_size").count().collect()] == [(0, 50_000, 50_000)]
     assert sum(compared) < 40 * 50_000, compared  # all pairs: 1,250 million
+
+
+def test_scores_hold_every_link_between_different_texts(spark, tmp_path):
+    """Not only those with a cluster's smallest id: a chain of texts has a row per link, and a copy has none of its own."""
+    from quarry.plans.retrieval import near_duplicate_scores
+
+    base = [f"b{i}" for i in range(60)]
+    texts = [" ".join(base[i:]) for i in (0, 4, 8, 12)]
+    rows = list(enumerate(texts, 1)) + [(9, texts[1])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.id_a, r.id_b): r.jaccard for r in near_duplicate_scores(spark, str(tmp_path)).collect()}
+    sets = [(i, runs(x)) for i, x in rows[:4]]
+    want = {(i, j): round(len(a & b) / len(a | b), 6) for i, a in sets for j, b in sets if i < j and len(a & b) / len(a | b) >= 0.8}
+    assert got == want and (2, 3) in got and (3, 4) in got
