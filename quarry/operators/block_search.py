@@ -15,30 +15,50 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quarry.operators.relational import first_n
 from quarry.session import scratch_path
 from quarry.sources.sinks import materialize
 
 
+ROWS_AT_ONCE = 500_000  # index rows of a task; there are as many tasks as that takes
+
+
 def deal(index: DataFrame, size: int) -> DataFrame:
     """The index ``(id, gram, w)`` with ``block``: the heaviest gram of the document and a part of about ``size`` documents."""
-    lead = index.groupBy("id").agg(F.max_by("gram", F.struct("w", "gram")).alias("lead"))
-    held = lead.groupBy("lead").agg(F.count(F.lit(1)).alias("n"))
+    spark = index.sparkSession
+    led = index.withColumn("lead", F.max(F.struct("w", "gram")).over(Window.partitionBy("id"))["gram"])
+    led = materialize(led, scratch_path(spark, "search-leads"))
+    held = led.filter("gram = lead").groupBy("lead").agg(F.count(F.lit(1)).alias("n"))
     part = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / size))
-    return index.join(lead.join(held, "lead").select("id", F.xxhash64("lead", part).alias("block")), "id")
+    return led.join(held, "lead").select("id", "gram", "w", F.xxhash64("lead", part).alias("block"))
+
+
+def _tasks(dealt: DataFrame) -> int:
+    return -(-dealt.count() // ROWS_AT_ONCE) or 1
 
 
 def bounds(qv: DataFrame, dealt: DataFrame) -> DataFrame:
-    """``(qid, block, bound)``: no document of the block scores more for the query; blocks that share no gram with it are left out."""
-    most = dealt.groupBy("gram", "block").agg(F.max("w").alias("most"))
+    """``(qid, block, bound)``: no document of the block scores more for the query; blocks that share no gram with it are left out.
+
+    A task has whole blocks, so a pair of query and block is summed in one task only.
+    """
+    most = dealt.repartition(_tasks(dealt), "block").groupBy("gram", "block").agg(F.max("w").alias("most"))
     return qv.join(most, "gram").groupBy(F.col("id").alias("qid"), "block").agg(F.sum(F.col("w") * F.col("most")).alias("bound"))
 
 
 def scores(qv: DataFrame, dealt: DataFrame, chosen: DataFrame) -> DataFrame:
-    """``(qid, cid, cos)`` of the documents of chosen ``(qid, block)`` that share a gram with the query."""
-    asked = chosen.select("qid", "block").join(qv.select(F.col("id").alias("qid"), "gram", F.col("w").alias("wq")), "qid")
-    return asked.join(dealt, ["block", "gram"]).groupBy("qid", F.col("id").alias("cid")).agg(F.sum(F.col("wq") * F.col("w")).alias("cos"))
+    """``(qid, cid, cos)`` of the documents of chosen ``(qid, block)`` that share a gram with the query.
+
+    The index is packed tightly where it is written and is many times as large in memory, so it is never a table to broadcast.
+    """
+    chosen = chosen.select("qid", "block")
+    open_ = dealt.join(chosen.select("block").distinct(), "block", "left_semi")
+    asked = chosen.join(qv.select(F.col("id").alias("qid"), "gram", F.col("w").alias("wq")), "qid")
+    tasks = _tasks(dealt)
+    met = asked.repartition(tasks, "block", "gram").hint("merge").join(open_.repartition(tasks, "block", "gram").hint("merge"), ["block", "gram"])
+    return met.groupBy("qid", F.col("id").alias("cid")).agg(F.sum(F.col("wq") * F.col("w")).alias("cos"))
 
 
 def block_candidates(qv: DataFrame, index: DataFrame, k: int, digits: int, allowed: Callable[[DataFrame], DataFrame], size: int) -> DataFrame:

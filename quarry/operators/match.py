@@ -48,11 +48,19 @@ def char_grams(padded: Column, n: int = 3) -> Column:
     )
 
 
+GRAMS_AT_ONCE = 250_000  # of a task that counts them
+
+
 def _gram_tf(df: DataFrame, id_col: str, text: str, n: int) -> DataFrame:
+    """``(id, gram, tf)``, partitioned by id: the texts are dealt to as many tasks as their
+    characters take before they become grams, so a task counts a bounded number however
+    few splits the texts come in."""
     padded = F.concat(F.lit("^"), normalize(text), F.lit("$"))
+    chars = df.agg(F.sum(F.length(text)).cast("long")).first()[0] or 0
     return (
         df.select(F.col(id_col).alias("id"), padded.alias("__s"))
         .filter(F.length("__s") > 2)  # a text without letters or digits has no grams
+        .repartition(-(-chars // GRAMS_AT_ONCE) or 1, "id")
         .select("id", F.explode(char_grams(F.col("__s"), n)).alias("gram"))
         .groupBy("id", "gram")
         .agg(F.count(F.lit(1)).alias("tf"))

@@ -49,3 +49,19 @@ def test_blocks_that_cannot_rank_are_not_scored(spark):
     block = dealt.select(F.col("id").alias("cid"), "block").distinct()
     over = _full_candidates(qv, index).join(block, "cid").join(bound, ["qid", "block"], "left").filter(F.col("bound").isNull() | (F.col("cos") > F.col("bound") + 1e-9))
     assert over.isEmpty()
+
+
+def test_tasks_of_a_search_grow_with_its_texts(spark, monkeypatch):
+    """Texts in one split become grams in many tasks, and the written index is not broadcast to score it."""
+    from quarry.operators import block_search, match
+
+    monkeypatch.setattr(match, "GRAMS_AT_ONCE", 1000)
+    c = table(spark, 600, 4).coalesce(1)
+    tf = match._gram_tf(c, "id", "name", 3)
+    per_task = [r["count"] for r in tf.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(per_task) > 5 and max(per_task) < sum(per_task) / 3
+    index, idf, n = build_index(c, "id", "name")
+    qv = query_vectors(spark.createDataFrame([("part no amber lake",)], "q string"), "q", "q", idf, n)
+    dealt = deal(index, 8)
+    plan = block_search.scores(qv, dealt, bounds(qv, dealt))._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=merge" in plan
