@@ -32,6 +32,7 @@ from quarry.sources.versioned import _files
 
 FAN = 4
 BUCKETS = 16
+ROWS_AT_ONCE = 250_000  # of a bucket that one task writes
 STATS = "gram string, df long"
 
 
@@ -75,7 +76,12 @@ class SearchIndex:
         if table == "stats":
             rows.write.mode("overwrite").parquet(path)
         else:  # buckets are even: a document is in one, and its rows are bounded by its text
-            rows.repartition("__kb").write.mode("overwrite").partitionBy("__kb").parquet(path)
+            # a task sorts what it writes, so a bucket of many rows is written by several
+            n = rows.count()
+            pieces = -(-n // (self.buckets * ROWS_AT_ONCE)) or 1
+            piece = F.pmod(F.xxhash64("id", F.lit("piece")), F.lit(pieces))
+            dealt = rows.repartition(self.buckets * pieces, "__kb", piece) if pieces > 1 else rows.repartition("__kb")
+            dealt.write.mode("overwrite").partitionBy("__kb").parquet(path)
 
     def _newest(self, held: list[tuple[int, int]], keep=None) -> DataFrame:
         """``(id, epoch, gone, text, __kb)`` of each document's newest epoch; ``keep`` restricts the rows read."""

@@ -90,3 +90,14 @@ def test_an_index_without_documents(spark, tmp_path):
     assert ix.documents(0).isEmpty() and grams(ix.at(0)) == ([], [], 0)
     with pytest.raises(ValueError):
         SearchIndex(spark, "x", "long", fan=1)
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, monkeypatch, tmp_path):
+    from quarry.streaming import search_index
+
+    monkeypatch.setattr(search_index, "ROWS_AT_ONCE", 50)
+    index = search_index.SearchIndex(spark, str(tmp_path), "long", buckets=2)
+    docs = spark.range(100).selectExpr("id", "0 AS epoch", "false AS gone", "concat('part no ', id) AS text")
+    index.add(docs, 0)
+    files = list(tmp_path.glob("seg-0-0/postings/__kb=0/*.parquet"))
+    assert len(files) > 5 and index.documents(0).count() == 100
