@@ -119,3 +119,16 @@ def test_scores_hold_every_link_between_different_texts(spark, tmp_path):
     sets = [(i, runs(x)) for i, x in rows[:4]]
     want = {(i, j): round(len(a & b) / len(a | b), 6) for i, a in sets for j, b in sets if i < j and len(a & b) / len(a | b) >= 0.8}
     assert got == want and (2, 3) in got and (3, 4) in got
+
+
+def test_runs_are_shuffled_once_and_only_linkable_sets_are_scored(spark):
+    rows = [(i, x) for i, x in enumerate(families(7, n=2, size=6))] + [(100 + i, " ".join(f"u{i}x{j}" for j in range(30))) for i in range(20)]
+    rows += [(200 + i, x) for i, x in rows[:3]]
+    _, sets = duplicates.distinct_sets(spark.createDataFrame(rows, "id long, t string"), "id", "t", 5)
+    entries = duplicates.prefix_entries(sets, 0.8)
+    assert entries._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") <= 2  # one in each side of the smallest sizes' join, which reuse one shuffle
+    assert "left_semi" not in entries._jdf.queryExecution().optimizedPlan().toString().lower()
+    entries, kept = duplicates.linkable(sets, 0.8)
+    ids = {r.id for r in kept.collect()}
+    assert ids and ids <= set(range(12))  # neither texts without a shared run nor copies
+    assert {r.id for r in entries.select("id").distinct().collect()} == ids
