@@ -121,6 +121,41 @@ def test_scores_hold_every_link_between_different_texts(spark, tmp_path):
     assert got == want and (2, 3) in got and (3, 4) in got
 
 
+def test_scores_hold_every_document_of_a_cluster(spark, tmp_path):
+    """Copies, texts whose copies are all they link with, and members that are far from the cluster's smallest id; each with its closest link."""
+    import duckdb
+
+    from quarry.plans.retrieval import NEAR_SCORES_SQL, near_duplicate_scores
+    from tests.oracle_util import rows_equal
+
+    base = [f"b{i}" for i in range(60)]
+    texts = [" ".join(base[i:]) for i in (0, 4, 8, 12, 16, 20, 24)]
+    rows = list(enumerate(texts, 1)) + [(9, texts[1]), (20, "one two three"), (21, "One, two three"), (30, "alone"), (40, None), (41, "")]
+    spark.createDataFrame([*rows, (30, "alone"), (None, "one two three")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = near_duplicate_scores(spark, str(tmp_path))
+    got = {r.doc_id: r for r in found.collect() if r.doc_id is not None}
+    want = brute(rows)
+    assert {i: (r.cluster_id, r.cluster_jaccard) for i, r in got.items()} == {i: (v[0], round(v[2], 6)) for i, v in want.items()}
+    assert found.filter("doc_id IS NOT NULL").count() == len(got) and set(got) == {1, 2, 3, 4, 5, 6, 7, 9, 20, 21, 40, 41}
+    assert {i: r.rep_id for i, r in got.items() if r.rep_id != i} == {9: 2, 21: 20, 41: 40}
+    assert min(r.cluster_jaccard for r in got.values()) < 0.8
+    links = {(r.id_a, r.id_b): r.jaccard for r in found.collect() if r.doc_id is None}
+    for i, r in got.items():
+        own = [(-v, k) for k, v in links.items() if r.rep_id in k]
+        assert (r.id_a, r.id_b, r.jaccard) == ((*min(own)[1], -min(own)[0]) if own else (None, None, None)), i
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    rows_equal(found, con, NEAR_SCORES_SQL)
+
+
+def test_scores_of_an_empty_table(spark, tmp_path):
+    from quarry.plans.retrieval import near_duplicate_scores
+
+    spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = near_duplicate_scores(spark, str(tmp_path))
+    assert found.collect() == [] and found.columns[3:] == ["doc_id", "rep_id", "cluster_id", "cluster_jaccard"]
+
+
 def test_runs_are_shuffled_once_and_only_linkable_sets_are_scored(spark):
     rows = [(i, x) for i, x in enumerate(families(7, n=2, size=6))] + [(100 + i, " ".join(f"u{i}x{j}" for j in range(30))) for i in range(20)]
     rows += [(200 + i, x) for i, x in rows[:3]]
